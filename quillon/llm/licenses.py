@@ -152,11 +152,15 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     table = ", ".join(f"named_struct('label', {_sql(r.label)}, 'keyword', {_sql(' ' + r.keyword)}, 'pattern', {_sql(f' (?:{r.pattern})(?= )')}, 'priority', {r.priority})" for r in rules)
     own = own.withColumn("_rules", F.when(F.col("_gated"), F.expr(f"filter(array({table}), r -> contains(_t, r.keyword) and regexp_like(_t, r.pattern))")))
     # Each match as an interval of words: the words of the pieces and matches before it are its start.
+    own = own.withColumn(
+        "_matched",
+        F.expr(f"""transform(_rules, r -> named_struct('label', r.label, 'priority', r.priority,
+            'gaps', transform(split(_t, r.pattern), x -> {spaces('x')}), 'runs', transform(regexp_extract_all(_t, r.pattern, 0), x -> {spaces('x')})))"""),
+    )
     own = own.withColumn(
         "_hits",
-        F.expr(f"""flatten(transform(_rules, r -> transform(arrays_zip(slice(split(_t, r.pattern), 1, size(regexp_extract_all(_t, r.pattern, 0))) as piece, regexp_extract_all(_t, r.pattern, 0) as hit, sequence(1, size(regexp_extract_all(_t, r.pattern, 0))) as k),
-            m -> named_struct('label', r.label, 'priority', r.priority, 'words', {spaces('m.hit')},
-                'start', aggregate(slice(split(_t, r.pattern), 1, m.k), 0, (a, x) -> a + {spaces('x')}) + aggregate(slice(regexp_extract_all(_t, r.pattern, 0), 1, m.k - 1), 0, (a, x) -> a + {spaces('x')})))))"""),
+        F.expr("""flatten(transform(_matched, r -> transform(r.runs, (n, k) -> named_struct('label', r.label, 'priority', r.priority, 'words', n,
+            'start', aggregate(slice(r.gaps, 1, k + 1), 0, (a, x) -> a + x) + aggregate(slice(r.runs, 1, k), 0, (a, x) -> a + x)))))"""),
     )
     own = own.withColumn(
         "_kept",
@@ -179,4 +183,4 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
             "hits": F.expr("ifnull(transform(_kept, h -> named_struct('label', h.label, 'first_word', h.start, 'words', h.words)), cast(array() as array<struct<label: string, first_word: int, words: int>>))"),
         },
     )
-    return out.drop("_t", "_words", "_gated", "_places", "_found", "_rules", "_hits", "_kept", "_base", "_all")
+    return out.drop("_t", "_words", "_gated", "_places", "_found", "_rules", "_matched", "_hits", "_kept", "_base", "_all")

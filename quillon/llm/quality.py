@@ -42,10 +42,10 @@ RULES = (
     Rule("symbols", "10 * n_symbols > 3 * word_chars"),
     Rule("duplicate_lines", "n_dup_lines >= 5 and 10 * n_dup_lines > 9 * size(split(text, '\\n'))"),
     Rule("repeated_words", "10 * n_repeat_words > 4 * n_words"),
-    Rule("few_letters", "2 * length(regexp_replace(text, '[^\\\\p{L}]+', '')) < word_chars"),
-    Rule("no_letter_words", "2 * regexp_count(text, '(?<![^\\\\x20\\\\x09-\\\\x0D])[^\\\\p{L}\\\\x20\\\\x09-\\\\x0D]+(?![^\\\\x20\\\\x09-\\\\x0D])') > n_words"),
-    Rule("ellipsis_lines", "n_words >= 50 and regexp_count(text, '(?m)(\\\\.\\\\.\\\\.|\\u2026)\\\\x20*$') * 2 > size(split(text, '\\n'))"),
-    Rule("bullet_lines", "n_words >= 50 and regexp_count(text, '(?m)^[\\\\x20\\\\t]*[-*\\u2022]') * 10 > 9 * size(split(text, '\\n'))"),
+    Rule("few_letters", "2 * regexp_count(text, '\\\\p{L}') < word_chars"),
+    Rule("no_letter_words", "2 * regexp_count(text, '[^\\\\x20\\\\x09-\\\\x0D\\\\p{L}]*\\\\p{L}[^\\\\x20\\\\x09-\\\\x0D]*') < n_words"),
+    Rule("ellipsis_lines", "n_words >= 50 and 2 * size(filter(split(text, '\\n'), x -> endswith(rtrim(x), '...') or endswith(rtrim(x), '…'))) > size(split(text, '\\n'))"),
+    Rule("bullet_lines", "n_words >= 50 and 10 * size(filter(split(text, '\\n'), x -> substring(ltrim(x), 1, 1) in ('-', '*', '•'))) > 9 * size(split(text, '\\n'))"),
 )
 
 
