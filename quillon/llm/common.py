@@ -1,4 +1,4 @@
-"""Helpers shared by the corpus operators: the shared folder, table reads and chunked Arrow iteration."""
+"""Helpers shared by the corpus operators: table reads, the shared folder, its files, and chunked Arrow iteration."""
 
 from __future__ import annotations
 
@@ -6,12 +6,18 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: A word: a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
+#: Bytes of text that a task holds as one chunk (a document longer than that is a chunk of its own).
+CHUNK = 2 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,18 +26,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder for one run's files below spark.checkpoint.dir, which driver and executors share.
+    """A new folder's name for one run's files below spark.checkpoint.dir, which driver and executors share.
 
     Only where the session names none (as in tests) a local folder is set for it.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="spark-shared-")
-        spark.sparkContext.setCheckpointDir(base)
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def shared_files(folder: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a shared folder, and the folder's path there; the folder is made."""
+    fs, path = pafs.FileSystem.from_uri(folder)
+    fs.create_dir(path, recursive=True)
+    return fs, path
+
+
 def materialized(df: DataFrame, name: str) -> DataFrame:
     """df written once to the shared folder and read back: cuts lineage, and what follows survives lost executors."""
     spark = df.sparkSession
@@ -40,35 +52,44 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def n_rows(df: DataFrame) -> int:
-    return df.count()
-
-
 def words_count(text: Column) -> Column:
     """Words of a text as a long; a null text has none."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
+def without(docs: DataFrame, *names: str) -> DataFrame:
+    """docs without the columns that have one of these names in any case."""
+    taken = {x.lower() for x in names}
+    return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken])
+
+
+def with_fields(docs: DataFrame, ddl: str) -> StructType:
+    """The schema of docs with these fields behind."""
+    return StructType([*docs.schema.fields, *StructType.fromDDL(ddl).fields])
+
+
 def with_columns(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
     """docs with these columns; input columns whose names clash (in any case) are replaced."""
     taken = {c.lower() for c in columns}
     return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken], *[v.alias(k) for k, v in columns.items()])
 
 
-def chunks(frames: Iterator[pd.DataFrame], size: Column | str, limit: int) -> Iterator[pd.DataFrame]:
-    """Frames cut or joined to pieces whose summed length of the text column `size` stays near limit (one row at least)."""
-    held: list[pd.DataFrame] = []
-    total = 0
-    for frame in frames:
-        start = 0
-        lengths = frame[size].str.len().fillna(0).to_numpy()
-        for i, n in enumerate(lengths):
-            total += int(n) + 1
-            if total >= limit:
-                held.append(frame.iloc[start : i + 1])
-                yield pd.concat(held, ignore_index=True)
-                held, total, start = [], 0, i + 1
-        if start < len(frame):
-            held.append(frame.iloc[start:])
-    if held:
-        yield pd.concat(held, ignore_index=True)
+def pieces(batch: pa.RecordBatch, column: str, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
+    """A batch in slices whose values in this column sum up to about limit bytes (one row at least)."""
+    sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    if not len(sizes):
+        return
+    marks = (np.cumsum(sizes + 16) - 1) // limit
+    cuts = [0, *(np.flatnonzero(np.diff(marks)) + 1).tolist(), len(sizes)]
+    for a, b in zip(cuts, cuts[1:]):
+        yield batch.slice(a, b - a)
+
+
+def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:
+    """The column as Python strings; null is empty."""
+    return [x or "" for x in batch.column(column).to_pylist()]
+
+
+def utf8_of(batch: pa.RecordBatch, column: str = "text") -> list[bytes]:
+    """The column as UTF-8 bytes; null is empty."""
+    return [x or b"" for x in batch.column(column).cast(pa.binary()).to_pylist()]

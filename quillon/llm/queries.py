@@ -8,11 +8,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillon.llm.bpe import round_trip
 from quillon.llm.common import table
 from quillon.llm.licenses import scan_licenses
 from quillon.llm.mixing import mix
 from quillon.llm.quality import BASE as QUALITY_BASE
 from quillon.llm.quality import quality_rules
+from quillon.llm.tokenfile import read_tokens, write_tokens
+
+
+def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, files = write_tokens(table(spark, sf_dir, "documents"))
+    return read_tokens(spark, folder, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
+def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    n = F.expr("cast(octet_length(ids) div 4 as bigint)")
+    return out.select("doc_id", n.alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
 
 
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,7 +41,7 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
-QUERIES = {f.__name__: f for f in (op7_mix_sources, op8_quality_rules, op9_license_scan)}
+QUERIES = {f.__name__: f for f in (op2_token_files, op5_bpe, op7_mix_sources, op8_quality_rules, op9_license_scan)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
