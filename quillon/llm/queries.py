@@ -14,6 +14,7 @@ from quillon.llm.licenses import scan_licenses
 from quillon.llm.mixing import mix
 from quillon.llm.quality import BASE as QUALITY_BASE
 from quillon.llm.quality import quality_rules
+from quillon.llm.simhash import near_duplicates
 from quillon.llm.tokenfile import read_tokens, write_tokens
 
 
@@ -41,7 +42,11 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels", "labels", "score")
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op5_bpe, op7_mix_sources, op8_quality_rules, op9_license_scan)}
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op2_token_files, op5_bpe, op7_mix_sources, op8_quality_rules, op9_license_scan, op10_simhash)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
