@@ -15,6 +15,7 @@ from quillon.llm.mixing import mix
 from quillon.llm.quality import BASE as QUALITY_BASE
 from quillon.llm.quality import quality_rules
 from quillon.llm.simhash import near_duplicates
+from quillon.llm.substring import drop_duplicate_spans
 from quillon.llm.tokenfile import read_tokens, write_tokens
 
 
@@ -23,6 +24,11 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_tokens(spark, folder, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = drop_duplicate_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"))
     n = F.expr("cast(octet_length(ids) div 4 as bigint)")
@@ -46,11 +52,21 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op5_bpe, op7_mix_sources, op8_quality_rules, op9_license_scan, op10_simhash)}
+QUERIES = {f.__name__: f for f in (op2_token_files, op4_substring_dedup, op5_bpe, op7_mix_sources, op8_quality_rules, op9_license_scan, op10_simhash)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES = {
+    "op4_substring_dedup": rf"""
+        with d as (select row_number() over () as k, doc_id, {_WORDS} as words from documents),
+        w as (select k, doc_id, unnest(range(1, len(words) - 11)) as p, words from d),
+        h as (select k, doc_id, p, array_to_string(words[p : p + 12], ' ') as seq from w),
+        m as (select k, p, doc_id, min(doc_id) over (partition by seq) as low from h),
+        g as (select distinct k, unnest(range(p, p + 13)) as i from m where low < doc_id or (doc_id is null and low is not null)),
+        r as (select k, count(*) as n_removed, list(i) as gone from g group by k)
+        select doc_id, cast(len(words) as bigint) as n_words, coalesce(n_removed, 0) as n_removed,
+            sha256(array_to_string(case when gone is null then words else list_transform(list_filter(range(1, len(words) + 1), lambda x: not list_contains(gone, x)), lambda x: words[x]) end, ' ')) as kept_sha256
+        from d left join r on d.k = r.k""",
     "op7_mix_sources": rf"""
         with d as (select doc_id, source, len({_WORDS}) as size, md5('mix-1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
         s as (select source, cast(sum(size) as bigint) as source_size from d group by source),
