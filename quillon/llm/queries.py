@@ -17,6 +17,8 @@ from quillon.llm.quality import quality_rules
 from quillon.llm.simhash import near_duplicates
 from quillon.llm.substring import drop_duplicate_spans
 from quillon.llm.tokenfile import read_tokens, write_tokens
+from quillon.llm.topk import top_k
+from quillon.llm.warc import read_archives, write_archives
 
 
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -52,11 +54,35 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op4_substring_dedup, op5_bpe, op7_mix_sources, op8_quality_rules, op9_license_scan, op10_simhash)}
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, files = write_archives(table(spark, sf_dir, "pages"))
+    return read_archives(spark, folder, files)
+
+
+QUERIES = {f.__name__: f for f in (op2_token_files, op4_substring_dedup, op5_bpe, op7_mix_sources, op8_quality_rules, op9_license_scan, op10_simhash, op3_top_k, op6_warc)}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES = {
+    "op3_top_k": """
+        with v as (select distinct vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
+            where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+        s as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
+        r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+        select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5""",
+    "op6_warc": """
+        with p as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as k, sha1(coalesce(html, '')) as hex from pages),
+        f as (select *, min(page_id) over (partition by k) as first_id from p),
+        d as (select *, list_transform(range(8), lambda g: ('0x' || substr(hex, g * 5 + 1, 5))::bigint) as parts from f)
+        select page_id, cast(payload_bytes as bigint) as payload_bytes,
+            array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((parts[i // 4 + 1] >> (15 - 5 * (i % 4))) & 31) + 1, 1)), '') as payload_digest,
+            case when first_id < coalesce(page_id, 9223372036854775807) then 'revisit' else 'response' end as record_type,
+            case when first_id < coalesce(page_id, 9223372036854775807) then first_id end as refers_to
+        from d""",
     "op4_substring_dedup": rf"""
         with d as (select row_number() over () as k, doc_id, {_WORDS} as words from documents),
         w as (select k, doc_id, unnest(range(1, len(words) - 11)) as p, words from d),
