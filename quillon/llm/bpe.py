@@ -11,6 +11,7 @@ repeated rows give equal results; empty tables give empty results; input columns
 
 from __future__ import annotations
 
+import functools
 import itertools
 import json
 import re
@@ -27,7 +28,7 @@ from quillon.llm.common import pieces, texts_of, with_fields, without
 #: Fixed value: the pre-token pattern of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Units and their characters that a task remembers; beyond either it starts anew.
-MOST_UNITS, MOST_CHARS = 400_000, 8_000_000
+MOST_UNITS, MOST_CHARS = 800_000, 16_000_000
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -42,12 +43,13 @@ def byte_characters() -> list[str]:
     return [chr(b if b in own else next(spare)) for b in range(256)]
 
 
-def cut(text: str, run: re.Pattern = re.compile(r"\s "), edge: re.Pattern = re.compile(r"(?<=\S)(?= )")) -> list[str]:
-    """Units of a text; joined they are the text."""
-    parts = text.split(" ")
+def cut(text: str, run: re.Pattern = re.compile(r"\s "), edge: re.Pattern = re.compile(r"(?<=\S)(?= )")) -> list:
+    """Keys of a text's units: a string is a unit without the space that it starts with, a tuple holds a whole unit."""
+    parts: list = text.split(" ")
     if not parts[0] or "" in parts or run.search(text):
-        return [x for x in edge.split(text) if x]
-    return [parts[0], *[" " + x for x in parts[1:]]]
+        return [(x,) for x in edge.split(text) if x]
+    parts[0] = (parts[0],)
+    return parts
 
 
 class Units:
@@ -62,7 +64,7 @@ class Units:
         new = self.new = []
 
         class Index(dict):
-            def __missing__(self, unit: str) -> int:
+            def __missing__(self, unit) -> int:
                 new.append(unit)
                 self[unit] = i = len(self)
                 return i
@@ -78,11 +80,12 @@ class Units:
         sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
         at = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(cuts)), np.int64, int(sizes.sum()))
         if self.new:
-            ids, counts = self.encode(self.new)
+            units = [x[0] if isinstance(x, tuple) else " " + x for x in self.new]
+            ids, counts = self.encode(units)
             self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
             self.counts = np.concatenate([self.counts, counts])
             self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
-            self.chars += sum(map(len, self.new))
+            self.chars += sum(map(len, units))
             self.new.clear()
         counts = self.counts[at]
         ends = np.cumsum(counts)
@@ -191,6 +194,13 @@ class ByteBPE:
         return [data[a:b].decode("utf-8", "replace") for a, b in zip(marks, marks[1:])]
 
 
+@functools.cache
+def codec(path: str) -> tuple[ByteBPE, Units]:
+    """The vocabulary, and the units that a Python worker has met in all its tasks."""
+    bpe = ByteBPE(path)
+    return bpe, Units(bpe.encode_units)
+
+
 def packed(ids: np.ndarray, counts: np.ndarray) -> pa.Array:
     """Ids of each text as little-endian unsigned 32-bit integers in one binary value."""
     offsets = np.concatenate([[0], np.cumsum(counts) * 4]).astype(np.int32)
@@ -207,7 +217,7 @@ def decode(docs: DataFrame, path: str | None = None) -> DataFrame:
     path, docs = path or vocabulary_path(), without(docs, "decoded")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBPE(path)
+        bpe, _ = codec(path)
         for batch in batches:
             for part in pieces(batch, "ids"):
                 each = [np.frombuffer(x or b"", "<u4") for x in part.column("ids").to_pylist()]
@@ -224,8 +234,7 @@ def round_trip(docs: DataFrame, path: str | None = None) -> DataFrame:
 
 def _mapped(docs: DataFrame, path: str, decoding: bool) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = ByteBPE(path)
-        units = Units(bpe.encode_units)
+        bpe, units = codec(path)
         for batch in batches:
             for part in pieces(batch, "text"):
                 ids, counts = units(texts_of(part))

@@ -16,6 +16,7 @@ an empty table gives no file and no row; the result has its own columns only.
 
 from __future__ import annotations
 
+import functools
 import itertools
 import os
 import uuid
@@ -37,10 +38,14 @@ COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
 #: Ids read and unpacked at a time.
 READ_IDS = 1 << 19
+#: Widths of ids of up to 16 bits.
+SMALL_WIDTHS = np.maximum(1, np.frexp(np.arange(1 << 16, dtype=np.float64))[1]).astype(np.uint8)
 
 
 def bit_widths(values: np.ndarray) -> np.ndarray:
     """Bits of each unsigned 64-bit value, 1 at least."""
+    if values.max(initial=0) < 1 << 16:
+        return SMALL_WIDTHS[values]
     high = (values >> np.uint64(32)).astype(np.uint32)
     low = values.astype(np.uint32)
     part = np.where(high > 0, high, low)
@@ -57,41 +62,49 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     full = np.zeros(blocks * BLOCK, np.uint64)
     full[: len(values)] = values
     grid[:, :BLOCK] = full.reshape(blocks, BLOCK)
-    width = bit_widths(grid)
-    # Most ids that fit a word from each place on: the largest width in a window of n ids is at most 60 // n.
-    selector = np.full(grid.shape, ESCAPE, np.uint8)
-    spans, size = {1: width}, 1
+    # The most ids that fit a word from each place on: a window of n ids fits if its largest width is at most 60 // n. What
+    # does not fit n ids does not fit more, so only the places left are looked at again.
+    spans, size = {1: bit_widths(grid)}, 1
     while size < COUNTS[0]:
         prior = spans[size]
-        spans[2 * size] = np.maximum(prior, np.pad(prior[:, size:], ((0, 0), (0, size)), constant_values=1))
+        wider = prior.copy()
+        np.maximum(prior[:, :-size], prior[:, size:], out=wider[:, :-size])
+        spans[2 * size] = wider
         size *= 2
+    spans = {n: x.ravel() for n, x in spans.items()}
+    selector = np.full(grid.shape, ESCAPE, np.uint8).ravel()
+    left = (np.arange(blocks)[:, None] * grid.shape[1] + np.arange(BLOCK)).ravel()
     for s in reversed(range(len(COUNTS))):
         n = COUNTS[s]
         half = 1 << (n.bit_length() - 1)
-        widest = spans[half] if half == n else np.maximum(spans[half], np.pad(spans[half][:, n - half :], ((0, 0), (0, n - half)), constant_values=1))
-        selector[widest <= 60 // n] = s
+        left = left[np.maximum(spans[half][left], spans[half][left + (n - half)]) <= 60 // n]
+        selector[left] = s
+    selector = selector.reshape(grid.shape)
     ends = np.full(blocks, BLOCK)
     ends[-1] = len(values) - (blocks - 1) * BLOCK
-    words = np.zeros((blocks, 2 * BLOCK), np.uint64)
-    made, at, going = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64), np.arange(blocks)
+    # In each step every block that goes on starts one word.
+    held = np.array([*COUNTS, 0, 1])
+    made, at, going, starts, places = np.zeros(blocks, np.int64), np.zeros(blocks, np.int64), np.arange(blocks), [], []
     while len(going):
         chosen = selector[going, at[going]]
-        for s in np.unique(chosen).tolist():
-            rows = going[chosen == s]
-            if s == ESCAPE:
-                words[rows, made[rows]] = np.uint64(ESCAPE << 60)
-                words[rows, made[rows] + 1] = grid[rows, at[rows]]
-                made[rows] += 2
-                at[rows] += 1
-                continue
-            n = COUNTS[s]
-            shifts = np.arange(n, dtype=np.uint64) * np.uint64(60 // n)
-            ids = grid[rows[:, None], at[rows][:, None] + np.arange(n)]
-            words[rows, made[rows]] = np.bitwise_or.reduce(ids << shifts, axis=1) | np.uint64(s << 60)
-            made[rows] += 1
-            at[rows] += n
+        starts.append(going * grid.shape[1] + at[going])
+        places.append(made[going])
+        made[going] += 1 + (chosen == ESCAPE)
+        at[going] += held[chosen]
         going = going[at[going] < ends[going]]
-    return words[np.arange(2 * BLOCK) < made[:, None]], made
+    start, flat = np.concatenate(starts), grid.ravel()
+    place = np.concatenate(places) + (np.cumsum(made) - made)[start // grid.shape[1]]
+    words, chosen = np.zeros(int(made.sum()), np.uint64), selector.ravel()[start]
+    for s in np.unique(chosen).tolist():
+        rows = np.flatnonzero(chosen == s)
+        if s == ESCAPE:
+            words[place[rows]], words[place[rows] + 1] = np.uint64(ESCAPE << 60), flat[start[rows]]
+            continue
+        word, first = np.full(len(rows), s << 60, np.uint64), start[rows]
+        for k in range(COUNTS[s]):
+            word |= flat[first + k] << np.uint64(k * (60 // COUNTS[s]))
+        words[place[rows]] = word
+    return words, made
 
 
 def unpack(words: np.ndarray, block_sizes: np.ndarray, n_ids: np.ndarray) -> np.ndarray:
@@ -211,6 +224,12 @@ def library_encoder(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.nda
     return encode
 
 
+@functools.cache
+def library_units(path: str) -> Units:
+    """The units that a Python worker has met in all its tasks."""
+    return Units(library_encoder(path))
+
+
 def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = 2) -> tuple[str, DataFrame]:
     """Token-id files of docs in ascending doc_id order below the shared folder: the folder, and the table of its files
     (part, file, n_docs, n_ids) in the order of part. A retried task writes a file of its own; the table names one each."""
@@ -219,7 +238,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = 2) -> t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, writer = TaskContext.get().partitionId(), None
-        units = Units(library_encoder(path))
+        units = library_units(path)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 if writer is None:
