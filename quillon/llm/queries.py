@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from quillon.llm.bpe import round_trip
 from quillon.llm.common import table
+from quillon.llm.langid import fit, held_out, identify
 from quillon.llm.licenses import scan_licenses
 from quillon.llm.mixing import mix
 from quillon.llm.quality import BASE as QUALITY_BASE
@@ -21,6 +22,12 @@ from quillon.llm.topk import top_k
 from quillon.llm.warc import read_archives, write_archives
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    out = identify(docs.select("doc_id", "text"), fit(docs))
+    return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score")
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder, files = write_tokens(table(spark, sf_dir, "documents"))
     return read_tokens(spark, folder, files).select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
@@ -63,7 +70,10 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, folder, files)
 
 
-QUERIES = {f.__name__: f for f in (op2_token_files, op4_substring_dedup, op5_bpe, op7_mix_sources, op8_quality_rules, op9_license_scan, op10_simhash, op3_top_k, op6_warc)}
+QUERIES = {
+    f.__name__: f
+    for f in (op1_language_id, op2_token_files, op3_top_k, op4_substring_dedup, op5_bpe, op6_warc, op7_mix_sources, op8_quality_rules, op9_license_scan, op10_simhash)
+}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
