@@ -52,25 +52,26 @@ def order_hash(seed: str = SEED):
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """For each row of docs: doc_id, source, size, source_size, target, and taken, the words that the mix takes of it."""
-    own = docs.select(F.monotonically_increasing_id().alias("_id"), "doc_id", "source", words_count(F.col("text")).alias("size"), order_hash(seed).alias("_h"))
-    return _taken(materialized(own, "mix-sizes"), weights, share, max_epochs).drop("_id")
+    small = materialized(docs.select("doc_id", "source", words_count(F.col("text")).alias("size"), order_hash(seed).alias("_h"), F.xxhash64("text").alias("_tie")), "mix-sizes")
+    return _taken(small, small, weights, share, max_epochs).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
 def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
     """The mix itself: rows of docs as often as they are taken, the last document of a fractional epoch cut after its share of words."""
-    kept = materialized(docs.withColumn("_id", F.monotonically_increasing_id()), "mix-docs")
-    small = kept.select("_id", "doc_id", "source", words_count(F.col("text")).alias("size"), order_hash(seed).alias("_h"))
-    takes = _taken(materialized(small, "mix-sizes"), weights, share, max_epochs).filter("taken > 0").select("_id", F.col("size").alias("_size"), F.col("taken").alias("_taken"))
-    rows = kept.join(takes, "_id").withColumn("_copy", F.explode(F.expr("sequence(0L, (_taken + _size - 1) div _size - 1)")))
-    left = F.least(F.col("_size"), F.col("_taken") - F.col("_copy") * F.col("_size"))
-    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), F.lit(1), left.cast("int")), " ")
-    return rows.withColumn("text", F.when(left == F.col("_size"), F.col("text")).otherwise(cut)).select(*[F.col(f"`{c}`") for c in docs.columns])
-
-
-def _taken(small: DataFrame, weights, share: float, max_epochs: int) -> DataFrame:
-    """(_id, doc_id, source, size, _h) to _id, doc_id, source, size, source_size, target, taken."""
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), F.col("doc_id"), F.col("source"), words_count(F.col("text")).alias("size"), order_hash(seed).alias("_h"), F.xxhash64("text").alias("_tie"))
+    small = materialized(own.drop("_row"), "mix-sizes")
+    rows = _taken(own, small, weights, share, max_epochs).filter("taken > 0")
+    rows = rows.withColumn("_copy", F.explode(F.expr("sequence(0L, (taken + size - 1) div size - 1)")))
+    left = F.least(F.col("size"), F.col("taken") - F.col("_copy") * F.col("size"))
+    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("_row.text"), F.lit(WORD), F.lit(0)), F.lit(1), left.cast("int")), " ")
+    text = F.when(left == F.col("size"), F.col("_row.text")).otherwise(cut)
+    return rows.select(*[text.alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+
+
+def _taken(rows: DataFrame, small: DataFrame, weights, share: float, max_epochs: int) -> DataFrame:
+    """rows (with source, size, _h, _tie) with source_size, target and taken; small: these columns of the same rows, for the sums."""
     key = F.coalesce(F.concat(F.lit("s"), "source"), F.lit("n"))
-    small = small.withColumn("_key", key).withColumn("_a", F.substring("_h", 1, 2)).withColumn("_b", F.substring("_h", 3, 2))
+    rows, small = (x.withColumn("_key", key).withColumn("_a", F.substring("_h", 1, 2)).withColumn("_b", F.substring("_h", 3, 2)) for x in (rows, small))
     slices = small.groupBy("_key", "source", "_a").agg(F.sum("size").alias("_in"))
     aims = targets(slices.groupBy("source").agg(F.sum("_in").alias("source_size")), weights, share, max_epochs)
     aims = aims.withColumn("_key", key).withColumn("_whole", F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size")).cast("long")).otherwise(F.lit(0)))
@@ -82,9 +83,9 @@ def _taken(small: DataFrame, weights, share: float, max_epochs: int) -> DataFram
     inner = small.join(first, "_key").filter("_a = _end_a").groupBy("_key", "_left_a", "_b").agg(F.sum("size").alias("_in"))
     second = inner.withColumn("_before", so_far("_b")).filter("_before < _left_a and _before + _in >= _left_a")
     second = second.select("_key", F.col("_b").alias("_end_b"), (F.col("_left_a") - F.col("_before")).alias("_left_b"))
-    rows = small.join(materialized(aims.join(first.drop("_left_a"), "_key", "left").join(second, "_key", "left"), "mix-ends"), "_key")
+    rows = rows.join(materialized(aims.join(first.drop("_left_a"), "_key", "left").join(second, "_key", "left"), "mix-ends"), "_key")
     rows = rows.withColumn("_at_end", F.coalesce(F.expr("_a = _end_a and _b = _end_b"), F.lit(False)))
-    last = rows.filter("_at_end").withColumn("_before", F.coalesce(F.sum("size").over(W.partitionBy("_key").orderBy("_h", "size", "_id").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    last = rows.filter("_at_end").withColumn("_before", F.coalesce(F.sum("size").over(W.partitionBy("_key").orderBy("_h", "size", "_tie").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
     last = last.withColumn("_extra", F.expr("greatest(0L, least(size, _left_b - _before))")).drop("_before")
     rest = rows.filter("not _at_end").withColumn("_extra", F.expr("case when _a < _end_a or (_a = _end_a and _b < _end_b) then size else 0L end"))
-    return rest.unionByName(last).select("_id", "doc_id", "source", "size", "source_size", "target", (F.col("_whole") * F.col("size") + F.col("_extra")).cast("long").alias("taken"))
+    return rest.unionByName(last).withColumn("taken", (F.col("_whole") * F.col("size") + F.col("_extra")).cast("long"))
