@@ -4,8 +4,9 @@ Vectors become integers, floor(scale * x). Candidates lie in blocks of bounded s
 pair of blocks is one task's work. Per block every dimension is a list sorted by value; a query reads each list from the end
 that its sign favours, deeper in every round, and keeps for every candidate a lower bound (what was read, and the least of what
 was not) and an upper bound (what was read, and for the rest the values the lists stand at). Once the bound of whatever no list
-has shown yet is below the k-th best lower bound, no outsider can qualify: reading stops, and of the candidates seen those
-whose upper bound reaches that value get their final scores. The best k of each block meet in one ranking for each query.
+has shown yet is below the k-th best lower bound, no outsider can qualify; reading stops when that holds and few candidates
+have an upper bound that reaches this value, and these get their final scores. The best k of each block meet in one ranking
+for each query.
 
 Defined results: rows with a null id, or whose vector is null, empty or holds null or non-finite components, take no part;
 repeated rows (id and vector) count once; vectors of one id never rank for that id's query; components that one of two
@@ -15,6 +16,8 @@ gives an empty result; the result has its own columns only.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -24,7 +27,9 @@ from pyspark.sql import functions as F
 #: Candidates and queries of one task's pair of blocks.
 CANDIDATES, QUERIES = 4096, 1024
 #: Depth to which the first round reads every list; each further round reads twice as deep.
-FIRST_DEPTH = 64
+FIRST_DEPTH = 256
+#: Queries that read at once, and candidates that a query may have left when their final scores are computed.
+BATCH, MOST_LEFT = 256, 128
 RESULT = "query_id long, vec_id long, score long"
 
 
@@ -39,41 +44,51 @@ def integers(vectors: pa.ChunkedArray, scale: float) -> np.ndarray:
 
 
 class Block:
-    """Candidates of one block with a sorted list for each dimension."""
+    """Candidates of one block with a sorted list for each dimension, read from either end.
+
+    Many queries read at once. In a round every list has been read down to the same depth, so what has been read is one mask
+    for each end, and bounds are products of masked values with the positive and the negative parts of the queries.
+    """
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray):
         self.ids, self.vectors = ids, vectors
-        order = np.argsort(vectors, axis=0, kind="stable").T
-        values = np.take_along_axis(vectors.T, order, axis=1).astype(np.float64)
-        # Both ways of reading: ascending for queries that are negative in a dimension, else descending.
-        self.orders = np.stack([order, order[:, ::-1]]).astype(np.int32)
-        self.values = np.stack([values, values[:, ::-1]])
-
-    def best(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best candidates."""
-        n, dims = self.vectors.shape
-        at = np.flatnonzero(query[:dims])
-        q, way = query[at].astype(np.float64), (query[at] > 0).astype(np.int64)
-        own = self.ids == query_id
-        slack = 1e-9 * float(np.abs(q) @ np.abs(self.values[0, at][:, [0, -1]]).max(axis=1)) if n else 0.0
-        worst = q * self.values[way, at, -1]
-        depth = FIRST_DEPTH
-        while True:
-            depth = min(depth, n)
-            ids = self.orders[way, at, :depth]
-            read = self.values[way, at, :depth] * q[:, None]
-            front = read[:, -1]
-            upper = front.sum() + np.bincount(ids.ravel(), (read - front[:, None]).ravel(), n)
-            lower = worst.sum() + np.bincount(ids.ravel(), (read - worst[:, None]).ravel(), n)
-            lower[own] = -np.inf
-            least = np.partition(lower, n - k)[n - k] if n > k else -np.inf
-            if depth == n or front.sum() + slack < least - slack:
-                break
-            depth *= 2
-        rows = np.flatnonzero((upper + slack >= least - slack) & ~own)
-        scores = self.vectors[rows][:, at] @ query[at]
-        order = np.lexsort((self.ids[rows], -scores))[:k]
-        return self.ids[rows[order]], scores[order]
+        self.values = vectors.astype(np.float64)
+        order = np.argsort(vectors, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(self.values, order, axis=0)
+        self.place = np.empty_like(order)  # of each value in its ascending list
+        np.put_along_axis(self.place, order, np.arange(len(ids))[:, None], axis=0)
+
+    def bounds(self, depth: int, up: np.ndarray, down: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Upper and lower bounds (candidates, queries), and the upper bound of what no list has shown, at this depth.
+        up and down (dimensions, queries): what is read from the greatest value on, and from the least on."""
+        n = len(self.ids)
+        high, low, front_high, front_low = self.sorted[-1], self.sorted[0], self.sorted[n - depth], self.sorted[depth - 1]
+        read_high, read_low = self.place >= n - depth, self.place < depth
+        outside = front_high @ up + front_low @ down
+        upper = np.where(read_high, self.values - front_high, 0) @ up + np.where(read_low, self.values - front_low, 0) @ down + outside
+        lower = np.where(read_high, self.values - low, 0) @ up + np.where(read_low, self.values - high, 0) @ down + (low @ up + high @ down)
+        return upper, lower, outside
+
+    def best(self, query_ids: np.ndarray, queries: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+        """For each query its place, and ids and scores of its k best candidates."""
+        n = len(self.ids)
+        asked = np.arange(len(query_ids))
+        depth = min(FIRST_DEPTH, n)
+        while len(asked):
+            q = queries[asked].T.astype(np.float64)
+            upper, lower, outside = self.bounds(depth, np.maximum(q, 0), np.minimum(q, 0))
+            own = self.ids[:, None] == query_ids[asked][None, :]
+            upper[own] = lower[own] = -np.inf
+            slack = 1e-9 * (np.abs(q).T @ np.abs(self.sorted[[0, -1]]).max(axis=0))
+            least = np.partition(lower, n - k, axis=0)[n - k] if n > k else np.full(len(asked), -np.inf)
+            left = upper >= least - 2 * slack
+            over = np.ones(len(asked), bool) if depth == n else (outside < least - 2 * slack) & (left.sum(axis=0) <= MOST_LEFT)
+            for j in np.flatnonzero(over).tolist():
+                rows = np.flatnonzero(left[:, j] & ~own[:, j])
+                scores = self.vectors[rows] @ queries[asked[j]]
+                order = np.lexsort((self.ids[rows], -scores))[:k]
+                yield int(asked[j]), self.ids[rows[order]], scores[order]
+            asked, depth = asked[~over], min(2 * depth, n)
 
 
 def best_of_blocks(candidates: pa.Table, queries: pa.Table, scale: float, k: int) -> pa.Table:
@@ -84,7 +99,9 @@ def best_of_blocks(candidates: pa.Table, queries: pa.Table, scale: float, k: int
         width = max(vectors.shape[1], asked.shape[1])
         vectors, asked = (np.pad(x, ((0, 0), (0, width - x.shape[1]))) for x in (vectors, asked))
         block = Block(candidates.column("vec_id").to_numpy(), vectors)
-        out = [(i, *block.best(i, q, k)) for i, q in zip(queries.column("vec_id").to_pylist(), asked)]
+        query_ids = queries.column("vec_id").to_numpy()
+        for at in range(0, len(asked), BATCH):
+            out += [(query_ids[at + j], ids, scores) for j, ids, scores in block.best(query_ids[at : at + BATCH], asked[at : at + BATCH], k)]
     columns = [np.repeat([i for i, _, _ in out], [len(x) for _, x, _ in out]), *(np.concatenate([x[j] for x in out]) if out else [] for j in (1, 2))]
     return pa.table([pa.array(np.asarray(x, np.int64)) for x in columns], ["query_id", "vec_id", "score"])
 
