@@ -97,3 +97,10 @@ def wide_form(long: DataFrame, key: str, *columns: str) -> DataFrame:
     """One row a key with each column for A and for B."""
     pick = lambda c, w: F.max(F.when(F.col("which") == w.upper(), F.col(c))).alias(f"{c}_{w}")
     return long.groupBy(key).agg(*[pick(c, w) for w in "ab" for c in columns])
+
+
+def sort_samples(rows: DataFrame, order: DataFrame) -> DataFrame:
+    """Rows in the order (sample_id, _ordinal) of the input; samples that it lacks come last, by number, then by text."""
+    known = latest_per_key(order, "sample_id").select("sample_id", F.col("_ordinal").alias("_at"))
+    out = rows.join(known, "sample_id", "left")
+    return out.orderBy(F.asc_nulls_last("_at"), F.asc_nulls_last(F.col("sample_id").try_cast("long")), "sample_id").drop("_at")

@@ -19,6 +19,9 @@ from quillon.operators import ranking as R
 from quillon.operators import repeats as A
 from quillon.operators import stats as T
 from quillon.operators import validators as V
+from quillon.functions.model_json import fenced_or_braced, first_to_last_brace, reply_parser, without_fence
+from quillon.plans import models, stages
+from quillon.sources import readers, writers
 from quillon.sources.readers import reference_answers, samples_from
 
 QUERIES: dict[str, Callable] = {}
@@ -739,3 +742,150 @@ def long_form(t):
 @query("select conv_id, answer_a, answer_b, length(answer_a) as n_a, length(answer_b) as n_b from answers", "answers")
 def wide_form(t):
     return C.wide_form(C.long_form(t.answers(), "conv_id").withColumn("n", F.length("answer").cast("long")), "conv_id", "answer", "n")
+
+
+# --- files: written to the shared folder and read back
+
+
+def _file(t, name, write):
+    path = writers.scratch(t.spark, name)
+    write(path)
+    return path
+
+
+@query(
+    """select sample_id, query, nullif(data, '') as data, nullif(service, '') as service, nullif(last_query, '') as last_query,
+    nullif(concat_ws(',', case when coalesce(a_answer, '') <> '' then 'a_answer' end, case when coalesce(b_answer, '') <> '' then 'b_answer' end), '') as answers from samples""",
+    "samples",
+)
+def scan_samples_csv(t):
+    """Samples through a CSV with line breaks and quotes in its cells; empty cells come back as null."""
+    own = t.samples().select("sample_id", "query", "data", "service", "last_query", "a_answer", "b_answer")
+    path = _file(t, "csv", lambda p: own.coalesce(1).write.csv(p, header=True, escape='"', quoteAll=True, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False))
+    out = readers.scan_samples(t.spark, path)
+    return out.select("sample_id", "query", "data", "service", "last_query", F.array_join(F.map_keys("reference_answers"), ",").alias("answers"))
+
+
+@query("select sample_id, candidate_id, aggregate_score from judge_flat", "judge_flat")
+def scan_jsonl_strict(t):
+    rows = t.judge_flat().select("sample_id", "candidate_id", "aggregate_score")
+    path = _file(t, "jsonl", lambda p: writers.write_jsonl(rows, p))
+    return readers.read_jsonl(t.spark, path, "sample_id string, candidate_id string, aggregate_score double", "fail")
+
+
+def _broken_lines(t):
+    """One JSON object an event; every tenth line is cut short."""
+    line = F.to_json(F.struct(F.col("candidate_id")))
+    text = t.judge_flat().select(F.when(F.col("_pos") % 10 == 0, F.substring(line, 1, 12)).otherwise(line).alias("value"))
+    return _file(t, "lines", lambda p: text.write.text(p))
+
+
+@query("select candidate_id from judge_flat where _pos % 10 <> 0", "judge_flat")
+def scan_jsonl_skip_bad(t):
+    return readers.read_jsonl(t.spark, _broken_lines(t), "candidate_id string", "skip")
+
+
+@query("select case when _pos % 10 <> 0 then candidate_id end as candidate_id, _pos % 10 = 0 as is_bad from judge_flat", "judge_flat")
+def scan_jsonl_keep_bad(t):
+    return readers.read_jsonl(t.spark, _broken_lines(t), "candidate_id string", "keep").select("candidate_id", F.col("_raw").isNotNull().alias("is_bad"))
+
+
+@query("select sample_id, candidate_id from judge_flat where _pos < 50", "judge_flat")
+def scan_json_doc(t):
+    rows = t.judge_flat().filter("_pos < 50").select("sample_id", "candidate_id")
+    whole = rows.agg(F.to_json(F.collect_list(F.struct("sample_id", "candidate_id"))).alias("value"))
+    return readers.read_json_document(t.spark, _file(t, "doc", lambda p: whole.coalesce(1).write.text(p)), "sample_id string, candidate_id string")
+
+
+@query("select sample_id, candidate_id from judge_flat", "judge_flat")
+def append_new(t):
+    """Two overlapping appends give every row once."""
+    rows = t.judge_flat().select("sample_id", "candidate_id", "_pos")
+    path, schema = writers.scratch(t.spark, "append"), "sample_id string, candidate_id string"
+    for part in ("_pos % 3 < 2", "_pos % 3 > 0"):
+        writers.append_new(rows.filter(part).select("sample_id", "candidate_id"), path, readers.read_jsonl(t.spark, path, schema, "skip"))
+    return readers.read_jsonl(t.spark, path, schema)
+
+
+@query("select candidate_id, cast(_pos % 3 as integer) as repeat_idx from judge_flat where _pos % 3 = 1", "judge_flat")
+def write_repeats(t):
+    """Runs written by directory; reading one prunes the others."""
+    rows = t.judge_flat().select("candidate_id", (F.col("_pos") % 3).cast("int").alias("repeat_idx"))
+    path = _file(t, "repeats", lambda p: writers.write_repeats(rows, p))
+    return writers.read_all_repeats(t.spark, path, "candidate_id string").filter("repeat_idx = 1")
+
+
+@query(", s as (select sample_id, max(_pos) as _at from judge_flat group by sample_id) select sample_id, row_number() over (order by _at) as place from s", "judge_flat")
+def sort_samples(t):
+    j = t.judge_flat()
+    order = j.select("sample_id", F.col("_pos").alias("_ordinal"))
+    out = C.sort_samples(j.select("sample_id").distinct(), order)
+    last = j.groupBy("sample_id").agg(F.max("_pos").alias("_at"))
+    return out.join(last, "sample_id").select("sample_id", F.row_number().over(W.orderBy("_at")).cast("long").alias("place"))
+
+
+# --- replies of models
+
+
+def _replies(t):
+    """Replies in four forms by event_id: fenced, amid text, plain, and none."""
+    body = F.concat(F.lit('{"checks": [{"rule_id": "a", "hit": true}, {"rule_id": "b", "hit": false}], "confidence": "'), (F.col("event_id") % 90).cast("string"), F.lit('%"}'))
+    form = F.col("event_id") % 4
+    return t("events").select("event_id", F.when(form == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(form == 1, F.concat(F.lit("so: "), body, F.lit(" done"))).when(form == 2, body).otherwise(F.lit("none")).alias("reply"))
+
+
+def _parsed_replies(t, how):
+    parsed = _replies(t).select("event_id", reply_parser(how)("reply").alias("p"))
+    return parsed.select("event_id", F.when(F.col("p.checks").isNotNull(), F.size(F.filter("p.checks", lambda c: c["hit"]))).cast("long").alias("hits"), S.normalize_confidence(F.col("p.confidence")).alias("confidence"))
+
+
+@query("select event_id, case when event_id % 4 < 3 then 1 end as hits, case when event_id % 4 < 3 then (event_id % 90) / 100.0::double else 0.5 end as confidence from (select event_id from events)")
+def extract_json_fenced_or_braced(t):
+    return _parsed_replies(t, fenced_or_braced).withColumns(rounded("confidence"))
+
+
+@query("select event_id, case when event_id % 4 < 3 then 1 end as hits, case when event_id % 4 < 3 then (event_id % 90) / 100.0::double else 0.5 end as confidence from events")
+def safe_parse_json(t):
+    return _parsed_replies(t, first_to_last_brace).withColumns(rounded("confidence"))
+
+
+@query("select event_id, case when event_id % 4 in (0, 2) then 1 end as hits, case when event_id % 4 in (0, 2) then (event_id % 90) / 100.0::double else 0.5 end as confidence from events")
+def strip_fence_parse(t):
+    return _parsed_replies(t, without_fence).withColumns(rounded("confidence"))
+
+
+def _run_inputs(t):
+    own = t.samples()
+    return own.withColumn("reference_answers", reference_answers(own.columns))
+
+
+def _made(t):
+    table = t.generators().withColumn("gen_config", F.lit("{}")).unionByName(t.spark.createDataFrame([("reference", "b_answer", '{"answer_key": "b_answer"}')], "model_type string, model_name string, gen_config string"))
+    return stages.generate(_run_inputs(t), table, models.StubClient)
+
+
+@query(", m as (select model_type, model_name from generators union all select 'reference', 'b_answer') select sample_id, sample_id || '::' || model_name || '::' || substr(sha1(sample_id || '::' || model_name), 1, 8) as candidate_id, model_type, model_name, case when model_type = 'reference' then coalesce(nullif(b_answer, ''), nullif(a_answer, ''), '（无）') end as reference from samples cross join m", "samples", "generators")
+def generate(t):
+    """Candidates of all configured models by the stub client, and the sample's own answers."""
+    return _made(t).select("sample_id", "candidate_id", "model_type", "model_name", F.when(F.col("model_type") == "reference", F.col("response")).alias("reference"))
+
+
+@query(None)
+def judge_mean(t):
+    """Both judges of the mean scale by the stub client."""
+    return stages.judge_mean(_made(t), _run_inputs(t), "judge", models.StubClient).drop("ground_raw", "structure_raw")
+
+
+@query(None)
+def judge_deductions(t):
+    """Validators, both judges of the deduction scale by the stub client, labels and weights."""
+    return stages.judge_deductions(_made(t), _run_inputs(t), "judge", models.StubClient).drop("penalties")
+
+
+@query(None)
+def repair(t):
+    """Missing candidates and placeholders made anew by the stub client."""
+    made = _made(t).withColumn("response", F.when(F.col("_pos") % 2 == 0, F.lit(X.PLACEHOLDER)).otherwise(F.col("response")))
+    table = t.generators().withColumn("gen_config", F.lit("{}"))
+    out = stages.repair(_run_inputs(t), table, made, models.StubClient)
+    return out.select("sample_id", F.size("candidates").alias("n"), F.array_join(F.transform("candidates", lambda c: c["model_name"]), ",").alias("models"))

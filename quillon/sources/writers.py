@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -58,3 +61,12 @@ def manual_path(path: str) -> str:
 def read_all_repeats(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """The runs that write_repeats wrote, with repeat_idx."""
     return spark.read.schema(f"{schema}, repeat_idx int").json(path).withColumn("repeat_idx", F.col("repeat_idx").cast("int"))
+
+
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder's name below spark.checkpoint.dir, which driver and executors share; a local one only where none is set."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not base:
+        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-scratch-"))
+        base = spark.sparkContext.getCheckpointDir()
+    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
