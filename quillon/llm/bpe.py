@@ -27,8 +27,8 @@ from quillon.llm.common import pieces, texts_of, with_fields, without
 
 #: Fixed value: the pre-token pattern of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Units and their characters that a task remembers; beyond either it starts anew.
-MOST_UNITS, MOST_CHARS = 800_000, 16_000_000
+#: Units that a worker remembers, about 250 bytes each; beyond that, or 20 characters a unit, it starts anew.
+MOST_UNITS = 200_000
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -55,9 +55,9 @@ def cut(text: str, run: re.Pattern = re.compile(r"\s "), edge: re.Pattern = re.c
 class Units:
     """Ids of texts, put together from remembered ids of their units."""
 
-    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]]):
-        """encode: units to all their ids in one array and the number of ids of each."""
-        self.encode = encode
+    def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = MOST_UNITS):
+        """encode: units to all their ids in one array and the number of ids of each; most: units to remember."""
+        self.encode, self.most = encode, most
         self.reset()
 
     def reset(self) -> None:
@@ -74,7 +74,7 @@ class Units:
 
     def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids in one array, and the number of ids of each text."""
-        if len(self.index) > MOST_UNITS or self.chars > MOST_CHARS:
+        if len(self.index) > self.most or self.chars > 20 * self.most:
             self.reset()
         cuts = [cut(x) for x in texts]
         sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))

@@ -38,6 +38,8 @@ COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
 #: Ids read and unpacked at a time.
 READ_IDS = 1 << 19
+#: Units that a worker remembers: files are written by jobs of their own, and most of their time goes into new units.
+MOST_UNITS = 800_000
 #: Widths of ids of up to 16 bits.
 SMALL_WIDTHS = np.maximum(1, np.frexp(np.arange(1 << 16, dtype=np.float64))[1]).astype(np.uint8)
 
@@ -227,7 +229,7 @@ def library_encoder(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.nda
 @functools.cache
 def library_units(path: str) -> Units:
     """The units that a Python worker has met in all its tasks."""
-    return Units(library_encoder(path))
+    return Units(library_encoder(path), MOST_UNITS)
 
 
 def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = 2) -> tuple[str, DataFrame]:
