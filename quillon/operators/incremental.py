@@ -19,7 +19,7 @@ def completed_samples(candidates: DataFrame, configured: DataFrame) -> DataFrame
     """sample_id of samples that have a candidate of every configured (model_type, model_name)."""
     wanted = configured.select("model_type", "model_name").distinct()
     met = candidates.join(F.broadcast(wanted), ["model_type", "model_name"]).groupBy("sample_id").agg(F.count_distinct("model_type", "model_name").alias("_n"))
-    return met.join(F.broadcast(wanted.agg(F.count("*").alias("_all"))), F.col("_n") == F.col("_all")).filter("_all > 0").select("sample_id")
+    return met.filter(F.col("_n") == wanted.agg(F.count("*")).scalar()).select("sample_id")
 
 
 def to_generate(samples: DataFrame, completed: DataFrame) -> DataFrame:

@@ -35,12 +35,12 @@ def candidates_per_sample(candidates: DataFrame) -> DataFrame:
 def histogram(values: DataFrame, column: str, bins: int = 20) -> DataFrame:
     """(bin from 1, n) of equal bins from the least to the greatest value, the last one closed; a single value lies in the middle.
 
-    Bounds are one aggregate row that joins back; bins are grouped map-side.
+    The bounds are scalar subqueries; bins are counted before the shuffle.
     """
-    bounds = values.agg(F.min(column).alias("_lo"), F.max(column).alias("_hi"))
-    bounds = bounds.select(F.when(F.col("_lo") == F.col("_hi"), F.col("_lo") - 0.5).otherwise(F.col("_lo")).alias("_lo"), F.when(F.col("_lo") == F.col("_hi"), F.col("_hi") + 0.5).otherwise(F.col("_hi")).alias("_hi"))
-    own = values.filter(F.col(column).isNotNull()).join(F.broadcast(bounds))
-    place = F.least(F.width_bucket(F.col(column), F.col("_lo"), F.col("_hi"), F.lit(bins)), F.lit(bins)).cast("long")
+    low, high = values.agg(F.min(column)).scalar(), values.agg(F.max(column)).scalar()
+    own = values.filter(F.col(column).isNotNull()).select(F.col(column).alias("_x"), low.alias("_lo"), high.alias("_hi"))
+    half = F.when(F.col("_lo") == F.col("_hi"), 0.5).otherwise(0.0)
+    place = F.least(F.width_bucket(F.col("_x"), F.col("_lo") - half, F.col("_hi") + half, F.lit(bins)), F.lit(bins)).cast("long")
     return own.groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
 
 
