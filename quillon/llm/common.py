@@ -17,7 +17,7 @@ from pyspark.sql.types import StructType
 #: A word: a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task holds as one chunk (a document longer than that is a chunk of its own).
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -42,7 +42,7 @@ WINDOW, GRAM = 13, 5
 #: Bytes of text for each reference block, of text for each group of documents, and of a chunk of documents that a task cuts.
 BLOCK_BYTES, GROUP_BYTES, CUT_BYTES = 12 << 20, 4 << 20, 2 << 20
 #: Distinct words whose codes a task remembers.
-MOST_WORDS = 200_000
+MOST_WORDS = 100_000
 NO_ID = np.iinfo(np.int64).max
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
