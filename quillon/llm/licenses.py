@@ -133,6 +133,14 @@ def _sql(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
+def by_first_letter(words: list[str]) -> str:
+    """An alternation of these words that tries only those of one first letter at a place."""
+    groups: dict[str, list[str]] = {}
+    for word in sorted(set(words)):
+        groups.setdefault(word[0], []).append(word[1:])
+    return "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in groups.items())
+
+
 def word_text(text: Column) -> Column:
     """Words joined and surrounded by one space; one space where there is none."""
     lower = F.translate(F.coalesce(text, F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -143,14 +151,16 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """docs with n_words, n_base, first_word, last_word, base_labels, labels, score, and hits (label, first word, words)."""
     rules = signatures()
     spaces = lambda x: f"(length({x}) - length(replace({x}, ' ', '')))"
-    keyword = "|".join(sorted({r.keyword for r in rules} | {p for p, _ in BASE}))
+    keywords = sorted({r.keyword for r in rules})
     base = " (?:" + "|".join(p for p, _ in BASE) + ")(?= )"
     own = docs.withColumn("_t", word_text(F.col("text"))).withColumn("_words", F.expr(f"cast({spaces('_t')} - 1 as bigint)"))
-    own = own.withColumn("_gated", F.col("_t").rlike(f" (?:{keyword})"))
+    own = own.withColumn("_gated", F.col("_t").rlike(f" (?:{by_first_letter(keywords + [p for p, _ in BASE])})"))
     own = own.withColumn("_places", F.when(F.col("_gated"), F.split("_t", base)))
     own = own.withColumn("_found", F.when(F.size("_places") > 1, F.regexp_extract_all("_t", F.lit(base), F.lit(0))))
-    table = ", ".join(f"named_struct('label', {_sql(r.label)}, 'keyword', {_sql(' ' + r.keyword)}, 'pattern', {_sql(f' (?:{r.pattern})(?= )')}, 'priority', {r.priority})" for r in rules)
-    own = own.withColumn("_rules", F.when(F.col("_gated"), F.expr(f"filter(array({table}), r -> contains(_t, r.keyword) and regexp_like(_t, r.pattern))")))
+    of = lambda k: ", ".join(f"named_struct('label', {_sql(r.label)}, 'pattern', {_sql(f' (?:{r.pattern})(?= )')}, 'priority', {r.priority})" for r in rules if r.keyword == k)
+    table = ", ".join(f"named_struct('keyword', {_sql(' ' + k)}, 'rules', array({of(k)}))" for k in keywords)
+    # Each keyword is looked for once; only the rules of those that the text holds are tried.
+    own = own.withColumn("_rules", F.when(F.col("_gated"), F.expr(f"flatten(transform(filter(array({table}), g -> contains(_t, g.keyword)), g -> filter(g.rules, r -> regexp_like(_t, r.pattern))))")))
     # Each match as an interval of words: the words of the pieces and matches before it are its start.
     own = own.withColumn(
         "_matched",
