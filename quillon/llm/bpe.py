@@ -23,12 +23,12 @@ import public_tokenizers
 import regex
 from pyspark.sql import DataFrame
 
-from quillon.llm.common import pieces, texts_of, with_fields, without
+from quillon.llm.common import pieces, utf8_of, with_fields, without
 
 #: Fixed value: the pre-token pattern of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Units that a worker remembers, about 250 bytes each; beyond that, or 20 characters a unit, it starts anew.
-MOST_UNITS = 200_000
+#: Units that a worker remembers, about 70 bytes each; beyond that, or 16 ids a unit, it keeps the most used ones only.
+MOST_UNITS = 300_000
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -43,56 +43,163 @@ def byte_characters() -> list[str]:
     return [chr(b if b in own else next(spare)) for b in range(256)]
 
 
-def cut(text: str, run: re.Pattern = re.compile(r"\s "), edge: re.Pattern = re.compile(r"(?<=\S)(?= )")) -> list:
-    """Keys of a text's units: a string is a unit without the space that it starts with, a tuple holds a whole unit."""
-    parts: list = text.split(" ")
-    if not parts[0] or "" in parts or run.search(text):
-        return [(x,) for x in edge.split(text) if x]
-    parts[0] = (parts[0],)
-    return parts
+def unit_starts(data: np.ndarray, heads: np.ndarray) -> np.ndarray:
+    """Where units start in UTF-8 bytes: at heads (starts of texts), and at every space that follows no white space."""
+    mark = np.zeros(len(data), bool)
+    mark[heads] = True
+    at = np.flatnonzero(data[1:] == 0x20) + 1
+    prior = data[at - 1]
+    blank = (prior == 0x20) | ((prior >= 0x09) & (prior <= 0x0D)) | ((prior >= 0x1C) & (prior <= 0x1F))
+    # White space outside of ASCII: U+0085, U+00A0, U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
+    wide = np.flatnonzero((prior >= 0x80) & (prior < 0xC0))
+    one, two, three = prior[wide], data[at[wide] - 2], data[np.maximum(at[wide] - 3, 0)]
+    blank[wide] = (
+        ((two == 0xC2) & ((one == 0x85) | (one == 0xA0)))
+        | ((three == 0xE1) & (two == 0x9A) & (one == 0x80))
+        | ((three == 0xE2) & (two == 0x80) & ((one <= 0x8A) | (one == 0xA8) | (one == 0xA9) | (one == 0xAF)))
+        | ((three == 0xE2) & (two == 0x81) & (one == 0x9F))
+        | ((three == 0xE3) & (two == 0x80) & (one == 0x80))
+    )
+    mark[at[~blank]] = True
+    return np.flatnonzero(mark)
+
+
+class Growing:
+    """An array that values are appended to, with room to spare."""
+
+    def __init__(self, dtype):
+        self.size, self.room = 0, np.zeros(1 << 12, dtype)
+
+    def append(self, values: np.ndarray) -> None:
+        end = self.size + len(values)
+        if end > len(self.room):
+            room = np.zeros(max(end, 3 * len(self.room) // 2), self.room.dtype)
+            room[: self.size] = self.room[: self.size]
+            self.room = room
+        self.room[self.size : end] = values
+        self.size = end
+
+
+class Hashes:
+    """64-bit hashes of parts of a byte array by prefix sums, and a check value of each part's first bytes and length."""
+
+    STEP = np.uint64(0xD1342543DE82EF95)
+    BACK = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
+
+    def __init__(self):
+        self.table = np.random.default_rng(11).integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.powers = self.inverse = np.ones(1, np.uint64)
+
+    def __call__(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        with np.errstate(over="ignore"):
+            if len(self.powers) < len(data):
+                self.powers = np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(len(data), self.STEP))])
+                self.inverse = np.concatenate([[np.uint64(1)], np.multiply.accumulate(np.full(len(data), self.BACK))])
+            sums = np.zeros(len(data) + 1, np.uint64)
+            np.cumsum(self.table[data] * self.powers[: len(data)], out=sums[1:])
+            sizes = (ends - starts).astype(np.uint64)
+            key = (sums[ends] - sums[starts]) * self.inverse[starts] + sizes * self.STEP
+            key = (key ^ (key >> np.uint64(31))) * np.uint64(0xBF58476D1CE4E5B9)
+            key ^= key >> np.uint64(29)
+        padded = np.concatenate([data, np.zeros(8, np.uint8)])
+        first = np.ndarray(len(data), "<u8", padded, strides=(1,))[starts]
+        held = np.minimum(sizes, np.uint64(7)) * np.uint64(8)
+        check = (first & ((np.uint64(1) << held) - np.uint64(1))) | (np.minimum(sizes, np.uint64(255)) << np.uint64(56))
+        return np.maximum(key, np.uint64(1)), check
 
 
 class Units:
-    """Ids of texts, put together from remembered ids of their units."""
+    """Ids of texts, put together from remembered ids of their units.
+
+    Units are told apart by a 64-bit hash together with their length and first seven bytes. Numbers of units are found for all
+    units of some texts at once, in an open-addressing table; no unit is kept as a string.
+    """
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = MOST_UNITS):
         """encode: units to all their ids in one array and the number of ids of each; most: units to remember."""
-        self.encode, self.most = encode, most
+        self.encode, self.most, self.hashes = encode, most, Hashes()
+        self.bits = max(4, (2 * most).bit_length())
         self.reset()
 
     def reset(self) -> None:
-        new = self.new = []
-
-        class Index(dict):
-            def __missing__(self, unit) -> int:
-                new.append(unit)
-                self[unit] = i = len(self)
-                return i
-
-        self.index, self.chars = Index(), 0
-        self.ids, self.starts, self.counts = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
-
-    def __call__(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """All ids in one array, and the number of ids of each text."""
-        if len(self.index) > self.most or self.chars > 20 * self.most:
-            self.reset()
-        cuts = [cut(x) for x in texts]
-        sizes = np.fromiter(map(len, cuts), np.int64, len(cuts))
-        at = np.fromiter(map(self.index.__getitem__, itertools.chain.from_iterable(cuts)), np.int64, int(sizes.sum()))
-        if self.new:
-            units = [x[0] if isinstance(x, tuple) else " " + x for x in self.new]
+        self.ids, self.starts, self.counts, self.uses = Growing(np.uint32), Growing(np.int32), Growing(np.int32), Growing(np.int32)
+        self.keys, self.checks = Growing(np.uint64), Growing(np.uint64)
+        self.slots = np.full(1 << self.bits, -1, np.int32)
+
+    def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
+        """Numbers of units; -1 for those that are new."""
+        out = np.full(len(keys), -1, np.int64)
+        left, slot = np.arange(len(keys)), (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(left):
+            held = self.slots[slot]
+            hit = (held >= 0) & (self.keys.room[held] == keys[left]) & (self.checks.room[held] == checks[left])
+            out[left[hit]] = held[hit]
+            going = (held >= 0) & ~hit
+            left, slot = left[going], (slot[going] + 1) & (len(self.slots) - 1)
+        return out
+
+    def add(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Distinct new units."""
+        number = self.keys.size + np.arange(len(keys))
+        self.keys.append(keys)
+        self.checks.append(checks)
+        self.starts.append(self.ids.size + np.cumsum(counts) - counts)
+        self.counts.append(counts)
+        self.ids.append(ids)
+        self.uses.append(np.zeros(len(keys), np.int32))
+        if 2 * self.keys.size > len(self.slots):
+            self.bits += 1
+            self.slots = np.full(1 << self.bits, -1, np.int32)
+            keys, number = self.keys.room[: self.keys.size], np.arange(self.keys.size)
+        slot = (keys >> np.uint64(64 - self.bits)).astype(np.int64)
+        while len(number):
+            free = self.slots[slot] < 0
+            self.slots[slot[free]] = number[free]
+            going = self.slots[slot] != number  # taken before, or just now by another
+            number, slot = number[going], (slot[going] + 1) & (len(self.slots) - 1)
+
+    def forget(self) -> None:
+        """Starts anew with the units that were used most since the last time, half as many as fit at most."""
+        uses, starts, counts, ids = self.uses.room[: self.uses.size], self.starts.room, self.counts.room, self.ids.room
+        often = np.flatnonzero(uses > 1)
+        often = np.sort(often[np.argsort(-uses[often], kind="stable")[: self.most // 2]])
+        keys, checks, sizes = self.keys.room[often], self.checks.room[often], counts[often].astype(np.int64)
+        ends = np.cumsum(sizes)
+        held = ids[np.repeat(starts[often] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+        self.reset()
+        if len(held) <= 8 * self.most:
+            self.add(keys, checks, held, sizes)
+
+    def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of UTF-8 texts in one array, and the number of ids of each text."""
+        if self.keys.size > self.most or self.ids.size > 16 * self.most:
+            self.forget()
+        joined = b"".join(texts)
+        data = np.frombuffer(joined, np.uint8)
+        lengths = np.fromiter(map(len, texts), np.int64, len(texts))
+        heads = np.cumsum(lengths) - lengths
+        starts = unit_starts(data, heads[lengths > 0]) if len(data) else np.empty(0, np.int64)
+        ends = np.append(starts[1:], len(data)) if len(starts) else starts
+        keys, checks = self.hashes(data, starts, ends)
+        at = self.find(keys, checks)
+        new = np.flatnonzero(at < 0)
+        if len(new):
+            both = np.empty(len(new), [("k", "u8"), ("c", "u8")])
+            both["k"], both["c"] = keys[new], checks[new]
+            order = np.lexsort((both["c"], both["k"]))
+            fresh = np.concatenate([[True], both[order[1:]] != both[order[:-1]]])
+            firsts = new[order[fresh]]
+            units = [joined[a:b].decode("utf-8", "replace") for a, b in zip(starts[firsts].tolist(), ends[firsts].tolist())]
             ids, counts = self.encode(units)
-            self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
-            self.counts = np.concatenate([self.counts, counts])
-            self.ids = np.concatenate([self.ids, ids.astype(np.uint32)])
-            self.chars += sum(map(len, units))
-            self.new.clear()
-        counts = self.counts[at]
-        ends = np.cumsum(counts)
-        total = int(ends[-1]) if len(ends) else 0
-        out = self.ids[np.repeat(self.starts[at] - (ends - counts), counts) + np.arange(total)]
-        marks = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(sizes)])]
-        return out, np.diff(marks)
+            base = self.keys.size
+            self.add(keys[firsts], checks[firsts], ids, counts)
+            at[new[order]] = base + np.cumsum(fresh) - 1
+        np.add.at(self.uses.room, at, 1)
+        counts = self.counts.room[at]
+        marks = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
+        out = self.ids.room[np.repeat(self.starts.room[at] - marks[:-1], counts) + np.arange(int(marks[-1]))]
+        # A text's units end where the next text's begin.
+        return out, np.diff(marks[np.searchsorted(starts, np.append(heads, len(data)))])
 
 
 class ByteBPE:
@@ -237,7 +344,7 @@ def _mapped(docs: DataFrame, path: str, decoding: bool) -> DataFrame:
         bpe, units = codec(path)
         for batch in batches:
             for part in pieces(batch, "text"):
-                ids, counts = units(texts_of(part))
+                ids, counts = units(utf8_of(part))
                 part = part.append_column("ids", packed(ids, counts))
                 yield part.append_column("decoded", pa.array(bpe.decode(ids.astype(np.int64), counts), pa.string())) if decoding else part
 

@@ -30,7 +30,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillon.llm.bpe import ByteBPE, Units, packed, vocabulary_path
-from quillon.llm.common import materialized, pieces, shared_dir, shared_files, texts_of
+from quillon.llm.common import materialized, pieces, shared_dir, shared_files, utf8_of
 
 BLOCK, MAGIC = 256, b"S8B1IDS\n"
 #: Ids in a word by selector (its index); the width of each is 60 // count bits. Fixed values of the coding.
@@ -39,7 +39,7 @@ ESCAPE = 15
 #: Ids read and unpacked at a time.
 READ_IDS = 1 << 19
 #: Units that a worker remembers: files are written by jobs of their own, and most of their time goes into new units.
-MOST_UNITS = 800_000
+MOST_UNITS = 1_500_000
 #: Widths of ids of up to 16 bits.
 SMALL_WIDTHS = np.maximum(1, np.frexp(np.arange(1 << 16, dtype=np.float64))[1]).astype(np.uint8)
 
@@ -48,6 +48,7 @@ def bit_widths(values: np.ndarray) -> np.ndarray:
     """Bits of each unsigned 64-bit value, 1 at least."""
     if values.max(initial=0) < 1 << 16:
         return SMALL_WIDTHS[values]
+    values = values.astype(np.uint64)
     high = (values >> np.uint64(32)).astype(np.uint32)
     low = values.astype(np.uint32)
     part = np.where(high > 0, high, low)
@@ -60,27 +61,31 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     blocks = -(-len(values) // BLOCK)
     if not blocks:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    grid = np.zeros((blocks, BLOCK + COUNTS[0]), np.uint64)
-    full = np.zeros(blocks * BLOCK, np.uint64)
+    if values.max() < 1 << 32:
+        values = values.astype(np.uint32)
+    full = np.zeros(blocks * BLOCK, values.dtype)
     full[: len(values)] = values
+    grid = np.zeros((blocks, BLOCK + COUNTS[0]), values.dtype)
     grid[:, :BLOCK] = full.reshape(blocks, BLOCK)
-    # The most ids that fit a word from each place on: a window of n ids fits if its largest width is at most 60 // n. What
-    # does not fit n ids does not fit more, so only the places left are looked at again.
-    spans, size = {1: bit_widths(grid)}, 1
+    # The most ids that fit a word from each place on: a window of n ids fits if its largest width is at most 60 // n. Rows
+    # follow each other in one flat array; a window that begins within a block's ids ends before the next block.
+    width = np.ones(grid.shape, np.uint8)
+    width[:, :BLOCK] = bit_widths(full).reshape(blocks, BLOCK)
+    spans, size = {1: width.ravel()}, 1
     while size < COUNTS[0]:
-        prior = spans[size]
-        wider = prior.copy()
-        np.maximum(prior[:, :-size], prior[:, size:], out=wider[:, :-size])
+        wider = spans[size].copy()
+        np.maximum(wider[:-size], spans[size][size:], out=wider[:-size])
         spans[2 * size] = wider
         size *= 2
-    spans = {n: x.ravel() for n, x in spans.items()}
-    selector = np.full(grid.shape, ESCAPE, np.uint8).ravel()
-    left = (np.arange(blocks)[:, None] * grid.shape[1] + np.arange(BLOCK)).ravel()
+    selector = np.full(grid.size, ESCAPE, np.uint8)
+    widest = np.empty(grid.size, np.uint8)
     for s in reversed(range(len(COUNTS))):
         n = COUNTS[s]
         half = 1 << (n.bit_length() - 1)
-        left = left[np.maximum(spans[half][left], spans[half][left + (n - half)]) <= 60 // n]
-        selector[left] = s
+        shift, end = n - half, grid.size - (n - half)
+        np.maximum(spans[half][:end], spans[half][shift:], out=widest[:end])
+        widest[end:] = 1
+        np.putmask(selector, widest <= 60 // n, s)
     selector = selector.reshape(grid.shape)
     ends = np.full(blocks, BLOCK)
     ends[-1] = len(values) - (blocks - 1) * BLOCK
@@ -104,7 +109,7 @@ def pack(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
             continue
         word, first = np.full(len(rows), s << 60, np.uint64), start[rows]
         for k in range(COUNTS[s]):
-            word |= flat[first + k] << np.uint64(k * (60 // COUNTS[s]))
+            word |= flat[first + k].astype(np.uint64) << np.uint64(k * (60 // COUNTS[s]))
         words[place[rows]] = word
     return words, made
 
@@ -125,16 +130,22 @@ def unpack(words: np.ndarray, block_sizes: np.ndarray, n_ids: np.ndarray) -> np.
     heads = np.cumsum(block_sizes) - block_sizes
     base = (ends - held)[heads] if len(heads) else heads
     starts = ends - held - base[block]
-    out = np.zeros((len(block_sizes), BLOCK + COUNTS[0]), np.uint64)
+    plain = ~raw & ~escape
+    found = np.unique(selector[plain]).tolist()
+    narrow = not raw.any() and all(60 // COUNTS[s] <= 30 for s in found)
+    out = np.zeros((len(block_sizes), BLOCK + COUNTS[0]), np.uint32 if narrow else np.uint64)
     if raw.any():
         out[block[raw], starts[raw]] = words[raw]
-    plain = ~raw & ~escape
-    for s in np.unique(selector[plain]).tolist():
+    flat, first = out.ravel(), block * out.shape[1] + starts
+    for s in found:
         rows = np.flatnonzero(plain & (selector == s))
-        n, width = COUNTS[s], 60 // COUNTS[s]
-        ids = (words[rows][:, None] >> (np.arange(n, dtype=np.uint64) * np.uint64(width))) & np.uint64((1 << width) - 1)
-        out[block[rows][:, None], starts[rows][:, None] + np.arange(n)] = ids
-    return out[:, :BLOCK][np.arange(BLOCK) < n_ids[:, None]]
+        word, at, width = words[rows], first[rows], 60 // COUNTS[s]
+        for k in range(COUNTS[s]):
+            flat[at + k] = (word >> np.uint64(k * width)) & np.uint64((1 << width) - 1)
+    # Only a file's last block is not full.
+    if not len(out):
+        return flat
+    return np.concatenate([out[:-1, :BLOCK].ravel(), out[-1, : n_ids[-1]]])
 
 
 class Writer:
@@ -247,7 +258,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = 2) -> t
                     fs, place = shared_files(folder)
                     name = f"{place}/part-{part:06d}-{uuid.uuid4().hex}.s8b"
                     writer = Writer(fs.open_output_stream(name))
-                ids, counts = units(texts_of(piece))
+                ids, counts = units(utf8_of(piece))
                 ends = np.cumsum(counts)
                 writer.add(piece.column("doc_id").to_pylist(), np.insert(ids, ends, end_id), counts + 1)
         if writer:

@@ -18,7 +18,7 @@ def test_units_encode_like_the_library(texts):
     coder, units = bpe.codec(bpe.vocabulary_path())
     stated = bpe.Units(tokenfile.library_encoder(bpe.vocabulary_path()))
     for run in (units, stated):
-        ids, counts = run(texts)
+        ids, counts = run([x.encode() for x in texts])
         ends = np.cumsum(counts)
         assert [ids[e - c : e].tolist() for e, c in zip(ends, counts)] == [tk.encode(x, add_special_tokens=False).ids for x in texts]
         assert coder.decode(ids.astype(np.int64), counts) == texts
