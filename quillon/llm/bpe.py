@@ -29,6 +29,9 @@ from quillon.llm.common import pieces, utf8_of, with_fields, without
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Units that a worker remembers, about 70 bytes each; beyond that, or 16 ids a unit, it keeps the most used ones only.
 MOST_UNITS = 300_000
+#: Bytes beyond which a text is cut into parts before it is encoded.
+LONG = 4 << 20
+_SAFE = re.compile(rb"[0-9A-Za-z] ")
 NO_RANK = np.iinfo(np.int64).max
 
 
@@ -172,6 +175,24 @@ class Units:
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of UTF-8 texts in one array, and the number of ids of each text."""
+        if max(map(len, texts), default=0) <= LONG:
+            return self.numbered(texts)
+        # Long texts are cut where a unit starts for sure; what cannot be cut is encoded as it is.
+        found, counts = [], np.zeros(len(texts), np.int64)
+        for i, text in enumerate(texts):
+            at = 0
+            while at < len(text):
+                cut = _SAFE.search(text, at + LONG) if len(text) - at > LONG else None
+                end = cut.end() - 1 if cut else len(text)
+                part = text[at:end]
+                ids = self.encode([part.decode("utf-8", "replace")])[0] if len(part) > 2 * LONG else self.numbered([part])[0]
+                found.append(ids.astype(np.uint32))
+                counts[i] += len(ids)
+                at = end
+        return np.concatenate(found), counts
+
+    def numbered(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The same for texts that are not long."""
         if self.keys.size > self.most or self.ids.size > 16 * self.most:
             self.forget()
         joined = b"".join(texts)

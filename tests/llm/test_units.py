@@ -24,3 +24,14 @@ def test_forgetting_keeps_results():
     assert max(sizes) < 200 and units.uses.size == units.starts.size == units.counts.size == units.checks.size == units.keys.size
     units([b"x" * 5000])
     assert units([b"a b"])[1].tolist() == [2]
+
+
+def test_long_texts_are_cut_at_units(monkeypatch):
+    monkeypatch.setattr(bpe, "LONG", 40)
+    tk = library()
+    coder, _ = bpe.codec(bpe.vocabulary_path())
+    units = bpe.Units(coder.encode_units)
+    texts = ["word 12  two\n three, " * 30, "", "x" * 300, "é ü " * 50, "short"]
+    ids, counts = units([x.encode() for x in texts])
+    ends = np.cumsum(counts)
+    assert [ids[e - c : e].tolist() for e, c in zip(ends, counts)] == [tk.encode(x, add_special_tokens=False).ids for x in texts]
