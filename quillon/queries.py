@@ -839,17 +839,17 @@ def _parsed_replies(t, how):
     return parsed.select("event_id", F.when(F.col("p.checks").isNotNull(), F.size(F.filter("p.checks", lambda c: c["hit"]))).cast("long").alias("hits"), S.normalize_confidence(F.col("p.confidence")).alias("confidence"))
 
 
-@query("select event_id, case when event_id % 4 < 3 then 1 end as hits, case when event_id % 4 < 3 then (event_id % 90) / 100.0::double else 0.5 end as confidence from (select event_id from events)")
+@query("select event_id, case when event_id % 4 < 3 then 1::bigint end as hits, case when event_id % 4 < 3 then (event_id % 90) / 100.0::double else 0.5 end as confidence from (select event_id from events)")
 def extract_json_fenced_or_braced(t):
     return _parsed_replies(t, fenced_or_braced).withColumns(rounded("confidence"))
 
 
-@query("select event_id, case when event_id % 4 < 3 then 1 end as hits, case when event_id % 4 < 3 then (event_id % 90) / 100.0::double else 0.5 end as confidence from events")
+@query("select event_id, case when event_id % 4 < 3 then 1::bigint end as hits, case when event_id % 4 < 3 then (event_id % 90) / 100.0::double else 0.5 end as confidence from events")
 def safe_parse_json(t):
     return _parsed_replies(t, first_to_last_brace).withColumns(rounded("confidence"))
 
 
-@query("select event_id, case when event_id % 4 in (0, 2) then 1 end as hits, case when event_id % 4 in (0, 2) then (event_id % 90) / 100.0::double else 0.5 end as confidence from events")
+@query("select event_id, case when event_id % 4 in (0, 2) then 1::bigint end as hits, case when event_id % 4 in (0, 2) then (event_id % 90) / 100.0::double else 0.5 end as confidence from events")
 def strip_fence_parse(t):
     return _parsed_replies(t, without_fence).withColumns(rounded("confidence"))
 
