@@ -56,21 +56,27 @@ def expected_grade(data: Column) -> Column:
     """The first grade whose interval [lo, hi) holds the score, or whose upper end equals it."""
     sleep = data["sleep"]
     score = number(sleep["score"])
-    keys = F.json_object_keys(sleep["score_thresholds"])
-    ranges = F.from_json(sleep["score_thresholds"], "map<string, array<string>>", _STRICT)
+    # Entries of a parsed map keep the order of the JSON object.
+    entries = F.map_entries(F.from_json(sleep["score_thresholds"], "map<string, array<string>>", _STRICT))
 
-    def holds(k: Column) -> Column:
-        low, high = number(F.try_element_at(ranges, k)[0]), number(F.get(F.try_element_at(ranges, k), F.lit(1)))
+    def holds(e: Column) -> Column:
+        low, high = number(F.get(e["value"], F.lit(0))), number(F.get(e["value"], F.lit(1)))
         return F.coalesce(((low <= score) & (score < high)) | (F.abs(score - high) <= 1e-9 * F.greatest(F.abs(score), F.abs(high))), F.lit(False))
 
-    return F.get(F.filter(keys, holds), F.lit(0))
+    return F.get(F.filter(entries, holds), F.lit(0))["key"]
 
 
 def sleep_grade(answer: Column, data: Column) -> Column:
     """Where a grade follows from score and thresholds, the answer must name it or use one of the grade words."""
-    grade, low = expected_grade(data), F.lower(answer)
-    named = reduce(Column.__or__, [F.contains(low, F.lit(x)) for x in GRADE_WORDS], F.contains(low, F.lower(grade)))
-    return F.array_compact(F.array(F.when(grade.isNotNull() & (grade != "") & ~named, _penalty("PERSONAL_DATA_ANALYSIS_ISSUE", 5.0, F.concat(F.lit("no grade is stated; expected: "), grade)))))
+
+    def lacking(grade: Column) -> Column:
+        low = F.lower(answer)
+        named = reduce(Column.__or__, [F.contains(low, F.lit(x)) for x in GRADE_WORDS], F.contains(low, F.lower(grade)))
+        return F.when(~named, _penalty("PERSONAL_DATA_ANALYSIS_ISSUE", 5.0, F.concat(F.lit("no grade is stated; expected: "), grade)))
+
+    # The grade is worked out once: as an array's item it is a bound variable.
+    due = F.filter(F.array(expected_grade(data)), lambda g: g.isNotNull() & (g != ""))
+    return F.array_compact(F.transform(due, lacking))
 
 
 def is_graded(data: Column) -> Column:

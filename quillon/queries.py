@@ -668,9 +668,8 @@ def zero_penalty_guard(t):
     """Every second answer has a penalty already."""
     own = F.struct(F.lit("GRAMMAR").alias("rule_id"), F.lit(3.0).alias("score"), F.lit("").alias("reason"), F.lit("").alias("excerpt"))
     penalties = F.when(F.col("doc_id") % 2 == 0, F.array(own)).otherwise(F.array().cast("array<struct<rule_id: string, score: double, reason: string, excerpt: string>>"))
-    data = V.parse_data(F.col("data"))
-    guarded = N.zero_penalty_guard(penalties, F.col("answer"), V.is_graded(data))
-    return t.graded().select("doc_id", F.array_join(F.transform(guarded, lambda p: p["rule_id"]), ",").alias("rules"))
+    guarded = N.zero_penalty_guard(penalties, F.col("answer"), V.is_graded(F.col("parsed")))
+    return _graded(t).select("doc_id", F.array_join(F.transform(guarded, lambda p: p["rule_id"]), ",").alias("rules"))
 
 
 # --- validators
@@ -683,41 +682,43 @@ _CHART = r"case when doc_id % 2 = 0 and not (regexp_matches(answer, '\n\|[^\n]+\
 _SERVICE = "case when not (contains(lower(answer), lower(source)) and contains(lower(answer), 'the')) then 'MISSING_SERVICE' end"
 
 
+def _graded(t):
+    return t.graded().withColumn("parsed", V.parse_data(F.col("data")))
+
+
 def _rules(x):
     return F.array_join(F.transform(x, lambda p: p["rule_id"]), ",")
 
 
 @query(f"select doc_id, coalesce({_DURATION}, '') as rules from graded", "graded")
 def validate_sleep_duration(t):
-    return t.graded().select("doc_id", _rules(V.sleep_duration(F.col("answer"), V.parse_data(F.col("data")))).alias("rules"))
+    return _graded(t).select("doc_id", _rules(V.sleep_duration(F.col("answer"), F.col("parsed"))).alias("rules"))
 
 
 @query(f"select doc_id, coalesce({_GRADE}, '') as rules, case when doc_id % 101 <= 40 then 'poor' when doc_id % 101 <= 70 then 'fair' else 'zeta' end as grade from graded", "graded")
 def validate_sleep_grade(t):
-    data = V.parse_data(F.col("data"))
-    return t.graded().select("doc_id", _rules(V.sleep_grade(F.col("answer"), data)).alias("rules"), V.expected_grade(data).alias("grade"))
+    return _graded(t).select("doc_id", _rules(V.sleep_grade(F.col("answer"), F.col("parsed"))).alias("rules"), V.expected_grade(F.col("parsed")).alias("grade"))
 
 
 @query(f"select doc_id, coalesce({_CHART}, '') as rules from graded", "graded")
 def validate_chart(t):
-    return t.graded().select("doc_id", _rules(V.chart(F.col("answer"), V.chart_needed(V.parse_data(F.col("data"))))).alias("rules"))
+    return _graded(t).select("doc_id", _rules(V.chart(F.col("answer"), V.chart_needed(F.col("parsed")))).alias("rules"))
 
 
 @query(f"select doc_id, coalesce({_SERVICE}, '') as rules from graded", "graded")
 def validate_service(t):
-    services = F.from_json(V.parse_data(F.col("data"))["services"], "array<string>")
-    return t.graded().select("doc_id", _rules(V.service(F.col("answer"), services)).alias("rules"))
+    services = F.from_json(F.col("parsed.services"), "array<string>")
+    return _graded(t).select("doc_id", _rules(V.service(F.col("answer"), services)).alias("rules"))
 
 
 @query(f"select doc_id, concat_ws(',', {_DURATION}, {_GRADE}, {_CHART}, {_SERVICE}) as rules from graded", "graded")
 def run_validators(t):
-    return t.graded().select("doc_id", _rules(V.run_validators(F.col("answer"), V.parse_data(F.col("data")))).alias("rules"))
+    return _graded(t).select("doc_id", _rules(V.run_validators(F.col("answer"), F.col("parsed"))).alias("rules"))
 
 
 @query("select doc_id, '23:' || lpad(cast(doc_id % 60 as varchar), 2, '0') as start, doc_id % 101 as score from graded", "graded")
 def parse_data_json(t):
-    data = V.parse_data(F.col("data"))
-    return t.graded().select("doc_id", data["sleep"]["start"].alias("start"), data["sleep"]["score"].cast("long").alias("score"))
+    return _graded(t).select("doc_id", F.col("parsed.sleep.start"), F.col("parsed.sleep.score").cast("long").alias("score"))
 
 
 # --- repeats, two answers
