@@ -12,7 +12,7 @@ from quillon.llm.bpe import round_trip
 from quillon.llm.common import materialized, with_columns
 from quillon.llm.langid import UNKNOWN, fit, identify
 from quillon.llm.mixing import mixed
-from quillon.llm.simhash import drop_near_duplicates
+from quillon.llm.neardup import drop_near_duplicates
 from quillon.llm.substring import drop_duplicate_spans
 
 #: Predictions below this score say that a text is of none of the learned languages.
@@ -26,7 +26,7 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near duplicates the document with the smallest doc_id."""
+    """Keeps of each group of near duplicates (five-word shingles, similarity 0.8 or more) the document with the smallest doc_id."""
     return drop_near_duplicates(docs)
 
 

@@ -38,3 +38,37 @@ def test_run_over_a_folder(spark, rows, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
     out = corpus_pipeline.run(spark, str(tmp_path))
     assert out.count() > 20 and {"doc_id", "n_tokens", "ids_sha256"} <= set(out.columns)
+
+
+def test_near_copies_at_the_similarity_go(spark):
+    import random
+
+    from .conftest import SCHEMA, prose
+
+    rng, out, shingles = random.Random(11), [], {}
+    for i in range(0, 400, 2):
+        words = [prose(rng, 200, 5000).split()] * 2
+        words[1] = list(words[0])
+        for k in rng.sample(range(200), rng.randrange(1, 8)):
+            words[1][k] = "changed"
+        out += [(i, " ".join(words[0])), (i + 1, " ".join(words[1]))]
+    out += [(1000, "one two"), (1001, "One  two"), (1002, "one three"), (1003, None), (1004, " "), (None, out[0][1])]
+    for i, t in out:
+        words = (t or "").lower().split()
+        shingles[i] = {tuple(words[k : k + 5]) for k in range(max(1, len(words) - 4))}
+    gone = {i + 1 for i in range(0, 400, 2) if 5 * len(shingles[i] & shingles[i + 1]) >= 4 * len(shingles[i] | shingles[i + 1])}
+    assert 50 < len(gone) < 190
+    docs = spark.createDataFrame([(i, t, "en", "a", 0) for i, t in out], SCHEMA).repartition(3)
+    kept = [r.doc_id for r in dict(corpus_pipeline.STAGES)["simhash_near_dedup"](spark, docs, "").collect()]
+    assert sorted(i for i in kept if i is not None) == [i for i in range(400) if i not in gone] + [1000, 1002, 1003] and kept.count(None) == 1
+
+
+def test_large_candidate_components_meet_in_tiles(spark, monkeypatch):
+    from quillon.llm import neardup
+
+    from .conftest import SCHEMA
+
+    monkeypatch.setattr(neardup, "TILE_SETS", 8)
+    base = [f"w{k}" for k in range(300)]
+    out = [(i, " ".join(base[:i] + ["changed"] + base[i + 1 :]), "en", "a", 0) for i in range(40)]
+    assert [r.doc_id for r in neardup.drop_near_duplicates(spark.createDataFrame(out, SCHEMA)).collect()] == [0]
