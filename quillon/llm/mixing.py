@@ -12,7 +12,8 @@ part of a source that is left is ordered row by row.
 
 Defined results: a null text has size 0 and is taken 0 times; a null source is a source of its own, ordered last; sources of
 size 0 have target 0; repeated rows are rows of their own; an empty table gives an empty result.
-`mix` returns its own columns only; `mixed` returns the columns of its input unchanged.
+`mix` returns its own columns only; `mixed` returns the columns of its input, of which only text and n_chars of a document taken
+in part change: its first words with the white space before them, and the length of that.
 """
 
 from __future__ import annotations
@@ -63,9 +64,15 @@ def mixed(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: in
     rows = _taken(own, small, weights, share, max_epochs).filter("taken > 0")
     rows = rows.withColumn("_copy", F.explode(F.expr("sequence(0L, (taken + size - 1) div size - 1)")))
     left = F.least(F.col("size"), F.col("taken") - F.col("_copy") * F.col("size"))
-    cut = F.array_join(F.slice(F.regexp_extract_all(F.col("_row.text"), F.lit(WORD), F.lit(0)), F.lit(1), left.cast("int")), " ")
-    text = F.when(left == F.col("size"), F.col("_row.text")).otherwise(cut)
-    return rows.select(*[text.alias(c) if c == "text" else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+    # Each word of the share with the white space before it, so line breaks stay.
+    words, gaps = F.regexp_extract_all(F.col("_row.text"), F.lit(WORD), F.lit(0)), F.split(F.col("_row.text"), WORD)
+    cut = F.array_join(F.zip_with(F.slice(gaps, F.lit(1), left.cast("int")), F.slice(words, F.lit(1), left.cast("int")), lambda gap, word: F.concat(gap, word)), "")
+    rows = rows.withColumn("_text", F.when(left == F.col("size"), F.col("_row.text")).otherwise(cut))
+    own = {"text": F.col("_text")}
+    if "n_chars" in docs.columns:
+        n_chars = F.length("_text").cast(docs.schema["n_chars"].dataType)
+        own["n_chars"] = F.when(left == F.col("size"), F.col("_row.n_chars")).otherwise(n_chars)
+    return rows.select(*[own.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
 
 
 def _taken(rows: DataFrame, small: DataFrame, weights, share: float, max_epochs: int) -> DataFrame:

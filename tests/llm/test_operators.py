@@ -228,6 +228,15 @@ def test_mixing(spark, docs, empty):
     assert mixing.mix(empty).count() == 0 and mixing.mixed(empty).count() == 0
 
 
+def test_mixed_keeps_line_breaks_and_lengths(spark):
+    text = "\n".join(f"  line {i}\tof text" for i in range(50))
+    docs = spark.createDataFrame([(1, text, "a", len(text)), (2, "x y\nz", "b", 5)], "doc_id long, text string, source string, n_chars long")
+    rows = mixing.mixed(docs, weights=(1, 1), share=1.3).filter("doc_id = 1").collect()
+    cut = [r for r in rows if r.text != text]
+    assert len(cut) == 1 and text.startswith(cut[0].text) and "\n" in cut[0].text
+    assert all(r.n_chars == len(r.text) for r in rows)
+
+
 # --- 8: quality
 
 
