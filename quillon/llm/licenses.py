@@ -1,8 +1,8 @@
 """License scan by ordered signature rules, in DataFrame functions only.
 
 Texts are reduced to words of lower-case ASCII letters, digits and non-ASCII characters. A rule is a hand-written regular
-expression over these words with a keyword, a label and a priority. Only rows that hold any keyword go further; of the
-rules, only those whose keyword the text holds are matched. A match is an interval of words; one that lies inside an
+expression over these words with keywords of which every match holds one, a label and a priority. Only rows that hold any
+keyword go further; of the rules, only those of whose keywords the text holds one are matched. A match is an interval of words; one that lies inside an
 interval of a rule of higher priority, or of a longer one of equal priority, is suppressed. Base labels always stay.
 
 Defined results: a null or empty text has no words and no label; repeated rows are scanned one by one; empty tables give
@@ -21,12 +21,12 @@ from quillon.llm.common import with_columns
 #: Base phrases and their labels.
 BASE = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
 
-# Families: label, keyword, the regular expression of the name, and the versions that have texts of their own.
+# Families: label, keyword (or several), the regular expression of the name, and the versions that have texts of their own.
 # Versions are written as words ("2 0"); the rules below combine names, versions and ways to state a license.
 FAMILIES = (
     ("apache", "apache", r"apache(?: software)?(?: public)?", ("1 0", "1 1", "2 0")),
     ("gpl", "general public", r"(?:gnu )?general public", ("1", "2", "3")),
-    ("lgpl", "lesser general", r"(?:gnu )?(?:lesser|library) general public", ("2", "2 1", "3")),
+    ("lgpl", ("lesser general", "library general"), r"(?:gnu )?(?:lesser|library) general public", ("2", "2 1", "3")),
     ("agpl", "affero", r"(?:gnu )?affero general public", ("1", "3")),
     ("gfdl", "free documentation", r"(?:gnu )?free documentation", ("1 1", "1 2", "1 3")),
     ("mpl", "mozilla", r"mozilla public", ("1 0", "1 1", "2 0")),
@@ -52,7 +52,7 @@ FAMILIES = (
     ("mit", "mit", r"mit", ()),
     ("x11", "x11", r"x11", ()),
     ("ncsa", "ncsa", r"(?:university of illinois )?ncsa(?: open source)?", ()),
-    ("bsd-2", "bsd", r"(?:(?:2|two) clause bsd|bsd (?:2|two) clause|simplified bsd|freebsd)", ()),
+    ("bsd-2", ("bsd", "freebsd"), r"(?:(?:2|two) clause bsd|bsd (?:2|two) clause|simplified bsd|freebsd)", ()),
     ("bsd-3", "bsd", r"(?:(?:3|three) clause bsd|bsd (?:3|three) clause|new bsd|modified bsd)", ()),
     ("bsd-4", "bsd", r"(?:(?:4|four) clause bsd|bsd (?:4|four) clause|original bsd)", ()),
     ("bsd", "bsd", r"bsd", ()),
@@ -63,7 +63,7 @@ FAMILIES = (
     ("sspl", "server side public", r"server side public", ("1",)),
     ("busl", "business source", r"business source", ("1 0", "1 1")),
     ("elastic", "elastic", r"elastic", ("1 0", "2 0")),
-    ("odbl", "open database", r"open (?:data commons )?(?:open )?database", ("1 0",)),
+    ("odbl", ("open database", "commons database"), r"open (?:data commons )?(?:open )?database", ("1 0",)),
     ("ipl", "ibm public", r"ibm public", ("1 0",)),
     ("qpl", "q public", r"q public", ("1 0",)),
 )
@@ -77,22 +77,22 @@ CC_PARTS = (
     ("by-nc-nd", r"by nc nd", r"attribution non ?commercial no ?deriv(?:ative|ative works|atives|s)"),
 )
 CC_VERSIONS = ("1 0", "2 0", "2 5", "3 0", "4 0")
-# Notices without a family: label, keyword, regular expression.
+# Notices without a family: label, keyword (or several), regular expression.
 NOTICES = (
     ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
-    ("cc0", "public domain", r"creative commons (?:zero|public domain dedication)"),
+    ("cc0", "creative commons", r"creative commons (?:zero|public domain dedication)"),
     ("public-domain", "public domain", r"(?:released|dedicated|placed|is|in)(?: in| into| to)?(?: the)? public domain"),
     ("copyright", "copyright", r"copyright(?: c)?(?: by)? (?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})*"),
     ("copyright", "copyright", r"c copyright"),
     ("proprietary", "proprietary", r"proprietary and confidential"),
     ("proprietary", "confidential", r"confidential and proprietary"),
-    ("no-redistribution", "redistribut", r"(?:may not|must not|do not) (?:copy|be copied|redistribute|be redistributed)(?: or (?:redistribute|distribute|be distributed))?"),
+    ("no-redistribution", tuple(f"{no} {what}" for no in ("may not", "must not", "do not") for what in ("copy", "be copied", "redistribut", "be redistribut")), r"(?:may not|must not|do not) (?:copy|be copied|redistribute|be redistributed)(?: or (?:redistribute|distribute|be distributed))?"),
     ("permission-notice", "permission", r"permission is hereby granted free of charge to any person"),
     ("redistribution-notice", "redistribution", r"redistribution and use in source and binary forms"),
     ("warranty-disclaimer", "as is", r"(?:is|are) provided as is(?: without warranty of any kind)?"),
     ("terms-of-use", "terms", r"(?:subject to|under)(?: the)? terms (?:of use|of service|and conditions)"),
     ("used-by-permission", "permission", r"(?:used|reprinted|reproduced) (?:by|with) permission"),
-    ("non-commercial", "commercial", r"for non ?commercial use only"),
+    ("non-commercial", ("commercial use", "noncommercial use"), r"for non ?commercial use only"),
     ("all-wrongs", "wrongs", r"all wrongs reserved"),
 )
 
@@ -100,10 +100,14 @@ NOTICES = (
 @dataclass(frozen=True)
 class Signature:
     label: str
-    keyword: str
+    keywords: str | tuple[str, ...]
     pattern: str
     priority: int
 
+    def __post_init__(self):
+        if isinstance(self.keywords, str):
+            object.__setattr__(self, "keywords", (self.keywords,))
+
 
 def signatures() -> list[Signature]:
     """The rules, most specific first: 4 a version, then 3 a stated family, 2 a named one, 1 a notice."""
@@ -151,16 +155,17 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     """docs with n_words, n_base, first_word, last_word, base_labels, labels, score, and hits (label, first word, words)."""
     rules = signatures()
     spaces = lambda x: f"(length({x}) - length(replace({x}, ' ', '')))"
-    keywords = sorted({r.keyword for r in rules})
+    gates = sorted({r.keywords for r in rules})
+    keywords = sorted({k for gate in gates for k in gate})
     base = " (?:" + "|".join(p for p, _ in BASE) + ")(?= )"
     own = docs.withColumn("_t", word_text(F.col("text"))).withColumn("_words", F.expr(f"cast({spaces('_t')} - 1 as bigint)"))
     own = own.withColumn("_gated", F.col("_t").rlike(f" (?:{by_first_letter(keywords + [p for p, _ in BASE])})"))
     own = own.withColumn("_places", F.when(F.col("_gated"), F.split("_t", base)))
     own = own.withColumn("_found", F.when(F.size("_places") > 1, F.regexp_extract_all("_t", F.lit(base), F.lit(0))))
-    of = lambda k: ", ".join(f"named_struct('label', {_sql(r.label)}, 'pattern', {_sql(f' (?:{r.pattern})(?= )')}, 'priority', {r.priority})" for r in rules if r.keyword == k)
-    table = ", ".join(f"named_struct('keyword', {_sql(' ' + k)}, 'rules', array({of(k)}))" for k in keywords)
-    # Each keyword is looked for once; only the rules of those that the text holds are tried.
-    own = own.withColumn("_rules", F.when(F.col("_gated"), F.expr(f"flatten(transform(filter(array({table}), g -> contains(_t, g.keyword)), g -> filter(g.rules, r -> regexp_like(_t, r.pattern))))")))
+    of = lambda k: ", ".join(f"named_struct('label', {_sql(r.label)}, 'pattern', {_sql(f' (?:{r.pattern})(?= )')}, 'priority', {r.priority})" for r in rules if r.keywords == k)
+    table = ", ".join(f"named_struct('keywords', array({', '.join(_sql(' ' + k) for k in gate)}), 'rules', array({of(gate)}))" for gate in gates)
+    # Each list of keywords is looked for once; only the rules of those that the text holds are tried.
+    own = own.withColumn("_rules", F.when(F.col("_gated"), F.expr(f"flatten(transform(filter(array({table}), g -> exists(g.keywords, k -> contains(_t, k))), g -> filter(g.rules, r -> regexp_like(_t, r.pattern))))")))
     # Each match as an interval of words: the words of the pieces and matches before it are its start.
     own = own.withColumn(
         "_matched",

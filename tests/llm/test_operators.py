@@ -274,6 +274,46 @@ def test_license_base_and_suppression(spark, docs, empty):
     assert licenses.scan_licenses(docs).count() == docs.count() and licenses.scan_licenses(empty).count() == 0
 
 
+def examples(pattern):
+    """Texts that the pattern matches, with every choice of its alternatives and optional parts."""
+    from re import _constants as c
+    from re import _parser
+
+    def of(parsed):
+        out = [""]
+        for op, x in parsed:
+            if op is c.LITERAL:
+                own = [chr(x)]
+            elif op is c.BRANCH:
+                own = [y for part in x[1] for y in of(part)]
+            elif op is c.SUBPATTERN:
+                own = of(x[3])
+            elif op is c.MAX_REPEAT:
+                low, high = x[0], min(x[1], max(1, x[0]))
+                own = [y * n for n in range(low, high + 1) for y in of(x[2])]
+            elif op is c.IN:
+                own = [chr(v) if k is c.LITERAL else chr(v[0]) if k is c.RANGE else "x" for k, v in x]
+            else:
+                assert op is c.ASSERT_NOT
+                continue
+            out = [a + b for a in out for b in dict.fromkeys(own)]
+        return out
+
+    return of(_parser.parse(pattern))
+
+
+def test_every_match_of_a_license_rule_holds_a_keyword():
+    for rule in licenses.signatures():
+        found = [t for t in (" " + re.sub(r"[^a-z0-9]+", " ", x) + " " for x in examples(rule.pattern)) if re.search(f" (?:{rule.pattern})(?= )", t)]
+        assert found and all(any(" " + k in t for k in rule.keywords) for t in found), rule
+
+
+def test_license_rules_of_several_keywords(spark):
+    texts = ["GNU Library General Public License, version 2", "It may not be copied.", "Do not copy", "Creative Commons Zero", "the FreeBSD license", "for noncommercial use only", "Open Data Commons Database License 1.0"]
+    got = licenses.scan_licenses(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.labels for r in got] == ["gpl,lgpl-2", "no-redistribution", "no-redistribution", "cc0", "bsd-2", "non-commercial", "odbl-1.0"]
+
+
 # --- 10: SimHash
 
 
