@@ -7,6 +7,7 @@ pair keys and merges all its occurrences, until no pair has a rank. Texts are th
 
 Defined results: a null text is empty and has no ids; ids are bound to no text length (a text without spaces is one unit);
 repeated rows give equal results; empty tables give empty results; input columns named like a result column are replaced.
+Units of equal hash and different bytes (texts can be made that way) cost time, never a wrong id.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from quillon.llm.common import pieces, utf8_of, with_fields, without
 
 #: Fixed value: the pre-token pattern of the public byte-level vocabulary.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Units that a worker remembers, about 70 bytes each; beyond that, or 16 ids a unit, it keeps the most used ones only.
+#: Units that a worker remembers, about 100 bytes each; beyond that, or 16 ids or 64 bytes a unit, it keeps the most used ones only.
 MOST_UNITS = 300_000
 #: Bytes beyond which a text is cut into parts before it is encoded.
 LONG = 4 << 20
@@ -67,6 +68,12 @@ def unit_starts(data: np.ndarray, heads: np.ndarray) -> np.ndarray:
     return np.flatnonzero(mark)
 
 
+def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Places of runs of these sizes from these starts on, one run after the other."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
+
+
 class Growing:
     """An array that values are appended to, with room to spare."""
 
@@ -84,7 +91,8 @@ class Growing:
 
 
 class Hashes:
-    """64-bit hashes of parts of a byte array by prefix sums, and a check value of each part's first bytes and length."""
+    """64-bit hashes of parts of a byte array by prefix sums, and a check value of each part's first bytes and length (up to
+    255). Equal hashes only propose that parts are equal; whoever asks compares the bytes."""
 
     STEP = np.uint64(0xD1342543DE82EF95)
     BACK = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
@@ -114,8 +122,8 @@ class Hashes:
 class Units:
     """Ids of texts, put together from remembered ids of their units.
 
-    Units are told apart by a 64-bit hash together with their length and first seven bytes. Numbers of units are found for all
-    units of some texts at once, in an open-addressing table; no unit is kept as a string.
+    Numbers of units are found by hash for all units of some texts at once, in an open-addressing table. Every unit that is
+    found is then compared with the remembered one byte by byte; where the bytes differ, the unit is encoded by itself.
     """
 
     def __init__(self, encode: Callable[[list[str]], tuple[np.ndarray, np.ndarray]], most: int = MOST_UNITS):
@@ -127,6 +135,7 @@ class Units:
     def reset(self) -> None:
         self.ids, self.starts, self.counts, self.uses = Growing(np.uint32), Growing(np.int32), Growing(np.int32), Growing(np.int32)
         self.keys, self.checks = Growing(np.uint64), Growing(np.uint64)
+        self.bytes, self.places, self.sizes = Growing(np.uint8), Growing(np.int64), Growing(np.int64)
         self.slots = np.full(1 << self.bits, -1, np.int32)
 
     def find(self, keys: np.ndarray, checks: np.ndarray) -> np.ndarray:
@@ -141,15 +150,21 @@ class Units:
             left, slot = left[going], (slot[going] + 1) & (len(self.slots) - 1)
         return out
 
-    def add(self, keys: np.ndarray, checks: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
-        """Distinct new units."""
-        number = self.keys.size + np.arange(len(keys))
-        self.keys.append(keys)
-        self.checks.append(checks)
+    def keep(self, data: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """The bytes (one after the other) and ids of more units."""
+        self.places.append(self.bytes.size + np.cumsum(sizes) - sizes)
+        self.sizes.append(sizes)
+        self.bytes.append(data)
         self.starts.append(self.ids.size + np.cumsum(counts) - counts)
         self.counts.append(counts)
         self.ids.append(ids)
-        self.uses.append(np.zeros(len(keys), np.int32))
+        self.uses.append(np.zeros(len(sizes), np.int32))
+
+    def add(self, keys: np.ndarray, checks: np.ndarray) -> None:
+        """Units to be found by their hashes; their bytes and ids are kept next."""
+        number = self.keys.size + np.arange(len(keys))
+        self.keys.append(keys)
+        self.checks.append(checks)
         if 2 * self.keys.size > len(self.slots):
             self.bits += 1
             self.slots = np.full(1 << self.bits, -1, np.int32)
@@ -163,15 +178,25 @@ class Units:
 
     def forget(self) -> None:
         """Starts anew with the units that were used most since the last time, half as many as fit at most."""
-        uses, starts, counts, ids = self.uses.room[: self.uses.size], self.starts.room, self.counts.room, self.ids.room
+        uses, counts = self.uses.room[: self.keys.size], self.counts.room
         often = np.flatnonzero(uses > 1)
         often = np.sort(often[np.argsort(-uses[often], kind="stable")[: self.most // 2]])
         keys, checks, sizes = self.keys.room[often], self.checks.room[often], counts[often].astype(np.int64)
-        ends = np.cumsum(sizes)
-        held = ids[np.repeat(starts[often] - (ends - sizes), sizes) + np.arange(int(sizes.sum()))]
+        held = self.ids.room[spread(self.starts.room[often], sizes)]
+        lengths = self.sizes.room[often]
+        data = self.bytes.room[spread(self.places.room[often], lengths)]
         self.reset()
-        if len(held) <= 8 * self.most:
-            self.add(keys, checks, held, sizes)
+        if len(held) <= 8 * self.most and len(data) <= 32 * self.most:
+            self.add(keys, checks)
+            self.keep(data, lengths, held, sizes)
+
+    def differ(self, at: np.ndarray, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Which of these parts of data are not, byte by byte, the units whose numbers they were given."""
+        sizes = ends - starts
+        out = np.flatnonzero(self.sizes.room[at] != sizes)
+        same = np.flatnonzero(self.sizes.room[at] == sizes)
+        unequal = np.flatnonzero(self.bytes.room[spread(self.places.room[at[same]], sizes[same])] != data[spread(starts[same], sizes[same])])
+        return np.union1d(out, same[np.searchsorted(np.cumsum(sizes[same]), unequal, "right")])
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of UTF-8 texts in one array, and the number of ids of each text."""
@@ -193,7 +218,7 @@ class Units:
 
     def numbered(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The same for texts that are not long."""
-        if self.keys.size > self.most or self.ids.size > 16 * self.most:
+        if self.counts.size > self.most or self.ids.size > 16 * self.most or self.bytes.size > 64 * self.most:
             self.forget()
         joined = b"".join(texts)
         data = np.frombuffer(joined, np.uint8)
@@ -213,14 +238,35 @@ class Units:
             units = [joined[a:b].decode("utf-8", "replace") for a, b in zip(starts[firsts].tolist(), ends[firsts].tolist())]
             ids, counts = self.encode(units)
             base = self.keys.size
-            self.add(keys[firsts], checks[firsts], ids, counts)
+            self.add(keys[firsts], checks[firsts])
+            lengths = (ends - starts)[firsts]
+            self.keep(data[spread(starts[firsts], lengths)], lengths, ids, counts)
             at[new[order]] = base + np.cumsum(fresh) - 1
         np.add.at(self.uses.room, at, 1)
+        odd = self.differ(at, data, starts, ends)
+        if len(odd):
+            return self.each(joined, starts, ends, at, odd, heads)
+        return self.put_together(at, starts, heads, len(data))
+
+    def put_together(self, at: np.ndarray, starts: np.ndarray, heads: np.ndarray, end: int) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that begin at heads, of units with these numbers."""
         counts = self.counts.room[at]
         marks = np.concatenate([[0], np.cumsum(counts, dtype=np.int64)])
-        out = self.ids.room[np.repeat(self.starts.room[at] - marks[:-1], counts) + np.arange(int(marks[-1]))]
+        out = self.ids.room[spread(self.starts.room[at], counts.astype(np.int64))]
         # A text's units end where the next text's begin.
-        return out, np.diff(marks[np.searchsorted(starts, np.append(heads, len(data)))])
+        return out, np.diff(marks[np.searchsorted(starts, np.append(heads, end))])
+
+    def each(self, joined: bytes, starts: np.ndarray, ends: np.ndarray, at: np.ndarray, odd: np.ndarray, heads: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Units at odd share their hash with another unit: they are encoded anew and stay without a place in the table, so all
+        units are forgotten afterwards (numbers of units and of keys must agree)."""
+        parts = [joined[a:b] for a, b in zip(starts[odd].tolist(), ends[odd].tolist())]
+        ids, counts = self.encode([x.decode("utf-8", "replace") for x in parts])
+        at = at.copy()
+        at[odd] = self.counts.size + np.arange(len(odd))
+        self.keep(np.frombuffer(b"".join(parts), np.uint8), np.fromiter(map(len, parts), np.int64, len(parts)), ids, counts)
+        out = self.put_together(at, starts, heads, len(joined))
+        self.reset()
+        return out
 
 
 class ByteBPE:

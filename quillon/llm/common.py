@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from quillon.sources.writers import scratch as shared_dir
+
 #: A word: a run of characters other than the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 #: Bytes of text that a task holds as one chunk (a document longer than that is a chunk of its own).
@@ -25,18 +25,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A new folder's name for one run's files below spark.checkpoint.dir, which driver and executors share.
-
-    Only where the session names none (as in tests) a local folder is set for it.
-    """
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-shared-"))
-        base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def shared_files(folder: str) -> tuple[pafs.FileSystem, str]:
     """The file system of a shared folder, and the folder's path there; the folder is made."""
     fs, path = pafs.FileSystem.from_uri(folder)
@@ -74,6 +62,17 @@ def with_columns(docs: DataFrame, columns: dict[str, Column]) -> DataFrame:
     return docs.select(*[F.col(f"`{c}`") for c in docs.columns if c.lower() not in taken], *[v.alias(k) for k, v in columns.items()])
 
 
+def boxed(docs: DataFrame, *columns: Column | str) -> DataFrame:
+    """These columns beside each row of docs as the one struct _row, so that no name of a column clashes with another."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), *columns)
+
+
+def unboxed(df: DataFrame, names: list[str], columns: dict[str, Column]) -> DataFrame:
+    """The columns of these names out of _row with these columns behind; those whose names clash (in any case) are replaced."""
+    taken = {c.lower() for c in columns}
+    return df.select(*[F.col(f"_row.`{c}`").alias(c) for c in names if c.lower() not in taken], *[v.alias(k) for k, v in columns.items()])
+
+
 def pieces(batch: pa.RecordBatch, column: str, limit: int = CHUNK) -> Iterator[pa.RecordBatch]:
     """A batch in slices whose values in this column sum up to about limit bytes (one row at least)."""
     sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False), dtype=np.int64)

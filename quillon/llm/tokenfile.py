@@ -17,10 +17,9 @@ an empty table gives no file and no row; the result has its own columns only.
 from __future__ import annotations
 
 import functools
-import itertools
 import os
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +28,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillon.llm.bpe import ByteBPE, Units, packed, vocabulary_path
-from quillon.llm.common import materialized, pieces, shared_dir, shared_files, utf8_of
+from quillon.llm.bpe import packed, vocabulary_path
+from quillon.llm.common import materialized, pieces, shared_dir, shared_files, texts_of
 
 BLOCK, MAGIC = 256, b"S8B1IDS\n"
 #: Ids in a word by selector (its index); the width of each is 60 // count bits. Fixed values of the coding.
@@ -38,8 +37,8 @@ COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
 #: Ids read and unpacked at a time.
 READ_IDS = 1 << 19
-#: Units that a worker remembers: files are written by jobs of their own, and most of their time goes into new units.
-MOST_UNITS = 1_500_000
+#: Texts that are given to the tokenizers library at once.
+BATCH = 64
 #: Widths of ids of up to 16 bits.
 SMALL_WIDTHS = np.maximum(1, np.frexp(np.arange(1 << 16, dtype=np.float64))[1]).astype(np.uint8)
 
@@ -207,40 +206,26 @@ def read_file(source) -> Iterator[tuple[list, np.ndarray, np.ndarray]]:
         i = j
 
 
-def library_encoder(path: str) -> Callable[[list[str]], tuple[np.ndarray, np.ndarray]]:
-    """Ids of units by the tokenizers library. Units that start with a space and end in none are encoded joined: the ids'
-    byte lengths tell where each ends."""
+@functools.cache
+def library_tokenizer(path: str):
+    """The tokenizers library's encoder, without truncation and padding, one a Python worker."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer
 
     tokenizer = Tokenizer.from_file(path)
     tokenizer.no_truncation()
     tokenizer.no_padding()
-    sizes = ByteBPE(path).token_sizes
-
-    def encode(units: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        joins = [x[0] == " " and not x[-1].isspace() for x in units]
-        order = np.argsort(~np.array(joins), kind="stable")
-        inner = [units[i] for i in order[: sum(joins)]]
-        texts = ["".join(inner[i : i + 200]) for i in range(0, len(inner), 200)] + [units[i] for i in order[len(inner) :]]
-        lists = [x.ids for x in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-        ids = np.fromiter(itertools.chain.from_iterable(lists), np.int64)
-        unit_ends = np.cumsum([len(units[i].encode()) for i in order])
-        marks = np.searchsorted(np.cumsum(sizes[ids]), unit_ends) + 1
-        counts = np.empty(len(units), np.int64)
-        counts[order] = np.diff(np.concatenate([[0], marks]))
-        starts = np.empty(len(units), np.int64)
-        starts[order] = marks - counts[order]
-        ends = np.cumsum(counts)
-        return ids[np.repeat(starts - (ends - counts), counts) + np.arange(len(ids))], counts
-
-    return encode
+    return tokenizer
 
 
-@functools.cache
-def library_units(path: str) -> Units:
-    """The units that a Python worker has met in all its tasks."""
-    return Units(library_encoder(path), MOST_UNITS)
+def library_ids(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids of whole texts by the tokenizers library in one array, and the number of ids of each text."""
+    found, counts = [], np.zeros(len(texts), np.int64)
+    for i in range(0, len(texts), BATCH):
+        for j, x in enumerate(library_tokenizer(path).encode_batch_fast(texts[i : i + BATCH], add_special_tokens=False), i):
+            found.append(np.array(x.ids, np.uint32))
+            counts[j] = len(found[-1])
+    return np.concatenate([*found, np.empty(0, np.uint32)]), counts
 
 
 def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = 2) -> tuple[str, DataFrame]:
@@ -251,14 +236,13 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = 2) -> t
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, writer = TaskContext.get().partitionId(), None
-        units = library_units(path)
         for batch in batches:
             for piece in pieces(batch, "text"):
                 if writer is None:
                     fs, place = shared_files(folder)
                     name = f"{place}/part-{part:06d}-{uuid.uuid4().hex}.s8b"
                     writer = Writer(fs.open_output_stream(name))
-                ids, counts = units(utf8_of(piece))
+                ids, counts = library_ids(path, texts_of(piece))
                 ends = np.cumsum(counts)
                 writer.add(piece.column("doc_id").to_pylist(), np.insert(ids, ends, end_id), counts + 1)
         if writer:
