@@ -62,7 +62,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0).select("query_id", "rank", "vec_id", "score")
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,10 +79,10 @@ _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 ORACLES = {
     "op3_top_k": """
-        with v as (select distinct vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
+        with v as (select row_number() over () as k, vec_id, list_transform(embedding, lambda x: floor(256 * cast(x as double))) as e from embeddings
             where vec_id is not null and len(embedding) > 0 and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-        s as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score from v q join v c on q.vec_id <> c.vec_id where q.vec_id % 50 = 0),
-        r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+        s as (select q.k, q.vec_id as query_id, c.vec_id, cast(list_dot_product(q.e, c.e) as bigint) as score from v q join v c on q.k <> c.k where q.vec_id % 50 = 0),
+        r as (select *, row_number() over (partition by k order by score desc, vec_id) as rank from s)
         select query_id, cast(rank as integer) as rank, vec_id, score from r where rank <= 5""",
     "op6_warc": """
         with p as (select page_id, octet_length(encode(coalesce(html, ''))) as payload_bytes, sha256(coalesce(html, '')) as k, sha1(coalesce(html, '')) as hex from pages),
