@@ -1,27 +1,30 @@
 """Quality rules as a short-circuit cascade, in DataFrame functions only.
 
-Each rule is a Boolean expression that is true when a document breaks it. On a bounded sample every rule is run alone;
-its time and the share it rejects give a rejection per cost, and the rules are chained in descending order of that figure
-in one nested conditional, so that a later rule is evaluated only for rows that all earlier ones let through. The order
-changes the work, never the verdict.
+Each rule is a Boolean expression that is true when a document breaks it. On a bounded sample the share that every rule rejects
+and its mean cost are estimated; the rules are chained in descending order of rejection per cost in one nested conditional, so
+that a later rule is evaluated only for rows that all earlier ones let through. The order changes the work, never the verdict.
+
+A rule's cost is the work that it states for a row (what it looks at: features, characters, lines), averaged over the sample, in
+nanoseconds of that kind of work as once measured. Unlike clock times of short jobs this gives one order in every run.
 
 Defined results: a null or empty text has no words (all counts 0) and fails the base rule; repeated rows are judged one by
 one; a rule whose value is null does not reject; empty tables give empty results; input columns named like a result column
-are replaced.
+are replaced, all others stay as they are. Repeated windows are found by hash and then compared word by word, so texts of any
+length get exact counts.
 """
 
 from __future__ import annotations
 
-import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import WORD, with_columns
+from quillon.llm.common import WORD, boxed, unboxed
 
-#: Rows of the sample from which costs and selectivities are estimated (a bound, whatever the table's size).
-SAMPLE_ROWS = 1000
+#: Rows of the sample from which costs and selectivities are estimated, the share of rows it is drawn from, and the bytes beyond
+#: which a text stays out of it. All bounds hold whatever the table's size; only as many partitions are read as fill it.
+SAMPLE_ROWS, SAMPLE_SHARE, SAMPLE_BYTES, SEED = 1000, 0.1, 1 << 16, 7
 #: Share of rejections that a rule is taken to have at least, so that cheap rules without a hit in the sample stay ordered.
 LEAST_REJECTED = 1e-4
 
@@ -30,32 +33,35 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 @dataclass(frozen=True)
 class Rule:
-    """name, and an SQL expression over text and the base columns that is true for a document to reject."""
+    """name, an SQL expression over text and the base columns that is true for a document to reject, and one for its cost in
+    nanoseconds a row."""
 
     name: str
     rejects: str
+    cost: str = "20"
 
 
 #: Production rules. They look at shape only (never at language), with bounds far outside of prose.
 RULES = (
     Rule("mean_word_length", "word_chars > 40 * n_words"),
     Rule("symbols", "10 * n_symbols > 3 * word_chars"),
-    Rule("duplicate_lines", "n_dup_lines >= 5 and 10 * n_dup_lines > 9 * size(split(text, '\\n'))"),
+    Rule("duplicate_lines", "n_dup_lines >= 5 and 10 * n_dup_lines > 9 * size(split(text, '\\n'))", "20 + if(n_dup_lines >= 5, 5 * length(text), 0)"),
     Rule("repeated_words", "10 * n_repeat_words > 4 * n_words"),
-    Rule("few_letters", "2 * regexp_count(text, '\\\\p{L}') < word_chars"),
-    Rule("no_letter_words", "2 * regexp_count(text, '[^\\\\x20\\\\x09-\\\\x0D\\\\p{L}]*\\\\p{L}[^\\\\x20\\\\x09-\\\\x0D]*') < n_words"),
-    Rule("ellipsis_lines", "n_words >= 50 and 2 * size(filter(split(text, '\\n'), x -> endswith(rtrim(x), '...') or endswith(rtrim(x), '…'))) > size(split(text, '\\n'))"),
-    Rule("bullet_lines", "n_words >= 50 and 10 * size(filter(split(text, '\\n'), x -> substring(ltrim(x), 1, 1) in ('-', '*', '•'))) > 9 * size(split(text, '\\n'))"),
-)
+    Rule("few_letters", "2 * regexp_count(text, '\\\\p{L}') < word_chars", "30 * length(text)"),
+    Rule("no_letter_words", "2 * regexp_count(text, '[^\\\\x20\\\\x09-\\\\x0D\\\\p{L}]*\\\\p{L}[^\\\\x20\\\\x09-\\\\x0D]*') < n_words", "15 * length(text)"),
+    Rule("ellipsis_lines", "n_words >= 50 and 2 * size(filter(split(text, '\\n'), x -> endswith(rtrim(x), '...') or endswith(rtrim(x), '…'))) > size(split(text, '\\n'))", "20 + if(n_words >= 50, 12 * length(text), 0)"),
+    Rule("bullet_lines", "n_words >= 50 and 10 * size(filter(split(text, '\\n'), x -> substring(ltrim(x), 1, 1) in ('-', '*', '•'))) > 9 * size(split(text, '\\n'))", "20 + if(n_words >= 50, 11 * length(text), 0)"),
+)
 
 
-def base_features(docs: DataFrame) -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words (all long).
+def with_features(own: DataFrame) -> DataFrame:
+    """own (columns _row and text) with the base columns.
 
-    Repeats: every 3-word window becomes one long, its hash above and its position below; after sorting, equal windows
-    stand beside each other. That is one sort for each document, whatever its length.
+    Repeats: every 3-word window becomes one long, the upper bits of its hash above and its position below; after sorting,
+    windows that may be equal stand beside each other. Only these are then sorted by their words, which tells the equal ones.
+    That is one sort of longs for each document, and one of the words of its repeats, whatever its length.
     """
-    own = docs.withColumn("_words", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)))
+    own = own.withColumn("_words", F.regexp_extract_all(F.coalesce("text", F.lit("")), F.lit(WORD), F.lit(0)))
     own = own.withColumn("_n", F.size("_words")).withColumn("_low", F.expr("shiftleft(1L, length(bin(_n)))"))
     own = own.withColumn(
         "_windows",
@@ -63,50 +69,55 @@ def base_features(docs: DataFrame) -> DataFrame:
             i -> (xxhash64(get(_words, i), get(_words, i + 1), get(_words, i + 2)) & -_low) | cast(i as bigint))) end"""),
     )
     own = own.withColumn(
-        "_twice",
+        "_like",
         F.expr("""sort_array(transform(filter(_windows, (x, i) ->
             ifnull((get(_windows, i - 1) & -_low) = (x & -_low), false) or ifnull((get(_windows, i + 1) & -_low) = (x & -_low), false)),
-            x -> x & (_low - 1L)))"""),
+            x -> named_struct('w', concat_ws(' ', get(_words, cast(x & (_low - 1L) as int)), get(_words, cast(x & (_low - 1L) as int) + 1), get(_words, cast(x & (_low - 1L) as int) + 2)),
+                'p', x & (_low - 1L))))"""),
+    )
+    own = own.withColumn(
+        "_twice",
+        F.expr("""sort_array(transform(filter(_like, (x, i) -> ifnull(get(_like, i - 1).w = x.w, false) or ifnull(get(_like, i + 1).w = x.w, false)), x -> x.p))"""),
     )
     text = F.coalesce("text", F.lit(""))
     own = own.withColumn("_lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(WORD)))
-    out = with_columns(
-        own,
-        {
-            "n_words": F.col("_n").cast("long"),
-            "word_chars": F.length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long"),
-            "n_symbols": (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": F.expr(
-                "aggregate(_twice, named_struct('last', -3L, 'n', 0L), (a, x) -> named_struct('last', x, 'n', a.n + least(3L, x - a.last)), a -> a.n)"
-            ),
-        },
+    return own.select(
+        "_row",
+        "text",
+        F.col("_n").cast("long").alias("n_words"),
+        F.length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
+        (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),
+        (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
+        F.expr("aggregate(_twice, named_struct('last', -3L, 'n', 0L), (a, x) -> named_struct('last', x, 'n', a.n + least(3L, x - a.last)), a -> a.n)").alias("n_repeat_words"),
     )
-    return out.drop("_words", "_n", "_low", "_windows", "_twice", "_lines")
+
+
+def base_features(docs: DataFrame) -> DataFrame:
+    """docs with n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words (all long)."""
+    return unboxed(with_features(boxed(docs, "text")), docs.columns, {x: F.col(x) for x in BASE})
 
 
 def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
-def order_rules(featured: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
-    """The rules by descending rejection per cost, each with the share it rejects and its seconds a row on the sample.
+def sample_of(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
+    """A seeded sample of texts as a table of its own; partitions are read one after the other until it is full, without a shuffle."""
+    some = docs.select("text").filter(F.octet_length("text") <= SAMPLE_BYTES).sample(SAMPLE_SHARE, SEED).limit(rows).collect()
+    some = some or docs.select("text").filter(F.octet_length("text") <= SAMPLE_BYTES).limit(rows).collect()
+    return docs.sparkSession.createDataFrame(some, "text string")
+
+
+def order_rules(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
+    """The rules by descending rejection per cost, each with the share it rejects and its cost a row on the sample.
 
-    The sample is one bounded read; each rule then runs alone on it. Rules of equal figures keep their given order.
+    One job over the sample gives all figures. Rules of equal figures keep their given order.
     """
-    sample = featured.limit(sample_rows).cache()
-    try:
-        rows = sample.count()
-        if not rows:
-            return [(r, 0.0, 0.0) for r in rules]
-        figures = []
-        for rule in rules:
-            began = time.perf_counter()
-            (hits,) = sample.agg(F.sum(F.coalesce(F.expr(rule.rejects), F.lit(False)).cast("int"))).first()
-            figures.append((rule, hits / rows, (time.perf_counter() - began) / rows))
-        return sorted(figures, key=lambda x: -max(x[1], LEAST_REJECTED) / x[2])
-    finally:
-        sample.unpersist()
+    featured = with_features(boxed(sample_of(docs, sample_rows), "text"))
+    columns = [F.avg(x) for r in rules for x in (F.coalesce(F.expr(r.rejects), F.lit(False)).cast("int"), F.expr(r.cost).cast("double"))]
+    got = [x or 0.0 for x in featured.agg(*columns).first()] if rules else []
+    figures = list(zip(rules, got[::2], got[1::2]))
+    return sorted(figures, key=lambda x: -max(x[1], LEAST_REJECTED) / max(x[2], 1.0))
 
 
 def cascade(rules: list[Rule]) -> Column:
@@ -119,7 +130,7 @@ def cascade(rules: list[Rule]) -> Column:
 
 def quality_rules(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """docs with the base features, base_failed, kept and failed_rule (the rule that rejected it, `base` for the base rule)."""
-    ordered = [r for r, _, _ in order_rules(base_features(docs), rules, sample_rows)]
-    out = base_features(docs).withColumn("base_failed", base_failed())
-    out = out.withColumn("failed_rule", F.when(F.col("base_failed"), F.lit("base")).otherwise(cascade(ordered)))
-    return with_columns(out, {"kept": F.col("failed_rule").isNull()})
+    ordered = [r for r, _, _ in order_rules(docs, rules, sample_rows)]
+    out = with_features(boxed(docs, "text")).withColumn("_failed", base_failed())
+    out = out.withColumn("_rule", F.when(F.col("_failed"), F.lit("base")).otherwise(cascade(ordered)))
+    return unboxed(out, docs.columns, {x: F.col(x) for x in BASE} | {"base_failed": F.col("_failed"), "failed_rule": F.col("_rule"), "kept": F.col("_rule").isNull()})
