@@ -80,45 +80,67 @@ def fingerprints(texts: list[bytes], shingle: int = SHINGLE, seed: int = SEED) -
 
 
 def planes_of(values: np.ndarray) -> np.ndarray:
-    """64 vertical bit planes: word w of plane p holds bit p of values 64 w to 64 w + 63."""
-    lanes = -(-len(values) // 64) * 64
-    bits = np.zeros((lanes, 64), np.uint8)
-    bits[: len(values)] = np.unpackbits(values.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    """Vertical bit planes of values (64-bit words, or rows of them): word w of plane p holds bit p of values 64 w to 64 w + 63."""
+    own = bits_of(values)
+    bits = np.zeros((-(-len(values) // 64) * 64, own.shape[1]), np.uint8)
+    bits[: len(values)] = own
     return np.ascontiguousarray(np.packbits(bits.T, axis=1, bitorder="little")).view(np.uint64)
 
 
 class Counter:
-    """Carry-save counters of many distances: two bits and a sticky overflow, side by side in words."""
+    """Carry-save counters of many distances, side by side in words: as many bit planes as the radius needs, preset so that a
+    distance beyond the radius carries out of the last one, and a plane that keeps this overflow."""
 
-    def __init__(self, shape: tuple[int, ...]):
-        self.one, self.two, self.over = (np.zeros(shape, np.uint64) for _ in range(3))
+    def __init__(self, shape: tuple[int, ...], radius: int = RADIUS):
+        bits = radius.bit_length()
+        preset = (1 << bits) - 1 - radius
+        self.planes = [np.full(shape, FULL if preset >> b & 1 else 0, np.uint64) for b in range(bits)]
+        self.over = np.zeros(shape, np.uint64)
 
     def add(self, x: np.ndarray) -> None:
-        carry = self.one & x
-        self.one ^= x
-        self.over |= self.two & carry
-        self.two ^= carry
+        for plane in self.planes:
+            carry = plane & x
+            plane ^= x
+            x = carry
+        self.over |= x
 
+    def keep(self, words: np.ndarray) -> None:
+        self.planes, self.over = [x[:, words] for x in self.planes], self.over[:, words]
 
-def within(planes: np.ndarray, queries: np.ndarray, step: int = 8) -> np.ndarray:
-    """Bit matrix (queries, words): which of the values in planes differ from each query in at most three bits."""
-    bits = np.unpackbits(queries.astype("<u8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
+
+def bits_of(values: np.ndarray) -> np.ndarray:
+    """(values, bits) as 0 and 1; values are 64-bit words or rows of them."""
+    rows = np.ascontiguousarray(values.reshape(len(values), -1), "<u8")
+    return np.unpackbits(rows.view(np.uint8).reshape(len(values), -1), axis=1, bitorder="little")
+
+
+def within(planes: np.ndarray, queries: np.ndarray, step: int = 8, radius: int = RADIUS) -> np.ndarray:
+    """Bit matrix (queries, words): which of the values in planes differ from each query in at most radius bits."""
+    bits = bits_of(queries).astype(bool)
     out = np.zeros((len(queries), planes.shape[1]), np.uint64)
     alive = np.arange(planes.shape[1])
-    count = Counter(out.shape)
-    for p in range(0, 64, step):
+    count = Counter(out.shape, radius)
+    for p in range(0, len(planes), step):
         for q in range(p, p + step):
             count.add(planes[q][alive][None, :] ^ np.where(bits[:, q], FULL, np.uint64(0))[:, None])
         left = ~(count.over == FULL).all(axis=0)
         if not left.all():
             alive = alive[left]
-            count.one, count.two, count.over = count.one[:, left], count.two[:, left], count.over[:, left]
+            count.keep(left)
             if not len(alive):
                 return out
     out[:, alive] = ~count.over
     return out
 
 
+def near_of_pairs(a: np.ndarray, b: np.ndarray, radius: int = RADIUS) -> np.ndarray:
+    """For pairs of values (words, or rows of words) whether they differ in at most radius bits; 64 pairs are counted in a word."""
+    count = Counter((-(-len(a) // 64),), radius)
+    for x in planes_of(a ^ b):
+        count.add(x)
+    return np.unpackbits((~count.over).view(np.uint8), bitorder="little")[: len(a)].astype(bool)
+
+
 def forest_of_group(values: np.ndarray, block: int = 256) -> np.ndarray:
     """For each value of a group the index of the first value that it is connected to (itself included)."""
     planes, n = planes_of(values), len(values)
@@ -152,10 +174,7 @@ def forest_of_small(values: np.ndarray, group: np.ndarray, size: np.ndarray) ->
         a, b = a[same], b[same]
         if not len(a):
             continue
-        count = Counter((-(-len(a) // 64),))
-        for x in planes_of(values[a] ^ values[b]):
-            count.add(x)
-        near = np.flatnonzero(np.unpackbits((~count.over).view(np.uint8), bitorder="little")[: len(a)])
+        near = np.flatnonzero(near_of_pairs(values[a], values[b]))
         pairs.append((a[near], b[near]))
     if pairs:
         a, b = (np.concatenate(x) for x in zip(*pairs))
@@ -227,10 +246,3 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     least = grouped.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     named = grouped.join(least, "root").select("fp", "component_id")
     return marked.join(named, "fp").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def drop_near_duplicates(docs: DataFrame) -> DataFrame:
-    """docs with one document of each component, that of the smallest doc_id; documents without doc_id all stay."""
-    keepers = near_duplicates(docs).filter("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.filter("doc_id is not null").join(keepers, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter("doc_id is null")).select(*[f"`{c}`" for c in docs.columns])

@@ -3,7 +3,30 @@ import collections
 import corpus_pipeline
 from quillon.llm import mixing
 
-from .test_operators import WORD, fingerprint, library, removed, smallest
+from .test_operators import WORD, library, removed, same
+
+
+def near_kept(rows):
+    """What stays of (doc_id, text): of each group of texts that are linked at similarity 0.8 one row of the smallest doc_id."""
+    sets = []
+    for _, t in rows:
+        w = WORD.findall((t or "").translate({i: i + 32 for i in range(65, 91)}))
+        sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
+    own = [k for k, (i, _) in enumerate(rows) if i is not None]
+    label = {k: k for k in own}
+    while True:
+        new = {a: min(label[b] for b in own if sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])) for a in own}
+        if new == label:
+            break
+        label = new
+    least = {}
+    for k in own:
+        least[label[k]] = min(least.get(label[k], rows[k][0]), rows[k][0])
+    kept = {}
+    for k in own:
+        if rows[k][0] == least[label[k]]:
+            kept.setdefault(label[k], rows[k])
+    return list(kept.values()) + [r for r in rows if r[0] is None]
 
 
 def test_each_stage_on_its_own_input(spark, rows):
@@ -12,12 +35,7 @@ def test_each_stage_on_its_own_input(spark, rows):
     kept = stages["language_id"](spark, docs, "").collect()
     assert {r.doc_id for r in kept if r.doc_id is not None} == {i for i, t, *_ in rows if i is not None and any(c.isalpha() for c in t or "")}
     one = stages["simhash_near_dedup"](spark, docs, "").collect()
-    label = smallest([fingerprint(t) for _, t, *_ in rows])
-    least = {}
-    for k, (i, *_) in zip(label, rows):
-        if i is not None:
-            least[k] = min(i, least.get(k, i))
-    assert sorted(r.doc_id for r in one if r.doc_id is not None) == sorted(set(least.values()))
+    same([(r.doc_id, r.text) for r in one], near_kept([(i, t) for i, t, *_ in rows]))
     cut = stages["substring_dedup"](spark, docs, "")
     assert cut.columns == docs.columns
     texts = {i: t for i, t, *_ in rows}
@@ -72,3 +90,25 @@ def test_large_candidate_components_meet_in_tiles(spark, monkeypatch):
     base = [f"w{k}" for k in range(300)]
     out = [(i, " ".join(base[:i] + ["changed"] + base[i + 1 :]), "en", "a", 0) for i in range(40)]
     assert [r.doc_id for r in neardup.drop_near_duplicates(spark.createDataFrame(out, SCHEMA)).collect()] == [0]
+
+
+def test_rows_of_one_id_with_unrelated_texts_all_stay(spark):
+    from pyspark.sql import functions as F
+
+    from .conftest import SCHEMA
+
+    words = [" ".join(f"{x}{k}" for k in range(60)) for x in "abc"]
+    out = [(7, words[0]), (7, words[1]), (7, words[1]), (7, None), (8, words[2]), (9, words[2].upper()), (None, words[0]), (None, words[0]), (10, "")]
+    docs = spark.createDataFrame([(i, t, None, None, None) for i, t in out], SCHEMA).withColumns({x: F.lit("clash") for x in ("node", "tie", "_row", "root", "first")})
+    for stage in ("simhash_near_dedup",):
+        got = dict(corpus_pipeline.STAGES)[stage](spark, docs, "")
+        assert got.columns == docs.columns
+        same([(r.doc_id, r.text) for r in got.collect()], [(7, words[0]), (7, words[1]), (7, None), (8, words[2]), (None, words[0]), (None, words[0])])
+
+
+def test_stages_on_empty_tables_and_clashing_columns(spark, docs, empty):
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, empty, "").count() == 0
+        out = stage(spark, docs, "")
+        if name != "bpe":
+            assert out.columns == docs.columns and {r._t for r in out.select("_t").distinct().collect()} == {"clash"}
