@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quillon.llm import bpe, langid, licenses, mixing, quality, simhash, substring, tokenfile, topk, warc
 
@@ -115,8 +116,6 @@ def best_rows(data, scale=256, k=5):
 
 
 def test_top_k_equals_brute_force(spark):
-    from pyspark.sql import functions as F
-
     asked = F.col("vec_id") % 50 == 0
     rng = np.random.default_rng(3)
     data = [(i, rng.normal(0, 1, 12).astype(np.float32).tolist()) for i in range(700)] + [(1000 + i, [0.5] * 12) for i in range(300)]
@@ -130,8 +129,6 @@ def test_top_k_equals_brute_force(spark):
 
 
 def test_top_k_of_large_components(spark):
-    from pyspark.sql import functions as F
-
     data = [(0, [1.0, 1.0]), (1, [1.8e7, 0.0]), (2, [1e7, 1e7]), (3, [-1e12, 1.0]), (50, [3e15, 3e15]), (100, [1e7, 1e-3])]
     df = spark.createDataFrame(data, "vec_id long, embedding array<double>")
     want = list(best_rows(data))
@@ -302,8 +299,6 @@ def test_quality_of_a_very_long_text(spark):
 
 def test_repeated_windows_of_equal_hash_bits_are_told_apart(spark):
     """Windows whose hashes agree in the upper bits that are left beside the position; their words decide."""
-    from pyspark.sql import functions as F
-
     words = [f"w{i}" for i in range(300)]
     hashed = spark.range(300).select(F.xxhash64(F.concat(F.lit("w"), "id"), F.lit("a"), F.lit("b")).alias("h"))
     assert hashed.distinct().count() == 300
@@ -368,6 +363,48 @@ def test_license_rules_of_several_keywords(spark):
     assert [r.labels for r in got] == ["gpl,lgpl-2", "no-redistribution", "no-redistribution", "cc0", "bsd-2", "non-commercial", "odbl-1.0"]
 
 
+def scanned(text):
+    """The scan restated: words, base places and labels, and the detections that no other one suppresses, by comparing all pairs."""
+    low = (text or "").translate({i: i + 32 for i in range(65, 91)})
+    words = re.findall("[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    flat = "".join(f" {w}" for w in words) + " "
+    places = sorted((i, label) for phrase, label in licenses.BASE for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split())
+    hits = []
+    for rule in licenses.signatures():
+        for m in re.finditer(f" (?:{rule.pattern})(?= )", flat):
+            start = flat[: m.start()].count(" ")
+            hits.append((start, start + m[0].count(" "), rule.priority, rule.label))
+    beats = lambda b, a: b[0] <= a[0] and b[1] >= a[1] and (b[2] > a[2] or (b[2] == a[2] and b[1] - b[0] > a[1] - a[0]))
+    kept = [a for a in hits if not any(beats(b, a) for b in hits)]
+    base = sorted({x for _, x in places})
+    labels = sorted({*base, *(h[3] for h in kept)})
+    at = [i for i, _ in places]
+    score = max(0.5 * bool(base), max((h[2] for h in kept), default=0) / 5)
+    return len(words), len(places), min(at, default=None), max(at, default=None), ",".join(base), ",".join(labels), score, sorted((h[3], h[0], h[1] - h[0]) for h in kept)
+
+
+def test_license_scan_equals_brute_force(spark, docs, rows):
+    rng = np.random.default_rng(12)
+    rules = licenses.signatures()
+    found = [x for r in rules[::9] for x in examples(r.pattern)[:2]]
+    texts = [" ".join(rng.choice(found, 6)) + rng.choice(["", " all rights reserved", " filler cc by "]) for _ in range(60)]
+    texts += ["GNU Lesser General Public License, version 2.1 or later", "MIT License. " * 5 + "licensed under the MIT license", "Ünïcödé cc by ÄÖ", "cc by cc by", None, ""]
+    asked = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for df, want in ((asked, list(enumerate(texts))), (docs, [r[:2] for r in rows])):
+        got = licenses.scan_licenses(df).collect()
+        same([(r.doc_id, r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, round(r.score, 6), sorted((h.label, h.first_word, h.words) for h in r.hits)) for r in got], [(i, *scanned(t)) for i, t in want])
+    assert {r["_t"] for r in licenses.scan_licenses(docs).select("_t").collect()} == {"clash"}
+
+
+def test_many_matches_of_one_text_take_no_square_of_time(spark):
+    import time
+
+    df = spark.createDataFrame([(1, "the mit license and " * 60_000)], "doc_id long, text string")
+    began = time.time()
+    got = licenses.scan_licenses(df).select("labels", F.size("hits")).first()
+    assert got[0] == "mit" and got[1] == 60_000 and time.time() - began < 60
+
+
 # --- 10: SimHash
 
 
