@@ -53,14 +53,14 @@ FAMILIES = (
     ("unlicense", "unlicense", r"unlicense", ()),
     ("zlib", "zlib", r"zlib(?: libpng)?", ()),
     ("isc", "isc", r"isc", ()),
-    ("mit", "mit", r"mit", ()),
+    ("mit", ("mit licen", "under mit", "under the mit", "terms of mit", "terms of the mit"), r"mit", ()),
     ("x11", "x11", r"x11", ()),
     ("ncsa", "ncsa", r"(?:university of illinois )?ncsa(?: open source)?", ()),
     ("bsd-2", ("bsd", "freebsd"), r"(?:(?:2|two) clause bsd|bsd (?:2|two) clause|simplified bsd|freebsd)", ()),
     ("bsd-3", "bsd", r"(?:(?:3|three) clause bsd|bsd (?:3|three) clause|new bsd|modified bsd)", ()),
     ("bsd-4", "bsd", r"(?:(?:4|four) clause bsd|bsd (?:4|four) clause|original bsd)", ()),
     ("bsd", "bsd", r"bsd", ()),
-    ("wtfpl", "what the", r"do what the \S+ you want to public", ("1", "2")),
+    ("wtfpl", "do what the", r"do what the \S+ you want to public", ("1", "2")),
     ("ecl", "educational community", r"educational community", ("1 0", "2 0")),
     ("upl", "universal permissive", r"universal permissive", ("1 0",)),
     ("mulan", "mulan", r"mulan (?:psl|permissive software)", ("1", "2")),
@@ -171,7 +171,7 @@ SENTENCES = (
     ("w3c", "w3c", r"w3c software(?: and document)?(?: notice and)? licen[cs]e"),
     ("w3c", "w3c", r"w3c document licen[cs]e"),
     ("ntp", "ntp", r"ntp licen[cs]e"),
-    ("vim", "vim", r"vim licen[cs]e"),
+    ("vim", "vim licen", r"vim licen[cs]e"),
     ("tcl", "tcl", r"tcl(?: tk)? licen[cs]e"),
     ("sgi-b", "sgi free", r"sgi free software licen[cs]e b(?: version [12] [01])?"),
     ("info-zip", "info zip", r"info zip licen[cs]e"),
@@ -261,7 +261,7 @@ NOTICES = (
     ("todos-derechos", "todos los", r"todos los derechos reservados"),
     ("permission-notice", "permission", r"permission is hereby granted free of charge to any person"),
     ("redistribution-notice", "redistribution", r"redistribution and use in source and binary forms"),
-    ("warranty-disclaimer", "as is", r"(?:is|are) provided as is(?: without warranty of any kind)?"),
+    ("warranty-disclaimer", "provided as is", r"(?:is|are) provided as is(?: without warranty of any kind)?"),
     ("warranty-disclaimer", "implied warranties", r"implied warranties of merchantability(?: and fitness for a particular purpose)?"),
     ("terms-of-use", "terms", r"(?:subject to|under)(?: the)? terms (?:of use|of service|and conditions)"),
     ("terms-of-use", "by using this", r"by using this (?:site|website|service|software) you (?:agree|accept|consent)"),
@@ -335,12 +335,15 @@ def _sql(s: str) -> str:
     return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def by_first_letter(words: list[str]) -> str:
-    """An alternation of these words that tries only those of one first letter at a place."""
+def by_letters(words: list[str]) -> str:
+    """An alternation that matches where one of these words begins, and tries at a place only those of the letters met there."""
+    if "" in words:
+        return ""
     groups: dict[str, list[str]] = {}
     for word in sorted(set(words)):
         groups.setdefault(word[0], []).append(word[1:])
-    return "|".join(f"{first}(?:{'|'.join(rest)})" for first, rest in groups.items())
+    each = [first + by_letters(rest) for first, rest in groups.items()]
+    return each[0] if len(each) == 1 else f"(?:{'|'.join(each)})"
 
 
 def word_text(text: Column) -> Column:
@@ -362,7 +365,7 @@ def scan_licenses(docs: DataFrame) -> DataFrame:
     keywords = sorted({k for gate in gates for k in gate})
     base = " (?:" + "|".join(p for p, _ in BASE) + ")(?= )"
     own = boxed(docs, word_text(F.col("text")).alias("_t")).withColumn("_words", F.expr(f"cast({spaces('_t')} - 1 as bigint)"))
-    own = own.withColumn("_gated", F.col("_t").rlike(f" (?:{by_first_letter(keywords + [p for p, _ in BASE])})"))
+    own = own.withColumn("_gated", F.col("_t").rlike(" " + by_letters(keywords + [p for p, _ in BASE])))
     own = own.withColumn("_places", F.when(F.col("_gated"), F.split("_t", base)))
     own = own.withColumn("_found", F.when(F.size("_places") > 1, F.regexp_extract_all("_t", F.lit(base), F.lit(0))))
     of = lambda k: ", ".join(f"named_struct('label', {_sql(r.label)}, 'pattern', {_sql(f' (?:{r.pattern})(?= )')}, 'priority', {r.priority})" for r in rules if r.keywords == k)
