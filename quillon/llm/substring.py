@@ -7,20 +7,21 @@ Blocks. Comparing every document with all text is out of reach, so text is cut b
 least hash is its anchor (the leftmost of equal ones), and a run of windows with one anchor is a piece. Equal windows have
 equal anchors, so the reference block of an anchor's hash holds every piece that a window could be copied from.
 
-Parsing. (1) Pieces go to their blocks as two hashes, of the anchor and of the whole piece. A piece that equals one of a
-document with smaller doc_id as a whole is one factor and settled; a piece whose anchor no other document has is all literals
-and settled too. (2) Only the rest, pieces that share an anchor but not all words (edges of passages, edited places), go
-to their blocks with the codes of their words. A block indexes all its pieces by their windows' hashes, and each piece is
-factored greedily: at a place with a source in a smaller document the factor is extended word by word as far as the source
-agrees, else one literal passes. A factor of WINDOW words or more is a duplicate span. Windows that start inside a factor and
-end behind it would escape the greedy parse; they are looked up at every factor's end.
-
-A block's size is fixed by the number of blocks, which follows the text. Copies never meet in numbers: a chunk sends each piece
-once, with its smallest document, and settles its later copies by itself.
+Parsing. (1) Pieces go to their blocks as hashes only, which tells the anchors that more than one document has. Pieces of all
+other anchors are literals. (2) Pieces of shared anchors go to their blocks with the codes of their words. A block indexes all its
+pieces by their windows' hashes, and each piece is factored greedily: at a place with a source in a smaller document the factor is
+extended word by word as far as the source agrees, else one literal passes. A factor of WINDOW words or more is a duplicate span.
+Windows that start inside a factor and end behind it would escape the greedy parse; they are looked up at every factor's end.
+Hashes only propose sources; every word of a factor is compared, as its 64-bit code.
+
+A block's size is fixed by the number of blocks, which follows the text. Hot anchors (a phrase in many documents, with other words
+around it in each) are split: their pieces are dealt window by window, by the hash of the window's words, so that equal windows
+still meet. Copies never meet in numbers: a chunk of documents sends each piece or window once, with its smallest document, and
+settles its later copies by itself, comparing their words.
 
 Defined results: a null text has no words; a document shorter than a window loses none; rows with a null doc_id come after all
 others and do not remove each other's words; rows of equal doc_id do not remove each other's words; empty tables give empty
-results; input columns named like a result column are replaced.
+results; input columns named like a result column are replaced, all others stay as they are.
 """
 
 from __future__ import annotations
@@ -36,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from quillon.llm.bpe import spread
 from quillon.llm.common import materialized, pieces, utf8_of, with_fields, without
 
 WINDOW, GRAM = 13, 5
@@ -44,13 +46,17 @@ BLOCK_BYTES, GROUP_BYTES, CUT_BYTES = 12 << 20, 4 << 20, 2 << 20
 #: Distinct words whose codes a task remembers.
 MOST_WORDS = 100_000
 NO_ID = np.iinfo(np.int64).max
+#: Names of the columns that rows carry on the way.
+TAG, GROUP = "\x01tag", "\x01grp"
 STEP = np.uint64(0x9E3779B97F4A7C15)
 BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 ENTRY = (("anchor", "<u4"), ("whole", "<u8"), ("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("windows", "u1"))
 SPAN = (("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("windows", "u1"))
-#: What a blob for a group of documents says of its spans.
-DUPLICATE, OPEN = 1, 2
+#: What a blob for a group of documents says of its spans: gone, to be parsed as pieces, to be parsed window by window.
+DUPLICATE, OPEN, SINGLE = 1, 2, 3
+#: Pieces of one anchor in a chunk, and in a block, beyond which the anchor is hot.
+HOT_IN_CHUNK, HOT_IN_BLOCK = 64, 20_000
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -158,6 +164,30 @@ def prime_from(n: int) -> int:
     return n
 
 
+def group_of(doc: np.ndarray, tag: np.ndarray, groups: int) -> np.ndarray:
+    """The group of documents of each span; rows of one doc_id, or of none, are spread by their texts' tags."""
+    return (doc % groups + tag.astype(np.int64)) % groups
+
+
+def copies_of_smaller(keys: list[np.ndarray], first: np.ndarray, size: np.ndarray, doc: np.ndarray, codes: np.ndarray) -> np.ndarray:
+    """Which runs of words (size of them from first on, in order of doc) are copies of one of a smaller document among them: found by keys, then compared word by word."""
+    out = np.zeros(len(doc), bool)
+    if not len(doc):
+        return out
+    order = np.lexsort((np.arange(len(doc)), *keys))
+    fresh = np.zeros(len(doc), bool)
+    fresh[0] = True
+    for k in keys:
+        fresh[1:] |= k[order[1:]] != k[order[:-1]]
+    lead = np.empty(len(doc), np.int64)
+    lead[order] = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+    asked = np.flatnonzero((doc > doc[lead]) & (size == size[lead]))
+    unequal = np.flatnonzero(codes[spread(first[asked], size[asked])] != codes[spread(first[lead[asked]], size[asked])])
+    out[asked] = True
+    out[asked[np.searchsorted(np.cumsum(size[asked]), unequal, "right")]] = False
+    return out
+
+
 class Documents:
     """Words and codes of some rows, by ascending doc_id."""
 
@@ -167,7 +197,7 @@ class Documents:
         self.order = np.argsort(ids, kind="stable")
         self.ids = ids[self.order]
         texts = [texts[i] for i in self.order]
-        self.tags = np.array([xxhash.xxh32_intdigest(x) for x in texts], np.uint32)
+        self.tags = batch.column(TAG).to_numpy(zero_copy_only=False).astype(np.uint32)[self.order]
         self.words = [x.split() for x in texts]
         self.sizes = np.fromiter(map(len, self.words), np.int64, len(texts))
         self.codes = codes(self.words, int(self.sizes.sum()))
@@ -186,85 +216,99 @@ class Documents:
 
 
 def sent_pieces(batches: Iterator[pa.RecordBatch], blocks: int, groups: int) -> Iterator[pa.RecordBatch]:
-    """(cell, kind, data): pieces for blocks (cell = block), and spans that a chunk has settled (cell = -1 - group)."""
+    """(cell, kind, data): pieces for blocks (cell = block), and spans of which a chunk knows what they are (cell = -1 - group).
+    An anchor that is hot in the chunk goes to its block once, as a piece without windows."""
     codes = Codes()
     for batch in batches:
         for part in pieces(batch, "text", CUT_BYTES):
             docs = Documents(part, codes)
             p = cut_pieces(docs.codes, docs.sizes)
             p |= {"doc": docs.ids[p["row"]], "tag": docs.tags[p["row"]]}
-            # Rows are in order of doc_id, so the first of equal pieces has the smallest document of the chunk.
-            both = np.stack([p["anchor"], p["whole"]], axis=1)
-            order = np.lexsort((np.arange(len(both)), both[:, 1], both[:, 0]))
-            fresh = np.concatenate([[True], (both[order[1:]] != both[order[:-1]]).any(axis=1)]) if len(order) else np.empty(0, bool)
-            first_doc = np.empty(len(both), np.int64)
-            first_doc[order] = p["doc"][order[np.flatnonzero(fresh)]][np.cumsum(fresh) - 1] if len(order) else []
-            later = p["doc"] > first_doc
-            settled = {k: p[k][later] for k, _ in SPAN}
-            rest = {k: p[k][~later] for k, _ in ENTRY}
+            later = copies_of_smaller([p["whole"], p["anchor"]], p["first"], p["windows"] + WINDOW - 1, p["doc"], docs.codes)
+            rows = []
+            group = group_of(p["doc"], p["tag"], groups)
+            _, number, count = np.unique(p["anchor"], return_inverse=True, return_counts=True)
+            hot = ~later & (count[number] > HOT_IN_CHUNK)
+            for kind, chosen in ((DUPLICATE, later), (SINGLE, hot)):
+                rows += [(-1 - g, kind, d) for g, d in by_group({k: p[k][chosen] for k, _ in SPAN}, SPAN, group[chosen])]
+            p["windows"] = np.where(hot, 0, p["windows"])
+            once = np.zeros(len(hot), bool)
+            once[np.flatnonzero(hot)[np.unique(p["anchor"][hot], return_index=True)[1]]] = True
+            rest = {k: p[k][~later & (~hot | once)] for k, _ in ENTRY}
             block = ((rest["anchor"] >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
             rest["anchor"] = rest["anchor"] & np.uint64(0xFFFFFFFF)
-            rows = [(c, 0, d) for c, d in by_group(rest, ENTRY, block)]
-            rows += [(-1 - g, DUPLICATE, d) for g, d in by_group(settled, SPAN, settled["doc"] % groups)]
+            rows += [(c, 0, d) for c, d in by_group(rest, ENTRY, block)]
             yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.binary())], ["cell", "kind", "data"])
 
 
-def settled_pieces(table: pa.Table, groups: int) -> pa.Table:
-    """Of one block: pieces that equal one of a smaller document as a whole (DUPLICATE), and those that share an anchor with
-    different words (OPEN), as blobs for groups of documents. A cell below 0 passes."""
+def shared_pieces(table: pa.Table, groups: int) -> pa.Table:
+    """Of one block: pieces whose anchor other documents have too, as blobs for groups of documents: OPEN, or SINGLE if the anchor
+    is hot. A cell below 0 passes."""
     cell = table.column("cell")[0].as_py()
     if cell < 0:
         return pa.table({"grp": pa.array([-1 - cell] * len(table), pa.int64()), "kind": table.column("kind"), "data": table.column("data")})
     e = together(table.column("data").to_pylist(), ENTRY)
-    order = np.lexsort((e["start"], e["doc"], e["whole"], e["anchor"]))
+    order = np.argsort(e["anchor"], kind="stable")
     e = {k: v[order] for k, v in e.items()}
-    new_anchor = np.concatenate([[True], e["anchor"][1:] != e["anchor"][:-1]])
-    new_whole = new_anchor | np.concatenate([[True], e["whole"][1:] != e["whole"][:-1]])
-    anchor, whole = np.cumsum(new_anchor) - 1, np.cumsum(new_whole) - 1
-    smallest = e["doc"][np.flatnonzero(new_whole)][whole]
-    duplicate = e["doc"] > smallest
-    heads = np.flatnonzero(new_anchor)
-    kinds = np.add.reduceat(new_whole.astype(np.int64), heads)
+    fresh = np.concatenate([[True], e["anchor"][1:] != e["anchor"][:-1]])
+    anchor, heads = np.cumsum(fresh) - 1, np.flatnonzero(fresh)
     low, high = np.minimum.reduceat(e["doc"], heads), np.maximum.reduceat(e["doc"], heads)
-    is_open = ~duplicate & ((kinds > 1) & (low < high))[anchor]
+    hot = (np.minimum.reduceat(e["windows"], heads) == 0) | (np.diff(np.append(heads, len(fresh))) > HOT_IN_BLOCK)
+    mine = e["windows"] > 0
     rows = []
-    for kind, chosen in ((DUPLICATE, duplicate), (OPEN, is_open)):
+    for kind, chosen in ((SINGLE, mine & hot[anchor]), (OPEN, mine & (~hot & (low < high))[anchor])):
         at = np.flatnonzero(chosen)
         at = at[np.lexsort((e["start"][at], e["tag"][at], e["doc"][at]))]
         spans = {k: e[k][at] for k, _ in SPAN}
-        rows += [(g, kind, d) for g, d in by_group(spans, SPAN, spans["doc"] % groups)]
+        rows += [(g, kind, d) for g, d in by_group(spans, SPAN, group_of(spans["doc"], spans["tag"], groups))]
     return pa.table({"grp": pa.array([r[0] for r in rows], pa.int64()), "kind": pa.array([r[1] for r in rows], pa.int32()), "data": pa.array([r[2] for r in rows], pa.binary())})
 
 
-OPEN_ENTRY = (("anchor", "<u4"), ("doc", "<i8"), ("tag", "<u4"), ("start", "<u4"), ("windows", "u1"))
+def spans_of(table: pa.Table, kind: int) -> dict[str, np.ndarray]:
+    return together([d for k, d in zip(table.column("kind").to_pylist(), table.column("data").to_pylist()) if k == kind], SPAN)
 
 
-def sent_words(docs: pa.Table, spans: pa.Table, blocks: int) -> pa.Table:
-    """Open pieces of a group of documents with the codes of their words, as blobs for blocks (cell, data, codes)."""
+def sent_words(docs: pa.Table, spans: pa.Table, blocks: int, groups: int) -> pa.Table:
+    """Shared pieces of a group of documents with the codes of their words, as blobs for blocks (cell, data, codes), the windows
+    of hot anchors by their own hash. Spans that are copies within the group go to cell -1 - group, without codes."""
     rows = []
-    opened = together([d for k, d in zip(spans.column("kind").to_pylist(), spans.column("data").to_pylist()) if k == OPEN], SPAN)
-    if len(opened["doc"]) and len(docs):
-        codes = Codes()
-        for batch in docs.to_batches():
-            for part in pieces(batch, "text", CUT_BYTES):
-                d = Documents(part, codes)
-                row, which = d.places(opened)
-                if not len(row):
-                    continue
-                p = cut_pieces(d.codes, d.sizes)
-                # The piece of each span by its row and start.
-                mark = p["row"] * (int(d.sizes.max()) + 1) + p["start"]
-                at = np.searchsorted(mark, row * (int(d.sizes.max()) + 1) + opened["start"][which])
-                own = {k: p[k][at] for k in ("anchor", "start", "windows", "first")} | {"doc": d.ids[row], "tag": d.tags[row]}
-                block = ((own["anchor"] >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)
-                own["anchor"] = own["anchor"] & np.uint64(0xFFFFFFFF)
-                order = np.lexsort((own["start"], own["doc"], block))
-                cuts = np.flatnonzero(np.diff(block[order])) + 1
-                for some in np.split(order, cuts):
-                    size = own["windows"][some] + WINDOW - 1
-                    ends = np.cumsum(size)
-                    words = d.codes[np.repeat(own["first"][some] - (ends - size), size) + np.arange(int(ends[-1]))]
-                    rows.append((int(block[some[0]]), pack({k: own[k][some] for k, _ in OPEN_ENTRY}, OPEN_ENTRY), zstandard.ZstdCompressor(level=1).compress(words.astype("<u8").tobytes())))
+    opened, single = spans_of(spans, OPEN), spans_of(spans, SINGLE)
+    codes = Codes()
+    for batch in docs.to_batches() if len(opened["doc"]) + len(single["doc"]) else []:
+        for part in pieces(batch, "text", CUT_BYTES):
+            d = Documents(part, codes)
+            p = cut_pieces(d.codes, d.sizes)
+            # A piece by its row and start; windows of a hot one stand for themselves.
+            width = int(d.sizes.max(initial=0)) + 1
+            mark = p["row"] * width + p["start"]
+            row, which = d.places(opened)
+            at = np.searchsorted(mark, row * width + opened["start"][which])
+            own = {k: p[k][at] for k in ("row", "start", "windows", "first")} | {"key": p["whole"][at], "cell": ((p["anchor"][at] >> np.uint64(32)) % np.uint64(blocks)).astype(np.int64)}
+            row, which = d.places(single)
+            if len(row):
+                n = single["windows"][which].astype(np.int64)
+                first = spread(d.firsts[row] + single["start"][which], n)
+                key = gram_hashes(d.codes, WINDOW)[first]
+                each = {"row": np.repeat(row, n), "start": spread(single["start"][which].astype(np.int64), n), "windows": np.ones(len(first), np.int64), "first": first, "key": key, "cell": blocks + (key % np.uint64(blocks)).astype(np.int64)}
+                own = {k: np.concatenate([v, each[k]]) for k, v in own.items()}
+            order = np.lexsort((own["start"], d.ids[own["row"]], own["cell"]))
+            own = {k: v[order] for k, v in own.items()}
+            own |= {"doc": d.ids[own["row"]], "tag": d.tags[own["row"]]}
+            size = own["windows"] + WINDOW - 1
+            later = np.zeros(len(size), bool)
+            for hot in (own["cell"] < blocks, own["cell"] >= blocks):
+                by_doc = np.flatnonzero(hot)
+                by_doc = by_doc[np.argsort(own["doc"][by_doc], kind="stable")]
+                later[by_doc] = copies_of_smaller([own["key"][by_doc]], own["first"][by_doc], size[by_doc], own["doc"][by_doc], d.codes)
+            if later.any():
+                again = {k: own[k][later] for k, _ in SPAN}
+                again_at = np.lexsort((again["start"], again["tag"], again["doc"]))
+                again = {k: v[again_at] for k, v in again.items()}
+                rows += [(-1 - g, x, b"") for g, x in by_group(again, SPAN, group_of(again["doc"], again["tag"], groups))]
+            at = np.flatnonzero(~later)
+            for some in np.split(at, np.flatnonzero(np.diff(own["cell"][at])) + 1) if len(at) else []:
+                words = d.codes[spread(own["first"][some], size[some])]
+                rows.append((int(own["cell"][some[0]]), pack({k: own[k][some] for k, _ in SPAN}, SPAN), zstandard.ZstdCompressor(level=1).compress(words.astype("<u8").tobytes())))
     return pa.table({"cell": pa.array([r[0] for r in rows], pa.int64()), "data": pa.array([r[1] for r in rows], pa.binary()), "codes": pa.array([r[2] for r in rows], pa.binary())})
 
 
@@ -319,24 +363,32 @@ def factored(codes: np.ndarray, piece: np.ndarray, doc: np.ndarray, ends: np.nda
 
 
 def factored_block(table: pa.Table, groups: int) -> pa.Table:
-    """Duplicate spans of the open pieces of one block, as blobs for groups of documents."""
-    e = together(table.column("data").to_pylist(), OPEN_ENTRY)
+    """Duplicate spans of the pieces of one block, as blobs for groups of documents. A cell below 0 passes."""
+    cell = table.column("cell")[0].as_py()
+    if cell < 0:
+        return pa.table({"grp": pa.array([-1 - cell] * len(table), pa.int64()), "kind": pa.array([DUPLICATE] * len(table), pa.int32()), "data": table.column("data")})
+    e = together(table.column("data").to_pylist(), SPAN)
     codes = np.frombuffer(b"".join(zstandard.ZstdDecompressor().decompress(x) for x in table.column("codes").to_pylist()), "<u8")
     size = e["windows"].astype(np.int64) + WINDOW - 1
     ends = np.cumsum(size)
     piece = np.repeat(np.arange(len(size)), size)
     found = np.flatnonzero(factored(codes, piece, e["doc"], ends))
+    # Neighbouring windows of a piece are one span, of as many windows as a byte holds at most.
     own = piece[found]
-    spans = {"doc": e["doc"][own], "tag": e["tag"][own], "start": e["start"][own].astype(np.int64) + found - (ends - size)[own], "windows": np.ones(len(own), np.uint8)}
+    place = found - (ends - size)[own]
+    head = np.ones(len(found), bool)
+    head[1:] = (own[1:] != own[:-1]) | (place[1:] != place[:-1] + 1)
+    heads = np.flatnonzero(head)
+    spans = {"doc": e["doc"][own[heads]], "tag": e["tag"][own[heads]], "start": e["start"][own[heads]].astype(np.int64) + place[heads], "windows": np.diff(np.append(heads, len(found)))}
     order = np.lexsort((spans["start"], spans["tag"], spans["doc"]))
     spans = {k: v[order] for k, v in spans.items()}
-    rows = list(by_group(spans, SPAN, spans["doc"] % groups))
+    rows = list(by_group(spans, SPAN, group_of(spans["doc"], spans["tag"], groups)))
     return pa.table({"grp": pa.array([r[0] for r in rows], pa.int64()), "kind": pa.array([DUPLICATE] * len(rows), pa.int32()), "data": pa.array([r[1] for r in rows], pa.binary())})
 
 
 def cleaned(docs: pa.Table, spans: pa.Table, schema: pa.Schema) -> pa.Table:
     """Rows of a group of documents with their counts and the words that stay."""
-    found = together([d for k, d in zip(spans.column("kind").to_pylist(), spans.column("data").to_pylist()) if k == DUPLICATE], SPAN)
+    found = spans_of(spans, DUPLICATE)
     out = []
     codes = Codes()
     for batch in docs.to_batches():
@@ -362,16 +414,19 @@ def cleaned(docs: pa.Table, spans: pa.Table, schema: pa.Schema) -> pa.Table:
 
 def drop_duplicate_spans(docs: DataFrame) -> DataFrame:
     """docs with n_words, n_removed and kept_text (the words that stay, joined by one space); text is left as it is."""
-    docs = without(docs, "n_words", "n_removed", "kept_text", "_grp")
+    docs = without(docs, "n_words", "n_removed", "kept_text")
     total = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     blocks, groups = total // BLOCK_BYTES + 1, prime_from(total // GROUP_BYTES + 2)
-    sent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(lambda x: sent_pieces(x, blocks, groups), "cell long, kind int, data binary")
+    # Two more columns for the way: a tag of the text, and the group of documents.
+    tag = F.xxhash64("text").bitwiseAND(0xFFFFFFFF)
+    group = F.pmod(F.pmod(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.lit(groups)) + tag, F.lit(groups))
+    sent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", tag.alias(TAG)).mapInArrow(lambda x: sent_pieces(x, blocks, groups), "cell long, kind int, data binary")
     span_type = "grp long, kind int, data binary"
-    settled = materialized(sent.groupBy("cell").applyInArrow(lambda x: settled_pieces(x, groups), span_type), "pieces")
-    dealt = docs.withColumn("_grp", F.pmod(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), F.lit(groups)))
-    opened = dealt.groupBy("_grp").cogroup(settled.groupBy("grp")).applyInArrow(lambda a, b: sent_words(a, b, blocks), "cell long, data binary, codes binary")
-    rest = opened.groupBy("cell").applyInArrow(lambda x: factored_block(x, groups), span_type)
+    known = materialized(sent.groupBy("cell").applyInArrow(lambda x: shared_pieces(x, groups), span_type), "pieces")
+    dealt = docs.withColumns({TAG: tag, GROUP: group})
+    sent = dealt.groupBy(GROUP).cogroup(known.groupBy("grp")).applyInArrow(lambda a, b: sent_words(a, b, blocks, groups), "cell long, data binary, codes binary")
+    rest = sent.groupBy("cell").applyInArrow(lambda x: factored_block(x, groups), span_type)
     result = with_fields(docs, "n_words long, n_removed long, kept_text string")
     arrow = to_arrow_schema(result)
-    spans = settled.filter(F.col("kind") == DUPLICATE).unionByName(rest)
-    return dealt.groupBy("_grp").cogroup(spans.groupBy("grp")).applyInArrow(lambda a, b: cleaned(a, b, arrow), result)
+    spans = known.filter(F.col("kind") == DUPLICATE).unionByName(rest)
+    return dealt.groupBy(GROUP).cogroup(spans.groupBy("grp")).applyInArrow(lambda a, b: cleaned(a, b, arrow), result)

@@ -173,6 +173,54 @@ def test_substring_dedup_equals_brute_force(docs, rows, empty):
     assert "n_removed" in got.columns and substring.drop_duplicate_spans(empty).count() == 0
 
 
+def by_column(tables, column):
+    """What a shuffle does: rows of all these tables by the values of a column."""
+    whole = pa.concat_tables(tables)
+    keys = whole.column(column).to_pylist()
+    return {k: whole.take([i for i, x in enumerate(keys) if x == k]) for k in set(keys)}
+
+
+def parsed_in_process(rows, blocks, groups, chunk):
+    """The stages of substring dedup without a session."""
+    table = pa.table({"doc_id": pa.array([r[0] for r in rows], pa.int64()), "text": [r[1] for r in rows], substring.TAG: pa.array([xxhash.xxh32_intdigest(r[1] or "") for r in rows], pa.int64())})
+    sent = [pa.Table.from_batches([b]) for i in range(0, len(rows), chunk) for b in substring.sent_pieces(iter(table.slice(i, chunk).combine_chunks().to_batches()), blocks, groups)]
+    known = by_column([substring.shared_pieces(x, groups) for x in by_column(sent, "cell").values()], "grp")
+    ids = np.array([substring.NO_ID if r[0] is None else r[0] for r in rows], np.int64)
+    group = substring.group_of(ids, table.column(substring.TAG).to_numpy(), groups)
+    dealt = {g: table.take(np.flatnonzero(group == g)) for g in range(groups)}
+    empty = pa.table({"grp": pa.array([], pa.int64()), "kind": pa.array([], pa.int32()), "data": pa.array([], pa.binary())})
+    words = by_column([substring.sent_words(dealt[g], known.get(g, empty), blocks, groups) for g in dealt], "cell")
+    found = [substring.factored_block(x, groups) for x in words.values()]
+    spans = by_column([x.filter(pa.compute.equal(x.column("kind"), substring.DUPLICATE)) for x in known.values()] + found + [empty], "grp")
+    schema = pa.schema([("doc_id", pa.int64()), ("text", pa.string()), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
+    out = [substring.cleaned(dealt[g], spans.get(g, empty), schema) for g in dealt]
+    return [(r["doc_id"], r["n_words"], r["n_removed"], r["kept_text"]) for t in out for r in t.to_pylist()], max(len(x) for x in words.values())
+
+
+@pytest.mark.parametrize("hot", [(64, 20_000), (2, 20_000), (64, 3), (1, 1)])
+def test_hot_anchors_are_split_without_loss(monkeypatch, hot):
+    monkeypatch.setattr(substring, "HOT_IN_CHUNK", hot[0])
+    monkeypatch.setattr(substring, "HOT_IN_BLOCK", hot[1])
+    rng = np.random.default_rng(6)
+    phrase, passage = "to be or not to be that is the question", " ".join(f"p{i}" for i in range(40))
+    word = lambda n: " ".join(f"w{x}" for x in rng.integers(0, 60, n))
+    rows = [(i, f"{word(rng.integers(0, 9))} {phrase} {word(rng.integers(0, 9))} {passage if i % 3 == 0 else ''} {word(rng.integers(0, 5))} {phrase}") for i in rng.permutation(300).tolist()]
+    rows += [(rows[5][0], rows[5][1]), (None, rows[6][1]), (None, rows[6][1]), (7, rows[8][1]), (400, None), (401, "few words")]
+    got, _ = parsed_in_process(rows, 5, 7, 60)
+    same(got, list(removed(rows)))
+
+
+def test_pieces_of_equal_hash_are_told_apart_by_their_words(monkeypatch):
+    monkeypatch.setattr(substring, "gram_hashes", lambda codes, n: np.full(len(codes), 3, np.uint64))
+    monkeypatch.setattr(substring, "mixed", lambda x: x * np.uint64(0) + np.uint64(9))
+    rng = np.random.default_rng(9)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 3, 16))) for i in range(6)] + [(9, "a b c d e f g h i j k l m n"), (10, "a b c d e f g h i j k l m n")]
+    got, _ = parsed_in_process(rows, 2, 3, 4)
+    want = list(removed(rows))
+    # Windows of equal hash may hide a source from the index, but no word goes whose window is not in a smaller document.
+    assert all(a[2] <= b[2] for a, b in zip(sorted(got), sorted(want)))
+
+
 def test_factors_on_small_alphabets():
     rng = np.random.default_rng(1)
     for _ in range(20):
