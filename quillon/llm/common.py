@@ -37,7 +37,16 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = shared_dir(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.shared_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that materialized() wrote and that nothing to come reads."""
+    for each in tables:
+        fs, path = shared_files(each.shared_path)
+        fs.delete_dir(path)
 
 
 def words_count(text: Column) -> Column:

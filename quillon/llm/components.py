@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import materialized
+from quillon.llm.common import discard, materialized
 
 
 def components(edges: DataFrame, name: str) -> DataFrame:
@@ -27,6 +27,8 @@ def components(edges: DataFrame, name: str) -> DataFrame:
         jumped = hooked.join(above, "root").select("node", F.col("top").alias("root"))
         after = materialized(jumped, f"{name}-parents")
         changed = after.join(parents.withColumnRenamed("root", "old"), "node").filter("root <> old").limit(1).count()
+        discard(parents)
         parents = after
         if not changed:
+            discard(both)
             return parents

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillon.llm.bpe import spread
-from quillon.llm.common import materialized, pieces, utf8_of
+from quillon.llm.common import discard, materialized, pieces, utf8_of
 from quillon.llm.components import components
 from quillon.llm.simhash import LANES, near_of_pairs, planes_of, within
 from quillon.llm.substring import Codes, gram_hashes, mixed
@@ -223,24 +223,28 @@ def confirmed(table: pa.Table) -> pa.Table:
 
 
 def edges_of(docs: DataFrame, distinct: DataFrame) -> DataFrame:
-    """Forest edges (a, b) that connect all linked nodes; distinct: node, n, bands, first (doc_id and tie of one of its rows)."""
+    """A table of forest edges (a, b) that connect all linked nodes; distinct: node, n, bands, first (doc_id and tie of one of its rows)."""
     keyed = distinct.select("node", F.posexplode("bands").alias("band", "key"))
     shared = keyed.groupBy("band", "key").agg(F.min("node").alias("low"), F.count("*").alias("members")).filter("members > 1").drop("members")
     stars = keyed.join(shared, ["band", "key"]).filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
-    roots = components(materialized(stars, "near-stars"), "near-candidates")
+    stars = materialized(stars, "near-stars")
+    roots = components(stars, "near-candidates")
     known = materialized(roots.join(distinct.select("node", "n", "first"), "node"), "near-candidates")
+    discard(stars, roots)
     sums = known.groupBy("root").agg(F.sum("n").alias("shingles"), F.count("*").alias("sets"))
     # A large component's chunks i <= j meet in tile (i, j); other components are one tile, many of them in a cell.
     large = (F.col("shingles") > TILE_SHINGLES) | (F.col("sets") > TILE_SETS)
     chunks = F.when(large, F.ceil(F.greatest(2 * F.col("shingles") / TILE_SHINGLES, 2 * F.col("sets") / TILE_SETS))).otherwise(1).cast("int")
     asked = known.join(sums.select("root", chunks.alias("chunks")), "root").select("first.doc_id", "first.tie", "node", "root", "chunks")
-    sets = docs.select("doc_id", "tie", "text").join(asked, ["doc_id", "tie"]).mapInArrow(set_rows, "root long, chunks int, node long, grams binary, wide binary")
+    sets = docs.select("doc_id", "tie", "text").join(asked.hint("merge"), ["doc_id", "tie"]).mapInArrow(set_rows, "root long, chunks int, node long, grams binary, wide binary")
     own = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
     tiles = F.transform(F.sequence(F.lit(0), F.col("chunks") - 1), lambda j: F.least(F.col("_own"), j) * F.col("chunks") + F.greatest(F.col("_own"), j))
     tiled = sets.withColumn("_own", own).select("root", "node", "grams", "wide", "chunks", F.explode(tiles).alias("tile"))
     cells = (known.agg(F.sum("n")).first()[0] or 0) // CELL_SHINGLES + 1
     cell = F.when(F.col("chunks") == 1, F.pmod(F.xxhash64("root"), F.lit(cells))).otherwise(F.xxhash64("root", "tile"))
-    return tiled.select("root", "tile", "node", "grams", "wide", cell.alias("cell")).groupBy("cell").applyInArrow(confirmed, "a long, b long")
+    edges = materialized(tiled.select("root", "tile", "node", "grams", "wide", cell.alias("cell")).groupBy("cell").applyInArrow(confirmed, "a long, b long"), "near-edges")
+    discard(known)
+    return edges
 
 
 def drop_near_duplicates(docs: DataFrame) -> DataFrame:
@@ -248,13 +252,14 @@ def drop_near_duplicates(docs: DataFrame) -> DataFrame:
     own = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"), "doc_id", F.xxhash64("text").alias("tie"), "text")
     named = own.filter("doc_id is not null")
     types = dict(docs.dtypes)
-    marked = materialized(named.select("doc_id", "tie", "text").mapInArrow(marked_rows, f"doc_id {types['doc_id']}, tie long, node long, n long, bands array<long>"), "near-docs")
+    marked = named.select("doc_id", "tie", "text").mapInArrow(marked_rows, f"doc_id {types['doc_id']}, tie long, node long, n long, bands array<long>")
     first = F.min(F.struct("doc_id", "tie")).alias("first")
     distinct = materialized(marked.groupBy("node").agg(first, F.min("n").alias("n"), F.first("bands").alias("bands")), "near-distinct")
-    edges = materialized(edges_of(named, distinct), "near-edges")
+    edges = edges_of(named, distinct)
     roots = components(edges, "near")
+    discard(edges)
     grouped = distinct.select("node", "first").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     keepers = grouped.groupBy("root").agg(F.min("first").alias("first")).select("first.*").distinct()
-    # Rows of one doc_id and one text are copies of each other; one of them stays.
-    kept = named.join(keepers, ["doc_id", "tie"], "left_semi").dropDuplicates(["doc_id", "tie"])
+    # What stays follows the documents, so it is never broadcast. Rows of one doc_id and one text are copies; one of them stays.
+    kept = named.join(keepers.hint("merge"), ["doc_id", "tie"], "left_semi").dropDuplicates(["doc_id", "tie"])
     return kept.select("_row").unionByName(own.filter("doc_id is null").select("_row")).select("_row.*")

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import materialized, pieces, utf8_of, with_fields, without
+from quillon.llm.common import discard, materialized, pieces, utf8_of, with_fields, without
 from quillon.llm.components import components
 
 RADIUS, SHINGLE, SEED = 3, 3, 42
@@ -242,6 +242,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     distinct = materialized(marked.groupBy("fp").agg(F.min("doc_id").alias("first_doc")), "simhash-distinct")
     edges = materialized(edges_of(distinct.select("fp"), distinct.count()), "simhash-edges")
     roots = components(edges, "simhash")
+    discard(edges)
     grouped = distinct.join(roots.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = grouped.groupBy("root").agg(F.min("first_doc").alias("component_id"))
     named = grouped.join(least, "root").select("fp", "component_id")
