@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from quillon.schemas import REPLY
 
+#: Fixed value: how a reply marks a block of JSON.
 _FENCED = re.compile(r"```(?:json)?\s*(\{.*\})\s*```", re.DOTALL)
 
 
@@ -66,6 +67,11 @@ def _check(c: dict) -> dict:
     return {"rule_id": string("rule_id"), "hit": bool(c.get("hit", False)), "severity": string("severity"), "score": score, "reason": string("reason"), "excerpt": string("excerpt")}
 
 
+def holds_checks(how: Callable[[str], dict | list | None]) -> Callable[[str], bool]:
+    """Whether a reply holds a JSON object, so that it need not be asked for again."""
+    return lambda text: isinstance(how(text or ""), dict)
+
+
 def reply_parser(how: Callable[[str], dict | list | None]):
     """A UDF from a reply to (checks, confidence); null if it holds no JSON object."""
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillon.functions.scoring import manual_score
@@ -47,6 +48,17 @@ def repair_apply(candidates: DataFrame, new: DataFrame) -> DataFrame:
     return both.select(*key, *[F.when(F.col("_new").isNotNull(), F.col(f"_new.{c}")).otherwise(F.col(c)).alias(c) for c in rest], F.coalesce("_pos", F.col("_new_pos") + (1 << 40)).alias("_pos"))
 
 
+def drop_failed(judged: DataFrame, score: str = "total_score_20") -> DataFrame:
+    """Candidates whose judgement did not fail, that is, gave a score."""
+    return judged.filter(F.col(score).isNotNull())
+
+
+def drop_failed_together(judged: DataFrame, *keys: str, score: str = "total_score_20") -> DataFrame:
+    """Candidates of those groups (by keys) in which no judgement failed: of two answers, either both stay or none."""
+    failed = F.count(F.when(F.col(score).isNull(), 1)).over(W.partitionBy(*keys))
+    return judged.withColumn("_failed", failed).filter("_failed = 0").drop("_failed")
+
+
 def all_zero_samples(manual: DataFrame) -> DataFrame:
     """sample_id of records whose manual scores are all 0 or less; what is no number counts as 0."""
     v = lambda x: F.coalesce(x["manual_score"].try_cast("double"), F.lit(0.0)) <= 0

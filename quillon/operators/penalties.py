@@ -87,3 +87,13 @@ def zero_penalty_guard(penalties: Column, answer: Column, graded: Column) -> Col
         )
     )
     return F.when(F.size(penalties) > 0, penalties).otherwise(least)
+
+
+def hit_checks(checks: Column) -> Column:
+    """Checks that found something."""
+    return F.filter(checks, lambda c: c["hit"])
+
+
+def non_full_checks(checks: Column) -> Column:
+    """Checks that give less than the full mark."""
+    return F.filter(checks, lambda c: c["score"] < 5)

@@ -1,11 +1,14 @@
 """Calls of language models from Spark tasks: bounded concurrency, capped retries, one reply or error a row.
 
-Replies are written before anything is derived from them, so a lost executor repeats no call whose reply is stored.
+Replies are written to a table before anything is derived from them, named by the hash of run, model and prompt. What is derived
+reads that table, so neither a second action nor a lost executor repeats a call whose reply is stored; with a `store` that lasts,
+neither does a second run: it asks only for what the table lacks.
 """
 
 from __future__ import annotations
 
 import hashlib
+import importlib
 import json
 import time
 from collections.abc import Callable, Iterator
@@ -13,11 +16,19 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Protocol
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
-from pyspark.sql.types import StructType
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillon.sources.writers import scratch
+
+REPLIES = "ask_key string, reply string, error string"
 
 
 class Client(Protocol):
+    """A client may also have complete_json, of the same arguments, which asks the model for JSON only; it is tried first where
+    JSON is wanted."""
+
     def complete(self, model_name: str, prompt: str) -> str: ...
 
 
@@ -38,31 +49,94 @@ class StubClient:
         return "```json\n" + json.dumps({"checks": checks, "confidence": "high"}) + "\n```"
 
 
-def with_retries(call: Callable[[], str], tries: int, first_delay: float, most_delay: float) -> tuple[str | None, str | None]:
-    """(reply, None) or (None, last error); delays double up to a bound."""
+#: Clients by the name that a command or configuration gives; register your own.
+CLIENTS: dict[str, Callable[[], Client]] = {"stub": StubClient}
+
+
+def client_named(name: str) -> Callable[[], Client]:
+    """A registered client, or one given as module:attribute; an unknown name is an error."""
+    module, colon, attribute = name.partition(":")
+    if colon:
+        return getattr(importlib.import_module(module), attribute)
+    if name not in CLIENTS:
+        raise ValueError(f"client {name!r} is none of {sorted(CLIENTS)}")
+    return CLIENTS[name]
+
+
+def with_retries(call: Callable[[], str], tries: int, first_delay: float, most_delay: float, accept: Callable[[str], bool] | None = None) -> tuple[str | None, str | None]:
+    """(reply, None), or (the last reply or None, last error); delays double up to a bound. A reply that is not accepted is asked for again."""
+    reply = error = None
     for i in range(tries):
         try:
-            return call(), None
+            reply = call()
+            if accept is None or accept(reply):
+                return reply, None
+            error = "the reply does not parse"
         except Exception as e:  # noqa: BLE001 - any failure of a client is an error of its row
             error = f"{type(e).__name__}: {e}"
-            if i + 1 < tries:
-                time.sleep(min(most_delay, first_delay * 2**i))
-    return None, error
+        if i + 1 < tries:
+            time.sleep(min(most_delay, first_delay * 2**i))
+    return reply, error
+
+
+def stored_replies(spark: SparkSession, store: str) -> DataFrame:
+    """One row for each prompt that was asked: its reply without error if there is one."""
+    try:
+        rows = spark.read.schema(REPLIES).parquet(store)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        rows = spark.createDataFrame([], REPLIES)
+    best = F.max(F.struct(F.col("error").isNull().alias("good"), "reply", "error"))
+    return rows.groupBy("ask_key").agg(best.alias("best")).select("ask_key", "best.reply", "best.error", "best.good")
+
+
+def ask(
+    rows: DataFrame,
+    prompt: str,
+    model: str,
+    client: Callable[[], Client],
+    name: str = "reply",
+    threads: int = 8,
+    tries: int = 3,
+    first_delay: float = 1.0,
+    most_delay: float = 30.0,
+    accept: Callable[[str], bool] | None = None,
+    store: str | None = None,
+    run: int = 0,
+) -> DataFrame:
+    """rows with `name` and `name`_error. client makes a client in each task; a null prompt is not sent, equal ones once.
+
+    Calls at a time are threads times running tasks: repartition rows to bound the load on an endpoint. accept tells whether a
+    reply will do; store is the folder of the table of replies (a new one below the shared folder, if none is given); run
+    numbers repeats of the same prompts.
+    """
+    spark = rows.sparkSession
+    lasting, store = store is not None, store or scratch(spark, "replies")
+    own = rows.withColumn("ask_key", F.when(F.col(prompt).isNotNull(), F.sha2(F.concat_ws("\n", F.lit(str(run)), model, prompt), 256)))
+    wanted = own.filter("ask_key is not null").select("ask_key", F.col(model).alias("model"), F.col(prompt).alias("prompt")).dropDuplicates(["ask_key"])
+    wanted = wanted.join(stored_replies(spark, store).filter("good").select("ask_key"), "ask_key", "left_anti")
 
+    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        asked = client()
+        first = [asked.complete_json] if accept and hasattr(asked, "complete_json") else []
 
-def ask(rows: DataFrame, prompt: str, model: str, client: Callable[[], Client], name: str = "reply", threads: int = 8, tries: int = 3, first_delay: float = 1.0, most_delay: float = 30.0) -> DataFrame:
-    """rows with `name` and `name`_error. client makes a client in each task; a null prompt is not sent.
+        def one(m: str, p: str) -> tuple[str | None, str | None]:
+            ways = iter(first)
+            return with_retries(lambda: next(ways, asked.complete)(m, p), tries, first_delay, most_delay, accept)
 
-    Calls at a time are threads times running tasks: repartition rows to bound the load on an endpoint.
-    """
-    schema = StructType([*rows.schema.fields]).add(name, "string").add(f"{name}_error", "string")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = client()
         with ThreadPoolExecutor(threads) as pool:
             for batch in batches:
-                one = lambda m, p: (None, "no prompt") if p is None else with_retries(lambda: own.complete(m, p), tries, first_delay, most_delay)
-                found = list(pool.map(one, batch.column(model).to_pylist(), batch.column(prompt).to_pylist()))
-                yield batch.append_column(name, pa.array([r for r, _ in found], pa.string())).append_column(f"{name}_error", pa.array([e for _, e in found], pa.string()))
-
-    return rows.mapInArrow(run, schema)
+                found = list(pool.map(one, batch.column("model").to_pylist(), batch.column("prompt").to_pylist()))
+                yield pa.RecordBatch.from_arrays([batch.column("ask_key"), pa.array([r for r, _ in found], pa.string()), pa.array([e for _, e in found], pa.string())], ["ask_key", "reply", "error"])
+
+    wanted.mapInArrow(call, REPLIES).write.mode("append").parquet(store)
+    found = stored_replies(spark, store)
+    if lasting:
+        # A table of its own: later calls add to the store, and two reads of one path may be taken for the same.
+        path = scratch(spark, "replies")
+        found.join(own.select("ask_key").distinct(), "ask_key", "left_semi").write.parquet(path)
+        found = spark.read.schema(found.schema).parquet(path)
+    found = found.select("ask_key", F.col("reply").alias(name), F.col("error").alias(f"{name}_error"))
+    out = own.join(found, "ask_key", "left").withColumn(f"{name}_error", F.when(F.col("ask_key").isNull(), F.lit("no prompt")).otherwise(F.col(f"{name}_error")))
+    return out.select(*[F.col(f"`{c}`") for c in rows.columns], name, f"{name}_error")

@@ -8,17 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillon.functions import scoring as S
-from quillon.functions.model_json import fenced_or_braced, first_to_last_brace, reply_parser
+from quillon.functions.model_json import fenced_or_braced, first_to_last_brace, holds_checks, reply_parser
 from quillon.functions.text import PLACEHOLDER, candidate_id, text_or_empty
 from quillon.operators import context as P
 from quillon.operators.candidates import generated_rows, tasks
-from quillon.operators.incremental import all_zero_samples, manual_rank_rows, patch_rows, repair_apply, repair_plan
+from quillon.operators.incremental import all_zero_samples, drop_failed, drop_failed_together, manual_rank_rows, patch_rows, repair_apply, repair_plan
 from quillon.operators.penalties import average_confidence, checks_to_penalties, zero_penalty_guard
 from quillon.operators.ranking import preference_pairs, rank_candidates
 from quillon.operators.stats import check_mean
 from quillon.operators.validators import is_graded, parse_data, run_validators
 from quillon.plans.models import Client, ask
 from quillon.schemas import PENALTY
+from quillon.sources.readers import samples_from
 
 PENALTIES = f"array<struct<{PENALTY}>>"
 SYSTEM = "You answer questions with the given context."
@@ -60,7 +61,7 @@ def judge_mean(candidates: DataFrame, samples: DataFrame, judge: str, client: Ca
     own = own.withColumns({"ground_prompt": P.render_once(GROUND_PROMPT, values), "structure_prompt": P.render_once(STRUCTURE_PROMPT, values)}).select("sample_id", "candidate_id", "model_type", "model_name", "judge", "ground_prompt", "structure_prompt", "_pos")
     parse = reply_parser(first_to_last_brace)
     for side in ("ground", "structure"):
-        own = ask(own, f"{side}_prompt", "judge", client, f"{side}_raw", **how)
+        own = ask(own, f"{side}_prompt", "judge", client, f"{side}_raw", accept=holds_checks(first_to_last_brace), **how)
         own = own.withColumn(f"_{side}", parse(f"{side}_raw"))
     failed = F.col("_ground.checks").isNull() | F.col("_structure.checks").isNull()
     score = lambda side: F.when(failed, 0.0).otherwise(check_mean(F.col(f"_{side}.checks")))
@@ -97,8 +98,8 @@ def judge_deductions(candidates: DataFrame, samples: DataFrame, judge: str, clie
     own = own.select("sample_id", "candidate_id", "model_type", "model_name", "judge", "response", "ground_prompt", "structure_prompt", "_valid", "_graded", "_pos")
     parse = reply_parser(fenced_or_braced)
     for side in ("ground", "structure"):
-        own = ask(own, f"{side}_prompt", "judge", client, f"{side}_raw", **(how or {}))
-        own = own.withColumn(f"_{side}", parse(f"{side}_raw")).filter(F.col(f"_{side}.checks").isNotNull())
+        own = ask(own, f"{side}_prompt", "judge", client, f"{side}_raw", accept=holds_checks(fenced_or_braced), run=repeat, **(how or {}))
+        own = drop_failed(own.withColumn(f"_{side}", parse(f"{side}_raw")), f"_{side}.checks")
     found = F.concat(F.coalesce("_valid", F.array().cast(PENALTIES)), checks_to_penalties(F.col("_ground.checks")), checks_to_penalties(F.col("_structure.checks")))
     confidence = average_confidence(*[S.normalize_confidence(F.col(f"_{side}.confidence")) for side in ("ground", "structure")])
     scored = score_penalties(own, zero_penalty_guard(dedup_penalties(found), F.coalesce("response", F.lit("")), F.col("_graded")), confidence, **parameters)
@@ -106,6 +107,21 @@ def judge_deductions(candidates: DataFrame, samples: DataFrame, judge: str, clie
     return scored.select(*columns, F.to_json("penalties").alias("penalties_json_20"), F.lit(repeat).alias("repeat_idx"))
 
 
+def judge_two_answers(rows: DataFrame, judge: str, client: Callable[[], Client], **how) -> DataFrame:
+    """Rows of a two-answer table (see scan_two_answers), one for each in which both answers could be judged: query, answer_a,
+    answer_b and what the deduction scale says of either, as columns ending in _a and _b."""
+    texts = rows.select([F.col(f"`{c}`").cast("string").alias(c) for c in rows.columns if c not in ("sample_id", "_source_row_index")] + [F.col("_source_row_index").cast("string").alias("sample_id"), "_source_row_index"])
+    samples = samples_from(texts, F.col("_source_row_index"))
+    sides = F.explode(F.array(*[F.struct(F.lit(x).alias("side"), F.col(f"answer_{x}").alias("response")) for x in "ab"])).alias("s")
+    own = texts.select("sample_id", sides).select("sample_id", candidate_id(F.col("sample_id"), F.col("s.side")).alias("candidate_id"), F.lit("answer").alias("model_type"), F.col("s.side").alias("model_name"), "s.response", (F.col("s.side") == "b").cast("long").alias("_pos"))
+    judged = judge_deductions(own, samples, judge, client, **how)
+    whole = drop_failed_together(own.select("sample_id", "model_name").join(judged, ["sample_id", "model_name"], "left"), "sample_id", score="total_score_20")
+    columns = ("ground_score", "structure_score", "aggregate_score", "total_score_20", "label", "weight", "confidence", "penalties_json_20")
+    of = lambda side, c: F.max(F.when(F.col("model_name") == side, F.col(c))).alias(f"{c}_{side}")
+    wide = whole.groupBy("sample_id").agg(*[of(side, c) for side in "ab" for c in columns])
+    return texts.select("sample_id", "query", "answer_a", "answer_b").join(wide, "sample_id")
+
+
 def build_pairs(scores: DataFrame, top_k: int = 1, bottom_k: int = 1, min_score_diff: float = 0.0, exclude_self: bool = False) -> DataFrame:
     return preference_pairs(rank_candidates(scores), top_k, bottom_k, min_score_diff, exclude_self)
 

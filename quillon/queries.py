@@ -320,9 +320,9 @@ def patch_semi(t):
     return I.patch_rows(raw, I.all_zero_samples(_manual(t))).select("candidate_id")
 
 
-@query("select g.model_name as judge, sample_id, candidate_id from judge_flat j cross join generators g where j._pos % 10 = 0", "judge_flat", "generators")
+@query("select g.model_name as judge, sample_id, candidate_id from judge_flat j cross join generators g", "judge_flat", "generators")
 def judge_tasks(t):
-    return C.tasks(t.judge_flat().filter("_pos % 10 = 0").select("sample_id", "candidate_id"), t.generators().select(F.col("model_name").alias("judge")))
+    return C.tasks(t.judge_flat().select("sample_id", "candidate_id"), t.generators().select(F.col("model_name").alias("judge")))
 
 
 @query("select sample_id, model_type, model_name from samples s cross join generators g", "samples", "generators")
@@ -489,11 +489,10 @@ def candidate_id(t):
     return t.candidates().select("sample_id", "candidate_id")
 
 
-@query("select _pos, case when model_name in ('src1', 'src2') then ltrim(substr('a</think>b</think>  ' || substr(response, 1, 50), 19), ' ') else 'a</think>b</think>  ' || substr(response, 1, 50) end as answer from candidates where response is not null and ltrim(substr(response, 1, 50)) = substr(response, 1, 50)", "candidates")
+@query("select _pos, case when model_name in ('src1', 'src2') then ltrim(substr(x, 19), ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) else x end as answer from (select _pos, model_name, 'a</think>b</think>  ' || coalesce(response, '') as x from candidates)", "candidates")
 def strip_reasoning(t):
-    own = t.candidates().filter("response is not null and ltrim(substr(response, 1, 50)) = substr(response, 1, 50)")
-    text = F.concat(F.lit("a</think>b</think>  "), F.substring("response", 1, 50))
-    return own.select("_pos", X.strip_reasoning(text, F.col("model_name"), ["src1", "src2"]).alias("answer"))
+    text = F.concat(F.lit("a</think>b</think>  "), F.coalesce("response", F.lit("")))
+    return t.candidates().select("_pos", X.strip_reasoning(text, F.col("model_name"), ["src1", "src2"]).alias("answer"))
 
 
 @query("select _pos, _pos % 3 < 2 as is_placeholder from candidates", "candidates")
@@ -525,12 +524,12 @@ def preview(t):
 
 @query("select doc_id, rule_id from checks where hit", "checks")
 def hit_checks(t):
-    return t.checks().select("doc_id", F.explode(F.filter("checks", lambda c: c["hit"])).alias("c")).select("doc_id", "c.rule_id")
+    return t.checks().select("doc_id", F.explode(N.hit_checks(F.col("checks"))).alias("c")).select("doc_id", "c.rule_id")
 
 
 @query("select doc_id, rule_id from checks where doc_id % 6 < 5", "checks")
 def non_full_checks(t):
-    return t.checks().select("doc_id", F.explode(F.filter("checks", lambda c: c["score"] < 5)).alias("c")).select("doc_id", "c.rule_id")
+    return t.checks().select("doc_id", F.explode(N.non_full_checks(F.col("checks"))).alias("c")).select("doc_id", "c.rule_id")
 
 
 _PENALTY_OF_CHECK = "case rule_id when 'illegal_content' then 20.0 when 'THIN_CONTENT' then 5.0 when 'FACT_LOGIC_ISSUE' then 10.0 end"
@@ -653,7 +652,14 @@ def valid_manual_record(t):
 @query("select sample_id, candidate_id, total_score_20 from judge_flat where _pos % 6 <> 0", "judge_flat")
 def drop_failed_judge(t):
     """Candidates whose judgement failed (no score) are dropped."""
-    return t.judge_flat().withColumn("total_score_20", F.when(F.col("_pos") % 6 != 0, F.col("total_score_20"))).filter("total_score_20 is not null").select("sample_id", "candidate_id", "total_score_20")
+    return I.drop_failed(t.judge_flat().withColumn("total_score_20", F.when(F.col("_pos") % 6 != 0, F.col("total_score_20")))).select("sample_id", "candidate_id", "total_score_20")
+
+
+@query("select sample_id, candidate_id from judge_flat j where not exists (select 1 from judge_flat f where f.sample_id is not distinct from j.sample_id and f.model_type is not distinct from j.model_type and f._pos % 40 = 0)", "judge_flat")
+def drop_failed_pair(t):
+    """Where one judgement of a group failed, none of the group stays."""
+    own = t.judge_flat().withColumn("total_score_20", F.when(F.col("_pos") % 40 != 0, F.col("total_score_20")))
+    return I.drop_failed_together(own, "sample_id", "model_type").select("sample_id", "candidate_id")
 
 
 _WORDED = " or ".join(f"contains(lower(answer), '{w}')" for w in N.GRADE_WORDS)
@@ -791,11 +797,13 @@ def scan_jsonl_keep_bad(t):
     return readers.read_jsonl(t.spark, _broken_lines(t), "candidate_id string", "keep").select("candidate_id", F.col("_raw").isNotNull().alias("is_bad"))
 
 
-@query("select sample_id, candidate_id from judge_flat where _pos < 50", "judge_flat")
+@query("select sample_id, candidate_id from judge_flat", "judge_flat")
 def scan_json_doc(t):
-    rows = t.judge_flat().filter("_pos < 50").select("sample_id", "candidate_id")
-    whole = rows.agg(F.to_json(F.collect_list(F.struct("sample_id", "candidate_id"))).alias("value"))
-    return readers.read_json_document(t.spark, _file(t, "doc", lambda p: whole.coalesce(1).write.text(p)), "sample_id string, candidate_id string")
+    """Lists of up to 1000 rows, each a JSON document of its own, read as a folder."""
+    rows = t.judge_flat().select("sample_id", "candidate_id", F.expr("_pos div 1000").alias("doc"))
+    whole = rows.groupBy("doc").agg(F.to_json(F.collect_list(F.struct("sample_id", "candidate_id"))).alias("value"))
+    write = lambda p: whole.repartition(F.col("doc")).write.partitionBy("doc").option("maxRecordsPerFile", 1).text(p)
+    return readers.read_json_document(t.spark, _file(t, "doc", write), "sample_id string, candidate_id string").select("sample_id", "candidate_id")
 
 
 @query("select sample_id, candidate_id from judge_flat", "judge_flat")

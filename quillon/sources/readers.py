@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillon.functions.text import text_or_empty
@@ -38,12 +39,38 @@ def samples_from(rows: DataFrame, ordinal: Column) -> DataFrame:
     return own.select(sample_id.alias("sample_id"), text_or_empty("query").alias("query"), *levels, *[pick(c).alias(c) for c in OPTIONAL], reference_answers(rows.columns).alias("reference_answers"), "_ordinal")
 
 
+def numbered_csv(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
+    """The columns of a CSV, or of a folder of CSVs in the order of their names, and its rows with their number from 0 on (_at).
+
+    A CSV whose cells hold line breaks is read by one task, so its row ids are the order within the file; over several files
+    the rows of earlier ones are added.
+    """
+    rows = read_csv(spark, path)
+    names = rows.columns
+    if len(rows.inputFiles()) <= 1:
+        return names, rows.withColumn("_at", F.monotonically_increasing_id())
+    rows = rows.withColumns({"_file": F.input_file_name(), "_row": F.monotonically_increasing_id()})
+    files = rows.groupBy("_file").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rows = rows.join(files.select("_file", "_first", before.alias("_before")), "_file")
+    return names, rows.select(*[F.col(f"`{c}`") for c in names], (F.col("_row") - F.col("_first") + F.col("_before")).alias("_at"))
+
+
 def scan_samples(spark: SparkSession, path: str, max_rows: int | None = None) -> DataFrame:
-    """Samples of one CSV in file order. A CSV whose cells hold line breaks is read by one task, so its row ids are the order."""
-    out = samples_from(read_csv(spark, path), F.monotonically_increasing_id())
+    """Samples of a CSV, or of a folder of CSVs, numbered in order."""
+    _, rows = numbered_csv(spark, path)
+    out = samples_from(rows, F.col("_at"))
     return out.filter(F.col("_ordinal") < max(max_rows, 0)) if max_rows else out
 
 
+def raw_samples(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of a CSV as they are, with the sample_id that scan_samples gives them."""
+    names, rows = numbered_csv(spark, path)
+    number = (F.col("_at") + 1).cast("string")
+    own = F.coalesce(F.col("sample_id"), number) if "sample_id" in names else number
+    return rows.select(own.alias("sample_id"), *[F.col(f"`{c}`") for c in names if c != "sample_id"])
+
+
 def check_unique_ids(samples: DataFrame) -> DataFrame:
     """The samples; fails if two of them share an id."""
     twice = samples.groupBy("sample_id").count().filter("count > 1").limit(1).collect()

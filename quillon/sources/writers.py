@@ -36,9 +36,9 @@ def write_manual(existing: DataFrame, new: DataFrame, path: str) -> None:
 
 
 def write_patch(raw: DataFrame, zero: DataFrame, path: str) -> None:
-    """The raw rows of these samples as CSV, sample_id first."""
+    """The raw rows of these samples as a folder of CSV files, sample_id first."""
     own = raw.join(zero.select("sample_id"), "sample_id", "left_semi")
-    own.select("sample_id", *[f"`{c}`" for c in raw.columns if c not in ("sample_id", "_ordinal")]).coalesce(1).write.mode("overwrite").csv(path, header=True, quoteAll=True, escape='"')
+    own.select("sample_id", *[f"`{c}`" for c in raw.columns if c not in ("sample_id", "_ordinal")]).write.mode("overwrite").csv(path, header=True, quoteAll=True, escape='"')
 
 
 def write_stats(stats: DataFrame, path: str) -> None:

@@ -1,3 +1,4 @@
+import hashlib
 import json
 
 import pytest
@@ -151,3 +152,93 @@ def test_stream_judges_once(spark, samples, tmp_path):
     assert run("c") == [("1", "c1"), ("2", "c2")]
     (source / "b.jsonl").write_text(line("3", "c3") + line("1", "c1"))
     assert run("c") == run("new checkpoint") == [("1", "c1"), ("2", "c2"), ("3", "c3")]
+
+
+class Counting(models.StubClient):
+    """Writes a line a call to a file, and gives no JSON where the prompt is met for the first time."""
+
+    def __init__(self, path, spoil=False):
+        super().__init__()
+        self.path, self.spoil = path, spoil
+
+    def complete(self, model_name, prompt):
+        key = hashlib.sha1(f"{model_name} {prompt}".encode()).hexdigest()
+        known = self.path.exists() and key in self.path.read_text().splitlines()
+        with self.path.open("a") as f:
+            f.write(f"{key}\n")
+        return "no object" if self.spoil and not known else super().complete(model_name, prompt)
+
+
+def test_replies_are_asked_for_once(spark, samples, tmp_path):
+    path, store = tmp_path / "calls", f"file://{tmp_path}/replies"
+    rows = samples.select("sample_id", F.lit("m").alias("model"), F.concat(F.lit("JSON "), "sample_id").alias("prompt"))
+    rows = rows.unionByName(rows).unionByName(rows.limit(1).withColumn("prompt", F.lit(None).cast("string")))
+    calls = lambda: len(path.read_text().splitlines())
+    got = models.ask(rows, "prompt", "model", lambda: Counting(path), store=store)
+    assert got.columns == [*rows.columns, "reply", "reply_error"] and got.count() == 7 and got.filter("reply is null and reply_error = 'no prompt'").count() == 1
+    assert got.filter("reply is not null and reply_error is null").count() == 6 and calls() == 3
+    again = models.ask(rows, "prompt", "model", lambda: Counting(path), store=store)
+    assert again.count() == 7 and calls() == 3
+    assert models.ask(rows, "prompt", "model", lambda: Counting(path), store=store, run=1).count() == 7 and calls() == 6
+
+
+def test_replies_that_do_not_parse_are_asked_for_again(spark, samples, tmp_path):
+    made = stages.generate(samples, config.model_table(spark, MODELS), models.StubClient)
+    judged = stages.judge_deductions(made, samples, "j", lambda: Counting(tmp_path / "a", spoil=True), how={"first_delay": 0})
+    assert judged.count() == made.count()
+    once = stages.judge_deductions(made, samples, "j", lambda: Counting(tmp_path / "b", spoil=True), how={"first_delay": 0, "tries": 1})
+    assert once.count() == 0
+
+
+def test_two_answers_stay_or_go_together(spark, tmp_path):
+    path = tmp_path / "two.csv"
+    path.write_text("query,answer_a,answer_b,winner\nq1,one,two,a\nq2,,x,\nq3,y,bad,b\n", encoding="utf-8")
+
+    class Picky(models.StubClient):
+        def complete(self, model_name, prompt):
+            return "no object" if "bad" in prompt.rpartition("Answer:")[2] else super().complete(model_name, prompt)
+
+    got = stages.judge_two_answers(readers.scan_two_answers(spark, str(path)), "j", Picky, how={"first_delay": 0}).orderBy("sample_id").collect()
+    assert [(r.sample_id, r.query) for r in got] == [("0", "q1"), ("1", "q2")] and all(r.total_score_20_a is not None and r.total_score_20_b is not None for r in got)
+
+
+def test_commands(spark, tmp_path):
+    from quillon.__main__ import run
+
+    (tmp_path / "raw.csv").write_text(CSV, encoding="utf-8")
+    (tmp_path / "run.json").write_text(json.dumps({"generators": [{"name": "m1"}, {"name": "m2"}], "judges": [{"name": "j"}], "output_dir": f"{tmp_path}/out"}))
+    made = {x: run(spark, x, str(tmp_path / "raw.csv"), str(tmp_path / "run.json")) for x in ("generate", "judge", "pairs", "patch", "repair", "two-answers")}
+    assert spark.read.parquet(made["generate"]).count() == 6 and spark.read.parquet(made["judge"]).count() == 6
+    assert spark.read.parquet(made["pairs"]).count() == 3 and spark.read.parquet(made["repair"]).count() == 3
+    assert "sample_id" in spark.read.csv(made["patch"], header=True).columns or not spark.read.csv(made["patch"], header=True).columns
+    with pytest.raises(ValueError):
+        run(spark, "generate", str(tmp_path / "raw.csv"), str(tmp_path / "run.json"), "unknown")
+
+
+def test_rows_of_several_files_are_numbered_in_order(spark, tmp_path):
+    for i in range(3):
+        (tmp_path / f"part{i}.csv").write_text("query\n" + "".join(f'"q{i}\n{k}"\n' for k in range(3)), encoding="utf-8")
+    got = readers.scan_samples(spark, str(tmp_path)).orderBy("_ordinal").collect()
+    assert [r.query for r in got] == [f"q{i}\n{k}" for i in range(3) for k in range(3)] and [r.sample_id for r in got] == [str(k + 1) for k in range(9)]
+    assert readers.scan_samples(spark, str(tmp_path), 5).count() == 5
+
+
+def test_writers(spark, samples, tmp_path):
+    writers.append_csv(samples.select("sample_id", "query"), str(tmp_path / "c"))
+    writers.append_csv(samples.select("sample_id", "query"), str(tmp_path / "c"))
+    assert readers.read_csv(spark, str(tmp_path / "c")).count() == 6
+    writers.write_patch(samples.select("query", "sample_id", "_ordinal"), samples.filter("sample_id = '1'"), str(tmp_path / "p"))
+    back = readers.read_csv(spark, str(tmp_path / "p"))
+    assert back.columns == ["sample_id", "query"] and [r.sample_id for r in back.collect()] == ["1"]
+    writers.write_stats(samples.groupBy("query").count(), str(tmp_path / "s"))
+    assert spark.read.json(f"{tmp_path}/s/stats.jsonl").count() == 3 and readers.read_csv(spark, f"{tmp_path}/s/stats.csv").count() == 3
+    old = spark.createDataFrame([("1", "f", 1), ("2", "f", 2)], "sample_id string, source_file string, x int")
+    writers.write_manual(old, spark.createDataFrame([("2", "f", 3)], old.schema), str(tmp_path / "m"))
+    assert sorted((r.sample_id, r.x) for r in spark.read.json(str(tmp_path / "m")).collect()) == [("1", 1), ("2", 3)]
+    settings = config.read_config(spark, _written(tmp_path / "c.json", json.dumps({"generators": [{"name": "m"}]})), "a/b.csv")
+    assert settings.generators[0].name == "m" and settings.folder == "a/b"
+
+
+def _written(path, text):
+    path.write_text(text)
+    return str(path)
