@@ -110,10 +110,10 @@ def rich_pairs(t):
     return out.withColumn("context_length", F.length("context").cast("long")).drop("context")
 
 
-@query("select sample_id, candidate_id, cast(row_number() over (order by total_score_20 > 10 desc, case when total_score_20 > 10 then 0 else total_score_20 end desc, _pos) as bigint) as place from judge_flat where sample_id = '8'", "judge_flat")
+@query("select sample_id, candidate_id, cast(row_number() over (partition by sample_id order by total_score_20 > 10 desc, case when total_score_20 > 10 then 0 else total_score_20 end desc, _pos) as bigint) as place from judge_flat", "judge_flat")
 def sort_results(t):
-    """One sample's results in display order: what is no number first. Here scores over 10 stand for those."""
-    one = t.judge_flat().filter("sample_id = '8'").withColumn("shown", F.when(F.col("total_score_20") > 10, F.lit("n/a")).otherwise(F.col("total_score_20").cast("string")))
+    """Each sample's results in display order: what is no number first. Here scores over 10 stand for those."""
+    one = t.judge_flat().withColumn("shown", F.when(F.col("total_score_20") > 10, F.lit("n/a")).otherwise(F.col("total_score_20").cast("string")))
     ordered = R.sort_results(one, "shown").select("sample_id", "candidate_id", "shown", "_pos")
     place = F.row_number().over(W.partitionBy("sample_id").orderBy(F.desc_nulls_first(F.col("shown").try_cast("double")), "_pos"))
     return ordered.select("sample_id", "candidate_id", place.cast("long").alias("place"))
@@ -237,12 +237,12 @@ def generated_rows_all(t):
 
 
 @query(
-    f"""select sample_id, candidate_id, md5(response) as response_md5 from candidates where {strip_sql("coalesce(response, '')")} <> '' and _pos % 2 = 0""", "candidates"
+    f"""select sample_id, candidate_id, md5(response) as response_md5 from candidates where {strip_sql("coalesce(response, '')")} <> ''""", "candidates"
 )
 def response_index(t):
-    """Scores with the response of their candidate; here every second candidate of a sample is scored."""
+    """Scores with the response of their candidate."""
     own = t.candidates()
-    scores = own.filter("_pos % 2 = 0").select("sample_id", F.concat("candidate_id", F.lit("#"), F.col("_pos").cast("string")).alias("candidate_id"))
+    scores = own.select("sample_id", F.concat("candidate_id", F.lit("#"), F.col("_pos").cast("string")).alias("candidate_id"))
     texts = own.select("sample_id", F.concat("candidate_id", F.lit("#"), F.col("_pos").cast("string")).alias("candidate_id"), "response")
     return C.with_valid_text(scores, texts).select("sample_id", F.substring_index("candidate_id", "#", 1).alias("candidate_id"), F.md5("response").alias("response_md5"))
 
