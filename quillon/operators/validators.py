@@ -20,8 +20,11 @@ _STRICT = {"allowSingleQuotes": "false"}
 
 
 def parse_data(text: Column) -> Column:
-    """The data JSON as a struct; null where there is none."""
-    return F.from_json(text, DATA, _STRICT)
+    """The data JSON as a struct; null where the text is no JSON object or an empty one."""
+    # Within brackets, text behind the object is an error or a second item.
+    items = F.concat(F.lit("["), text, F.lit("]"))
+    held = F.try_parse_json(items).isNotNull() & (F.json_array_length(items) == 1) & (F.size(F.json_object_keys(text)) > 0)
+    return F.when(held, F.from_json(text, DATA, _STRICT))
 
 
 def _penalty(rule: str, score: float, reason: Column | str, excerpt: Column | str = "") -> Column:

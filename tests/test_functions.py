@@ -137,3 +137,10 @@ def test_first_of_equal_penalties_wins(spark):
     got = {r.rule_id: (r.score, r.reason) for r in N.dedup_keep_max(df).collect()}
     assert got == {"A": (5.0, "first"), "B": (20.0, "y")}
     assert math.isclose(N.total_scores(spark.createDataFrame([(1,), (2,)], "answer int"), N.dedup_keep_max(df)).filter("answer = 1").first().total_score, 0.0)
+
+
+def test_data_json_is_a_filled_object_or_null(spark):
+    texts = [None, "", " d: x", "{}", "[1]", "5", "null", '{"a":', "{'a': 1}", '{"a": 1} x', '{"a": 1}, {"b": 2}', '{"a": 1}', ' {"sleep": {"score": 7}} ']
+    got = values(spark, "string", texts, V.parse_data)
+    assert [x is not None for x in got] == [False] * 11 + [True] * 2
+    assert got[-1]["sleep"]["score"] == "7"
