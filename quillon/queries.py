@@ -447,12 +447,12 @@ def judge_history(t):
     return t.samples().select("sample_id", P.judge_history().alias("history"))
 
 
-@query(
-    f"""select sample_id, concat_ws({_NL} || {_NL}, '## 模块数据', '[个人数据]' || {_NL} || coalesce(data, ''), '[课程库]' || {_NL} || coalesce(service, ''),
+_DEDUCTION_MODULES = f"""concat_ws({_NL} || {_NL}, '## 模块数据', '[个人数据]' || {_NL} || coalesce(data, ''), '[课程库]' || {_NL} || coalesce(service, ''),
     case when coalesce(rag, '') <> '' or coalesce(suggest, '') <> '' then '[知识库知识]' || {_NL} || concat_ws({_NL}, nullif(rag, ''), nullif(rag, ''), nullif(suggest, '')) end,
-    case when coalesce(suggest, '') <> '' then '[专家建议]' || {_NL} || suggest end) as modules from samples""",
-    "samples",
-)
+    case when coalesce(suggest, '') <> '' then '[专家建议]' || {_NL} || suggest end)"""
+
+
+@query(f"select sample_id, {_DEDUCTION_MODULES} as modules from samples", "samples")
 def deduction_modules(t):
     return t.samples().select("sample_id", P.deduction_modules().alias("modules"))
 
@@ -464,13 +464,12 @@ def deduction_inputs(t):
 
 
 @query(
-    f"""select sample_id, case when {strip_sql("coalesce(service, '')")} <> '' then {strip_sql("coalesce(service, '')")} || chr(10) else '' end as service, {strip_sql("coalesce(query, '')")} as query, case when coalesce(last_query, '') = '' and coalesce(last_answer_phone, '') = '' then 0 else 1 end as has_history from samples
-    where strpos(coalesce(query, ''), '[') = 0""",
+    f"""select sample_id, case when {strip_sql("coalesce(service, '')")} <> '' then {strip_sql("coalesce(service, '')")} || chr(10) else '' end as service, {strip_sql("coalesce(query, '')")} as query, case when coalesce(last_query, '') = '' and coalesce(last_answer_phone, '') = '' then 0 else 1 end as has_history from samples""",
     "samples",
 )
 def parse_context(t):
     """Sections out of built contexts: courses (with the blank line behind them), question and whether there is a history."""
-    own = t.samples().filter("instr(ifnull(query, ''), '[') = 0").select("sample_id", P.parse_context(P.context_text()).alias("p"))
+    own = t.samples().select("sample_id", P.parse_context(P.context_text()).alias("p"))
     return own.select("sample_id", "p.service", "p.query", F.when(F.col("p.last_answer_phone") == "", 0).otherwise(1).alias("has_history"))
 
 
@@ -873,28 +872,93 @@ def _made(t):
     return stages.generate(_run_inputs(t), table, models.StubClient)
 
 
-@query(", m as (select model_type, model_name from generators union all select 'reference', 'b_answer') select sample_id, sample_id || '::' || model_name || '::' || substr(sha1(sample_id || '::' || model_name), 1, 8) as candidate_id, model_type, model_name, case when model_type = 'reference' then coalesce(nullif(b_answer, ''), nullif(a_answer, ''), '（无）') end as reference from samples cross join m", "samples", "generators")
+#: What the stub client makes of a prompt, and the candidates that it generates, as SQL.
+def _stub_sql(model: str, prompt: str) -> str:
+    return f"('0x' || substr(sha1({model} || {_NL} || {prompt}), 1, 8))::bigint"
+
+
+def _text_sql(x: str) -> str:
+    return "'" + x.replace("'", "''").replace("\n", f"' || {_NL} || '") + "'"
+
+
+def _prompt_sql(template: str, **values: str) -> str:
+    out = _text_sql(template)
+    for name, value in values.items():
+        out = out.replace(f"${name}", f"' || ({value}) || '")
+    return out
+
+
+_MADE = f""", models as (select model_type, model_name from generators union all select 'reference', 'b_answer'),
+    prompts as (select *, 'system: {stages.SYSTEM}' || {_NL} || 'user: ' || concat_ws({_NL} || {_NL}, {_CONTEXT}, query, 'Answer the question with the help of this context.') as prompt from samples),
+    made as (select *, sample_id || '::' || model_name || '::' || substr(sha1(sample_id || '::' || model_name), 1, 8) as candidate_id,
+        case when model_type = 'reference' then coalesce(nullif(b_answer, ''), nullif(a_answer, ''), {_MARK}) else '- answer ' || ({_stub_sql("model_name", "prompt")} % 1000) || ' of ' || model_name end as response,
+        cast(dense_rank() over (partition by sample_id order by model_type, model_name) as integer) as _pos from prompts cross join models)"""
+
+
+@query(f"{_MADE} select sample_id, candidate_id, model_type, model_name, response from made", "samples", "generators")
 def generate(t):
     """Candidates of all configured models by the stub client, and the sample's own answers."""
-    return _made(t).select("sample_id", "candidate_id", "model_type", "model_name", F.when(F.col("model_type") == "reference", F.col("response")).alias("reference"))
+    return _made(t).select("sample_id", "candidate_id", "model_type", "model_name", "response")
 
 
-@query(None)
+_TURN = f"case when {_LQ} <> '' then 'user: ' || {_LQ} else {_SKIP} end"
+_JUDGE_INPUT = f"concat_ws({_NL}, case when {_LQ} <> '' or {_LA} <> '' then {_TURN} end, case when {_LA} <> '' then 'assistant: ' || {_LA} end, 'user: ' || coalesce(query, ''))"
+_JUDGE_HISTORY = f"case when {_LA} <> '' then {_TURN} || {_NL} || 'assistant: ' || {_LA} else {_MARK} end"
+
+
+def _judged_sql(**values: str) -> str:
+    """made with the hash of the stub's reply to both judges' prompts: g and s."""
+    g, s = (_stub_sql("'judge'", _prompt_sql(x, **values, answer="coalesce(response, '')")) for x in (stages.GROUND_PROMPT, stages.STRUCTURE_PROMPT))
+    return f"{_MADE}, judged as (select *, {g} as g, {s} as s from made)"
+
+
+def _mean_sql(h: str) -> str:
+    return "(" + " + ".join(f"({h} >> {i}) % 6" for i in range(4)) + ") / 4::double"
+
+
+@query(
+    f"""{_judged_sql(modules=_MODULES, history=_JUDGE_HISTORY, input=_JUDGE_INPUT)} select sample_id, candidate_id, model_type, model_name, 'judge' as judge, {_mean_sql("g")} as ground_score, {_mean_sql("s")} as structure_score,
+    ({_mean_sql("g")} + {_mean_sql("s")}) / 2 as aggregate_score, cast(null as varchar) as notes, _pos from judged""",
+    "samples", "generators",
+)
 def judge_mean(t):
     """Both judges of the mean scale by the stub client."""
     return stages.judge_mean(_made(t), _run_inputs(t), "judge", models.StubClient).drop("ground_raw", "structure_raw")
 
 
-@query(None)
+_HIT = "list_filter([0, 1, 2, 3], lambda i: ({h} >> i) & 1 = 1 and ({h} >> (i + 4)) & 1 = 1)"
+_FOUND = f"""{_judged_sql(modules=_DEDUCTION_MODULES, history="coalesce('assistant: ' || last_answer_phone, '')", input="case when coalesce(query, '') <> '' then 'user: ' || query else '' end")},
+    hits as (select *, {_HIT.format(h="g")} as gs, {_HIT.format(h="s")} as ss from judged),
+    found as (select *, list_transform(gs || list_filter(ss, lambda i: not list_contains(gs, i)), lambda i: [{{'r': 'REDUNDANT', 'v': 3.0, 'g': 0.0, 'w': 'stub'}}, {{'r': 'THIN_CONTENT', 'v': 5.0, 'g': 0.0, 'w': 'stub'}},
+        {{'r': 'FACT_LOGIC_ISSUE', 'v': 10.0, 'g': 10.0, 'w': 'stub'}}, {{'r': 'NUM_COMPARE_ERROR', 'v': 20.0, 'g': 20.0, 'w': 'stub'}}][i + 1]) as hit,
+        regexp_matches(response, '#|- |[*] ') or (contains(response, '|') and contains(response, {_NL} || '|-')) as marked from hits),
+    kept as (select *, case when len(hit) > 0 or marked then hit else [{{'r': 'NO_MARKDOWN', 'v': 5.0, 'g': 0.0, 'w': 'no Markdown structure'}}] end as p from found),
+    sums as (select *, coalesce(list_sum(list_transform(p, lambda x: x.v)), 0)::double as v, coalesce(list_sum(list_transform(p, lambda x: x.g)), 0)::double as gv from kept),
+    totals as (select *, greatest(0, 20 - v) as total from sums)"""
+
+
+@query(
+    f"""{_FOUND} select sample_id, candidate_id, model_type, model_name, 'judge' as judge, greatest(0, 20 - gv) / 4 as ground_score, greatest(0, 20 - (v - gv)) / 4 as structure_score, total / 4 as aggregate_score, total as total_score_20,
+    case when total >= 12 then 1 else 0 end as label, round(least(5, greatest(0.1, pow(greatest(0, abs(total - 12) - 0.5) / 20, 1.5) * 1.425)), 6) as weight, 0.85::double as confidence, _pos,
+    '[' || array_to_string(list_transform(p, lambda x: '{{"rule_id":"' || x.r || '","score":' || x.v || ',"reason":"' || x.w || '","excerpt":""}}'), ',') || ']' as penalties_json_20, 0 as repeat_idx from totals""",
+    "samples", "generators",
+)
 def judge_deductions(t):
     """Validators, both judges of the deduction scale by the stub client, labels and weights."""
-    return stages.judge_deductions(_made(t), _run_inputs(t), "judge", models.StubClient).drop("penalties")
+    return stages.judge_deductions(_made(t), _run_inputs(t), "judge", models.StubClient).drop("penalties").withColumns(rounded("weight"))
 
 
-@query(None)
+_REPAIRED = f"case when model_type = 'reference' and _pos % 2 = 0 then '{X.PLACEHOLDER}' else response end"
+
+
+@query(
+    f"{_MADE} select sample_id, cast(count(*) as integer) as n, string_agg(model_name, ',' order by _pos) as models, md5(string_agg({_REPAIRED}, {_NL} order by _pos)) as responses_md5 from made group by sample_id",
+    "samples", "generators",
+)
 def repair(t):
-    """Missing candidates and placeholders made anew by the stub client."""
+    """Missing candidates and placeholders made anew by the stub client; the reference, which is not configured here, stays."""
     made = _made(t).withColumn("response", F.when(F.col("_pos") % 2 == 0, F.lit(X.PLACEHOLDER)).otherwise(F.col("response")))
     table = t.generators().withColumn("gen_config", F.lit("{}"))
     out = stages.repair(_run_inputs(t), table, made, models.StubClient)
-    return out.select("sample_id", F.size("candidates").alias("n"), F.array_join(F.transform("candidates", lambda c: c["model_name"]), ",").alias("models"))
+    text = lambda c: F.transform("candidates", lambda x: x[c])
+    return out.select("sample_id", F.size("candidates").alias("n"), F.array_join(text("model_name"), ",").alias("models"), F.md5(F.array_join(text("response"), "\n")).alias("responses_md5"))
