@@ -82,6 +82,13 @@ def sleep_grade(answer: Column, data: Column) -> Column:
     return F.array_compact(F.transform(due, lacking))
 
 
+def is_ungradable(data: Column) -> Column:
+    """Whether there are thresholds for a score that is no number: such an answer cannot be judged."""
+    score = data["sleep"]["score"]
+    thresholds = F.coalesce(F.startswith(F.trim(data["sleep"]["score_thresholds"]), F.lit("{")), F.lit(False))
+    return thresholds & score.isNotNull() & score.try_cast("double").isNull()
+
+
 def is_graded(data: Column) -> Column:
     return data["sleep"]["score"].isNotNull() & data["sleep"]["score_thresholds"].isNotNull()
 

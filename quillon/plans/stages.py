@@ -16,7 +16,7 @@ from quillon.operators.incremental import all_zero_samples, drop_failed, drop_fa
 from quillon.operators.penalties import average_confidence, checks_to_penalties, zero_penalty_guard
 from quillon.operators.ranking import preference_pairs, rank_candidates
 from quillon.operators.stats import check_mean
-from quillon.operators.validators import is_graded, parse_data, run_validators
+from quillon.operators.validators import is_graded, is_ungradable, parse_data, run_validators
 from quillon.plans.models import Client, ask
 from quillon.schemas import PENALTY
 from quillon.sources.readers import samples_from
@@ -88,8 +88,9 @@ def score_penalties(judged: DataFrame, penalties: Column, confidence: Column, **
 
 
 def judge_deductions(candidates: DataFrame, samples: DataFrame, judge: str, client: Callable[[], Client], repeat: int = 0, how: dict | None = None, **parameters) -> DataFrame:
-    """Scores from 20 downwards, labels and weights; a candidate whose judge fails is dropped."""
+    """Scores from 20 downwards, labels and weights; a candidate whose judge fails, or whose data has a score that cannot be graded, is dropped."""
     own = candidates.join(samples, "sample_id").withColumns({"judge": F.lit(judge), "_data": parse_data(F.col("data"))})
+    own = own.filter(~F.coalesce(is_ungradable(F.col("_data")), F.lit(False)))
     user, history = P.deduction_inputs()
     values = {"input": user, "history": history, "modules": P.deduction_modules(F.when(F.col("_data").isNotNull(), F.col("data"))), "answer": F.col("response")}
     own = own.withColumns({"ground_prompt": P.render_once(GROUND_PROMPT, values), "structure_prompt": P.render_once(STRUCTURE_PROMPT, values)})

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillon.functions.text import text_or_empty
+from quillon.functions.text import filled, text_or_empty
 
 #: CSV headers that are renamed, and the two families of reference answers.
 RENAMED = {"一级分类": "category_level1", "二级分类": "category_level2", "三级分类": "category_level3"}
@@ -91,6 +91,44 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, bad: str = "fail") -
         return spark.createDataFrame([], ddl)
 
 
+def numbered_lines(spark: SparkSession, path: str) -> DataFrame:
+    """Lines of text files (value) with their file (_file) and number within it from 1 on (_line_no).
+
+    A file may be read in several splits: each split counts its lines, and the counts of earlier ones are added.
+    """
+    place = F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")
+    lines = spark.read.text(path).select("value", *place, F.monotonically_increasing_id().alias("_row"))
+    splits = lines.groupBy("_file", "_block").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
+    earlier = W.partitionBy("_file").orderBy("_block").rowsBetween(W.unboundedPreceding, -1)
+    splits = splits.withColumn("_before", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
+    return lines.join(splits, ["_file", "_block"]).select("value", "_file", (F.col("_row") - F.col("_first") + F.col("_before") + 1).alias("_line_no"))
+
+
+def read_jsonl_lines(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """JSON Lines with the place of each (_file, _line_no); a line that is no JSON is kept in _raw, blank ones are skipped."""
+    lines = numbered_lines(spark, path).filter(filled("value"))
+    parsed = F.from_json("value", f"{schema}, _raw string", {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_raw"})
+    return lines.select(parsed.alias("_p"), "_file", "_line_no").select("_p.*", "_file", "_line_no")
+
+
+def read_stage(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Rows that an earlier stage wrote as JSON Lines; a missing or empty path is an error."""
+    rows = read_jsonl(spark, path, schema)
+    if rows.isEmpty():
+        raise ValueError(f"{path} is missing or empty: run the stage that writes it first")
+    return rows
+
+
+def result_files(spark: SparkSession, folder: str) -> list[str]:
+    """JSON Lines and JSON files below a folder, sorted."""
+    return sorted(spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{jsonl,json}").text(folder).inputFiles())
+
+
+def default_file(files: list[str]) -> str | None:
+    """The first file with results on the deduction scale, else with results at all, else the first one."""
+    return next((f for mark in ("judge_results_kto", "judge_results", "") for f in files if mark in f), None)
+
+
 def read_json_document(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """A whole file as one JSON value: a list gives its items, an object one row."""
     return spark.read.schema(schema).json(path, multiLine=True)

@@ -35,6 +35,14 @@ def write_manual(existing: DataFrame, new: DataFrame, path: str) -> None:
     write_jsonl(manual_upsert(existing, new, "sample_id", "source_file"), path)
 
 
+def merge_manual(old: DataFrame, new: DataFrame, path: str) -> None:
+    """Like write_manual, with old as read_jsonl_lines gives it: its lines that are no JSON are written again as they were."""
+    good = old.filter("_raw is null").drop("_raw", "_file", "_line_no")
+    merged = manual_upsert(good, new.select(good.columns), "sample_id", "source_file")
+    lines = merged.select(F.to_json(F.struct(*[f"`{c}`" for c in good.columns]), {"ignoreNullFields": "false"}).alias("value"))
+    lines.union(old.filter("_raw is not null").select("_raw")).write.mode("overwrite").text(path)
+
+
 def write_patch(raw: DataFrame, zero: DataFrame, path: str) -> None:
     """The raw rows of these samples as a folder of CSV files, sample_id first."""
     own = raw.join(zero.select("sample_id"), "sample_id", "left_semi")

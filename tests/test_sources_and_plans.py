@@ -242,3 +242,45 @@ def test_writers(spark, samples, tmp_path):
 def _written(path, text):
     path.write_text(text)
     return str(path)
+
+
+def test_bad_lines_keep_their_number(spark, tmp_path):
+    (tmp_path / "a.jsonl").write_text('{"x": 1}\n\n{"x":\n{"x": 2}\n', encoding="utf-8")
+    (tmp_path / "b.jsonl").write_text("no\n" + '{"x": 3}\n' * 4000, encoding="utf-8")
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "8192")
+    try:
+        rows = readers.read_jsonl_lines(spark, str(tmp_path), "x int").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    of = lambda name: sorted((r["_line_no"], r["x"], r["_raw"]) for r in rows if r["_file"].endswith(name))
+    assert of("a.jsonl") == [(1, 1, None), (3, None, '{"x":'), (4, 2, None)]
+    assert of("b.jsonl")[0] == (1, None, "no") and of("b.jsonl")[1:] == [(i, 3, None) for i in range(2, 4002)]
+
+
+def test_stage_files(spark, tmp_path):
+    (tmp_path / "empty.jsonl").write_text("")
+    (tmp_path / "judge_results.jsonl").write_text('{"x": 1}\n')
+    for name in ("empty.jsonl", "none.jsonl"):
+        with pytest.raises(ValueError):
+            readers.read_stage(spark, str(tmp_path / name), "x int")
+    assert readers.read_stage(spark, str(tmp_path / "judge_results.jsonl"), "x int").count() == 1
+    files = readers.result_files(spark, str(tmp_path))
+    assert [f.rpartition("/")[2] for f in files] == ["empty.jsonl", "judge_results.jsonl"] and readers.default_file(files) == files[1]
+    assert readers.default_file([*files, "judge_results_kto.jsonl"]) == "judge_results_kto.jsonl" and readers.default_file([]) is None
+
+
+def test_merged_human_ranks_keep_bad_lines(spark, tmp_path):
+    schema = "sample_id string, source_file string, x int"
+    (tmp_path / "m.jsonl").write_text('{"sample_id": "1", "source_file": "f", "x": 1}\n{broken\n{"sample_id": "2", "source_file": "f"}\n')
+    new = spark.createDataFrame([("2", "f", 3)], schema)
+    writers.merge_manual(readers.read_jsonl_lines(spark, str(tmp_path / "m.jsonl"), schema), new, str(tmp_path / "out"))
+    back = readers.read_jsonl(spark, str(tmp_path / "out"), schema, "keep").collect()
+    assert sorted(repr((r.sample_id, r.x, r["_raw"])) for r in back) == sorted(map(repr, [("1", 1, None), ("2", 3, None), (None, None, "{broken")]))
+
+
+def test_score_that_is_no_number_drops_the_candidate(spark, samples):
+    made = stages.generate(samples, config.model_table(spark, MODELS), models.StubClient)
+    graded = lambda score: samples.withColumn("data", F.lit('{"sleep": {"score": "%s", "score_thresholds": {"poor": [0, 40]}}}' % score))
+    assert stages.judge_deductions(made, graded("n/a"), "j", models.StubClient).count() == 0
+    assert stages.judge_deductions(made, graded("30"), "j", models.StubClient).count() == made.count()
