@@ -6,7 +6,9 @@ ZIP64 form), parses the central directory, looks up where the members' bytes beg
 neighbouring records by range.
 
 Of pages with equal payloads of at least a given size the one with the smallest page_id is a response record; the others are
-revisit records that refer to it and hold no payload, only the HTTP header with its length, and its digest.
+revisit records that refer to it and hold no payload, only the HTTP header with its length, and its digest. Record ids are
+unique; pages are named by a header field of their own (Page-ID), because ids of pages may repeat or be null. A revisit names
+the response by its page (Refers-To-Page-ID), target URI and date.
 
 Defined results: a null html is an empty payload; a null url leaves the target URI out; rows with a null page_id refer like
 others but are referred to by none, unless no page of that payload has an id (then all are responses); repeated rows that
@@ -46,16 +48,24 @@ def digest(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None) -> bytes:
+def numbered(file_id: uuid.UUID, n: int) -> uuid.UUID:
+    """The id of record n of a file: that of the file with the number in its last 40 bits."""
+    return uuid.UUID(int=file_id.int >> 40 << 40 | n)
+
+
+def record(record_id: uuid.UUID, page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, refers_url: str | None = None) -> bytes:
     """One WARC record; a revisit if it refers to a page."""
-    urn = lambda x: f"<urn:page:{'' if x is None else x}>"
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {len(payload)}\r\n\r\n".encode()
     block = http + payload if refers_to is None else http
-    head = [f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: {urn(page_id)}", f"WARC-Date: {DATE}"]
+    head = [f"WARC-Type: {'response' if refers_to is None else 'revisit'}", f"WARC-Record-ID: <{record_id.urn}>", f"WARC-Date: {DATE}"]
+    if page_id is not None:
+        head.append(f"Page-ID: {page_id}")
     if url is not None:
         head.append("WARC-Target-URI: " + " ".join(url.split()))
     if refers_to is not None:
-        head += [f"WARC-Refers-To: {urn(refers_to)}", f"WARC-Profile: {PROFILE}"]
+        head += [f"Refers-To-Page-ID: {refers_to}", f"WARC-Refers-To-Date: {DATE}", f"WARC-Profile: {PROFILE}"]
+        if refers_url is not None:
+            head.append("WARC-Refers-To-Target-URI: " + " ".join(refers_url.split()))
     head += [f"WARC-Payload-Digest: sha1:{digest(payload)}", "Content-Type: application/http; msgtype=response", f"Content-Length: {len(block)}"]
     return ("WARC/1.1\r\n" + "\r\n".join(head) + "\r\n\r\n").encode() + block + b"\r\n\r\n"
 
@@ -74,7 +84,7 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes, bytes]:
 def row_of(data: bytes) -> tuple:
     """What RECORD says of one record; a response's digest and size are those of the payload itself."""
     headers, http, payload = parsed(data)
-    number = lambda x: int(x.rstrip(">").rpartition(":")[2]) if x and x.rstrip(">")[-1] != ":" else None
+    number = lambda name: int(headers[name]) if name in headers else None
     kind = headers["warc-type"]
     stated = headers["warc-payload-digest"].removeprefix("sha1:")
     if kind == "response":
@@ -83,7 +93,7 @@ def row_of(data: bytes) -> tuple:
         size = len(payload)
     else:
         size = next(int(x[15:]) for x in http.decode().split("\r\n") if x.lower().startswith("content-length:"))
-    return number(headers["warc-record-id"]), size, stated, kind, number(headers.get("warc-refers-to"))
+    return number("page-id"), size, stated, kind, number("refers-to-page-id")
 
 
 def members(source) -> dict[str, tuple[int, int]]:
@@ -144,12 +154,12 @@ def records(source) -> Iterator[bytes]:
 
 
 def with_references(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """page_id, url, html and refers_to (the response's page_id, null for responses)."""
+    """page_id, url, html, and the response's page_id (refers_to, null for responses) and url (refers_url)."""
     payload = F.coalesce(F.col("html"), F.lit(""))
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha2(payload, 256).alias("_key"), F.octet_length(payload).alias("_bytes"))
-    first = own.groupBy("_key").agg(F.min("page_id").alias("_first"))
-    refers = F.when((F.col("_bytes") >= least_bytes) & (F.col("_first") < F.coalesce("page_id", F.lit(2**63 - 1))), F.col("_first"))
-    return own.join(first, "_key").select("page_id", "url", "html", refers.alias("refers_to"))
+    first = own.groupBy("_key").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("_first"))
+    refers = (F.col("_bytes") >= least_bytes) & (F.col("_first.page_id") < F.coalesce("page_id", F.lit(2**63 - 1)))
+    return own.join(first, "_key").select("page_id", "url", "html", F.when(refers, F.col("_first.page_id")).alias("refers_to"), F.when(refers, F.col("_first.url")).alias("refers_url"))
 
 
 def write_archives(pages: DataFrame, least_bytes: int = 0) -> tuple[str, DataFrame]:
@@ -163,13 +173,15 @@ def write_archives(pages: DataFrame, least_bytes: int = 0) -> tuple[str, DataFra
             for part in pieces(batch, "html"):
                 if out is None:
                     fs, place = shared_files(folder)
-                    name = f"part-{TaskContext.get().partitionId():06d}-{uuid.uuid4().hex}.zip"
+                    file_id = uuid.uuid4()
+                    name = f"part-{TaskContext.get().partitionId():06d}-{file_id.hex}.zip"
                     out = fs.open_output_stream(f"{place}/{name}")
                     pack = zipfile.ZipFile(out, "w", zipfile.ZIP_STORED)
                     member = pack.open(ARCHIVE, "w", force_zip64=True)
-                for page_id, url, html, refers_to in zip(part.column("page_id").to_pylist(), part.column("url").to_pylist(), utf8_of(part, "html"), part.column("refers_to").to_pylist()):
+                ids, urls, to, to_urls = (part.column(c).to_pylist() for c in ("page_id", "url", "refers_to", "refers_url"))
+                for page_id, url, html, refers_to, refers_url in zip(ids, urls, utf8_of(part, "html"), to, to_urls):
                     coder = zlib.compressobj(3, wbits=31)
-                    data = coder.compress(record(page_id, url, html, refers_to)) + coder.flush()
+                    data = coder.compress(record(numbered(file_id, len(index)), page_id, url, html, refers_to, refers_url)) + coder.flush()
                     member.write(data)
                     index.append(json.dumps({"page_id": page_id, "offset": at, "length": len(data)}))
                     at += len(data)

@@ -2,6 +2,7 @@ import collections
 import io
 import os
 import re
+import uuid
 import zipfile
 import zlib
 
@@ -259,6 +260,21 @@ def test_archives_round_trip(spark, empty):
     assert warc.read_archives(spark, *warc.write_archives(none)).count() == 0
 
 
+def test_record_ids_are_unique_and_name_clashes_do_no_harm(spark):
+    """Repeated rows, null ids, and columns named like those of the operator."""
+    data = [(1, "u", "x", 8, "k"), (1, "u", "x", 8, "k"), (None, "u", "y", None, None), (None, "u", "y", None, None), (4, "v", "x", 8, "k")]
+    pages = spark.createDataFrame(data, "page_id long, url string, html string, refers_to long, _key string")
+    folder, files = warc.write_archives(pages)
+    same([(r.page_id, r.record_type, r.refers_to) for r in warc.read_archives(spark, folder, files).collect()], [(1, "response", None), (1, "response", None), (None, "response", None), (None, "response", None), (4, "revisit", 1)])
+    heads = []
+    fs, place = warc.shared_files(folder)
+    for f in files.collect():
+        with fs.open_input_file(f"{place}/{f.file}") as source:
+            heads += [warc.parsed(x)[0] for x in warc.records(source)]
+    assert len({h["warc-record-id"] for h in heads}) == 5
+    assert [h["warc-refers-to-target-uri"] for h in heads if h["warc-type"] == "revisit"] == ["u"]
+
+
 def test_zip64_directory(monkeypatch):
     monkeypatch.setattr(zipfile, "ZIP64_LIMIT", 10)
     monkeypatch.setattr(zipfile, "ZIP_FILECOUNT_LIMIT", 1)
@@ -277,7 +293,7 @@ def test_zip64_directory(monkeypatch):
 
 
 def test_payload_that_lacks_its_digest_is_refused():
-    data = warc.record(1, "u", b"payload", None)
+    data = warc.record(uuid.uuid4(), 1, "u", b"payload", None)
     assert warc.row_of(data)[1] == 7
     with pytest.raises(ValueError):
         warc.row_of(data.replace(b"payload\r", b"pAyload\r"))

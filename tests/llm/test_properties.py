@@ -1,5 +1,7 @@
 """Properties of the parts that need no session."""
 
+import uuid
+
 import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -50,7 +52,7 @@ def test_fingerprints(text):
 @settings(max_examples=100, deadline=None)
 @given(st.one_of(st.none(), st.integers(0, 99)), st.one_of(st.none(), TEXT), st.binary(max_size=80), st.one_of(st.none(), st.integers(0, 99)))
 def test_records_parse_back(page, url, payload, refers):
-    got = warc.row_of(warc.record(page, url, payload, refers))
+    got = warc.row_of(warc.record(uuid.UUID(int=7), page, url, payload, refers, url))
     assert got == (page, len(payload), warc.digest(payload), "response" if refers is None else "revisit", refers)
 
 
