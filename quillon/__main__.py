@@ -1,16 +1,18 @@
-"""Commands of an evaluation run: python -m quillon COMMAND --data questions.csv --config run.json [--client NAME].
+"""Commands of an evaluation run: python -m quillon COMMAND --data questions.csv --config run.json [--client NAME] [--repeats N].
 
 generate, judge, pairs, patch and repair read what the commands before them left below the output folder; two-answers
-judges a table of its own. Replies of models are kept there, so a repeated command asks only for what is missing.
+judges a table of its own. judge asks every judge N times; with more than one run, judged holds what repeats come to. Replies of models are kept there, so a repeated command asks only for what is missing.
 """
 
 from __future__ import annotations
 
 import argparse
+import functools
 
 from pyspark.sql import DataFrame, SparkSession
 
 from quillon.operators.candidates import group_by_sample
+from quillon.operators.repeats import repeat_aggregate
 from quillon.plans import config, models, stages
 from quillon.sources import readers, writers
 
@@ -18,7 +20,7 @@ SCORES = ("sample_id", "_pos", "candidate_id", "model_name", "model_type", "aggr
 COMMANDS = ("generate", "judge", "pairs", "patch", "repair", "two-answers")
 
 
-def run(spark: SparkSession, command: str, data: str, settings: str, client: str = "stub") -> str:
+def run(spark: SparkSession, command: str, data: str, settings: str, client: str = "stub", repeats: int = 1) -> str:
     """Runs one command; the folder that it wrote."""
     own = config.read_config(spark, settings, data)
     out, ask = own.folder, models.client_named(client)
@@ -36,10 +38,10 @@ def run(spark: SparkSession, command: str, data: str, settings: str, client: str
     if command == "generate":
         return write(stages.generate(samples, table, ask, **stored("generate")), "generated")
     if command == "judge":
-        judged = [stages.judge_deductions(read("generated"), samples, j.model_name, ask, how=stored("judge")) for j in own.judges]
-        for more in judged[1:]:
-            judged[0] = judged[0].unionByName(more)
-        return write(judged[0], "judged")
+        runs = [stages.judge_deductions(read("generated"), samples, j.model_name, ask, repeat=i, how=stored("judge")) for j in own.judges for i in range(repeats)]
+        write(functools.reduce(DataFrame.unionByName, runs), "judged_runs")
+        judged = read("judged_runs")
+        return write(repeat_aggregate(judged, "judge") if repeats > 1 else judged, "judged")
     if command == "pairs":
         return write(stages.build_pairs(read("judged"), own.ranking.top_k, own.ranking.bottom_k, own.ranking.min_score_diff), "pairs")
     if command == "patch":
@@ -55,8 +57,9 @@ def main(arguments: list[str] | None = None) -> None:
     parser.add_argument("--data", required=True, help="CSV of questions, or of questions with two answers")
     parser.add_argument("--config", required=True, help="configuration of generators, judges and ranking")
     parser.add_argument("--client", default="stub", help="a registered client, or module:attribute")
+    parser.add_argument("--repeats", type=int, default=1, help="runs of each judge")
     given = parser.parse_args(arguments)
-    print(run(SparkSession.builder.appName("quillon").getOrCreate(), given.command, given.data, given.config, given.client))
+    print(run(SparkSession.builder.appName("quillon").getOrCreate(), given.command, given.data, given.config, given.client, given.repeats))
 
 
 if __name__ == "__main__":

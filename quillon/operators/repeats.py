@@ -5,44 +5,60 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-FIRST = ("model_type", "model_name", "judge")
+FIRST = ("candidate", "model_type", "model_name", "judge", "judge_meta", "_pos")
 MEANS = ("aggregate_score", "total_score_20")
 LISTS = ("ground_score", "structure_score")
+#: Parsed replies of the judges: structs of checks and confidence.
+OUTPUTS = ("ground_output", "structure_output")
 
 
-def _in_run_order(value: Column) -> Column:
-    """Values that are not null in the order of repeat_idx."""
-    held = F.collect_list(F.when(value.isNotNull(), F.struct("repeat_idx", value.alias("v"))))
-    return F.transform(F.array_sort(held), lambda x: x["v"])
+def _held(field: str) -> Column:
+    """The runs that have this field, in their order."""
+    return F.filter("_runs", lambda r: r[field].isNotNull())
 
 
-def repeat_lines(value: Column) -> Column:
+def _values(field: str) -> Column:
+    return F.transform(_held(field), lambda r: r[field])
+
+
+def repeat_lines(field: str) -> Column:
     """'run: value' lines, runs counted from 1."""
-    held = F.array_sort(F.collect_list(F.when(value.isNotNull(), F.struct("repeat_idx", value.cast("string").alias("v")))))
-    return F.array_join(F.transform(held, lambda x: F.concat((x["repeat_idx"] + 1).cast("string"), F.lit(": "), x["v"])), "\n")
+    return F.array_join(F.transform(_held(field), lambda r: F.concat((r["repeat_idx"] + 1).cast("string"), F.lit(": "), r[field].cast("string"))), "\n")
+
+
+def _with_run(items: Column, names: list[str], run: Column) -> Column:
+    return F.transform(items, lambda x: F.struct(*[x[n].alias(n) for n in names], (run + 1).alias("repeat_idx")))
+
+
+def merged_output(field: str, names: list[str]) -> Column:
+    """The checks of all runs with their run from 1, and the confidence of each run; null where no run has an output."""
+    checks = F.flatten(F.transform(_held(field), lambda r: F.coalesce(_with_run(r[field]["checks"], names, r["repeat_idx"]), F.array())))
+    confidence = F.filter(F.transform(_held(field), lambda r: r[field]["confidence"]), lambda c: c.isNotNull())
+    return F.when(F.size(_held(field)) > 0, F.struct(checks.alias("checks"), confidence.alias("confidence")))
 
 
-def repeat_aggregate(repeats: DataFrame) -> DataFrame:
-    """By (sample_id, candidate_id): scores of both dimensions as lists and least values, means with lists of the totals, means
-    of label, weight and confidence, penalties with their run from 1, notes as lines, and the model of the first run."""
-    have = set(repeats.columns)
+def repeat_aggregate(repeats: DataFrame, *by: str) -> DataFrame:
+    """By (sample_id, candidate_id), and `by`: scores of both dimensions as lists and least values, means with lists of the totals, means
+    of label, weight and confidence, penalties with their run from 1, judges' outputs merged, notes as lines, and the
+    candidate, the model and the judge of the first run."""
+    types = {f.name: f.dataType for f in repeats.schema}
+    mine = lambda *names: [c for c in names if c in types]
     out = [F.count("*").alias("n_repeats")]
-    out += [F.min_by(c, "repeat_idx").alias(c) for c in FIRST if c in have]
-    for c in LISTS:
-        if c in have:
-            out += [_in_run_order(F.col(c)).alias(c), F.min(c).alias(c.replace("_score", "_min_score"))]
-    for c in MEANS:
-        if c in have:
-            out += [F.avg(c).alias(c), _in_run_order(F.col(c)).alias(f"{c}_list")]
-    out += [F.avg(c).alias(f"{c}_mean" if c == "label" else c) for c in ("label", "weight", "confidence") if c in have]
+    out += [F.min_by(c, "repeat_idx").alias(c) for c in mine(*FIRST) if c not in by]
+    out += [F.min(c).alias(c.replace("_score", "_min_score")) for c in mine(*LISTS)]
+    out += [F.avg(c).alias(c) for c in mine(*MEANS)]
+    out += [F.avg(c).alias(f"{c}_mean" if c == "label" else c) for c in mine("label", "weight", "confidence")]
     out += [F.bool_and(c).alias(c) for c, t in repeats.dtypes if t == "boolean"]
-    if "notes" in have:
-        out.append(repeat_lines(F.col("notes")).alias("notes"))
-    if "penalties" in have:
-        runs = F.array_sort(F.collect_list(F.struct("repeat_idx", "penalties")))
-        out.append(F.flatten(F.transform(runs, lambda r: F.transform(r["penalties"], lambda p: F.struct(p["rule_id"].alias("rule_id"), p["score"].alias("score"), p["reason"].alias("reason"), p["excerpt"].alias("excerpt"), (r["repeat_idx"] + 1).alias("repeat_idx"))))).alias("penalties"))
-    key = F.coalesce("candidate_id", F.lit("")) if "candidate" not in have else F.coalesce("candidate_id", "candidate", F.lit(""))
-    return repeats.groupBy("sample_id", key.alias("candidate_id")).agg(*out)
+    # What is kept run by run is collected and put in order once.
+    out.append(F.array_sort(F.collect_list(F.struct("repeat_idx", *mine(*LISTS, *MEANS, "notes", "penalties", *OUTPUTS)))).alias("_runs"))
+    key = F.coalesce("candidate_id", *mine("candidate"), F.lit(""))
+    runs = repeats.groupBy("sample_id", key.alias("candidate_id"), *by).agg(*out)
+    more = {c: _values(c) for c in mine(*LISTS)} | {f"{c}_list": _values(c) for c in mine(*MEANS)}
+    more |= {c: repeat_lines(c) for c in mine("notes")}
+    if "penalties" in types:
+        more["penalties"] = F.flatten(F.transform(_held("penalties"), lambda r: _with_run(r["penalties"], types["penalties"].elementType.names, r["repeat_idx"])))
+    more |= {c: merged_output(c, types[c]["checks"].dataType.elementType.names) for c in mine(*OUTPUTS)}
+    return runs.withColumns(more).drop("_runs")
 
 
 def read_repeats(runs: list[DataFrame]) -> DataFrame:

@@ -88,7 +88,10 @@ def score_penalties(judged: DataFrame, penalties: Column, confidence: Column, **
 
 
 def judge_deductions(candidates: DataFrame, samples: DataFrame, judge: str, client: Callable[[], Client], repeat: int = 0, how: dict | None = None, **parameters) -> DataFrame:
-    """Scores from 20 downwards, labels and weights; a candidate whose judge fails, or whose data has a score that cannot be graded, is dropped."""
+    """Scores from 20 downwards, labels and weights; a candidate whose judge fails, or whose data has a score that cannot be graded, is dropped.
+
+    ground_output and structure_output are the parsed replies (checks, confidence).
+    """
     own = candidates.join(samples, "sample_id").withColumns({"judge": F.lit(judge), "_data": parse_data(F.col("data"))})
     own = own.filter(~F.coalesce(is_ungradable(F.col("_data")), F.lit(False)))
     user, history = P.deduction_inputs()
@@ -105,7 +108,8 @@ def judge_deductions(candidates: DataFrame, samples: DataFrame, judge: str, clie
     confidence = average_confidence(*[S.normalize_confidence(F.col(f"_{side}.confidence")) for side in ("ground", "structure")])
     scored = score_penalties(own, zero_penalty_guard(dedup_penalties(found), F.coalesce("response", F.lit("")), F.col("_graded")), confidence, **parameters)
     columns = ("sample_id", "candidate_id", "model_type", "model_name", "judge", "ground_score", "structure_score", "aggregate_score", "total_score_20", "label", "weight", "confidence", "penalties", "_pos")
-    return scored.select(*columns, F.to_json("penalties").alias("penalties_json_20"), F.lit(repeat).alias("repeat_idx"))
+    outputs = [F.col(f"_{side}").alias(f"{side}_output") for side in ("ground", "structure")]
+    return scored.select(*columns, *outputs, F.to_json("penalties").alias("penalties_json_20"), F.lit(repeat).alias("repeat_idx"))
 
 
 def judge_two_answers(rows: DataFrame, judge: str, client: Callable[[], Client], **how) -> DataFrame:

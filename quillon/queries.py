@@ -740,6 +740,26 @@ def repeat_aggregate(t):
     return out.withColumn("ground_scores", lists).drop("ground_score", "aggregate_score_list")
 
 
+@query(
+    """select sample_id, candidate_id, arg_min(model_name, repeat_idx) as model_name, arg_min(notes, repeat_idx) as judge_meta,
+    string_agg(model_name || ':' || cast(ground_score as integer) || ':' || (repeat_idx + 1), ',' order by repeat_idx) as penalties,
+    string_agg(notes || ':' || (repeat_idx + 1), ',' order by repeat_idx) filter (where repeat_idx % 2 = 1) as checks,
+    string_agg(cast(cast(ground_score as integer) as varchar), ',' order by repeat_idx) filter (where repeat_idx % 2 = 1) as confidences from repeats group by sample_id, candidate_id""",
+    "repeats",
+)
+def repeat_outputs(t):
+    """Penalties and judges' outputs of all runs merged; every second run has an output."""
+    number = F.col("ground_score").cast("int").cast("string")
+    penalties = F.array(F.struct(F.col("model_name").alias("rule_id"), F.col("ground_score").alias("score"), F.lit("r").alias("reason"), F.lit("").alias("excerpt")))
+    output = F.struct(F.array(F.struct(F.col("notes").alias("rule_id"), F.col("passed").alias("hit"))).alias("checks"), number.alias("confidence"))
+    own = t.repeats().withColumns({"penalties": penalties, "ground_output": F.when(F.col("repeat_idx") % 2 == 1, output), "judge_meta": F.col("notes")})
+    out = A.repeat_aggregate(own.drop("passed", "label", "aggregate_score"))
+    each = lambda items, *fields: F.array_join(F.transform(items, lambda x: F.concat_ws(":", *[x[f].cast(c) for f, c in fields])), ",")
+    run = ("repeat_idx", "string")
+    lines = each("penalties", ("rule_id", "string"), ("score", "int"), run)
+    return out.select("sample_id", "candidate_id", "model_name", "judge_meta", lines.alias("penalties"), each("ground_output.checks", ("rule_id", "string"), run).alias("checks"), F.array_join("ground_output.confidence", ",").alias("confidences"))
+
+
 @query("select conv_id, unnest(['A', 'B']) as which, unnest([answer_a, answer_b]) as answer from answers", "answers")
 def long_form(t):
     return C.long_form(t.answers(), "conv_id")
@@ -945,7 +965,7 @@ _FOUND = f"""{_judged_sql(modules=_DEDUCTION_MODULES, history="coalesce('assista
 )
 def judge_deductions(t):
     """Validators, both judges of the deduction scale by the stub client, labels and weights."""
-    return stages.judge_deductions(_made(t), _run_inputs(t), "judge", models.StubClient).drop("penalties").withColumns(rounded("weight"))
+    return stages.judge_deductions(_made(t), _run_inputs(t), "judge", models.StubClient).drop("penalties", "ground_output", "structure_output").withColumns(rounded("weight"))
 
 
 _REPAIRED = f"case when model_type = 'reference' and _pos % 2 = 0 then '{X.PLACEHOLDER}' else response end"

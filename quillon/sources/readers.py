@@ -152,10 +152,10 @@ def guess_column(columns: list[str], candidates: list[str], chosen: str | None =
 
 
 def scan_two_answers(spark: SparkSession, path: str, query: str | None = None, a: str | None = None, b: str | None = None) -> DataFrame:
-    """query, answer_a, answer_b and all other columns of a two-answer CSV; only CSV is read."""
+    """query, answer_a, answer_b and all other columns of a two-answer CSV, or of a folder of CSVs, with the number of the row; only CSV is read."""
     if path.lower().endswith((".xls", ".xlsx")):
         raise ValueError("spreadsheets are not read; give a CSV")
-    rows = read_csv(spark, path)
-    names = [guess_column(rows.columns, c, x) for c, x in ((["query", "question"], query), (["a_answer", "answer_a", "answer_phone"], a), (["b_answer", "answer_b", "think_phone"], b))]
+    columns, rows = numbered_csv(spark, path)
+    names = [guess_column(columns, c, x) for c, x in ((["query", "question"], query), (["a_answer", "answer_a", "answer_phone"], a), (["b_answer", "answer_b", "think_phone"], b))]
     chosen = dict(zip(names, ("query", "answer_a", "answer_b")))
-    return rows.select(F.monotonically_increasing_id().alias("_source_row_index"), *[text_or_empty(c).alias(chosen[c]) if c in chosen else F.col(f"`{c}`") for c in rows.columns])
+    return rows.select(F.col("_at").alias("_source_row_index"), *[text_or_empty(c).alias(chosen[c]) if c in chosen else F.col(f"`{c}`") for c in columns])

@@ -104,6 +104,20 @@ def test_run_from_samples_to_pairs(spark, samples):
     runs = A.read_repeats([scored.drop("repeat_idx", "penalties_json_20"), scored.drop("repeat_idx", "penalties_json_20")])
     agg = A.repeat_aggregate(runs).collect()
     assert len(agg) == 9 and all(r.n_repeats == 2 and len(r.total_score_20_list) == 2 for r in agg)
+    for r in agg:
+        assert [c.repeat_idx for c in r.ground_output.checks] == [1] * 4 + [2] * 4 and r.ground_output.confidence == ["high", "high"]
+
+
+def test_repeats_without_values(spark):
+    """Runs that lack a value are skipped; where all lack it, lists are empty, and outputs stay null."""
+    schema = "sample_id string, candidate_id string, candidate string, repeat_idx int, ground_score double, notes string, penalties array<struct<rule_id: string, score: double>>, ground_output struct<checks: array<struct<rule_id: string>>, confidence: string>, structure_output struct<checks: array<struct<rule_id: string>>, confidence: string>"
+    rows = [("s", None, "text", 1, None, None, None, None, None), ("s", None, "text", 0, 2.0, "n", [("A", 5.0)], ([("A",)], None), None), ("s", None, "text", 2, 1.0, "m", [], (None, "0.5"), None)]
+    (got,) = A.repeat_aggregate(spark.createDataFrame(rows, schema)).collect()
+    assert (got.candidate_id, got.candidate, got.n_repeats) == ("text", "text", 3)
+    assert got.ground_score == [2.0, 1.0] and got.ground_min_score == 1.0 and got.notes == "1: n\n3: m"
+    assert [tuple(p) for p in got.penalties] == [("A", 5.0, 1)]
+    assert [tuple(c) for c in got.ground_output.checks] == [("A", 1)] and got.ground_output.confidence == ["0.5"] and got.structure_output is None
+    assert A.repeat_aggregate(spark.createDataFrame([], schema)).count() == 0
 
 
 def test_failures(spark, samples):
@@ -213,6 +227,9 @@ def test_commands(spark, tmp_path):
     assert "sample_id" in spark.read.csv(made["patch"], header=True).columns or not spark.read.csv(made["patch"], header=True).columns
     with pytest.raises(ValueError):
         run(spark, "generate", str(tmp_path / "raw.csv"), str(tmp_path / "run.json"), "unknown")
+    made = {x: run(spark, x, str(tmp_path / "raw.csv"), str(tmp_path / "run.json"), repeats=2) for x in ("judge", "pairs", "patch")}
+    judged = spark.read.parquet(made["judge"])
+    assert [(r.n_repeats, r.judge) for r in judged.collect()] == [(2, "j")] * 6 and spark.read.parquet(made["pairs"]).count() == 3
 
 
 def test_rows_of_several_files_are_numbered_in_order(spark, tmp_path):
@@ -221,6 +238,11 @@ def test_rows_of_several_files_are_numbered_in_order(spark, tmp_path):
     got = readers.scan_samples(spark, str(tmp_path)).orderBy("_ordinal").collect()
     assert [r.query for r in got] == [f"q{i}\n{k}" for i in range(3) for k in range(3)] and [r.sample_id for r in got] == [str(k + 1) for k in range(9)]
     assert readers.scan_samples(spark, str(tmp_path), 5).count() == 5
+    for i in range(2):
+        (tmp_path / "two").mkdir(exist_ok=True)
+        (tmp_path / "two" / f"part{i}.csv").write_text("query,a_answer,b_answer\n" + f"q{i},a,b\n" * 2, encoding="utf-8")
+    two = readers.scan_two_answers(spark, str(tmp_path / "two")).orderBy("_source_row_index").collect()
+    assert [(r._source_row_index, r.query) for r in two] == [(0, "q0"), (1, "q0"), (2, "q1"), (3, "q1")]
 
 
 def test_writers(spark, samples, tmp_path):
