@@ -787,7 +787,7 @@ def _file(t, name, write):
 def scan_samples_csv(t):
     """Samples through a CSV with line breaks and quotes in its cells; empty cells come back as null."""
     own = t.samples().select("sample_id", "query", "data", "service", "last_query", "a_answer", "b_answer")
-    path = _file(t, "csv", lambda p: own.coalesce(1).write.csv(p, header=True, escape='"', quoteAll=True, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False))
+    path = _file(t, "csv", lambda p: own.write.csv(p, header=True, escape='"', quoteAll=True, emptyValue="", ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False))
     out = readers.scan_samples(t.spark, path)
     return out.select("sample_id", "query", "data", "service", "last_query", F.array_join(F.map_keys("reference_answers"), ",").alias("answers"))
 
