@@ -1,4 +1,4 @@
-"""The queries opN_<name> of the ten corpus operators, and DuckDB SQL for those that SQL can express.
+"""The queries opN_<name> of the corpus operators, and DuckDB SQL for those that SQL can express.
 
 Each query applies its operator with production parameters to its whole table and derives the columns of its contract.
 """
@@ -8,11 +8,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillon.llm.alignment import align
+from quillon.llm.audit import audit_filters
 from quillon.llm.bpe import round_trip
 from quillon.llm.common import table
 from quillon.llm.langid import fit, held_out, identify
 from quillon.llm.licenses import scan_licenses
 from quillon.llm.mixing import mix
+from quillon.llm.packing import pack_sequences
 from quillon.llm.quality import BASE as QUALITY_BASE
 from quillon.llm.quality import quality_rules
 from quillon.llm.simhash import near_duplicates
@@ -70,10 +73,27 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_archives(spark, folder, files)
 
 
+def op11_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pack_sequences(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2("groups", 256))
+    return align(table(spark, sf_dir, "documents"), groups=digest).withColumnRenamed("groups", "groups_sha256")
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_language_id, op2_token_files, op3_top_k, op4_substring_dedup, op5_bpe, op6_warc, op7_mix_sources, op8_quality_rules, op9_license_scan, op10_simhash)
-}
+    for f in (
+        op1_language_id, op2_token_files, op3_top_k, op4_substring_dedup, op5_bpe, op6_warc, op7_mix_sources, op8_quality_rules, op9_license_scan, op10_simhash,
+        op11_packing, op12_filter_audit, op13_alignment,
+    )
+}
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -140,4 +160,22 @@ ORACLES = {
                 or (n_words >= 50 and 2 * len(list_filter(lines, lambda x: ends_with(rtrim(x, ' '), '...') or ends_with(rtrim(x, ' '), '…'))) > len(lines))
                 or (n_words >= 50 and 10 * len(list_filter(lines, lambda x: substring(ltrim(x, ' '), 1, 1) in ('-', '*', '•'))) > 9 * len(lines))) as kept
         from m""",
+    "op12_filter_audit": rf"""
+        with l as (select doc_id, bool_or(coalesce(quality = 1, false)) as good, bool_or(coalesce(toxic = 1, false)) as toxic from labels where doc_id is not null group by doc_id),
+        d as (select documents.doc_id, coalesce(source, '') as part, coalesce(text, '') as text, {_WORDS} as words, coalesce(good, false) as good, coalesce(toxic, false) as toxic
+            from documents left join l on documents.doc_id = l.doc_id),
+        b as (select part, good, toxic, (len(words) < 200)::bigint + 2 * (100 * len(list_distinct(words)) < 50 * len(words))::bigint
+            + 4 * (100 * length(regexp_replace(text, '[^A-Z]+', '', 'g')) > 2 * length(text))::bigint + 8 * regexp_matches(text, '[#$%&*|]')::bigint
+            + 16 * coalesce(min(doc_id) over (partition by text) < doc_id, false)::bigint as bits from d),
+        m as (select part, bits, count(*) as n, count(*) filter (good) as g, count(*) filter (toxic) as t from b group by part, bits),
+        o as (select [a, b, c, d, e] as o from range(5) x(a), range(5) y(b), range(5) z(c), range(5) u(d), range(5) v(e) where len(list_distinct([a, b, c, d, e])) = 5),
+        s as (select o, step, 1 << o[step] as f, coalesce(list_sum(list_transform(o[1 : step - 1], lambda x: 1 << x)), 0)::bigint as prior from o, range(1, 6) r(step)),
+        r as (select part, o, step, f,
+            coalesce(sum(n) filter (bits & (prior | f) = 0), 0) as kept, coalesce(sum(n) filter (bits & prior = 0 and bits & f > 0), 0) as removed,
+            coalesce(sum(n) filter (bits & prior > 0 and bits & f > 0), 0) as redundant, coalesce(sum(n) filter (bits = f), 0) as unique_fails,
+            coalesce(sum(g) filter (bits & prior = 0 and bits & f > 0), 0) as good_lost, coalesce(sum(t) filter (bits & prior = 0 and bits & f > 0), 0) as toxic_lost
+            from s, m group by part, o, step, f)
+        select part, array_to_string(list_transform(o, lambda x: substr('ABCDE', x::int + 1, 1)), '') as filter_order, step::int as step, kept::bigint as kept, removed::bigint as removed,
+            redundant::bigint as redundant, unique_fails::bigint as unique_fails, good_lost::bigint as good_lost, toxic_lost::bigint as toxic_lost,
+            sum(removed) over (partition by part, f)::bigint as shapley from r""",
 }
