@@ -235,12 +235,13 @@ SENTENCES = (
     ("cc", "creative commons", r"except where otherwise noted content on this site is licensed under a creative commons"),
     ("cc-sampling", "sampling plus", r"creative commons sampling plus"),
 )
-# Notices: label, keyword (or several), regular expression.
+# Notices: label, keyword (or several), regular expression. What repeats without bound does so possessively: a matcher that may
+# give back recurses once a repetition.
 NOTICES = (
     ("cc0", "cc0", r"cc0(?: 1 0)?(?: universal)?"),
     ("cc0", "creative commons", r"creative commons (?:zero|public domain dedication)"),
     ("public-domain", "public domain", r"(?:released|dedicated|placed|is|in)(?: in| into| to)?(?: the)? public domain"),
-    ("copyright", "copyright", r"copyright(?: c)?(?: by)? (?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2})*"),
+    ("copyright", "copyright", r"copyright(?: c)?(?: by)? (?:19|20)[0-9]{2}(?: (?:19|20)[0-9]{2}(?= ))*+"),
     ("copyright", "copyright", r"c copyright"),
     ("copyright", "protected by copyright", r"(?:is|are) protected by copyright(?: law| laws)?"),
     ("crown-copyright", "crown copyright", r"crown copyright"),

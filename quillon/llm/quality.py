@@ -33,8 +33,8 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 @dataclass(frozen=True)
 class Rule:
-    """name, an SQL expression over text and the base columns that is true for a document to reject, and one for its cost in
-    nanoseconds a row."""
+    """name, an SQL expression over text, _words (its words) and the base columns that is true for a document to reject, and one
+    for its cost in nanoseconds a row."""
 
     name: str
     rejects: str
@@ -48,7 +48,7 @@ RULES = (
     Rule("duplicate_lines", "n_dup_lines >= 5 and 10 * n_dup_lines > 9 * size(split(text, '\\n'))", "20 + if(n_dup_lines >= 5, 5 * length(text), 0)"),
     Rule("repeated_words", "10 * n_repeat_words > 4 * n_words"),
     Rule("few_letters", "2 * regexp_count(text, '\\\\p{L}') < word_chars", "30 * length(text)"),
-    Rule("no_letter_words", "2 * regexp_count(text, '[^\\\\x20\\\\x09-\\\\x0D\\\\p{L}]*\\\\p{L}[^\\\\x20\\\\x09-\\\\x0D]*') < n_words", "15 * length(text)"),
+    Rule("no_letter_words", "2 * size(filter(_words, x -> x rlike '\\\\p{L}')) < n_words", "100 * n_words"),
     Rule("ellipsis_lines", "n_words >= 50 and 2 * size(filter(split(text, '\\n'), x -> endswith(rtrim(x), '...') or endswith(rtrim(x), '…'))) > size(split(text, '\\n'))", "20 + if(n_words >= 50, 12 * length(text), 0)"),
     Rule("bullet_lines", "n_words >= 50 and 10 * size(filter(split(text, '\\n'), x -> substring(ltrim(x), 1, 1) in ('-', '*', '•'))) > 9 * size(split(text, '\\n'))", "20 + if(n_words >= 50, 11 * length(text), 0)"),
 )
@@ -84,6 +84,7 @@ def with_features(own: DataFrame) -> DataFrame:
     return own.select(
         "_row",
         "text",
+        "_words",
         F.col("_n").cast("long").alias("n_words"),
         F.length(F.translate(text, " \t\n\x0b\f\r", "")).cast("long").alias("word_chars"),
         (F.length(text) - F.length(F.translate(text, "#*$%&|<>", ""))).cast("long").alias("n_symbols"),

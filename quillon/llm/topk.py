@@ -15,14 +15,11 @@ Defined results: rows with a null id, or whose vector is null, empty or holds nu
 scale * x is not finite), take no part; every other row is a candidate for all rows but itself, so a repeated row ranks for
 its own copies and as often as it is there; each row of a query's id has a ranking of its own; components that one of two
 vectors lacks count as 0; ties rank by smaller id; an empty table gives an empty result; the result has its own columns only.
-`exact` is the score as a decimal, `score` the same as a long, null where it does not fit one; a score of more than 38 digits
-is an error.
+`exact` is the score in decimal digits, of any size, `score` the same as a long, null where it does not fit one.
 """
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,9 +32,10 @@ CANDIDATES, QUERIES = 4096, 16384
 FIRST_DEPTH = 64
 #: Candidates that a query may have left when their final scores are computed.
 MOST_LEFT = 128
-RESULT = "query_id long, tag_a long, tag_b long, times long, vec_id long, exact decimal(38,0)"
+RESULT = "query_id long, tag_a long, tag_b long, times long, vec_id long, exact string, place string"
 #: Room for rounding, as a share of the largest possible score.
 SLACK = 1e-9
+NINES = str.maketrans("0123456789", "9876543210")
 
 
 def integers(vectors: pa.ChunkedArray, scale: float) -> np.ndarray:
@@ -55,6 +53,14 @@ def exact_integers(values: np.ndarray, fit: bool) -> np.ndarray:
     return values.astype(np.int64) if fit else np.array([[int(x) for x in row] for row in values], object).reshape(values.shape)
 
 
+def place_text(score: int) -> str:
+    """A text whose order is that of the numbers: sign, number of digits, digits; below zero both are turned round."""
+    digits = str(abs(score))
+    if score >= 0:
+        return f"1{len(digits):05d}{digits}"
+    return f"0{99999 - len(digits):05d}{digits.translate(NINES)}"
+
+
 class Block:
     """Candidates of one block with a sorted list for each dimension, read in sequence from either end."""
 
@@ -119,7 +125,7 @@ class Block:
 
 def best_of_blocks(candidates: pa.Table, queries: pa.Table, scale: float, k: int) -> pa.Table:
     """The k best candidates of one block for each query of one block."""
-    columns: list[list] = [[], [], [], [], [], []]
+    columns: list[list] = [[], [], [], [], [], [], []]
     if len(candidates) and len(queries):
         values, asked = integers(candidates.column("vector"), scale), integers(queries.column("vector"), scale)
         width = max(values.shape[1], asked.shape[1])
@@ -132,8 +138,9 @@ def best_of_blocks(candidates: pa.Table, queries: pa.Table, scale: float, k: int
             for column, x in zip(columns, key):
                 column += [int(x)] * len(found)
             columns[4] += found
-            columns[5] += map(Decimal, scores)
-    return pa.table([*(pa.array(x, pa.int64()) for x in columns[:5]), pa.array(columns[5], pa.decimal128(38, 0))], ["query_id", "tag_a", "tag_b", "times", "vec_id", "exact"])
+            columns[5] += map(str, scores)
+            columns[6] += map(place_text, scores)
+    return pa.table([*(pa.array(x, pa.int64()) for x in columns[:5]), *(pa.array(x, pa.string()) for x in columns[5:])], ["query_id", "tag_a", "tag_b", "times", "vec_id", "exact", "place"])
 
 
 def top_k(vectors: DataFrame, is_query, k: int = 5, scale: float = 256.0, id_column: str = "vec_id", vector_column: str = "embedding") -> DataFrame:
@@ -150,7 +157,7 @@ def top_k(vectors: DataFrame, is_query, k: int = 5, scale: float = 256.0, id_col
     queries = dealt(own.filter(is_query), "asked", query_blocks, 2, "block", blocks)
     found = candidates.groupBy("block", "asked").cogroup(queries.groupBy("block", "asked")).applyInArrow(lambda a, b: best_of_blocks(a, b, scale, k), RESULT)
     key = ("query_id", "tag_a", "tag_b")
-    ranked = found.withColumn("rank", F.row_number().over(W.partitionBy(*key).orderBy(F.desc("exact"), "vec_id"))).filter(F.col("rank") <= k)
+    ranked = found.withColumn("rank", F.row_number().over(W.partitionBy(*key).orderBy(F.desc("place"), "vec_id"))).filter(F.col("rank") <= k)
     # Each copy of a query has the same ranking.
     ranked = ranked.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("times").cast("int"))))
     return ranked.select("query_id", "rank", "vec_id", F.expr("try_cast(exact as bigint)").alias("score"), "exact")
