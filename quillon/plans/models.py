@@ -1,66 +1,36 @@
-"""Calls of language models from Spark tasks: bounded concurrency, capped retries, one reply or error a row.
+"""Calls of language models as a stream: bounded batches, bounded calls for each endpoint, one reply or error a prompt.
 
-Replies are written to a table before anything is derived from them, named by the hash of run, model and prompt. What is derived
-reads that table, so neither a second action nor a lost executor repeats a call whose reply is stored; with a `store` that lasts,
-neither does a second run: it asks only for what the table lacks.
+Prompts are a table of tasks, named by the hash of run, model, its settings and prompt. A file stream takes some files of it at a
+time; each batch is dealt out by endpoint, and its replies are committed under the batch's number before the next one begins. A
+run that is killed loses the calls of one batch at most: the next run first finishes the tasks that were left, from the
+stream's checkpoint. What is derived reads the table of replies, so neither a second action nor a lost executor repeats a call
+whose reply is stored; with a `store` that lasts, neither does a later run: it asks only for what the table lacks.
+
+A store takes one run at a time.
 """
 
 from __future__ import annotations
 
-import hashlib
-import importlib
+import functools
 import json
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
-from typing import Protocol
 
 import pyarrow as pa
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quillon.plans.clients import CLIENTS, ChatClient, Client, Gate, Service, StubClient, client_named, services
 from quillon.sources.writers import scratch
 
-REPLIES = "ask_key string, reply string, error string"
-
-
-class Client(Protocol):
-    """A client may also have complete_json, of the same arguments, which asks the model for JSON only; it is tried first where
-    JSON is wanted."""
-
-    def complete(self, model_name: str, prompt: str) -> str: ...
-
-
-class StubClient:
-    """Deterministic replies out of a hash of the prompt: the tested stand-in for a model. One reply in `fails` raises."""
-
-    def __init__(self, fails: int = 0):
-        self.fails = fails
-
-    def complete(self, model_name: str, prompt: str) -> str:
-        h = int(hashlib.sha1(f"{model_name}\n{prompt}".encode()).hexdigest()[:8], 16)
-        if self.fails and h % self.fails == 0:
-            raise ConnectionError("stub")
-        if "JSON" not in prompt:
-            return f"- answer {h % 1000} of {model_name}"
-        rules = ("REDUNDANT", "THIN_CONTENT", "FACT_LOGIC_ISSUE", "NUM_COMPARE_ERROR")
-        checks = [{"rule_id": r, "hit": bool(h >> i & 1 and h >> (i + 4) & 1), "severity": "major", "score": (h >> i) % 6, "reason": "stub", "excerpt": ""} for i, r in enumerate(rules)]
-        return "```json\n" + json.dumps({"checks": checks, "confidence": "high"}) + "\n```"
-
-
-#: Clients by the name that a command or configuration gives; register your own.
-CLIENTS: dict[str, Callable[[], Client]] = {"stub": StubClient}
+__all__ = ["CLIENTS", "ChatClient", "Client", "Gate", "Service", "StubClient", "ask", "client_named", "services", "stored_replies", "with_retries"]
 
-
-def client_named(name: str) -> Callable[[], Client]:
-    """A registered client, or one given as module:attribute; an unknown name is an error."""
-    module, colon, attribute = name.partition(":")
-    if colon:
-        return getattr(importlib.import_module(module), attribute)
-    if name not in CLIENTS:
-        raise ValueError(f"client {name!r} is none of {sorted(CLIENTS)}")
-    return CLIENTS[name]
+TASKS = "ask_key string, model string, prompt string"
+REPLIES = "ask_key string, model string, reply string, error string, tries int"
+#: What a model's counts are called in a report of progress.
+COUNTS = ("done", "failed", "asked_again")
 
 
 def with_retries(call: Callable[[], str], tries: int, first_delay: float, most_delay: float, accept: Callable[[str], bool] | None = None) -> tuple[str | None, str | None]:
@@ -79,64 +49,158 @@ def with_retries(call: Callable[[], str], tries: int, first_delay: float, most_d
     return reply, error
 
 
-def stored_replies(spark: SparkSession, store: str) -> DataFrame:
-    """One row for each prompt that was asked: its reply without error if there is one."""
+def _stored(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of a table; none where it is not there yet."""
     try:
-        rows = spark.read.schema(REPLIES).parquet(store)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = spark.createDataFrame([], REPLIES)
+        return spark.createDataFrame([], schema)
+
+
+def stored_replies(spark: SparkSession, store: str) -> DataFrame:
+    """One row for each prompt that was asked: its reply without error if there is one."""
     best = F.max(F.struct(F.col("error").isNull().alias("good"), "reply", "error"))
-    return rows.groupBy("ask_key").agg(best.alias("best")).select("ask_key", "best.reply", "best.error", "best.good")
+    return _stored(spark, f"{store}/replies", REPLIES).groupBy("ask_key").agg(best.alias("best")).select("ask_key", "best.reply", "best.error", "best.good")
+
+
+def _slots(known: dict[str, Service]) -> tuple[dict[str, tuple[int, int]], int]:
+    """The first slot and the number of slots of each endpoint, and the number of all slots: a slot is a partition of a batch."""
+    first, out = 0, {}
+    for s in sorted(known.values(), key=lambda s: s.endpoint):
+        if s.endpoint not in out:
+            out[s.endpoint] = first, s.partitions
+            first += s.partitions
+    return out, first
+
+
+def _by_model(known: dict[str, Service], value: Callable[[Service], object], kind: str) -> Column:
+    """A value of each model's service, looked up by the column model."""
+    pairs = [x for m, s in known.items() for x in (F.lit(m), F.lit(value(s)).cast(kind))]
+    return F.try_element_at(F.create_map(*pairs), F.col("model"))
+
+
+def _caller(known: dict[str, Service], tries: int, first_delay: float, most_delay: float, accept: Callable[[str], bool] | None):
+    """A function of batches of tasks of one endpoint, to batches of replies."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        clients: dict[str, Client] = {}
+        gate = pool = None
+
+        def one(model: str, prompt: str) -> tuple[str | None, str | None, int]:
+            count = 0
+            client = clients[model]
+            ways = iter([client.complete_json] if accept and hasattr(client, "complete_json") else [])
+
+            def call() -> str:
+                nonlocal count
+                count += 1
+                way = next(ways, client.complete)
+                return gate(lambda: way(model, prompt))
+
+            return *with_retries(call, tries, first_delay, most_delay, accept), count
+
+        for batch in batches:
+            asked, prompts = batch.column("model").to_pylist(), batch.column("prompt").to_pylist()
+            for m in {*asked} - {*clients}:
+                service = known.get(m) or known[""]
+                clients[m] = service.factory(service.settings)
+                gate, pool = gate or Gate(service.threads), pool or ThreadPoolExecutor(service.threads)
+            found = list(pool.map(one, asked, prompts)) if asked else []
+            kinds = (pa.string(), pa.string(), pa.int32())
+            yield pa.RecordBatch.from_arrays([batch.column("ask_key"), batch.column("model"), *(pa.array([f[i] for f in found], k) for i, k in enumerate(kinds))], ["ask_key", "model", "reply", "error", "tries"])
+        if pool:
+            pool.shutdown()
+
+    return run
+
+
+def _counts(models: list[str]) -> list[Column]:
+    """Counts of each model (of all, where models are not configured), as columns named by its number."""
+    out = []
+    for i, m in enumerate(models or [None]):
+        mine = F.col("model") == m if m is not None else F.lit(True)
+        one = F.when(mine, 1)
+        out += [F.count(one).alias(f"done_{i}"), F.count(F.when(mine & F.col("error").isNotNull(), 1)).alias(f"failed_{i}"), F.sum(F.when(mine, F.col("tries") - 1).otherwise(0)).alias(f"asked_again_{i}")]
+    return out
+
+
+def drain(spark: SparkSession, store: str, known: dict[str, Service], batch_files: int, progress: Callable[[dict], None] | None = None, **how) -> None:
+    """Asks for all tasks of the store that no committed batch holds, batch by batch.
+
+    progress is told of every batch: its number and, by model, what was done, what of it failed and how often was asked again.
+    """
+    places, slots = _slots(known)
+    models = sorted(m for m in known if m)
+    tasks = spark.readStream.schema(TASKS).option("maxFilesPerTrigger", batch_files).option("maxFileAge", "36500d").parquet(f"{store}/tasks")
+    first, n = (_by_model(known, lambda s, i=i: places[s.endpoint][i], "int") if models else F.lit(places[known[""].endpoint][i]) for i in (0, 1))
+    dealt = tasks.repartitionById(slots, (first + F.pmod(F.xxhash64("ask_key"), n)).cast("int"))
+    replies = dealt.mapInArrow(_caller(known, **how), REPLIES).observe("asked", *_counts(models))
+    stream = replies.writeStream.format("parquet").option("path", f"{store}/replies").option("checkpointLocation", f"{store}/checkpoint").trigger(availableNow=True).start()
+    told = -1
+    while True:
+        ended = stream.awaitTermination(1)
+        for p in stream.recentProgress if progress else []:
+            if p["batchId"] > told and p["observedMetrics"].get("asked"):
+                told, got = p["batchId"], p["observedMetrics"]["asked"]
+                progress({"batch": told, "models": {m: {c: int(got[f"{c}_{i}"] or 0) for c in COUNTS} for i, m in enumerate(models or [""])}})
+        if ended:
+            return
 
 
 def ask(
     rows: DataFrame,
     prompt: str,
     model: str,
-    client: Callable[[], Client],
+    client: dict[str, Service] | Callable[[], Client],
     name: str = "reply",
     threads: int = 8,
+    partitions: int = 8,
     tries: int = 3,
     first_delay: float = 1.0,
     most_delay: float = 30.0,
     accept: Callable[[str], bool] | None = None,
     store: str | None = None,
     run: int = 0,
+    batch_rows: int = 1000,
+    batch_files: int = 64,
+    progress: Callable[[dict], None] | None = None,
 ) -> DataFrame:
-    """rows with `name` and `name`_error. client makes a client in each task; a null prompt is not sent, equal ones once.
+    """rows with `name` and `name`_error; a null prompt is not sent, equal ones of a model once.
 
-    Calls at a time are threads times running tasks: repartition rows to bound the load on an endpoint. accept tells whether a
-    reply will do; store is the folder of the table of replies (a new one below the shared folder, if none is given); run
-    numbers repeats of the same prompts.
+    client: the service of each model by its name (see services), or a factory of one client for all, for which threads and
+    partitions bound the calls. accept tells whether a reply will do; store is the folder of tasks and replies (a new one below
+    the shared folder, if none is given); run numbers repeats of the same prompts. A batch is of batch_files files of
+    batch_rows prompts at most; progress is told of each (see drain).
     """
     spark = rows.sparkSession
     lasting, store = store is not None, store or scratch(spark, "replies")
-    own = rows.withColumn("ask_key", F.when(F.col(prompt).isNotNull(), F.sha2(F.concat_ws("\n", F.lit(str(run)), model, prompt), 256)))
-    wanted = own.filter("ask_key is not null").select("ask_key", F.col(model).alias("model"), F.col(prompt).alias("prompt")).dropDuplicates(["ask_key"])
+    known = client if isinstance(client, dict) else {"": Service(lambda settings: client(), {}, "", partitions, threads)}
+    settings = {m: json.dumps(s.settings, sort_keys=True, ensure_ascii=False) for m, s in known.items() if s.settings}
+    own = rows.withColumns({"_model": F.col(model)})
+    shown = F.create_map(*[F.lit(x) for pair in settings.items() for x in pair]) if settings else None
+    told = [F.try_element_at(shown, F.col("_model"))] if settings else []
+    served = F.lit(True) if "" in known else F.col("_model").isin(*known) if known else F.lit(False)
+    own = own.withColumn("ask_key", F.when(F.col(prompt).isNotNull() & served, F.sha2(F.concat_ws("\n", F.lit(str(run)), "_model", *told, prompt), 256)))
+    how = {"tries": tries, "first_delay": first_delay, "most_delay": most_delay, "accept": accept}
+    finish = functools.partial(drain, spark, store, known, batch_files, progress, **how)
+    if lasting and not _stored(spark, f"{store}/tasks", TASKS).isEmpty():
+        finish()
+    wanted = own.filter("ask_key is not null").select("ask_key", F.col("_model").alias("model"), F.col(prompt).alias("prompt")).dropDuplicates(["ask_key"])
     wanted = wanted.join(stored_replies(spark, store).filter("good").select("ask_key"), "ask_key", "left_anti")
-
-    def call(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        asked = client()
-        first = [asked.complete_json] if accept and hasattr(asked, "complete_json") else []
-
-        def one(m: str, p: str) -> tuple[str | None, str | None]:
-            ways = iter(first)
-            return with_retries(lambda: next(ways, asked.complete)(m, p), tries, first_delay, most_delay, accept)
-
-        with ThreadPoolExecutor(threads) as pool:
-            for batch in batches:
-                found = list(pool.map(one, batch.column("model").to_pylist(), batch.column("prompt").to_pylist()))
-                yield pa.RecordBatch.from_arrays([batch.column("ask_key"), pa.array([r for r, _ in found], pa.string()), pa.array([e for _, e in found], pa.string())], ["ask_key", "reply", "error"])
-
-    wanted.mapInArrow(call, REPLIES).write.mode("append").parquet(store)
+    wanted.write.mode("append").option("maxRecordsPerFile", batch_rows).parquet(f"{store}/tasks")
+    finish()
     found = stored_replies(spark, store)
     if lasting:
         # A table of its own: later calls add to the store, and two reads of one path may be taken for the same.
         path = scratch(spark, "replies")
         found.join(own.select("ask_key").distinct(), "ask_key", "left_semi").write.parquet(path)
         found = spark.read.schema(found.schema).parquet(path)
-    found = found.select("ask_key", F.col("reply").alias(name), F.col("error").alias(f"{name}_error"))
-    out = own.join(found, "ask_key", "left").withColumn(f"{name}_error", F.when(F.col("ask_key").isNull(), F.lit("no prompt")).otherwise(F.col(f"{name}_error")))
+    # Rows without a prompt get keys of their own, so that they do not meet in one task.
+    spread = F.coalesce("ask_key", F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string")))
+    found = found.select(F.col("ask_key").alias("_key"), F.col("reply").alias(name), F.col("error").alias(f"{name}_error"))
+    out = own.withColumn("_key", spread).join(found, "_key", "left")
+    missing = F.when(F.col(prompt).isNull(), F.lit("no prompt")).otherwise(F.lit("no client serves this model"))
+    out = out.withColumn(f"{name}_error", F.when(F.col("ask_key").isNull(), missing).otherwise(F.col(f"{name}_error")))
     return out.select(*[F.col(f"`{c}`") for c in rows.columns], name, f"{name}_error")

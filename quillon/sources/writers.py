@@ -83,3 +83,10 @@ def scratch(spark: SparkSession, name: str) -> str:
         spark.sparkContext.setCheckpointDir("file://" + tempfile.mkdtemp(prefix="spark-scratch-"))
         base = spark.sparkContext.getCheckpointDir()
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """rows written once below the shared folder and read back: what follows does not work them out again."""
+    path = scratch(rows.sparkSession, name)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
