@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillon.functions.text import filled
+from quillon.operators.ordinals import with_ordinals
 
 
 def latest_per_key(rows: DataFrame, *keys: str, order: str = "_ordinal") -> DataFrame:
@@ -100,7 +101,15 @@ def wide_form(long: DataFrame, key: str, *columns: str) -> DataFrame:
 
 
 def sort_samples(rows: DataFrame, order: DataFrame) -> DataFrame:
-    """Rows in the order (sample_id, _ordinal) of the input; samples that it lacks come last, by number, then by text."""
+    """Rows with _place, their number from 0 in the order (sample_id, _ordinal) of the input; samples that it lacks come last, by
+    number, then by text."""
     known = latest_per_key(order, "sample_id").select("sample_id", F.col("_ordinal").alias("_at"))
-    out = rows.join(known, "sample_id", "left")
-    return out.orderBy(F.asc_nulls_last("_at"), F.asc_nulls_last(F.col("sample_id").try_cast("long")), "sample_id").drop("_at")
+    out = rows.join(known, "sample_id", "left").withColumns({"_no_at": F.col("_at").isNull(), "_number": F.col("sample_id").try_cast("long")})
+    out = out.withColumn("_no_number", F.col("_number").isNull())
+    # The keys hold no null but beside their flag, so ranges follow the order.
+    return with_ordinals(out, "_no_at", "_at", "_no_number", "_number", "sample_id", name="_place").drop("_no_at", "_at", "_no_number", "_number")
+
+
+def numbered_page(rows: DataFrame, first: int, n: int | None, *order: str) -> DataFrame:
+    """Rows first to first + n - 1 of rows that have an order but no number yet."""
+    return page(with_ordinals(rows, *order), first, n).drop("_ordinal")

@@ -5,9 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillon.operators.ordinals import exact_quantiles
+
 
 def model_key() -> Column:
-    return F.concat(F.coalesce("model_type", F.lit("")), F.lit("/"), F.coalesce("model_name", F.lit("")))
+    """Type and name as one text; a slash in the type is escaped, so that no two models share a key."""
+    kind = F.replace(F.replace(F.coalesce("model_type", F.lit("")), F.lit("\\"), F.lit("\\\\")), F.lit("/"), F.lit("\\/"))
+    return F.concat(kind, F.lit("/"), F.coalesce("model_name", F.lit("")))
 
 
 def model_stats(results: DataFrame) -> DataFrame:
@@ -17,7 +21,13 @@ def model_stats(results: DataFrame) -> DataFrame:
 
 
 def score_medians(results: DataFrame) -> DataFrame:
-    return results.groupBy(model_key().alias("model")).agg(F.median("aggregate_score").alias("median"))
+    """By model: the exact median score. No task holds all scores of a model."""
+    return exact_quantiles(results.select(model_key().alias("model"), "aggregate_score"), ["model"], "aggregate_score", {"median": 0.5})
+
+
+def score_quantiles(results: DataFrame) -> DataFrame:
+    """By model: exact quartiles and ends of the scores."""
+    return exact_quantiles(results.select(model_key().alias("model"), "aggregate_score"), ["model"], "aggregate_score", {"p0": 0.0, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p100": 1.0})
 
 
 def length_stats(candidates: DataFrame) -> DataFrame:

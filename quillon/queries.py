@@ -14,6 +14,7 @@ from quillon.functions import text as X
 from quillon.operators import candidates as C
 from quillon.operators import context as P
 from quillon.operators import incremental as I
+from quillon.operators import ordinals as O
 from quillon.operators import penalties as N
 from quillon.operators import ranking as R
 from quillon.operators import repeats as A
@@ -847,9 +848,28 @@ def write_repeats(t):
 def sort_samples(t):
     j = t.judge_flat()
     order = j.select("sample_id", F.col("_pos").alias("_ordinal"))
-    out = C.sort_samples(j.select("sample_id").distinct(), order)
-    last = j.groupBy("sample_id").agg(F.max("_pos").alias("_at"))
-    return out.join(last, "sample_id").select("sample_id", F.row_number().over(W.orderBy("_at")).cast("long").alias("place"))
+    return C.sort_samples(j.select("sample_id").distinct(), order).select("sample_id", (F.col("_place") + 1).alias("place"))
+
+
+@query("select doc_id, row_number() over (order by source, lang, doc_id) - 1 as place, length(text) as n from (select doc_id, source, lang, text from documents)")
+def numbered_rows(t):
+    """All documents numbered in an order of three columns, by ranges."""
+    own = t("documents").select("doc_id", "source", "lang", F.length("text").cast("long").alias("n"))
+    return O.with_ordinals(own, F.asc_nulls_last("source"), F.asc_nulls_last("lang"), "doc_id", name="place").select("doc_id", "place", "n")
+
+
+@query("select page_id, url from (select page_id, url, row_number() over (order by url desc, page_id) as r from pages) where r > 20 and r <= 60")
+def numbered_page(t):
+    """A page of the pages by address: what a viewer shows of a table that has an order but no numbers."""
+    return C.numbered_page(t("pages").select("page_id", "url"), 20, 40, F.desc_nulls_first("url"), "page_id")
+
+
+@query(
+    "select 'events/' || model_name as model, " + ", ".join(f"round(quantile_cont(aggregate_score, {p / 100}), 6) as p{p}" for p in (0, 25, 50, 75, 100)) + " from judge_flat group by model_name",
+    "judge_flat",
+)
+def score_quantiles(t):
+    return T.score_quantiles(t.judge_flat()).withColumns(rounded("p0", "p25", "p50", "p75", "p100"))
 
 
 # --- replies of models
