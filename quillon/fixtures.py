@@ -63,8 +63,8 @@ class Tables:
         )
         return own.selectExpr(
             "cast(conv_id as string) as sample_id", "query", "last_query", "last_answer_phone", "conv_id as _ordinal",
-            "case conv_id % 4 when 0 then null when 1 then '' when 2 then '　 ' else concat(' d: ', substr(query, 1, 30), ' ') end as data",
-            "case conv_id % 3 when 0 then null when 1 then ' \t' else concat('s: ', substr(query, 1, 20)) end as suggest",
+            "case conv_id % 4 when 0 then null when 1 then '' when 2 then '　 ' else concat(' d: ', query, ' ') end as data",
+            "case conv_id % 3 when 0 then null when 1 then ' \t' else concat('s: ', query) end as suggest",
             "last_query as rag",
             "case conv_id % 3 when 0 then null when 1 then '   ' else concat(' svc ', cast(conv_id as string), '　') end as service",
             "cast(conv_id % 2 as string) as category_level1", "'x' as category_level2", "cast(null as string) as category_level3", "'talk' as domain",
@@ -140,8 +140,8 @@ SQL = {
         said as (select c.conv_id, arg_max(text, turn) filter (where role = 'user' and turn = q) as query, arg_max(text, turn) filter (where role = 'user' and turn < q) as last_query,
             arg_max(text, turn) filter (where role = 'assistant' and turn < q) as last_answer_phone from conversations c join last_turn l on c.conv_id = l.conv_id group by c.conv_id),
         samples as (select cast(conv_id as varchar) as sample_id, query, last_query, last_answer_phone, conv_id as _ordinal,
-            case conv_id % 4 when 0 then null when 1 then '' when 2 then '　 ' else ' d: ' || substr(query, 1, 30) || ' ' end as data,
-            case conv_id % 3 when 0 then null when 1 then ' ' || chr(9) else 's: ' || substr(query, 1, 20) end as suggest, last_query as rag,
+            case conv_id % 4 when 0 then null when 1 then '' when 2 then '　 ' else ' d: ' || query || ' ' end as data,
+            case conv_id % 3 when 0 then null when 1 then ' ' || chr(9) else 's: ' || query end as suggest, last_query as rag,
             case conv_id % 3 when 0 then null when 1 then '   ' else ' svc ' || conv_id || '　' end as service,
             cast(conv_id % 2 as varchar) as category_level1, last_answer_phone as a_answer, case when conv_id % 2 = 0 then 'b' || conv_id end as b_answer from said)""",
     "penalties": """penalties as (select l_orderkey as answer, ['arith_error', 'Grammar', 'UNKNOWN'][l_linenumber % 3 + 1] as rule_id, l_quantity as score, l_returnflag as reason, l_linestatus as excerpt,

@@ -99,3 +99,13 @@ def clamped_manual(x: Column) -> Column:
 def passes(total: Column, threshold: float = THRESHOLD) -> Column:
     v = total.try_cast("double")
     return F.coalesce(~F.isnan(v) & (v >= threshold), F.lit(False))
+
+
+def mean_score(ground: Column, structure: Column) -> Column:
+    """The score of an answer on the scale of means."""
+    return (ground + structure) / 2
+
+
+def aggregate_score(total: Column) -> Column:
+    """A total out of 20 on the scale of 0 to 5."""
+    return total / MAX_SCORE * 5

@@ -95,6 +95,7 @@ def split_reference(x: Column) -> Column:
 
 
 def has_markdown(answer: Column) -> Column:
+    """Whether an answer has a heading, a list or a table; the marks are fixed values."""
     has = lambda x: F.contains(answer, F.lit(x))
     return has("#") | has("- ") | has("* ") | (has("|") & has("\n|-"))
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,32 +117,46 @@ def render_once(template: str, values: dict[str, Column]) -> Column:
 def parse_context(context: Column) -> Column:
     """Sections of a context as a struct of strings.
 
-    A line that holds a header opens its section (the first header in order wins) and what else it holds is content; lines
-    add up, except that empty ones are swallowed while a section is empty. A fold over the lines keeps the state.
+    A line that holds a header (the first header in order wins) opens its section anew and what else it holds is content; a
+    section is what stands from its last opening to the next header, without empty lines in front. Each line is looked at once:
+    places of headers, then slices between them, joined.
     """
     names = list(HEADERS)
-    nothing = F.struct(*[F.lit("").alias(k) for k in names], F.lit("").alias("at"))
 
-    def step(state: Column, line: Column) -> Column:
-        bare = strip(line)
-        opened = F.lit(None).cast("string")
-        rest = F.lit("")
-        for k in reversed(names):
-            has = F.contains(bare, F.lit(HEADERS[k]))
-            opened = F.when(has, F.lit(k)).otherwise(opened)
-            rest = F.when(has, strip(F.replace(bare, F.lit(HEADERS[k]), F.lit("")))).otherwise(rest)
+    def bound(x: Column, then: Callable[[Column], Column]) -> Column:
+        """then(x), with x worked out once."""
+        return F.transform(F.array(x), then)[0]
 
-        def content(k: str) -> Column:
-            more = F.when(state[k] == "", line).otherwise(F.concat(state[k], F.lit("\n"), line))
-            return F.when(opened == k, rest).when(opened.isNull() & (state["at"] == k), more).otherwise(state[k])
+    def opened(line: Column) -> Column:
+        out = F.lit(None).cast("int")
+        for i in reversed(range(len(names))):
+            out = F.when(F.contains(line, F.lit(HEADERS[names[i]])), F.lit(i)).otherwise(out)
+        return out
 
-        return F.struct(*[content(k).alias(k) for k in names], F.coalesce(opened, state["at"]).alias("at"))
+    def section(i: int, lines: Column, marks: Column) -> Column:
+        own = F.filter(marks, lambda m: m["section"] == i)
+        last = F.try_element_at(own, F.lit(-1))["at"]
+        return bound(last, lambda at: F.when(at.isNotNull(), content(i, lines, marks, at)).otherwise(F.lit("")))
 
-    def clean(s: Column, k: str) -> Column:
-        x = F.when(strip(s[k]) == NONE_MARK, F.lit("")).otherwise(s[k])
-        return F.when(F.contains(x, F.lit("assistant:")), strip(F.replace(x, F.lit("assistant:"), F.lit("")))).otherwise(x) if k == "last_answer_phone" else x
+    def content(i: int, lines: Column, marks: Column, at: Column) -> Column:
+        end = F.coalesce(F.array_min(F.filter(F.transform(marks, lambda m: m["at"]), lambda m: m > at)), F.size(lines))
+        rest = strip(F.replace(strip(F.get(lines, at)), F.lit(HEADERS[names[i]]), F.lit("")))
+        body = F.concat(F.array(rest), F.slice(lines, at + 2, end - at - 1))
+        filled_from = lambda x: F.array_position(F.transform(x, lambda line: line != ""), F.lit(True)).cast("int")
+        return bound(body, lambda x: bound(filled_from(x), lambda k: F.when(k > 0, F.array_join(F.slice(x, k, F.size(x)), "\n")).otherwise(F.lit(""))))
 
-    return F.aggregate(F.split(context, "\n"), nothing, step, lambda s: F.struct(*[clean(s, k).alias(k) for k in names]))
+    def unmarked(x: Column) -> Column:
+        return F.when(strip(x) == NONE_MARK, F.lit("")).otherwise(x)
+
+    def unsaid(x: Column) -> Column:
+        x = unmarked(x)
+        return F.when(F.contains(x, F.lit("assistant:")), strip(F.replace(x, F.lit("assistant:"), F.lit("")))).otherwise(x)
+
+    def sections(lines: Column) -> Column:
+        found = F.filter(F.transform(lines, lambda line, i: F.struct(i.alias("at"), opened(line).alias("section"))), lambda m: m["section"].isNotNull())
+        return bound(found, lambda marks: F.struct(*[bound(section(i, lines, marks), unsaid if k == "last_answer_phone" else unmarked).alias(k) for i, k in enumerate(names)]))
+
+    return bound(F.split(context, "\n"), sections)
 
 
 def chat_messages(system: str, context: Column, question: Column, closing: str = "Answer the question with the help of this context.") -> Column:

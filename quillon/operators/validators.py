@@ -14,8 +14,10 @@ from quillon.functions.text import filled, number
 from quillon.operators.penalties import GRADE_WORDS
 
 DATA = "sleep struct<duration_hours: string, start: string, end: string, score: string, score_thresholds: string>, require_chart_or_table string, services string"
+# Fixed values, on which results depend: what a Markdown table, a number of hours and a time of day look like.
 TABLE = r"(?d)\n\|.+\|\n\|[-:\s|]+\|\n"
 HOURS = r"(?iU)(\d+(?:\.\d+)?)\s*(?:h|小时)"
+TIME = r"(?U)(\d{1,2}):(\d{2})"
 _STRICT = {"allowSingleQuotes": "false"}
 
 
@@ -33,7 +35,7 @@ def _penalty(rule: str, score: float, reason: Column | str, excerpt: Column | st
 
 
 def _minutes(x: Column) -> Column:
-    part = lambda k: F.regexp_extract(x, r"(?U)(\d{1,2}):(\d{2})", k).try_cast("int")
+    part = lambda k: F.regexp_extract(x, TIME, k).try_cast("int")
     return part(1) * 60 + part(2)
 
 

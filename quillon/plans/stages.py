@@ -84,7 +84,7 @@ def judge_mean(candidates: DataFrame, samples: DataFrame, judge: str, client: Cl
     failed = F.col("_ground.checks").isNull() | F.col("_structure.checks").isNull()
     score = lambda side: F.when(failed, 0.0).otherwise(check_mean(F.col(f"_{side}.checks")))
     own = own.withColumns({"ground_score": score("ground"), "structure_score": score("structure"), "notes": F.when(failed, F.coalesce("ground_raw_error", "structure_raw_error", F.lit("a reply holds no JSON")))})
-    return own.withColumn("aggregate_score", (F.col("ground_score") + F.col("structure_score")) / 2).select("sample_id", "candidate_id", "model_type", "model_name", "judge", "ground_score", "structure_score", "aggregate_score", "notes", "ground_raw", "structure_raw", "_pos")
+    return own.withColumn("aggregate_score", S.mean_score(F.col("ground_score"), F.col("structure_score"))).select("sample_id", "candidate_id", "model_type", "model_name", "judge", "ground_score", "structure_score", "aggregate_score", "notes", "ground_raw", "structure_raw", "_pos")
 
 
 def dedup_penalties(penalties: Column) -> Column:
@@ -102,7 +102,7 @@ def score_penalties(judged: DataFrame, penalties: Column, confidence: Column, **
     out = judged.withColumns({"penalties": penalties, "confidence": confidence})
     out = out.withColumns({"total_score_20": S.total_score(total()), "ground_score": S.dimension_score(total(S.GROUND)), "structure_score": S.dimension_score(total(S.STRUCTURE))})
     threshold = parameters.get("threshold", S.THRESHOLD)
-    return out.withColumns({"aggregate_score": F.col("total_score_20") / S.MAX_SCORE * 5, "label": S.label(F.col("total_score_20"), threshold), "weight": S.weight(F.col("total_score_20"), F.col("confidence"), **parameters)})
+    return out.withColumns({"aggregate_score": S.aggregate_score(F.col("total_score_20")), "label": S.label(F.col("total_score_20"), threshold), "weight": S.weight(F.col("total_score_20"), F.col("confidence"), **parameters)})
 
 
 def judge_deductions(candidates: DataFrame, samples: DataFrame, judge: str, client: Clients, repeat: int = 0, how: dict | None = None, **parameters) -> DataFrame:

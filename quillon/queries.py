@@ -154,7 +154,7 @@ def score_histogram(t):
 
 @query("select sample_id, candidate_id, (ground_score + structure_score) / 2 as mean_score from judge_flat", "judge_flat")
 def mean_score_v1(t):
-    return t.judge_flat().select("sample_id", "candidate_id", ((F.col("ground_score") + F.col("structure_score")) / 2).alias("mean_score"))
+    return t.judge_flat().select("sample_id", "candidate_id", S.mean_score(F.col("ground_score"), F.col("structure_score")).alias("mean_score"))
 
 
 @query("select doc_id, cast(doc_id % 6 as double) as check_mean from labels")
@@ -464,14 +464,31 @@ def deduction_inputs(t):
     return t.samples().select("sample_id", user.alias("user_input"), history.alias("history_input"))
 
 
+def _section_sql(x: str) -> str:
+    """What a section of a built context holds: its text and the blank line behind it; nothing where it is blank."""
+    return f"case when {strip_sql(f"coalesce({x}, '')")} not in ('', {_MARK}) then {strip_sql(x)} || {_NL} else '' end"
+
+
+_HISTORY_SQL = f"""case when {_LQ} <> '' or {_LA} <> '' then concat_ws({_NL}, case when coalesce(last_query, '') <> '' then 'user: ' || {_LQ} end, case when coalesce(last_answer_phone, '') <> '' then 'assistant: ' || {_LA} end) || {_NL} else '' end"""
+
+
 @query(
-    f"""select sample_id, case when {strip_sql("coalesce(service, '')")} <> '' then {strip_sql("coalesce(service, '')")} || chr(10) else '' end as service, {strip_sql("coalesce(query, '')")} as query, case when coalesce(last_query, '') = '' and coalesce(last_answer_phone, '') = '' then 0 else 1 end as has_history from samples""",
+    f""", h as (select *, {_HISTORY_SQL} as hist from samples)
+    select sample_id, {", ".join(f"{_section_sql(k)} as {k}" for k in ("data", "suggest", "rag", "service"))}, case when contains(hist, 'assistant:') then {strip_sql("replace(hist, 'assistant:', '')")} else hist end as last_answer_phone,
+    {_Q} as query from h""",
     "samples",
 )
 def parse_context(t):
-    """Sections out of built contexts: courses (with the blank line behind them), question and whether there is a history."""
-    own = t.samples().select("sample_id", P.parse_context(P.context_text()).alias("p"))
-    return own.select("sample_id", "p.service", "p.query", F.when(F.col("p.last_answer_phone") == "", 0).otherwise(1).alias("has_history"))
+    """All six sections out of built contexts, each with the blank line behind it."""
+    return t.samples().select("sample_id", P.parse_context(P.context_text()).alias("p")).select("sample_id", "p.*")
+
+
+@query(f"""select doc_id, md5(x) as text_md5, length(x) as n from (select doc_id, case when {strip_sql("coalesce(text, '')")} in ('', {_MARK}) then '' else regexp_replace(text, '^\\n+', '') end as x from documents)""")
+def parse_long_context(t):
+    """Whole documents as the knowledge of a context, read back line by line; empty lines in front are no content."""
+    text = F.concat(F.lit(P.HEADERS["rag"] + "\n"), F.coalesce("text", F.lit("")), F.lit("\n" + P.HEADERS["query"]))
+    held = P.parse_context(text)["rag"]
+    return t("documents").select("doc_id", F.md5(held).alias("text_md5"), F.length(held).cast("long").alias("n"))
 
 
 @query("select sample_id, replace(replace('Q: {query} / {last}', '{query}', coalesce(query, '') || ' {last}'), '{last}', coalesce(last_query, '')) as prompt from samples", "samples")
@@ -495,9 +512,10 @@ def strip_reasoning(t):
     return t.candidates().select("_pos", X.strip_reasoning(text, F.col("model_name"), ["src1", "src2"]).alias("answer"))
 
 
-@query("select _pos, _pos % 3 < 2 as is_placeholder from candidates", "candidates")
+@query(f"select _pos, _pos % 3 = 1 or {strip_sql("coalesce(response, '')")} = '' as is_placeholder from (select _pos, case when _pos % 7 = 0 then null else response end as response from candidates)", "candidates")
 def is_placeholder(t):
-    text = F.when(F.col("_pos") % 3 == 0, F.lit(" 　\n")).when(F.col("_pos") % 3 == 1, F.lit(f" {X.PLACEHOLDER}\n")).otherwise(F.lit("own fallback"))
+    """Responses as they are, missing ones, and the stand-in amid white space."""
+    text = F.when(F.col("_pos") % 3 == 1, F.lit(f" {X.PLACEHOLDER}\n")).when(F.col("_pos") % 7 == 0, F.lit(None).cast("string")).otherwise(F.col("response"))
     return t.candidates().select("_pos", X.is_placeholder(text).alias("is_placeholder"))
 
 
@@ -507,11 +525,18 @@ def record_title(t):
     return t.candidates().select("_pos", X.record_title(F.col("_pos"), {"id": own, "question": F.col("response")}).alias("title"))
 
 
-@query("select conv_id, 'a_answer' as label_1, 'A:1' as content_1, case when conv_id % 2 = 0 then 'answer_2' else 'b' end as label_2, case when conv_id % 2 = 0 then 'plain ' || conv_id else 'B ||| C' end as content_2 from (select distinct conv_id from conversations)")
+@query(
+    f"""select conv_id, turn, role as label_1, md5(x) as content_1_md5, case when turn % 2 = 0 and instr(x, ':') = 0 then 'answer_2' else case when turn % 2 = 0 then {strip_sql("split_part(x, ':', 1)")} else 'b' end end as label_2,
+    md5(case when turn % 2 = 0 and instr(x, ':') > 0 then {strip_sql("substr(x, instr(x, ':') + 1)")} else x end) as content_2_md5
+    from (select conv_id, turn, role, {strip_sql("coalesce(text, '')")} as x from conversations)"""
+)
 def split_reference(t):
-    second = F.when(F.col("conv_id") % 2 == 0, F.concat(F.lit("plain "), F.col("conv_id").cast("string"))).otherwise(F.lit("b: B ||| C"))
-    parts = X.split_reference(F.concat(F.lit("a_answer: A:1 ||| "), second))
-    return t("conversations").select("conv_id").distinct().select("conv_id", *[parts[k][f].alias(f"{f}_{k + 1}") for k in (0, 1) for f in ("label", "content")])
+    """Every turn's whole text on both sides of the separator, behind its role, and behind a label or none."""
+    x = X.strip(X.text_or_empty("text"))
+    own = t("conversations").withColumn("x", x)
+    second = F.when(F.col("turn") % 2 == 0, F.col("x")).otherwise(F.concat(F.lit("b: "), F.col("x")))
+    parts = X.split_reference(F.concat("role", F.lit(": "), "x", F.lit(" ||| "), second))
+    return own.select("conv_id", "turn", *[c for k in (0, 1) for c in (parts[k]["label"].alias(f"label_{k + 1}"), F.md5(parts[k]["content"]).alias(f"content_{k + 1}_md5"))])
 
 
 @query("select _pos, replace(substr(response, 1, 200), chr(10), ' ') || case when length(response) > 200 then '...' else '' end as preview from candidates", "candidates")
@@ -540,10 +565,15 @@ def checks_to_penalties(t):
     return t.checks().select("doc_id", F.explode(N.checks_to_penalties(F.col("checks"))).alias("p")).select("doc_id", "p.rule_id", "p.score")
 
 
-@query("select event_id, case event_id % 7 when 0 then 0.85 when 1 then 0.85 when 2 then 0.3 when 3 then 1.0 when 4 then 0.5 when 5 then 0.25 else 1.0 end::double as confidence from events")
+@query(
+    """select event_id, round(case event_id % 6 when 0 then k / 100 when 1 then least(1, k / 50) when 2 then 0.5 when 3 then 0.85 when 4 then 0 else 1 end::double, 6) as confidence
+    from (select event_id, cast(json_extract_string(props, '$.k') as double) as k from events)"""
+)
 def normalize_confidence(t):
-    texts = F.element_at(F.array(*[F.lit(x) for x in ("85%", " High ", "low", "3.5", "?", "0.25", "nan")]), (F.col("event_id") % 7 + 1).cast("int"))
-    return t("events").select("event_id", S.normalize_confidence(texts).alias("confidence"))
+    """Shares and numbers out of each event's properties, its type (which is no word of confidence), and words."""
+    k = F.get_json_object("props", "$.k")
+    forms = (F.concat(k, F.lit("% ")), (k.cast("double") / 50).cast("string"), F.col("event_type"), F.lit(" High "), F.concat(F.lit("-"), k, F.lit("%")), F.concat(F.lit("1"), k, F.lit(".5")))
+    return t("events").select("event_id", S.normalize_confidence(F.get(F.array(*forms), (F.col("event_id") % 6).cast("int"))).alias("confidence")).withColumns(rounded("confidence"))
 
 
 _SNAP = "case when score >= 15 then 20.0 when score >= 7.5 then 10.0 when score >= 4 then 5.0 else 3.0 end::double"
@@ -603,7 +633,7 @@ def dimension_score(t):
 
 @query("select sample_id, candidate_id, total_score_20 / 20.0::double * 5 as aggregate_score_5 from judge_flat", "judge_flat")
 def aggregate_score_5(t):
-    return t.judge_flat().select("sample_id", "candidate_id", (F.col("total_score_20") / S.MAX_SCORE * 5).alias("aggregate_score_5"))
+    return t.judge_flat().select("sample_id", "candidate_id", S.aggregate_score(F.col("total_score_20")).alias("aggregate_score_5"))
 
 
 @query("select candidate_id, least(1.0, greatest(0.0, (ground_score / 4 + structure_score / 4) / 2)) as confidence from judge_flat", "judge_flat")
@@ -876,30 +906,40 @@ def score_quantiles(t):
 
 
 def _replies(t):
-    """Replies in four forms by event_id: fenced, amid text, plain, and none."""
-    body = F.concat(F.lit('{"checks": [{"rule_id": "a", "hit": true}, {"rule_id": "b", "hit": false}], "confidence": "'), (F.col("event_id") % 90).cast("string"), F.lit('%"}'))
-    form = F.col("event_id") % 4
-    return t("events").select("event_id", F.when(form == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(form == 1, F.concat(F.lit("so: "), body, F.lit(" done"))).when(form == 2, body).otherwise(F.lit("none")).alias("reply"))
+    """Replies in four forms by doc_id, with each document's whole text as a reason: fenced, amid text, plain, and none."""
+    check = lambda rule, hit: F.struct(F.lit(rule).alias("rule_id"), F.lit(hit).alias("hit"), F.col("text").alias("reason"))
+    share = F.concat((F.col("doc_id") % 90).cast("string"), F.lit("%")).alias("confidence")
+    body = F.to_json(F.struct(F.array(check("a", True), check("b", False)).alias("checks"), share))
+    form = F.col("doc_id") % 4
+    reply = F.when(form == 0, F.concat(F.lit("```json\n"), body, F.lit("\n```"))).when(form == 1, F.concat(F.lit("so: "), body, F.lit(" done"))).when(form == 2, body).otherwise(F.col("text"))
+    return t("documents").select("doc_id", reply.alias("reply"))
 
 
 def _parsed_replies(t, how):
-    parsed = _replies(t).select("event_id", reply_parser(how)("reply").alias("p"))
-    return parsed.select("event_id", F.when(F.col("p.checks").isNotNull(), F.size(F.filter("p.checks", lambda c: c["hit"]))).cast("long").alias("hits"), S.normalize_confidence(F.col("p.confidence")).alias("confidence"))
+    parsed = _replies(t).select("doc_id", reply_parser(how)("reply").alias("p"))
+    hits = F.when(F.col("p.checks").isNotNull(), F.size(F.filter("p.checks", lambda c: c["hit"]))).cast("long")
+    reasons = F.md5(F.array_join(F.transform("p.checks", lambda c: c["reason"]), "|"))
+    return parsed.select("doc_id", hits.alias("hits"), reasons.alias("reasons_md5"), S.normalize_confidence(F.col("p.confidence")).alias("confidence")).withColumns(rounded("confidence"))
+
+
+def _parsed_sql(held: str) -> str:
+    """hits, reasons and confidence where a form of reply holds an object."""
+    return f"""select doc_id, case when {held} then 1::bigint end as hits, case when {held} then md5(text || '|' || text) end as reasons_md5, case when {held} then round((doc_id % 90) / 100.0::double, 6) else 0.5 end as confidence from documents"""
 
 
-@query("select event_id, case when event_id % 4 < 3 then 1::bigint end as hits, case when event_id % 4 < 3 then (event_id % 90) / 100.0::double else 0.5 end as confidence from (select event_id from events)")
+@query(_parsed_sql("doc_id % 4 < 3"))
 def extract_json_fenced_or_braced(t):
-    return _parsed_replies(t, fenced_or_braced).withColumns(rounded("confidence"))
+    return _parsed_replies(t, fenced_or_braced)
 
 
-@query("select event_id, case when event_id % 4 < 3 then 1::bigint end as hits, case when event_id % 4 < 3 then (event_id % 90) / 100.0::double else 0.5 end as confidence from events")
+@query(_parsed_sql("doc_id % 4 < 3"))
 def safe_parse_json(t):
-    return _parsed_replies(t, first_to_last_brace).withColumns(rounded("confidence"))
+    return _parsed_replies(t, first_to_last_brace)
 
 
-@query("select event_id, case when event_id % 4 in (0, 2) then 1::bigint end as hits, case when event_id % 4 in (0, 2) then (event_id % 90) / 100.0::double else 0.5 end as confidence from events")
+@query(_parsed_sql("doc_id % 4 in (0, 2)"))
 def strip_fence_parse(t):
-    return _parsed_replies(t, without_fence).withColumns(rounded("confidence"))
+    return _parsed_replies(t, without_fence)
 
 
 def _run_inputs(t):

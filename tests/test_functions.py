@@ -1,4 +1,6 @@
 import math
+import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,6 +103,46 @@ def test_contexts_parse_back(spark):
     assert one(odd, P.parse_context(F.col("c"))).service == "[用户提问] now\nmore"
 
 
+def slow_sections(context):
+    """Sections line by line, with a state."""
+    out, at = dict.fromkeys(P.HEADERS, ""), None
+    for line in context.split("\n"):
+        opened = next((k for k, h in P.HEADERS.items() if h in line), None)
+        if opened:
+            at, out[opened] = opened, line.strip().replace(P.HEADERS[opened], "").strip()
+        elif at:
+            out[at] = f"{out[at]}\n{line}" if out[at] else line
+    out = {k: "" if v.strip() == X.NONE_MARK else v for k, v in out.items()}
+    if "assistant:" in out["last_answer_phone"]:
+        out["last_answer_phone"] = out["last_answer_phone"].replace("assistant:", "").strip()
+    return tuple(out.values())
+
+
+def test_sections_equal_a_walk_over_lines(spark):
+    """Random lines: headers alone, amid text, twice in a line, opened again, blank lines, marks and no header at all."""
+    rng = random.Random(8)
+    heads = list(P.HEADERS.values())
+    pool = [*heads, *heads, "", "", " ", X.NONE_MARK, "user: a", "assistant: b assistant: c", "text", *(f"x {h} y" for h in heads), heads[0] + heads[3]]
+    contexts = ["\n".join(rng.choice(pool) for _ in range(rng.randrange(1, 14))) for _ in range(300)] + ["", "\n\n"]
+    got = values(spark, "string", contexts, P.parse_context)
+    assert [tuple(r) for r in got] == [slow_sections(c) for c in contexts]
+
+
+def test_a_long_context_takes_linear_time(spark):
+    """One section of many lines: ten times the lines take about ten times as long, not a hundred times."""
+
+    def seconds(n):
+        df = spark.range(1).select(F.concat(F.lit(P.HEADERS["rag"] + "\n"), F.repeat(F.lit("some words of a line\n"), n), F.lit(P.HEADERS["query"] + "\nq")).alias("c"))
+        own = df.select(P.parse_context(F.col("c")).alias("p")).select(F.length("p.rag").alias("n"), "p.query")
+        began = time.perf_counter()
+        r = own.first()
+        assert (r.n, r.query) == (21 * n - 1, "q")
+        return time.perf_counter() - began
+
+    seconds(100)
+    assert seconds(50_000) < 20  # 1 MB
+
+
 def test_templates(spark):
     df = spark.range(1)
     assert one(df, P.render_once("$a ${b} $c $$ $", {"a": F.lit("$b"), "b": F.lit("2")})) == "$b 2 $c $ $"
