@@ -8,6 +8,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillon.functions.text import filled, text_or_empty
+from quillon.sources.csv_ranges import RANGE, read_ranges, readable
 
 #: CSV headers that are renamed, and the two families of reference answers.
 RENAMED = {"一级分类": "category_level1", "二级分类": "category_level2", "三级分类": "category_level3"}
@@ -39,21 +40,29 @@ def samples_from(rows: DataFrame, ordinal: Column) -> DataFrame:
     return own.select(sample_id.alias("sample_id"), text_or_empty("query").alias("query"), *levels, *[pick(c).alias(c) for c in OPTIONAL], reference_answers(rows.columns).alias("reference_answers"), "_ordinal")
 
 
-def numbered_csv(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
+def numbered_csv(spark: SparkSession, path: str, range_bytes: int = RANGE) -> tuple[list[str], DataFrame]:
     """The columns of a CSV, or of a folder of CSVs in the order of their names, and its rows with their number from 0 on (_at).
 
-    A CSV whose cells hold line breaks is read by one task, so its row ids are the order within the file; over several files
-    the rows of earlier ones are added.
+    Files are read by ranges of bytes, in as many tasks; those in a store that only Spark can open, by one task each.
     """
     rows = read_csv(spark, path)
     names = rows.columns
+    if names and readable(spark, path):
+        return names, read_ranges(spark, path, names, range_bytes)
+    return names, _numbered_files(rows)
+
+
+def _numbered_files(rows: DataFrame) -> DataFrame:
+    """rows with their number (_at): a file whose cells hold line breaks is read by one task, so its row ids are the order
+    within the file; the rows of earlier files are added."""
+    names = rows.columns
     if len(rows.inputFiles()) <= 1:
-        return names, rows.withColumn("_at", F.monotonically_increasing_id())
+        return rows.withColumn("_at", F.monotonically_increasing_id())
     rows = rows.withColumns({"_file": F.input_file_name(), "_row": F.monotonically_increasing_id()})
     files = rows.groupBy("_file").agg(F.min("_row").alias("_first"), F.count("*").alias("_n"))
     before = F.coalesce(F.sum("_n").over(W.orderBy("_file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
     rows = rows.join(files.select("_file", "_first", before.alias("_before")), "_file")
-    return names, rows.select(*[F.col(f"`{c}`") for c in names], (F.col("_row") - F.col("_first") + F.col("_before")).alias("_at"))
+    return rows.select(*[F.col(f"`{c}`") for c in names], (F.col("_row") - F.col("_first") + F.col("_before")).alias("_at"))
 
 
 def scan_samples(spark: SparkSession, path: str, max_rows: int | None = None) -> DataFrame:
