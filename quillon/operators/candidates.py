@@ -61,6 +61,21 @@ def with_valid_text(scores: DataFrame, candidates: DataFrame) -> DataFrame:
     return scores.join(texts, ["sample_id", "candidate_id"])
 
 
+def first_filled(*sources: DataFrame) -> DataFrame:
+    """The rows of the first of these sources that has any. Whether an earlier one has is a subquery of the plan."""
+    out = earlier = sources[0]
+    for source in sources[1:]:
+        out = out.unionByName(source.filter(~earlier.select(F.lit(1)).exists()))
+        earlier = earlier.unionByName(source)
+    return out
+
+
+def response_index(*sources: DataFrame) -> DataFrame:
+    """(sample_id, candidate_id, response) of the first source that holds a candidate's response: what lies beside the results
+    comes first, and only where it holds none the next place."""
+    return first_filled(*[s.filter("candidate_id is not null and response is not null").select("sample_id", "candidate_id", "response") for s in sources])
+
+
 def with_context(scores: DataFrame, samples: DataFrame) -> DataFrame:
     """Scores with context and question where the sample is known."""
     return scores.join(samples.select("sample_id", "context", "question"), "sample_id", "left")

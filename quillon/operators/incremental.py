@@ -7,8 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from quillon.functions.scoring import manual_score
-from quillon.functions.text import is_placeholder
 from quillon.operators.candidates import latest_per_key
+from quillon.operators.masks import holds_all, missing, model_masks
 
 
 def resume_pending(candidates: DataFrame, done: DataFrame) -> DataFrame:
@@ -18,24 +18,24 @@ def resume_pending(candidates: DataFrame, done: DataFrame) -> DataFrame:
 
 def completed_samples(candidates: DataFrame, configured: DataFrame) -> DataFrame:
     """sample_id of samples that have a candidate of every configured (model_type, model_name)."""
-    wanted = configured.select("model_type", "model_name").distinct()
-    met = candidates.join(F.broadcast(wanted), ["model_type", "model_name"]).groupBy("sample_id").agg(F.count_distinct("model_type", "model_name").alias("_n"))
-    return met.filter(F.col("_n") == wanted.agg(F.count("*")).scalar()).select("sample_id")
+    masks, models = model_masks(configured, candidates.select("sample_id", "model_type", "model_name"))
+    return masks.filter(holds_all("have", models)).select("sample_id")
 
 
 def to_generate(samples: DataFrame, completed: DataFrame) -> DataFrame:
     return samples.join(completed.select("sample_id"), "sample_id", "left_anti")
 
 
+def incomplete_samples(samples: DataFrame, configured: DataFrame, candidates: DataFrame) -> DataFrame:
+    """sample_id of samples that lack a candidate of some configured model."""
+    masks, models = model_masks(configured, candidates.select("sample_id", "model_type", "model_name"), samples)
+    return masks.filter(F.col("is_sample") & ~holds_all("have", models)).select("sample_id")
+
+
 def repair_plan(samples: DataFrame, configured: DataFrame, candidates: DataFrame) -> DataFrame:
-    """(sample_id, model_type, model_name) whose candidate is missing or a placeholder.
-
-    The configured models come from a file, so the product with them grows only with the samples.
-    """
-    wanted = samples.select("sample_id").join(F.broadcast(configured.select("model_type", "model_name").distinct()))
-    have = candidates.select("sample_id", "model_type", "model_name", F.lit(True).alias("_has"), is_placeholder(F.col("response")).alias("_bad"))
-    last = have.groupBy("sample_id", "model_type", "model_name").agg(F.bool_and("_bad").alias("_bad"), F.first("_has").alias("_has"))
-    return wanted.join(last, ["sample_id", "model_type", "model_name"], "left").filter("_has is null or _bad").select("sample_id", "model_type", "model_name")
+    """(sample_id, model_type, model_name) whose candidate is missing or a placeholder."""
+    masks, models = model_masks(configured, candidates.select("sample_id", "model_type", "model_name", "response"), samples)
+    return masks.filter("is_sample").select("sample_id", F.explode(missing("good", models)).alias("_m")).select("sample_id", "_m.model_type", "_m.model_name")
 
 
 def repair_apply(candidates: DataFrame, new: DataFrame) -> DataFrame:

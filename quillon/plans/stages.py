@@ -34,7 +34,8 @@ Clients = dict[str, Service] | Callable[[], Client]
 SIDES = ("ground", "structure")
 
 
-def _prompt_of(samples: DataFrame) -> DataFrame:
+def prompts(samples: DataFrame) -> DataFrame:
+    """samples with the prompt that generators get."""
     messages = P.chat_messages(SYSTEM, P.context_text(), F.col("query"))
     return samples.withColumn("prompt", F.array_join(F.transform(messages, lambda m: F.concat(m["role"], F.lit(": "), m["content"])), "\n"))
 
@@ -44,7 +45,7 @@ def generate(samples: DataFrame, models: DataFrame, client: Clients, **how) -> D
 
     Models of type reference answer with the sample's reference answers and are not called.
     """
-    own = tasks(_prompt_of(samples), models)
+    own = tasks(prompts(samples), models)
     reference = F.col("model_type") == "reference"
     asked = ask(own.withColumn("prompt", F.when(~reference, F.col("prompt"))), "prompt", "model_name", client, "response", **how)
     picks = [F.nullif(F.try_element_at("reference_answers", F.lit(k)), F.lit("")) for k in ("a_answer", "b_answer", "answer_phone", "think_phone")]
@@ -175,7 +176,7 @@ def patch(raw: DataFrame, judged: DataFrame, source_file: str) -> DataFrame:
 def repaired_candidates(samples: DataFrame, models: DataFrame, candidates: DataFrame, client: Clients, **how) -> DataFrame:
     """The candidates of samples, those that were missing or placeholders generated anew; a call that fails again changes nothing."""
     plan = repair_plan(samples, models, candidates)
-    wanted = _prompt_of(samples).join(plan, "sample_id").join(F.broadcast(models), ["model_type", "model_name"])
+    wanted = prompts(samples).join(plan, "sample_id").join(F.broadcast(models), ["model_type", "model_name"])
     new = ask(wanted, "prompt", "model_name", client, "response", **how).filter("response is not null")
     new = new.select("sample_id", candidate_id(F.col("sample_id"), F.col("model_name")).alias("candidate_id"), "model_type", "model_name", "response", "gen_config", F.lit(0).cast("long").alias("_pos"))
     known = candidates.join(samples.select("sample_id"), "sample_id", "left_semi")

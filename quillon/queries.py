@@ -14,6 +14,7 @@ from quillon.functions import text as X
 from quillon.operators import candidates as C
 from quillon.operators import context as P
 from quillon.operators import incremental as I
+from quillon.operators import masks as M
 from quillon.operators import ordinals as O
 from quillon.operators import penalties as N
 from quillon.operators import ranking as R
@@ -21,9 +22,10 @@ from quillon.operators import repeats as A
 from quillon.operators import stats as T
 from quillon.operators import validators as V
 from quillon.functions.model_json import fenced_or_braced, first_to_last_brace, reply_parser, without_fence
-from quillon.plans import models, stages
+from quillon.plans import clients, config, models, stages
 from quillon.sources import readers, writers
 from quillon.sources.readers import reference_answers, samples_from
+from quillon.streaming.incremental import judge_stream
 
 QUERIES: dict[str, Callable] = {}
 ORACLES: dict[str, str] = {}
@@ -248,6 +250,17 @@ def response_index(t):
     return C.with_valid_text(scores, texts).select("sample_id", F.substring_index("candidate_id", "#", 1).alias("candidate_id"), F.md5("response").alias("response_md5"))
 
 
+@query("select 'beside' as place, sample_id, candidate_id, md5(response) as response_md5 from candidates where _pos % 2 = 0 and response is not null union all select 'next', sample_id, candidate_id, md5(response) from candidates where response is not null", "candidates")
+def response_sources(t):
+    """Responses out of what lies beside the results, where that holds any; else out of the next place."""
+    own = t.candidates()
+    path = _file(t, "beside", lambda p: writers.write_jsonl(own.filter("_pos % 2 = 0").select("sample_id", "candidate_id", "response"), p))
+    read = lambda p: readers.read_jsonl(t.spark, p, "sample_id string, candidate_id string, response string", "skip")
+    found = {"beside": C.response_index(read(path), own), "next": C.response_index(read(f"{path}/none"), own)}
+    tagged = [x.select(F.lit(k).alias("place"), "sample_id", "candidate_id", F.md5("response").alias("response_md5")) for k, x in found.items()]
+    return tagged[0].unionByName(tagged[1])
+
+
 @query(f"""select sample_id, candidate_id, length(response) as n from candidates where {strip_sql("coalesce(response, '')")} <> ''""", "candidates")
 def has_valid_text(t):
     return t.candidates().filter(X.filled("response")).select("sample_id", "candidate_id", F.length("response").cast("long").alias("n"))
@@ -264,15 +277,29 @@ def resume_pending(t):
     return I.resume_pending(j, j.filter("_pos % 2 = 0")).select("sample_id", "candidate_id", "model_name")
 
 
-@query(", m as (select sample_id, count(distinct model_name) as n from judge_flat where aggregate_score > 20 group by sample_id) select sample_id from m where n = (select count(*) from generators)", "judge_flat", "generators")
+@query(", m as (select sample_id, count(distinct model_name) as n from judge_flat where aggregate_score > 60 group by sample_id) select sample_id from m where n = (select count(*) from generators)", "judge_flat", "generators")
 def completed_samples(t):
-    return I.completed_samples(t.judge_flat().filter("aggregate_score > 20"), t.generators())
+    return I.completed_samples(t.judge_flat().filter("aggregate_score > 60"), t.generators())
 
 
-@query(", m as (select sample_id, count(distinct model_name) as n from judge_flat where aggregate_score > 20 group by sample_id) select distinct sample_id from judge_flat where sample_id not in (select sample_id from m where n = (select count(*) from generators))", "judge_flat", "generators")
+@query(", m as (select sample_id, count(distinct model_name) as n from judge_flat where aggregate_score > 60 group by sample_id) select distinct sample_id from judge_flat where sample_id not in (select sample_id from m where n = (select count(*) from generators))", "judge_flat", "generators")
 def to_generate(t):
     j = t.judge_flat()
-    return I.to_generate(j.select("sample_id").distinct(), I.completed_samples(j.filter("aggregate_score > 20"), t.generators()))
+    return I.incomplete_samples(j.select("sample_id").distinct(), t.generators(), j.filter("aggregate_score > 60"))
+
+
+@query(
+    """, m as (select sample_id, string_agg(distinct model_name, ',' order by model_name) filter (aggregate_score > 60) as have from judge_flat group by sample_id)
+    select sample_id, coalesce(have, '') as have, (select count(*) from generators) - case when have is null then 0 else len(string_split(have, ',')) end as n_missing from m""",
+    "judge_flat", "generators",
+)
+def model_masks(t):
+    """Which configured models each user has a candidate of, out of the bits of one aggregation."""
+    j = t.judge_flat()
+    masks, models_ = M.model_masks(t.generators(), j.filter("aggregate_score > 60").select("sample_id", "model_type", "model_name"), j.select("sample_id").distinct())
+    lacks = masks.filter("is_sample").select("sample_id", F.transform(M.missing("have", models_), lambda m: m["model_name"]).alias("lacks"))
+    have = F.array_except(F.array(*[F.lit(m) for _, m in models_]), "lacks")
+    return lacks.select("sample_id", F.array_join(have, ",").alias("have"), F.size("lacks").cast("long").alias("n_missing"))
 
 
 _MODELS = ", models as (select distinct model_type, model_name from candidates)"
@@ -791,6 +818,20 @@ def repeat_outputs(t):
     return out.select("sample_id", "candidate_id", "model_name", "judge_meta", lines.alias("penalties"), each("ground_output.checks", ("rule_id", "string"), run).alias("checks"), F.array_join("ground_output.confidence", ",").alias("confidences"))
 
 
+@query(None)
+def repeat_merge(t):
+    """States of three sets of runs, each worked out from its runs alone, merged: the same as all runs at once."""
+    runs = t.repeats()
+    states = [A.repeat_state(runs.filter(part)) for part in ("repeat_idx = 0", "repeat_idx between 1 and 3", "repeat_idx > 3")]
+    held = [writers.stored(x, "state") for x in states]
+    out = A.finished_repeats(A.merge_states(A.merge_states(held[0], held[1]), held[2])).withColumns(rounded("aggregate_score", "label_mean"))
+    lists = F.array_join(F.transform("ground_score", lambda x: x.cast("int").cast("string")), ",")
+    return out.withColumn("ground_scores", lists).drop("ground_score", "aggregate_score_list")
+
+
+ORACLES["repeat_merge"] = ORACLES["repeat_aggregate"]
+
+
 @query("select conv_id, unnest(['A', 'B']) as which, unnest([answer_a, answer_b]) as answer from answers", "answers")
 def long_form(t):
     return C.long_form(t.answers(), "conv_id")
@@ -981,6 +1022,67 @@ def generate(t):
     return _made(t).select("sample_id", "candidate_id", "model_type", "model_name", "response")
 
 
+def _stub_hash(settings: str = "") -> str:
+    return _stub_sql("model_name", f"'{settings}' || {_NL} || prompt" if settings else "prompt")
+
+
+@query(
+    f"""{_MADE} select sample_id, model_name, case model_name when 'click' then '- answer ' || ({_stub_hash('{"temperature": 0}')} % 1000) || ' of click' else '- answer ' || ({_stub_hash('{"temperature": 1}')} % 1000) || ' of ' || model_name end as response
+    from made where model_type <> 'reference'""",
+    "samples", "generators",
+)
+def generate_configured(t):
+    """Candidates by clients that are made from each model's own settings."""
+    names = sorted(r.model_name for r in t.generators().collect())
+    own = [config.Model(n, n, settings={"temperature": int(n != "click"), "partitions": 2, "threads": 4}) for n in names]
+    return stages.generate(_run_inputs(t), config.model_table(t.spark, tuple(own)), clients.services(own)).select("sample_id", "model_name", "response")
+
+
+@query(f"{_MADE} select sample_id, model_name, response, 1::bigint as n_asked from made where model_type <> 'reference'", "samples", "generators")
+def generate_resumed(t):
+    """Two runs over one store, the second over all samples: every prompt was asked once."""
+    store = writers.scratch(t.spark, "replies")
+    table = t.generators().withColumn("gen_config", F.lit("{}"))
+    own = _run_inputs(t)
+    stages.generate(own.filter("_ordinal % 2 = 0"), table, models.StubClient, store=store, batch_rows=100, batch_files=4)
+    made = stages.generate(own, table, models.StubClient, store=store, batch_rows=100, batch_files=4)
+    asked = t.spark.read.schema(models.TASKS).parquet(f"{store}/tasks").groupBy("model", "prompt").agg(F.count("*").alias("n_asked"))
+    prompts = stages.prompts(own).join(F.broadcast(table), how="cross").select("sample_id", "model_name", "prompt")
+    of = prompts.join(asked, (prompts["model_name"] == asked["model"]) & (prompts["prompt"] == asked["prompt"])).select("sample_id", "model_name", "n_asked")
+    return made.select("sample_id", "model_name", "response").join(of, ["sample_id", "model_name"])
+
+
+@query(
+    f"""{_MADE}, each as (select distinct model_name, prompt, {_stub_hash()} % 4 = 0 as bad from made where model_type <> 'reference')
+    select model_name as model, count(*) as done, count(*) filter (bad) as failed, count(*) filter (bad) as asked_again from each group by model_name""",
+    "samples", "generators",
+)
+def progress(t):
+    """What a run reports while it goes on, summed up over its batches: every fourth prompt fails both times."""
+    names = sorted(r.model_name for r in t.generators().collect())
+    own = [config.Model(n, n) for n in names]
+    known = {n: clients.Service(lambda settings: models.StubClient(fails=4), {}, "stub") for n in names}
+    told: list[dict] = []
+    stages.generate(_run_inputs(t), config.model_table(t.spark, tuple(own)), known, tries=2, first_delay=0.0, batch_rows=100, batch_files=2, progress=told.append)
+    rows = [(m, *(sum(p["models"][m][c] for p in told) for c in models.COUNTS)) for m in names]
+    return t.spark.createDataFrame(rows, "model string, " + ", ".join(f"{c} long" for c in models.COUNTS))
+
+
+@query("select sample_id, candidate_id, max(length(coalesce(response, ''))) as n from candidates group by sample_id, candidate_id having not bool_or(_pos % 10 = 3)", "candidates")
+def incremental_judging(t):
+    """Candidates that come in as files, some twice, and are judged once; those of every tenth id are in the target before."""
+    own = t.candidates().select("sample_id", "candidate_id", "response")
+    keys = t.candidates().filter("_pos % 10 = 3").select("sample_id", "candidate_id").distinct()
+    one = own.groupBy("sample_id", "candidate_id").agg(F.max(F.length(F.coalesce("response", F.lit("")))).alias("n"))
+    source, target, state = (writers.scratch(t.spark, x) for x in ("incoming", "target", "state"))
+    writers.write_jsonl(keys.withColumn("n", F.lit(-1).cast("long")), f"{target}/batch=old")
+    for part in ("pmod(hash(candidate_id), 3) < 2", "pmod(hash(candidate_id), 3) > 0"):
+        writers.write_jsonl(one.filter(part).withColumn("n", F.col("n").cast("long")), source, "append")
+    schema = "sample_id string, candidate_id string, n long"
+    judge_stream(t.spark, source, schema, lambda df: df, target, schema, state, files_per_batch=2).awaitTermination()
+    return readers.read_jsonl(t.spark, target, schema).filter("n >= 0").select("sample_id", "candidate_id", "n")
+
+
 _TURN = f"case when {_LQ} <> '' then 'user: ' || {_LQ} else {_SKIP} end"
 _JUDGE_INPUT = f"concat_ws({_NL}, case when {_LQ} <> '' or {_LA} <> '' then {_TURN} end, case when {_LA} <> '' then 'assistant: ' || {_LA} end, 'user: ' || coalesce(query, ''))"
 _JUDGE_HISTORY = f"case when {_LA} <> '' then {_TURN} || {_NL} || 'assistant: ' || {_LA} else {_MARK} end"
