@@ -3,8 +3,9 @@
 A source's target is min(cap, level * weight), where the cap is the source's size times the most epochs and the level is
 the one at which the targets add up to the wanted total: sources are taken in ascending order of cap / weight, and those
 whose ratio is below the level of the rest are clamped. A source's repetitions are whole epochs plus a fractional one. The
-fractional epoch takes the documents in a seeded order (md5 of seed and doc_id) until its words are used up, so the words
-taken equal the target to the word; only the document at the end is taken in part.
+fractional epoch takes the documents in a seeded order (md5 of seed, doc_id and text, which spreads rows that share an id, or
+have none) until its words are used up, so the words taken equal the target to the word; only the document at the end is
+taken in part.
 
 The seeded order is never built as one list: documents fall into 256 slices by the first two hex digits of the hash, slice
 sums tell which slice the epoch ends in, the same is done within that slice by the next two digits, and only the 65,536th
@@ -48,7 +49,7 @@ def targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs:
 
 def order_hash(seed: str = SEED):
     """The seeded order of documents, as text that any engine computes alike."""
-    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit(":"), F.md5(F.coalesce("text", F.lit("")))))
 
 
 def mix(docs: DataFrame, weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:

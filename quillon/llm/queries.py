@@ -124,7 +124,7 @@ ORACLES = {
             sha256(array_to_string(case when gone is null then words else list_transform(list_filter(range(1, len(words) + 1), lambda x: not list_contains(gone, x)), lambda x: words[x]) end, ' ')) as kept_sha256
         from d left join r on d.k = r.k""",
     "op7_mix_sources": rf"""
-        with d as (select doc_id, source, len({_WORDS}) as size, md5('mix-1:' || coalesce(cast(doc_id as varchar), '')) as h from documents),
+        with d as (select doc_id, source, len({_WORDS}) as size, md5('mix-1:' || coalesce(cast(doc_id as varchar), '') || ':' || md5(coalesce(text, ''))) as h from documents),
         s as (select source, cast(sum(size) as bigint) as source_size from d group by source),
         r as (select *, row_number() over (order by source is null, source) - 1 as rk from s),
         w as (select source, source_size, case rk % 3 when 0 then 5.0::double when 1 then 2.0 else 1.0 end as w, source_size * 2.0::double as cap from r),

@@ -1,9 +1,11 @@
 """Web archives packed in ZIP files: written by Spark tasks, and read by byte ranges without extraction.
 
 A task packs its pages in one ZIP file with two stored members: archive/data.warc.gz, whose records are gzip members of their
-own, and indexes/index.cdxj, one JSON line a record with its place in the first. The reader finds the end record (and its
-ZIP64 form), parses the central directory, looks up where the members' bytes begin, reads the index, and fetches runs of
-neighbouring records by range.
+own, and indexes/index.cdxj, a sorted CDXJ index (turned-round host and path, time, JSON with the record's place). The reader
+finds the end record (and its ZIP64 form), parses the central directory, looks up where the members' bytes begin, and takes
+every stored archive (.warc, .warc.gz) and index (.cdxj, .cdx, either of them .gz) for what its name says, whatever the archive
+was made by. It fetches runs of neighbouring records by range where an index places them; an archive that no index mentions
+is read from one end to the other. Records of other kinds than responses and revisits have the size and digest of their block.
 
 Of pages with equal payloads of at least a given size the one with the smallest page_id is a response record; the others are
 revisit records that refer to it and hold no payload, only the HTTP header with its length, and its digest. Record ids are
@@ -18,6 +20,7 @@ share the smallest page_id are all responses; an empty table gives no archive an
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import json
 import struct
@@ -38,6 +41,8 @@ DATE = "2000-01-01T00:00:00Z"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 #: Bytes that are fetched by one range at least, if neighbouring records have as many.
 FETCH = 4 << 20
+#: Slices of the pages of one payload.
+SALTS = 32
 RECORD = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long"
 
 END, CENTRAL, END64 = struct.Struct("<4s4H2LH"), struct.Struct("<4s6H3L5H2L"), struct.Struct("<4sQ2H2L4Q")
@@ -82,18 +87,34 @@ def parsed(data: bytes) -> tuple[dict[str, str], bytes, bytes]:
 
 
 def row_of(data: bytes) -> tuple:
-    """What RECORD says of one record; a response's digest and size are those of the payload itself."""
+    """What RECORD says of one record; a response's digest and size are those of the payload itself, and a revisit's are stated."""
     headers, http, payload = parsed(data)
     number = lambda name: int(headers[name]) if name in headers else None
     kind = headers["warc-type"]
-    stated = headers["warc-payload-digest"].removeprefix("sha1:")
-    if kind == "response":
-        if digest(payload) != stated:
-            raise ValueError(f"payload of {headers['warc-record-id']} does not have its digest")
-        size = len(payload)
-    else:
-        size = next(int(x[15:]) for x in http.decode().split("\r\n") if x.lower().startswith("content-length:"))
-    return number("page-id"), size, stated, kind, number("refers-to-page-id")
+    if kind not in ("response", "revisit"):
+        payload = data.partition(b"\r\n\r\n")[2][: int(headers["content-length"])]
+    stated = headers.get("warc-payload-digest", "")
+    size, found = len(payload), digest(payload)
+    if kind == "revisit":
+        size = next((int(x[15:]) for x in http.decode("utf-8", "replace").split("\r\n") if x.lower().startswith("content-length:")), size)
+        found = stated.removeprefix("sha1:")
+    elif kind == "response" and stated.startswith("sha1:") and stated != f"sha1:{found}":
+        raise ValueError(f"payload of {headers['warc-record-id']} does not have its digest")
+    return number("page-id"), size, found, kind, number("refers-to-page-id")
+
+
+def turned_round(url: str | None) -> str:
+    """A URL as an index key: labels of the host from the last to the first, then the path, in lower case."""
+    _, _, rest = (url or "").partition("://")
+    host, slash, path = rest.partition("/")
+    labels = host.partition("@")[2] or host
+    return f"{','.join(reversed(labels.partition(':')[0].split('.')))}){slash}{path}".lower().replace(" ", "%20")
+
+
+def index_line(url: str | None, offset: int, length: int, payload_digest: str, page_id: int | None) -> str:
+    """A line of the index, on one record."""
+    held = {"url": url, "mime": "text/html", "status": "200", "digest": f"sha1:{payload_digest}", "length": str(length), "offset": str(offset), "filename": ARCHIVE.rpartition("/")[2], "page_id": page_id}
+    return f"{turned_round(url)} {''.join(c for c in DATE if c.isdigit())} {json.dumps(held)}"
 
 
 def members(source) -> dict[str, tuple[int, int]]:
@@ -137,29 +158,88 @@ def members(source) -> dict[str, tuple[int, int]]:
     return out
 
 
+def index_places(text: str) -> Iterator[tuple[str, int, int]]:
+    """(file name, offset, length) of the records that a CDXJ index places; lines on anything else are passed over."""
+    for line in text.splitlines():
+        start = line.find("{")
+        held = json.loads(line[start:]) if start >= 0 and not line.startswith("!") else {}
+        if "offset" in held and "length" in held:
+            yield str(held.get("filename", "")), int(held["offset"]), int(held["length"])
+
+
+def unpacked(data: bytes) -> bytes:
+    return data if data.startswith(b"WARC/") else zlib.decompress(data, wbits=31)
+
+
+def in_sequence(source, base: int, size: int) -> Iterator[bytes]:
+    """All records of one archive member, read from its beginning to its end."""
+    at, end, held, coder = base, base + size, b"", None
+    while at < end or held:
+        more = source.read_at(min(FETCH, end - at), at) if at < end else b""
+        at += len(more)
+        held += more
+        if held.startswith(b"WARC/"):
+            # An archive that is not compressed: a record ends behind its block and two line breaks.
+            head = held.find(b"\r\n\r\n")
+            n = int(next(x for x in held[:head].lower().split(b"\r\n") if x.startswith(b"content-length:"))[15:]) if head >= 0 else 0
+            if head < 0 or len(held) < head + 8 + n:
+                if at >= end:
+                    raise ValueError("an archive ends within a record")
+                continue
+            yield held[: head + 8 + n]
+            held = held[head + 8 + n :]
+            continue
+        coder, parts = zlib.decompressobj(wbits=31), []
+        while True:
+            parts.append(coder.decompress(held))
+            held = coder.unused_data
+            if coder.eof:
+                break
+            if at >= end:
+                raise ValueError("an archive ends within a record")
+            held = source.read_at(min(FETCH, end - at), at)
+            at += len(held)
+        yield b"".join(parts)
+
+
 def records(source) -> Iterator[bytes]:
-    """All records of one archive in the order of its index, fetched by ranges."""
+    """All records of all archives in one ZIP file, each archive in the order of its bytes."""
     found = members(source)
-    (at, size), (base, _) = found[INDEX], found[ARCHIVE]
-    lines = [json.loads(x) for x in source.read_at(size, at).decode().splitlines()]
-    i = 0
-    while i < len(lines):
-        first, j = lines[i]["offset"], i
-        while j < len(lines) and (j == i or lines[j]["offset"] + lines[j]["length"] - first <= FETCH):
-            j += 1
-        data = source.read_at(lines[j - 1]["offset"] + lines[j - 1]["length"] - first, base + first)
-        for x in lines[i:j]:
-            yield zlib.decompress(data[x["offset"] - first :][: x["length"]], wbits=31)
-        i = j
+    archives = {name: place for name, place in found.items() if name.endswith((".warc", ".warc.gz"))}
+    places: dict[str, list[tuple[int, int]]] = {}
+    for name, (at, size) in found.items():
+        if name.endswith((".cdxj", ".cdx", ".cdxj.gz", ".cdx.gz")):
+            data = source.read_at(size, at)
+            # A compressed index may be several gzip members.
+            for file, offset, length in index_places((gzip.decompress(data) if name.endswith(".gz") else data).decode("utf-8", "replace")):
+                places.setdefault(file.rpartition("/")[2], []).append((offset, length))
+    for name, (base, size) in sorted(archives.items(), key=lambda x: x[1]):
+        own = sorted(set(places.get(name.rpartition("/")[2], [])))
+        if not own:
+            yield from in_sequence(source, base, size)
+        i = 0
+        while i < len(own):
+            first, j = own[i][0], i
+            while j < len(own) and (j == i or sum(own[j]) - first <= FETCH):
+                j += 1
+            data = source.read_at(max(map(sum, own[i:j])) - first, base + first)
+            for offset, length in own[i:j]:
+                yield unpacked(data[offset - first :][:length])
+            i = j
 
 
 def with_references(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
     """page_id, url, html, and the response's page_id (refers_to, null for responses) and url (refers_url)."""
     payload = F.coalesce(F.col("html"), F.lit(""))
     own = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", F.sha2(payload, 256).alias("_key"), F.octet_length(payload).alias("_bytes"))
-    first = own.groupBy("_key").agg(F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("_first"))
+    # A payload of very many pages meets in SALTS tasks: each of its slices gets a copy of its first page.
+    own = own.withColumn("_slice", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)))
+    least = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "url"))).alias("_first")
+    slices = own.groupBy("_key", "_slice").agg(least)
+    first = slices.groupBy("_key").agg(F.min("_first").alias("_first"), F.collect_set("_slice").alias("_slices"))
+    first = first.select("_key", "_first", F.explode("_slices").alias("_slice"))
     refers = (F.col("_bytes") >= least_bytes) & (F.col("_first.page_id") < F.coalesce("page_id", F.lit(2**63 - 1)))
-    return own.join(first, "_key").select("page_id", "url", "html", F.when(refers, F.col("_first.page_id")).alias("refers_to"), F.when(refers, F.col("_first.url")).alias("refers_url"))
+    return own.join(first, ["_key", "_slice"]).select("page_id", "url", "html", F.when(refers, F.col("_first.page_id")).alias("refers_to"), F.when(refers, F.col("_first.url")).alias("refers_url"))
 
 
 def write_archives(pages: DataFrame, least_bytes: int = 0) -> tuple[str, DataFrame]:
@@ -183,11 +263,11 @@ def write_archives(pages: DataFrame, least_bytes: int = 0) -> tuple[str, DataFra
                     coder = zlib.compressobj(3, wbits=31)
                     data = coder.compress(record(numbered(file_id, len(index)), page_id, url, html, refers_to, refers_url)) + coder.flush()
                     member.write(data)
-                    index.append(json.dumps({"page_id": page_id, "offset": at, "length": len(data)}))
+                    index.append(index_line(url, at, len(data), digest(html), page_id))
                     at += len(data)
         if out:
             member.close()
-            pack.writestr(INDEX, "\n".join(index))
+            pack.writestr(INDEX, "\n".join(sorted(index)))
             pack.close()
             out.close()
             yield pa.RecordBatch.from_pydict({"file": [name], "n_records": pa.array([len(index)], pa.int64())})
