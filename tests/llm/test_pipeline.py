@@ -1,18 +1,21 @@
 import collections
+import hashlib
+
+import numpy as np
 
 import corpus_pipeline
-from quillon.llm import mixing
+from quillon.llm import langid, mixing
 
 from .test_operators import WORD, library, removed, same
 
 
 def near_kept(rows):
-    """What stays of (doc_id, text): of each group of texts that are linked at similarity 0.8 one row of the smallest doc_id."""
+    """What stays of rows (doc_id, text and more): of each group of texts that are linked at similarity 0.8 one row of the smallest doc_id."""
     sets = []
-    for _, t in rows:
+    for _, t, *_ in rows:
         w = WORD.findall((t or "").translate({i: i + 32 for i in range(65, 91)}))
         sets.append({tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if w else set())
-    own = [k for k, (i, _) in enumerate(rows) if i is not None]
+    own = [k for k, (i, *_) in enumerate(rows) if i is not None]
     label = {k: k for k in own}
     while True:
         new = {a: min(label[b] for b in own if sets[a] == sets[b] or 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])) for a in own}
@@ -52,10 +55,63 @@ def test_each_stage_on_its_own_input(spark, rows):
         assert r.n_tokens == len(tk.encode(texts[r.doc_id] or "", add_special_tokens=False).ids)
 
 
-def test_run_over_a_folder(spark, rows, tmp_path):
+def slow_score(network, text):
+    """The best language's probability by plain convolution: every filter at every place of every window, weighted by bytes."""
+    data = text.encode()
+    sums, total = np.zeros(len(network.languages)), 0
+    for at in range(0, len(data), langid.WINDOW):
+        window = data[at : at + langid.WINDOW]
+        e = network.embedding[np.frombuffer(window.ljust(langid.WINDOW, b"\0"), np.uint8)]
+        pooled = np.concatenate([np.max([e[i : i + n].ravel() @ w for i in range(langid.WINDOW - n + 1)], axis=0) for n, w in zip(langid.WIDTHS, network.filters)])
+        logits = np.maximum(pooled + network.bias, 0) @ network.out + network.out_bias
+        sums += len(window) * (logits - np.log(np.exp(logits - logits.max()).sum()) - logits.max())
+        total += len(window)
+    p = np.exp(sums / total - (sums / total).max())
+    return float(p.max() / p.sum())
+
+
+def slow_mix(rows):
+    """Rows of the mix: whole copies, and the first words of the document that a source's fractional epoch ends in."""
+    size = lambda r: len(WORD.findall(r[1] or ""))
+    names = sorted({r[3] for r in rows}, key=lambda x: (x is None, x or ""))
+    sizes = {n: sum(size(r) for r in rows if r[3] == n) for n in names}
+    weight = {n: mixing.WEIGHTS[i % len(mixing.WEIGHTS)] for i, n in enumerate(names)}
+    left, going, target = 1.5 * sum(sizes.values()), set(names), {}
+    while going:
+        level = left / sum(weight[n] for n in going)
+        over = [n for n in going if level * weight[n] >= 2 * sizes[n]]
+        for n in over or list(going):
+            target[n] = 2 * sizes[n] if over else level * weight[n]
+            left -= target[n]
+            going.discard(n)
+    for n in names:
+        whole = int(target[n] // sizes[n]) if sizes[n] else 0
+        part = round(target[n] - whole * sizes[n])
+        key = lambda r: hashlib.md5(f"{mixing.SEED}:{'' if r[0] is None else r[0]}:{hashlib.md5((r[1] or '').encode()).hexdigest()}".encode()).hexdigest()
+        for r in sorted((r for r in rows if r[3] == n and size(r)), key=key):
+            extra = min(size(r), part)
+            part -= extra
+            yield from [r] * (whole + (size(r) == extra))
+            if 0 < extra < size(r):
+                end = list(WORD.finditer(r[1]))[extra - 1].end()
+                yield (r[0], r[1][:end], *r[2:])
+
+
+def test_run_equals_brute_force_stages(spark, rows, tmp_path):
+    """The whole pipeline against slow stages one after the other: nulls, repeated rows, empty and long texts included."""
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
-    out = corpus_pipeline.run(spark, str(tmp_path))
-    assert out.count() > 20 and {"doc_id", "n_tokens", "ids_sha256"} <= set(out.columns)
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    network, tk = langid.fit(docs), library()
+    own = [r for r in rows if any(c.isalpha() for c in r[1] or "") and slow_score(network, r[1]) >= corpus_pipeline.LEAST_SCORE]
+    own = near_kept(own)
+    own = [(i, kept if gone else r[1], *r[2:]) for r, (i, _, gone, kept) in zip(own, removed(own))]
+    want = []
+    for i, text, _, source, _ in slow_mix(own):
+        ids = tk.encode(text, add_special_tokens=False).ids
+        want.append((i, source, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(tk.decode(ids, skip_special_tokens=False).encode()).hexdigest()))
+    got = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert len(got) > 60 and any(r.doc_id is None for r in got) and any(r.source is None for r in got)
+    same([(r.doc_id, r.source, r.n_tokens, r.ids_sha256, r.decoded_sha256) for r in got], want)
 
 
 def test_near_copies_at_the_similarity_go(spark):
