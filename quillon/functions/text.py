@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -104,3 +106,8 @@ def number(x: Column | str) -> Column:
     """A double, or null for what is no number (also NaN)."""
     v = _column(x).try_cast("double")
     return F.when(~F.isnan(v), v)
+
+
+def bound(x: Column, then: Callable[[Column], Column]) -> Column:
+    """then(x), with x worked out once, however often then uses it."""
+    return F.transform(F.array(x), then)[0]

@@ -3,12 +3,11 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.functions.text import NONE_MARK, filled, joined, strip, stripped_or_mark, text_or_empty
+from quillon.functions.text import NONE_MARK, bound, filled, joined, strip, stripped_or_mark, text_or_empty
 
 # The headers of a context's sections, in order, and the mark for a skipped turn.
 HEADERS = {"data": "[个人数据]", "suggest": "[专家建议]", "rag": "[知识库知识]", "service": "[课程库]", "last_answer_phone": "[对话历史]", "query": "[用户提问]"}
@@ -123,10 +122,6 @@ def parse_context(context: Column) -> Column:
     """
     names = list(HEADERS)
 
-    def bound(x: Column, then: Callable[[Column], Column]) -> Column:
-        """then(x), with x worked out once."""
-        return F.transform(F.array(x), then)[0]
-
     def opened(line: Column) -> Column:
         out = F.lit(None).cast("int")
         for i in reversed(range(len(names))):

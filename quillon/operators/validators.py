@@ -10,7 +10,7 @@ from functools import reduce
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillon.functions.text import filled, number
+from quillon.functions.text import bound, filled, number
 from quillon.operators.penalties import GRADE_WORDS
 
 DATA = "sleep struct<duration_hours: string, start: string, end: string, score: string, score_thresholds: string>, require_chart_or_table string, services string"
@@ -50,9 +50,12 @@ def sleep_target(data: Column) -> Column:
 
 def sleep_duration(answer: Column, data: Column) -> Column:
     """The first 'number h' of the answer must be within a quarter of an hour of the target."""
-    target = sleep_target(data)
-    found = F.regexp_extract(answer, HOURS, 0)
-    said = F.regexp_extract(answer, HOURS, 1).try_cast("double")
+    # The text is searched once: the number is taken out of what was found.
+    return bound(F.struct(sleep_target(data).alias("target"), F.regexp_extract(answer, HOURS, 0).alias("found")), lambda x: _duration(x["target"], x["found"]))
+
+
+def _duration(target: Column, found: Column) -> Column:
+    said = F.regexp_extract(found, HOURS, 1).try_cast("double")
     wrong = F.when(F.abs(said - target) > 0.25, _penalty("PERSONAL_DATA_MISMATCH", 20.0, F.concat(F.lit("hours of sleep differ: "), said.cast("string"), F.lit(" and "), target.cast("string")), found))
     return F.array_compact(F.array(F.when(target.isNotNull(), F.when(found == "", _penalty("PERSONAL_DATA_ANALYSIS_ISSUE", 5.0, "hours of sleep are given, but not in the answer")).otherwise(wrong))))
 
@@ -75,9 +78,8 @@ def sleep_grade(answer: Column, data: Column) -> Column:
     """Where a grade follows from score and thresholds, the answer must name it or use one of the grade words."""
 
     def lacking(grade: Column) -> Column:
-        low = F.lower(answer)
-        named = reduce(Column.__or__, [F.contains(low, F.lit(x)) for x in GRADE_WORDS], F.contains(low, F.lower(grade)))
-        return F.when(~named, _penalty("PERSONAL_DATA_ANALYSIS_ISSUE", 5.0, F.concat(F.lit("no grade is stated; expected: "), grade)))
+        named = lambda low: reduce(Column.__or__, [F.contains(low, F.lit(x)) for x in GRADE_WORDS], F.contains(low, F.lower(grade)))
+        return F.when(~bound(F.lower(answer), named), _penalty("PERSONAL_DATA_ANALYSIS_ISSUE", 5.0, F.concat(F.lit("no grade is stated; expected: "), grade)))
 
     # The grade is worked out once: as an array's item it is a bound variable.
     due = F.filter(F.array(expected_grade(data)), lambda g: g.isNotNull() & (g != ""))
@@ -108,7 +110,11 @@ def chart_needed(data: Column) -> Column:
 
 def service(answer: Column, services: Column) -> Column:
     """Each service that is not blank must appear in the answer, in any case; the first six missing ones are named."""
-    missing = F.filter(services, lambda s: filled(s) & ~F.contains(F.lower(answer), F.lower(s)))
+    missing = bound(F.lower(answer), lambda low: F.filter(services, lambda s: filled(s) & ~F.contains(low, F.lower(s))))
+    return bound(missing, _missing_services)
+
+
+def _missing_services(missing: Column) -> Column:
     return F.array_compact(F.array(F.when(F.size(missing) > 0, _penalty("MISSING_SERVICE", 10.0, F.concat(F.lit("services not mentioned: "), F.array_join(F.slice(missing, 1, 6), ", "))))))
 
 

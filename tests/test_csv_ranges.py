@@ -34,10 +34,10 @@ def plain(rows, columns):
 def test_ranges_equal_whole_files(spark, tmp_path, seed):
     rng = random.Random(seed)
     path = tmp_path / "x.csv"
-    path.write_bytes(made(rng, rng.choice([0, 1, 3, 25])).encode())
+    path.write_bytes(made(rng, (0, 1, 3, 9, 9, 20)[seed]).encode())
     native = readers.read_csv(spark, str(path))
     want = plain(native.collect(), native.columns)
-    for size in (1, 5, 64, 1 << 20):
+    for size in (4, 64, 1 << 20):
         got = csv_ranges.read_ranges(spark, str(path), native.columns, size).orderBy("_at").collect()
         assert plain(got, native.columns) == want and [r._at for r in got] == list(range(len(want))), size
 
