@@ -20,18 +20,29 @@ LEAST_SCORE = 0.3
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents without letters (or text) and those whose language the network cannot tell."""
+    """Rejects documents without letters (or text) and those whose language the network cannot tell.
+
+    Null ids, languages and sources stay as they are, repeated rows are judged alike, long texts by all their windows; without a
+    labelled document nothing can be told and nothing stays.
+    """
     found = identify(docs, fit(docs)).filter((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= LEAST_SCORE))
     return found.select(*[f"`{c}`" for c in docs.columns])
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each group of near duplicates (five-word shingles, similarity 0.8 or more) the document with the smallest doc_id."""
+    """Keeps of each group of near duplicates (five-word shingles, similarity 0.8 or more) the document with the smallest doc_id.
+
+    Rows without an id are in no group and all stay; of repeated rows one stays; texts without words are alike.
+    """
     return drop_near_duplicates(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Takes passages that start in a document of smaller doc_id out of the texts; other texts stay as they are."""
+    """Takes passages that start in a document of smaller doc_id out of the texts; other texts stay as they are.
+
+    A null text stays null; a text that is taken whole is empty; repeated rows keep what one of them keeps; a null id is larger
+    than any other. n_chars follows the text.
+    """
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     out = with_columns(drop_duplicate_spans(docs), {"text": text})
     if "n_chars" in docs.columns:
@@ -40,12 +51,19 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The rows of the mix, each as often as it is taken."""
+    """The rows of the mix, each as often as it is taken.
+
+    Rows without words are never taken; a null source is a source of its own; rows without an id are taken like others; the row
+    at the end of a fractional epoch is cut behind its last word, and its n_chars follows.
+    """
     return mixed(docs)
 
 
 def bpe(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every row (little-endian unsigned 32-bit), and digests of them and of the text they decode to."""
+    """Token ids of every row (little-endian unsigned 32-bit), and digests of them and of the text they decode to.
+
+    A null text is empty and has no ids; repeated rows give equal rows; an empty table gives none, as in every stage.
+    """
     out = round_trip(docs.select("doc_id", "source", "text"))
     n = F.expr("cast(octet_length(ids) div 4 as bigint)").alias("n_tokens")
     return out.select("doc_id", "source", n, "ids", F.sha2("ids", 256).alias("ids_sha256"), F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
