@@ -18,7 +18,9 @@ own columns only. Sequence ids name partition and number within it. A task holds
 from __future__ import annotations
 
 import functools
+import itertools
 import os
+import unicodedata
 from collections.abc import Iterator
 
 import numpy as np
@@ -38,10 +40,28 @@ MOST_WORDS = 500_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
 #: New words that are given to the tokenizers library as one text.
 BATCH = 200
+#: Fixed value of the vocabulary: what a token has behind it that ends a pre-token.
+WORD_END = "</w>"
 #: Sequences of a partition; the ids of the next partition's begin behind.
 PER_PARTITION = 1 << 40
 
 
+class Numbers(dict):
+    """Numbers of words in the order in which they are met."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        return n
+
+
+def one_run_of_letters(word: bytes) -> bool:
+    """Whether a word is letters only, also in lower case, and composed."""
+    if word.isascii():
+        return word.isalpha()
+    text = word.decode("utf-8", "replace")
+    return text.isalpha() and text.lower().isalpha() and unicodedata.is_normalized("NFC", text)
+
+
 class Words:
     """Ids of texts by the tokenizers library, which sees each word once until MOST_WORDS are remembered."""
 
@@ -53,41 +73,69 @@ class Words:
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
         self.most = most
+        vocabulary = self.tokenizer.get_vocab()
+        self.closes = np.zeros(1 + max(vocabulary.values()), bool)
+        self.closes[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
         self.reset()
 
     def reset(self) -> None:
-        self.numbers: dict[bytes, int] = {}
+        self.numbers = Numbers()
         self.ids, self.counts, self.starts = np.empty(0, np.uint32), np.empty(0, np.int64), np.empty(0, np.int64)
 
     def __call__(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """All ids of UTF-8 texts in one array, and the number of ids of each text."""
         if len(self.numbers) > self.most or len(self.ids) > 8 * self.most:
             self.reset()
-        split = [t.split() for t in texts]
-        numbers, known = self.numbers, len(self.numbers)
-        at = np.fromiter((numbers.setdefault(w, len(numbers)) for words in split for w in words), np.int64)
-        if len(numbers) > known:
-            self.learn([w.decode("utf-8", "replace") for w in list(numbers)[known:]])
+        split = [self.folded(t).split() for t in texts]
+        known = len(self.numbers)
+        at = np.fromiter(map(self.numbers.__getitem__, itertools.chain.from_iterable(split)), np.int64, sum(map(len, split)))
+        if len(self.numbers) > known:
+            self.learn(list(itertools.islice(self.numbers, known, None)))
         counts = self.counts[at]
         ends = np.cumsum(counts)
         ids = self.ids[np.repeat(self.starts[at] - (ends - counts), counts) + np.arange(int(ends[-1]) if len(ends) else 0)]
         marks = np.concatenate([[0], ends])[np.cumsum([0, *map(len, split)])]
         return ids, np.diff(marks)
 
-    def learn(self, words: list[str]) -> None:
-        """Encodes words some at a time, with spaces between; a token belongs to the word that it starts in."""
-        found, counts = [], []
-        for i in range(0, len(words), BATCH):
-            part = words[i : i + BATCH]
-            (x,) = self.tokenizer.encode_batch([" ".join(part)], add_special_tokens=False)
-            heads = np.cumsum([0, *(len(w) + 1 for w in part[:-1])])
-            at = np.searchsorted(heads, np.fromiter((a for a, _ in x.offsets), np.int64, len(x.ids)), "right") - 1
-            found.append(np.array(x.ids, np.uint32))
-            counts.append(np.bincount(at, minlength=len(part)))
-        counts = np.concatenate(counts)
-        self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(counts) - counts])
+    @staticmethod
+    def folded(text: bytes) -> bytes:
+        """The text with A to Z in lower case, as the vocabulary folds it anyway; not where that could make a special token, or
+        a letter that a combining mark (U+0300 to U+036F) composes with in one case only."""
+        return text if b"<|" in text or b"\xcc" in text or b"\xcd" in text else text.lower()
+
+    def learn(self, words: list[bytes]) -> None:
+        """Encodes words some at a time, with spaces between."""
+        plain = np.fromiter(map(one_run_of_letters, words), bool, len(words))
+        counts, parts = np.zeros(len(words), np.int64), []
+        for rows, tell in ((np.flatnonzero(plain), self.of_letters), (np.flatnonzero(~plain), self.of_places)):
+            for i in range(0, len(rows), BATCH):
+                own = rows[i : i + BATCH]
+                ids, n = tell([words[k].decode("utf-8", "replace") for k in own.tolist()])
+                counts[own] = n
+                parts.append((own, ids))
+        # Ids of letters and of other words lie apart: each word's start is where its batch put it.
+        starts, at = np.zeros(len(words), np.int64), len(self.ids)
+        for own, ids in parts:
+            starts[own] = at + np.cumsum(counts[own]) - counts[own]
+            at += len(ids)
+        self.starts = np.concatenate([self.starts, starts])
         self.counts = np.concatenate([self.counts, counts])
-        self.ids = np.concatenate([self.ids, *found])
+        self.ids = np.concatenate([self.ids, *(ids for _, ids in parts)])
+
+    def of_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words of letters, each of which is one pre-token: it ends with the token that ends a word. Every word has one
+        such token at least, so where the library takes a letter for something else their number tells."""
+        (x,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
+        ids = np.array(x.ids, np.uint32)
+        ends = np.flatnonzero(self.closes[ids])
+        return (ids, np.diff(ends, prepend=-1)) if len(ends) == len(words) else self.of_places(words)
+
+    def of_places(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of any words: a token belongs to the word that it starts in."""
+        (x,) = self.tokenizer.encode_batch([" ".join(words)], add_special_tokens=False)
+        heads = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
+        at = np.searchsorted(heads, np.fromiter((a for a, _ in x.offsets), np.int64, len(x.ids)), "right") - 1
+        return np.array(x.ids, np.uint32), np.bincount(at, minlength=len(words))
 
 
 @functools.cache

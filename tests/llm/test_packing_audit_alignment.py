@@ -31,11 +31,14 @@ ODD = ["<|endoftext|> a<|startoftext|>b <|", "é ́x ΑΣ ΣΑΣ. İ ǅ", "DON'
 
 # --- 11: packing
 
+#: Letters in both cases with marks that compose in one case only, letters whose lower case is two characters, special tokens in capitals, new letters.
+CASES = ["J\u030c j\u030c I\u0307 i\u0307 W\u030a H\u0331 T\u0308", "İstanbul ǅ ẞ ŉ \u212a \u212b", "<|ENDOFTEXT|> <|EndOfText|>x", "ΑΣ ΣΑΣ ΌΣΟΣ", "\u1c89 \ua7cb \U00010d50 \U0001e5d0 ꟲ ᲀ", "école ÉCOLE e\u0301cole DON'T It'S 'S", "한글 \u1112\u1161\u11ab \u0e01\u0e33"]
+
 
 def test_words_give_the_ids_of_whole_texts():
     words, tokenizer = packing.Words(vocabulary_path("word_bpe_49k.json"), most=40), whole_tokenizer("word_bpe_49k.json")
     rng = random.Random(1)
-    texts = ODD + [" ".join(rng.choice(ODD + ["the", "of", "zqxj" + str(i)]) for i in range(rng.randrange(90))) for _ in range(30)] + ["a" * 50000]
+    texts = ODD + CASES + [" ".join(rng.choice(ODD + CASES + ["the", "of", "zqxj" + str(i)]) for i in range(rng.randrange(90))) for _ in range(30)] + ["a" * 50000]
     for part in (texts[:10], texts[10:], texts):
         ids, counts = words([t.encode() for t in part])
         want = [tokenizer.encode(t, add_special_tokens=False).ids for t in part]
