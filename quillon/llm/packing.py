@@ -38,7 +38,7 @@ POOL = 1 << 22
 #: Words that a worker remembers; beyond that (or 8 ids a word) it starts anew.
 MOST_WORDS = 500_000
 SCHEMA = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-#: New words that are given to the tokenizers library as one text.
+#: New words that make one text for the tokenizers library.
 BATCH = 200
 #: Fixed value of the vocabulary: what a token has behind it that ends a pre-token.
 WORD_END = "</w>"
@@ -108,11 +108,11 @@ class Words:
         plain = np.fromiter(map(one_run_of_letters, words), bool, len(words))
         counts, parts = np.zeros(len(words), np.int64), []
         for rows, tell in ((np.flatnonzero(plain), self.of_letters), (np.flatnonzero(~plain), self.of_places)):
-            for i in range(0, len(rows), BATCH):
-                own = rows[i : i + BATCH]
-                ids, n = tell([words[k].decode("utf-8", "replace") for k in own.tolist()])
-                counts[own] = n
-                parts.append((own, ids))
+            own = [rows[i : i + BATCH] for i in range(0, len(rows), BATCH)]
+            found = tell([[words[k].decode("utf-8", "replace") for k in part.tolist()] for part in own])
+            for part, (ids, n) in zip(own, found):
+                counts[part] = n
+                parts.append((part, ids))
         # Ids of letters and of other words lie apart: each word's start is where its batch put it.
         starts, at = np.zeros(len(words), np.int64), len(self.ids)
         for own, ids in parts:
@@ -122,20 +122,24 @@ class Words:
         self.counts = np.concatenate([self.counts, counts])
         self.ids = np.concatenate([self.ids, *(ids for _, ids in parts)])
 
-    def of_letters(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of words of letters, each of which is one pre-token: it ends with the token that ends a word. Every word has one
-        such token at least, so where the library takes a letter for something else their number tells."""
-        (x,) = self.tokenizer.encode_batch_fast([" ".join(words)], add_special_tokens=False)
-        ids = np.array(x.ids, np.uint32)
-        ends = np.flatnonzero(self.closes[ids])
-        return (ids, np.diff(ends, prepend=-1)) if len(ends) == len(words) else self.of_places(words)
-
-    def of_places(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of any words: a token belongs to the word that it starts in."""
-        (x,) = self.tokenizer.encode_batch([" ".join(words)], add_special_tokens=False)
-        heads = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
-        at = np.searchsorted(heads, np.fromiter((a for a, _ in x.offsets), np.int64, len(x.ids)), "right") - 1
-        return np.array(x.ids, np.uint32), np.bincount(at, minlength=len(words))
+    def of_letters(self, batches: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of batches of words of letters, each of which is one pre-token: it ends with the token that ends a word. Every
+        word has one such token at least, so where the library takes a letter for something else their number tells."""
+        out = []
+        for words, x in zip(batches, self.tokenizer.encode_batch_fast([" ".join(b) for b in batches], add_special_tokens=False)):
+            ids = np.array(x.ids, np.uint32)
+            ends = np.flatnonzero(self.closes[ids])
+            out.append((ids, np.diff(ends, prepend=-1)) if len(ends) == len(words) else self.of_places([words])[0])
+        return out
+
+    def of_places(self, batches: list[list[str]]) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Ids of batches of any words: a token belongs to the word that it starts in."""
+        out = []
+        for words, x in zip(batches, self.tokenizer.encode_batch([" ".join(b) for b in batches], add_special_tokens=False)):
+            heads = np.cumsum([0, *(len(w) + 1 for w in words[:-1])])
+            at = np.searchsorted(heads, np.fromiter((a for a, _ in x.offsets), np.int64, len(x.ids)), "right") - 1
+            out.append((np.array(x.ids, np.uint32), np.bincount(at, minlength=len(words))))
+        return out
 
 
 @functools.cache
