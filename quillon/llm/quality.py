@@ -4,8 +4,10 @@ Each rule is a Boolean expression that is true when a document breaks it. On a b
 and its mean cost are estimated; the rules are chained in descending order of rejection per cost in one nested conditional, so
 that a later rule is evaluated only for rows that all earlier ones let through. The order changes the work, never the verdict.
 
-A rule's cost is the work that it states for a row (what it looks at: features, characters, lines), averaged over the sample, in
-nanoseconds of that kind of work as once measured. Unlike clock times of short jobs this gives one order in every run.
+A rule's cost is measured: each rule alone runs over the sample (and one long text made of it), repeated until its time stands
+out from that of a job without a rule. That gives its nanoseconds a unit of what it states to look at (a row, a word, a
+character), rounded to a power of two and kept for the session, so that one session orders alike; the cost of a row is that
+times the mean units of the sample.
 
 Defined results: a null or empty text has no words (all counts 0) and fails the base rule; repeated rows are judged one by
 one; a rule whose value is null does not reject; empty tables give empty results; input columns named like a result column
@@ -15,18 +17,23 @@ length get exact counts.
 
 from __future__ import annotations
 
+import math
+import time
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillon.llm.common import WORD, boxed, unboxed
+from quillon.llm.common import WORD, boxed, discard, materialized, unboxed
 
 #: Rows of the sample from which costs and selectivities are estimated, the share of rows it is drawn from, and the bytes beyond
 #: which a text stays out of it. All bounds hold whatever the table's size; only as many partitions are read as fill it.
 SAMPLE_ROWS, SAMPLE_SHARE, SAMPLE_BYTES, SEED = 1000, 0.1, 1 << 16, 7
 #: Share of rejections that a rule is taken to have at least, so that cheap rules without a hit in the sample stay ordered.
 LEAST_REJECTED = 1e-4
+#: How often the sample is repeated while a rule is timed (more, until it takes CLEAR seconds beyond a job without a rule), the
+#: runs of which the shortest counts (a run of over a second is not repeated), and the characters of the long text.
+REPEATS, CLEAR, RUNS, LONG_CHARS = (1, 32, 1024), 0.05, 2, 1 << 17
 
 BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -34,23 +41,27 @@ BASE = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 @dataclass(frozen=True)
 class Rule:
     """name, an SQL expression over text, _words (its words) and the base columns that is true for a document to reject, and one
-    for its cost in nanoseconds a row."""
+    for the units of work that it does on a row."""
 
     name: str
     rejects: str
-    cost: str = "20"
+    units: str = "1"
+
+
+#: Nanoseconds a unit of work, by rule, as measured in this session.
+_NANOSECONDS: dict[Rule, float] = {}
 
 
 #: Production rules. They look at shape only (never at language), with bounds far outside of prose.
 RULES = (
     Rule("mean_word_length", "word_chars > 40 * n_words"),
     Rule("symbols", "10 * n_symbols > 3 * word_chars"),
-    Rule("duplicate_lines", "n_dup_lines >= 5 and 10 * n_dup_lines > 9 * size(split(text, '\\n'))", "20 + if(n_dup_lines >= 5, 5 * length(text), 0)"),
+    Rule("duplicate_lines", "n_dup_lines >= 5 and 10 * n_dup_lines > 9 * size(split(text, '\\n'))", "1 + if(n_dup_lines >= 5, length(text), 0)"),
     Rule("repeated_words", "10 * n_repeat_words > 4 * n_words"),
-    Rule("few_letters", "2 * regexp_count(text, '\\\\p{L}') < word_chars", "30 * length(text)"),
-    Rule("no_letter_words", "2 * size(filter(_words, x -> x rlike '\\\\p{L}')) < n_words", "100 * n_words"),
-    Rule("ellipsis_lines", "n_words >= 50 and 2 * size(filter(split(text, '\\n'), x -> endswith(rtrim(x), '...') or endswith(rtrim(x), '…'))) > size(split(text, '\\n'))", "20 + if(n_words >= 50, 12 * length(text), 0)"),
-    Rule("bullet_lines", "n_words >= 50 and 10 * size(filter(split(text, '\\n'), x -> substring(ltrim(x), 1, 1) in ('-', '*', '•'))) > 9 * size(split(text, '\\n'))", "20 + if(n_words >= 50, 11 * length(text), 0)"),
+    Rule("few_letters", "2 * regexp_count(text, '\\\\p{L}') < word_chars", "1 + length(text)"),
+    Rule("no_letter_words", "2 * size(filter(_words, x -> x rlike '\\\\p{L}')) < n_words", "1 + n_words"),
+    Rule("ellipsis_lines", "n_words >= 50 and 2 * size(filter(split(text, '\\n'), x -> endswith(rtrim(x), '...') or endswith(rtrim(x), '…'))) > size(split(text, '\\n'))", "1 + if(n_words >= 50, length(text), 0)"),
+    Rule("bullet_lines", "n_words >= 50 and 10 * size(filter(split(text, '\\n'), x -> substring(ltrim(x), 1, 1) in ('-', '*', '•'))) > 9 * size(split(text, '\\n'))", "1 + if(n_words >= 50, length(text), 0)"),
 )
 
 
@@ -109,15 +120,53 @@ def sample_of(docs: DataFrame, rows: int = SAMPLE_ROWS) -> DataFrame:
     return docs.sparkSession.createDataFrame(some, "text string")
 
 
+def measure(sample: DataFrame, rules) -> None:
+    """Notes the nanoseconds a unit of these rules, timed over the sample in one task a job. Nothing is noted of an empty sample."""
+    joined = F.array_join(F.collect_list("text"), "\n")
+    texts = sample.unionByName(sample.agg(F.substring(joined, 1, LONG_CHARS).alias("text")).filter("text <> ''"))
+    featured = materialized(with_features(boxed(texts, "text")).drop("_row"), "rule-costs")
+    # Equal columns everywhere, so that the time without a rule is that of reading them.
+    units = featured.agg(*[F.sum(F.expr(r.units)).cast("double") for r in rules]).first()
+    empty: dict[int, float] = {}
+
+    def seconds(condition: Column, repeats: int) -> float:
+        rows = featured.coalesce(1).withColumn("_again", F.explode(F.sequence(F.lit(1), F.lit(repeats))))
+        job, took = rows.agg(F.count_if(condition)), []
+        for _ in range(RUNS):
+            began = time.perf_counter()
+            job.collect()
+            took.append(time.perf_counter() - began)
+            if took[-1] > 1:
+                break
+        return min(took)
+
+    for rule, total in zip(rules, units):
+        if not total:
+            continue
+        for repeats in REPEATS:
+            if repeats not in empty:
+                empty[repeats] = seconds(F.length("text") + F.size("_words") < 0, repeats)
+            beyond = seconds(F.expr(rule.rejects), repeats) - empty[repeats]
+            if beyond >= CLEAR:
+                break
+        _NANOSECONDS[rule] = 2.0 ** round(math.log2(max(1e9 * beyond / (repeats * total), 0.25)))
+    discard(featured)
+
+
 def order_rules(docs: DataFrame, rules=RULES, sample_rows: int = SAMPLE_ROWS) -> list[tuple[Rule, float, float]]:
-    """The rules by descending rejection per cost, each with the share it rejects and its cost a row on the sample.
+    """The rules by descending rejection per cost, each with the share it rejects and its cost a row (nanoseconds) on the sample.
 
-    One job over the sample gives all figures. Rules of equal figures keep their given order.
+    One job over the sample gives shares and units of all rules; rules not met in this session are timed before. Rules of equal
+    figures keep their given order.
     """
-    featured = with_features(boxed(sample_of(docs, sample_rows), "text"))
-    columns = [F.avg(x) for r in rules for x in (F.coalesce(F.expr(r.rejects), F.lit(False)).cast("int"), F.expr(r.cost).cast("double"))]
+    sample = sample_of(docs, sample_rows)
+    fresh = [r for r in rules if r not in _NANOSECONDS]
+    if fresh:
+        measure(sample, fresh)
+    featured = with_features(boxed(sample, "text"))
+    columns = [F.avg(x) for r in rules for x in (F.coalesce(F.expr(r.rejects), F.lit(False)).cast("int"), F.expr(r.units).cast("double"))]
     got = [x or 0.0 for x in featured.agg(*columns).first()] if rules else []
-    figures = list(zip(rules, got[::2], got[1::2]))
+    figures = [(r, share, units * _NANOSECONDS.get(r, 1.0)) for r, share, units in zip(rules, got[::2], got[1::2])]
     return sorted(figures, key=lambda x: -max(x[1], LEAST_REJECTED) / max(x[2], 1.0))
 
 

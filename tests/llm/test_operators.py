@@ -354,6 +354,19 @@ def test_quality_counts_and_order(spark, docs, rows, empty):
     assert quality.quality_rules(empty).count() == 0
 
 
+def test_a_rule_made_slow_moves_back(spark, docs, empty):
+    """Two rules that reject alike: the slower one is asked last, wherever it was given; verdicts stay."""
+    quick = quality.Rule("quick", "n_words < 3")
+    slow = quality.Rule("slow", "n_words < 3 and size(filter(sequence(1, 3000), x -> x * word_chars < 0)) = 0")
+    for rules in ((slow, quick), (quick, slow)):
+        order = quality.order_rules(docs, rules)
+        assert [r.name for r, _, _ in order] == ["quick", "slow"]
+        assert order[0][1] == order[1][1] > 0 and order[1][2] > order[0][2]
+    same(quality.quality_rules(docs, (slow, quick)).select("doc_id", "kept").collect(), quality.quality_rules(docs, (quick,)).select("doc_id", "kept").collect())
+    never = quality.Rule("never", "n_words < 0")
+    assert [r.name for r, _, _ in quality.order_rules(empty, (never, slow))] == ["never", "slow"] and never not in quality._NANOSECONDS
+
+
 def test_quality_of_a_very_long_text(spark):
     distinct = " ".join(f"w{i}" for i in range(600_000))
     text = distinct + " w5 w6 w7 x w5 w6 w7"
