@@ -50,7 +50,9 @@ def histogram(values: DataFrame, column: str, bins: int = 20) -> DataFrame:
     low, high = values.agg(F.min(column)).scalar(), values.agg(F.max(column)).scalar()
     own = values.filter(F.col(column).isNotNull()).select(F.col(column).alias("_x"), low.alias("_lo"), high.alias("_hi"))
     half = F.when(F.col("_lo") == F.col("_hi"), 0.5).otherwise(0.0)
-    place = F.least(F.width_bucket(F.col("_x"), F.col("_lo") - half, F.col("_hi") + half, F.lit(bins)), F.lit(bins)).cast("long")
+    # The share of the range comes first: width_bucket multiplies before it divides, which puts some values on a bound elsewhere.
+    share = (F.col("_x") - (F.col("_lo") - half)) / ((F.col("_hi") + half) - (F.col("_lo") - half))
+    place = (F.floor(F.least(share * bins, F.lit(bins - 1.0))) + 1).cast("long")
     return own.groupBy(place.alias("bin")).agg(F.count("*").alias("n"))
 
 
