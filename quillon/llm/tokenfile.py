@@ -10,6 +10,9 @@ next word holds one id of more than 60 bits as it is. Layout, little-endian:
 Blocks are packed side by side: in step k the k-th word of every block is made at once. A reader fetches any range of blocks
 by their offsets and unpacks all words of one selector at once.
 
+Texts are encoded whole by the tokenizers library, but each of their units, at whose ends no pre-token crosses (see `bpe`), only
+once: a worker remembers the ids that the library gave it.
+
 Defined results: a null text has no ids but the end id; a null doc_id comes first; rows with equal doc_id are ordered by text;
 an empty table gives no file and no row; the result has its own columns only.
 """
@@ -17,6 +20,7 @@ an empty table gives no file and no row; the result has its own columns only.
 from __future__ import annotations
 
 import functools
+import itertools
 import os
 import uuid
 from collections.abc import Iterator
@@ -28,8 +32,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from quillon.llm.bpe import packed, vocabulary_path
-from quillon.llm.common import materialized, pieces, shared_dir, shared_files, texts_of
+from quillon.llm.bpe import Units, packed, vocabulary_path
+from quillon.llm.common import materialized, pieces, shared_dir, shared_files, utf8_of
 
 BLOCK, MAGIC = 256, b"S8B1IDS\n"
 #: Ids in a word by selector (its index); the width of each is 60 // count bits. Fixed values of the coding.
@@ -37,8 +41,8 @@ COUNTS = (60, 30, 20, 15, 12, 10, 8, 7, 6, 5, 4, 3, 2, 1)
 ESCAPE = 15
 #: Ids read and unpacked at a time.
 READ_IDS = 1 << 19
-#: Texts that are given to the tokenizers library at once.
-BATCH = 64
+#: Texts that are given to the tokenizers library at once, and units.
+BATCH, UNIT_BATCH = 64, 4096
 #: Widths of ids of up to 16 bits.
 SMALL_WIDTHS = np.maximum(1, np.frexp(np.arange(1 << 16, dtype=np.float64))[1]).astype(np.uint8)
 
@@ -218,16 +222,22 @@ def library_tokenizer(path: str):
     return tokenizer
 
 
-def library_ids(path: str, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def library_ids(path: str, texts: list[str], batch: int = BATCH) -> tuple[np.ndarray, np.ndarray]:
     """All ids of whole texts by the tokenizers library in one array, and the number of ids of each text."""
     found, counts = [], np.zeros(len(texts), np.int64)
-    for i in range(0, len(texts), BATCH):
-        for j, x in enumerate(library_tokenizer(path).encode_batch_fast(texts[i : i + BATCH], add_special_tokens=False), i):
-            found.append(np.array(x.ids, np.uint32))
-            counts[j] = len(found[-1])
+    for i in range(0, len(texts), batch):
+        own = [x.ids for x in library_tokenizer(path).encode_batch_fast(texts[i : i + batch], add_special_tokens=False)]
+        counts[i : i + batch] = list(map(len, own))
+        found.append(np.fromiter(itertools.chain.from_iterable(own), np.uint32, int(counts[i : i + batch].sum())))
     return np.concatenate([*found, np.empty(0, np.uint32)]), counts
 
 
+@functools.cache
+def library_units(path: str) -> Units:
+    """Ids of whole texts by the tokenizers library, which sees each unit (see bpe) once while a Python worker remembers it."""
+    return Units(lambda units: library_ids(path, units, UNIT_BATCH))
+
+
 def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = 2) -> tuple[str, DataFrame]:
     """Token-id files of docs in ascending doc_id order below the shared folder: the folder, and the table of its files
     (part, file, n_docs, n_ids) in the order of part. A retried task writes a file of its own; the table names one each."""
@@ -242,7 +252,7 @@ def write_tokens(docs: DataFrame, path: str | None = None, end_id: int = 2) -> t
                     fs, place = shared_files(folder)
                     name = f"{place}/part-{part:06d}-{uuid.uuid4().hex}.s8b"
                     writer = Writer(fs.open_output_stream(name))
-                ids, counts = library_ids(path, texts_of(piece))
+                ids, counts = library_units(path)(utf8_of(piece))
                 ends = np.cumsum(counts)
                 writer.add(piece.column("doc_id").to_pylist(), np.insert(ids, ends, end_id), counts + 1)
         if writer:
