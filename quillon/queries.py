@@ -821,10 +821,10 @@ def repeat_outputs(t):
 @query(None)
 def repeat_merge(t):
     """States of three sets of runs, each worked out from its runs alone, merged: the same as all runs at once."""
-    runs = t.repeats()
-    states = [A.repeat_state(runs.filter(part)) for part in ("repeat_idx = 0", "repeat_idx between 1 and 3", "repeat_idx > 3")]
-    held = [writers.stored(x, "state") for x in states]
-    out = A.finished_repeats(A.merge_states(A.merge_states(held[0], held[1]), held[2])).withColumns(rounded("aggregate_score", "label_mean"))
+    part = F.when(F.col("repeat_idx") == 0, 0).when(F.col("repeat_idx") <= 3, 1).otherwise(2)
+    # The runs are numbered once, and the states of all sets are one table.
+    held = writers.stored(A.repeat_state(t.repeats().withColumn("part", part), "part"), "state")
+    out = A.finished_repeats(A.merge_states(held.drop("part"))).withColumns(rounded("aggregate_score", "label_mean"))
     lists = F.array_join(F.transform("ground_score", lambda x: x.cast("int").cast("string")), ",")
     return out.withColumn("ground_scores", lists).drop("ground_score", "aggregate_score_list")
 
