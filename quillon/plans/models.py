@@ -2,7 +2,7 @@
 
 Prompts are a table of tasks, named by the hash of run, model, its settings and prompt. A file stream takes some files of it at a
 time; each batch is dealt out by endpoint, and its replies are committed under the batch's number before the next one begins. A
-run that is killed loses the calls of one batch at most: the next run first finishes the tasks that were left, from the
+run that is killed loses the calls of one batch at most (which grows with the store, see MOST_BATCHES): the next run first finishes the tasks that were left, from the
 stream's checkpoint. What is derived reads the table of replies, so neither a second action nor a lost executor repeats a call
 whose reply is stored; with a `store` that lasts, neither does a later run: it asks only for what the table lacks.
 
@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillon.plans.clients import CLIENTS, ChatClient, Client, Gate, Service, StubClient, client_named, services
-from quillon.sources.writers import scratch
+from quillon.sources.shared import files_a_batch, scratch, slices
 
 __all__ = ["CLIENTS", "ChatClient", "Client", "Gate", "Service", "StubClient", "ask", "client_named", "services", "stored_replies", "with_retries"]
 
@@ -101,7 +101,7 @@ def _caller(known: dict[str, Service], tries: int, first_delay: float, most_dela
 
             return *with_retries(call, tries, first_delay, most_delay, accept), count
 
-        for batch in batches:
+        for batch in (x for whole in batches for x in slices(whole, whole.column("prompt"))):
             asked, prompts = batch.column("model").to_pylist(), batch.column("prompt").to_pylist()
             for m in {*asked} - {*clients}:
                 service = known.get(m) or known[""]
@@ -133,7 +133,7 @@ def drain(spark: SparkSession, store: str, known: dict[str, Service], batch_file
     """
     places, slots = _slots(known)
     models = sorted(m for m in known if m)
-    tasks = spark.readStream.schema(TASKS).option("maxFilesPerTrigger", batch_files).option("maxFileAge", "36500d").parquet(f"{store}/tasks")
+    tasks = spark.readStream.schema(TASKS).option("maxFilesPerTrigger", files_a_batch(spark, f"{store}/tasks", "parquet", batch_files)).option("maxFileAge", "36500d").parquet(f"{store}/tasks")
     first, n = (_by_model(known, lambda s, i=i: places[s.endpoint][i], "int") if models else F.lit(places[known[""].endpoint][i]) for i in (0, 1))
     dealt = tasks.repartitionById(slots, (first + F.pmod(F.xxhash64("ask_key"), n)).cast("int"))
     replies = dealt.mapInArrow(_caller(known, **how), REPLIES).observe("asked", *_counts(models))
@@ -172,7 +172,7 @@ def ask(
     client: the service of each model by its name (see services), or a factory of one client for all, for which threads and
     partitions bound the calls. accept tells whether a reply will do; store is the folder of tasks and replies (a new one below
     the shared folder, if none is given); run numbers repeats of the same prompts. A batch is of batch_files files of
-    batch_rows prompts at most; progress is told of each (see drain).
+    batch_rows prompts at most, or a part in MOST_BATCHES of the store's files if that is more; progress is told of each (see drain).
     """
     spark = rows.sparkSession
     lasting, store = store is not None, store or scratch(spark, "replies")

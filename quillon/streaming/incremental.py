@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
 from quillon.sources.readers import read_jsonl
+from quillon.sources.shared import files_a_batch
 from quillon.sources.writers import write_jsonl
 
 KEY = ("sample_id", "candidate_id")
@@ -39,11 +40,12 @@ def judge_stream(spark: SparkSession, source: str, schema: str, judge: Callable[
 
     Which pairs of sample and candidate are done is the stream's state, kept by key; a new checkpoint begins with those that the
     target holds, and no later batch reads the target. A batch's rows are a folder of its own, named by the checkpoint and the
-    batch's number, so a batch that is repeated after a failure replaces what it wrote.
+    batch's number, so a batch that is repeated after a failure replaces what it wrote. A batch is of files_per_batch files, or a part
+    in MOST_BATCHES of the source's files if that is more.
     """
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", STORE)
     name = hashlib.sha1(checkpoint.encode()).hexdigest()[:12]
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).json(source)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", files_a_batch(spark, source, "json", files_per_batch)).json(source)
     done = read_jsonl(spark, target, target_schema, bad="skip").select(*KEY).distinct()
     new = stream.groupBy(*KEY).transformWithState(Once(), stream.schema, "Append", "None", done.groupBy(*KEY))
 
