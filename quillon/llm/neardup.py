@@ -222,12 +222,21 @@ def confirmed(table: pa.Table) -> pa.Table:
     return pa.table({"a": np.concatenate(a), "b": np.concatenate(b)})
 
 
+def star_edges(met: DataFrame) -> DataFrame:
+    """Edges (a, b) that connect what (node, low) connects: a node is tied to its least low alone, and so are its other lows.
+
+    Sets of one large group share their lows, so this is about one edge a set instead of one a set and band.
+    """
+    own = met.groupBy("node").agg(F.min("low").alias("top"), F.collect_set("low").alias("lows"))
+    tied = own.select(F.explode(F.array_except(F.array_union("lows", F.array("node")), F.array("top"))).alias("a"), F.col("top").alias("b"))
+    return tied.distinct()
+
+
 def edges_of(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """A table of forest edges (a, b) that connect all linked nodes; distinct: node, n, bands, first (doc_id and tie of one of its rows)."""
     keyed = distinct.select("node", F.posexplode("bands").alias("band", "key"))
     shared = keyed.groupBy("band", "key").agg(F.min("node").alias("low"), F.count("*").alias("members")).filter("members > 1").drop("members")
-    stars = keyed.join(shared, ["band", "key"]).filter("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b")).distinct()
-    stars = materialized(stars, "near-stars")
+    stars = materialized(star_edges(keyed.join(shared, ["band", "key"]).select("node", "low")), "near-stars")
     roots = components(stars, "near-candidates")
     known = materialized(roots.join(distinct.select("node", "n", "first"), "node"), "near-candidates")
     discard(stars, roots)
