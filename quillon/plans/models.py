@@ -101,13 +101,24 @@ def _caller(known: dict[str, Service], tries: int, first_delay: float, most_dela
 
             return *with_retries(call, tries, first_delay, most_delay, accept), count
 
+        def take(places: Iterator[int], asked: list[str], prompts: list[str], found: list) -> None:
+            try:
+                for i in places:
+                    found[i] = one(asked[i], prompts[i])
+            finally:
+                for _ in places:  # a thread that breaks leaves nothing for the others
+                    pass
+
         for batch in (x for whole in batches for x in slices(whole, whole.column("prompt"))):
             asked, prompts = batch.column("model").to_pylist(), batch.column("prompt").to_pylist()
             for m in {*asked} - {*clients}:
                 service = known.get(m) or known[""]
                 clients[m] = service.factory(service.settings)
                 gate, pool = gate or Gate(service.threads), pool or ThreadPoolExecutor(service.threads)
-            found = list(pool.map(one, asked, prompts)) if asked else []
+            # Each thread takes the next place until there is none: a future for each prompt costs more than a quick call.
+            found, places = [None] * len(asked), iter(range(len(asked)))
+            for done in [pool.submit(take, places, asked, prompts, found) for _ in range(min(gate.most, len(asked)) if asked else 0)]:
+                done.result()
             kinds = (pa.string(), pa.string(), pa.int32())
             yield pa.RecordBatch.from_arrays([batch.column("ask_key"), batch.column("model"), *(pa.array([f[i] for f in found], k) for i, k in enumerate(kinds))], ["ask_key", "model", "reply", "error", "tries"])
         if pool:
@@ -188,10 +199,12 @@ def ask(
     if lasting and not _stored(spark, f"{store}/tasks", TASKS).isEmpty():
         finish()
     wanted = own.filter("ask_key is not null").select("ask_key", F.col("_model").alias("model"), F.col(prompt).alias("prompt")).dropDuplicates(["ask_key"])
-    wanted = wanted.join(stored_replies(spark, store).filter("good").select("ask_key"), "ask_key", "left_anti")
+    if lasting:
+        wanted = wanted.join(stored_replies(spark, store).filter("good").select("ask_key"), "ask_key", "left_anti")
     wanted.write.mode("append").option("maxRecordsPerFile", batch_rows).parquet(f"{store}/tasks")
     finish()
-    found = stored_replies(spark, store)
+    # A new store holds one reply of each prompt.
+    found = stored_replies(spark, store) if lasting else _stored(spark, f"{store}/replies", REPLIES)
     if lasting:
         # A table of its own: later calls add to the store, and two reads of one path may be taken for the same.
         path = scratch(spark, "replies")
@@ -200,7 +213,8 @@ def ask(
     # Rows without a prompt get keys of their own, so that they do not meet in one task.
     spread = F.coalesce("ask_key", F.concat(F.lit("#"), F.monotonically_increasing_id().cast("string")))
     found = found.select(F.col("ask_key").alias("_key"), F.col("reply").alias(name), F.col("error").alias(f"{name}_error"))
-    out = own.withColumn("_key", spread).join(found, "_key", "left")
+    # Why a row has no key is told before the join, which then need not carry the prompts.
     missing = F.when(F.col(prompt).isNull(), F.lit("no prompt")).otherwise(F.lit("no client serves this model"))
-    out = out.withColumn(f"{name}_error", F.when(F.col("ask_key").isNull(), missing).otherwise(F.col(f"{name}_error")))
+    out = own.withColumns({"_key": spread, "_missing": F.when(F.col("ask_key").isNull(), missing)}).join(found, "_key", "left")
+    out = out.withColumn(f"{name}_error", F.coalesce("_missing", f"{name}_error"))
     return out.select(*[F.col(f"`{c}`") for c in rows.columns], name, f"{name}_error")

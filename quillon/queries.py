@@ -988,9 +988,9 @@ def _run_inputs(t):
     return own.withColumn("reference_answers", reference_answers(own.columns))
 
 
-def _made(t):
+def _made(t, samples=None):
     table = t.generators().withColumn("gen_config", F.lit("{}")).unionByName(t.spark.createDataFrame([("reference", "b_answer", '{"answer_key": "b_answer"}')], "model_type string, model_name string, gen_config string"))
-    return stages.generate(_run_inputs(t), table, models.StubClient)
+    return stages.generate(_run_inputs(t) if samples is None else samples, table, models.StubClient)
 
 
 #: What the stub client makes of a prompt, and the candidates that it generates, as SQL.
@@ -1105,7 +1105,8 @@ def _mean_sql(h: str) -> str:
 )
 def judge_mean(t):
     """Both judges of the mean scale by the stub client."""
-    return stages.judge_mean(_made(t), _run_inputs(t), "judge", models.StubClient).drop("ground_raw", "structure_raw")
+    own = writers.stored(_run_inputs(t), "samples")
+    return stages.judge_mean(_made(t, own), own, "judge", models.StubClient).drop("ground_raw", "structure_raw")
 
 
 _HIT = "list_filter([0, 1, 2, 3], lambda i: ({h} >> i) & 1 = 1 and ({h} >> (i + 4)) & 1 = 1)"
@@ -1127,7 +1128,8 @@ _FOUND = f"""{_judged_sql(modules=_DEDUCTION_MODULES, history="coalesce('assista
 )
 def judge_deductions(t):
     """Validators, both judges of the deduction scale by the stub client, labels and weights."""
-    return stages.judge_deductions(_made(t), _run_inputs(t), "judge", models.StubClient).drop("penalties", "ground_output", "structure_output").withColumns(rounded("weight"))
+    own = writers.stored(_run_inputs(t), "samples")
+    return stages.judge_deductions(_made(t, own), own, "judge", models.StubClient).drop("penalties", "ground_output", "structure_output").withColumns(rounded("weight"))
 
 
 _REPAIRED = f"case when model_type = 'reference' and _pos % 2 = 0 then '{X.PLACEHOLDER}' else response end"
